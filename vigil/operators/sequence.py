@@ -82,3 +82,33 @@ def neighbour_times(df: DataFrame, keys, time_col: str = "when",
         cols[run_name] = F.col("__off") + F.col("__sf") + F.col("__lc")
     out = joined.withColumns(cols)
     return out.drop(_SLICE, "__lp", "__ln", "__lf", "__lc", "__pl", "__nf", "__sf", "__off")
+
+
+def global_cumsum(df: DataFrame, order_col: str, sum_cols, lo: float, hi: float,
+                  slices: int = 1024, descending: bool = False) -> DataFrame:
+    """Running sums of ``sum_cols`` over the whole frame ordered by the
+    (unique) ``order_col``, without a single-partition window.
+
+    Rows are cut into ``slices`` equal ranges of ``order_col`` (bounds
+    ``lo``/``hi``): a window per slice gives the local running sums, and the
+    slice totals (at most ``slices`` rows, so broadcasting them is bounded)
+    give each slice its offset.  Adds ``<c>_cum`` for every column.
+    """
+    from vigil.functions.scalar import equal_width_bin
+    sum_cols = list(sum_cols)
+    b = equal_width_bin(order_col, float(lo), float(hi), slices)
+    if descending:
+        b = F.lit(slices - 1) - b
+    x = df.withColumn(_SLICE, b)
+    o = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    w = Window.partitionBy(_SLICE).orderBy(o).rowsBetween(Window.unboundedPreceding,
+                                                           Window.currentRow)
+    x = x.withColumns({f"__loc_{c}": F.sum(c).over(w) for c in sum_cols})
+    tot = df.withColumn(_SLICE, b).groupBy(_SLICE).agg(
+        *[F.sum(c).alias(f"__tot_{c}") for c in sum_cols])
+    ws = Window.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.select(_SLICE, *[F.coalesce(F.sum(f"__tot_{c}").over(ws), F.lit(0))
+                               .alias(f"__off_{c}") for c in sum_cols])
+    j = x.join(F.broadcast(tot), _SLICE)
+    return j.select(*df.columns, *[(F.col(f"__loc_{c}") + F.col(f"__off_{c}")).alias(f"{c}_cum")
+                                   for c in sum_cols])

@@ -120,14 +120,24 @@ def split_by_device(df: DataFrame, ids, device_col: str = "hwid",
     no listed device, and rows that repeat a (device, time, metric) key.
     All counts come from one aggregate pass plus one duplicate count.
     """
-    ids = list(ids)
-    listed = F.col(device_col).isin(ids)
+    if isinstance(ids, DataFrame):
+        # listed devices given as a table: a left-semi / left join instead of
+        # a driver-side list (Spark broadcasts it only if it is small)
+        flag = ids.select(F.col(ids.columns[0]).alias(device_col)).distinct() \
+            .withColumn("__listed", F.lit(True))
+        marked = df.join(flag, device_col, "left")
+        listed = F.coalesce(F.col("__listed"), F.lit(False))
+    else:
+        marked = df
+        listed = F.coalesce(F.col(device_col).isin(list(ids)), F.lit(False))
     if path is not None:
-        df.where(listed).write.mode("overwrite").partitionBy(device_col).parquet(path)
+        marked.where(listed).drop("__listed").write.mode("overwrite") \
+            .partitionBy(device_col).parquet(path)
     # One pass: count per key (partial aggregation before the shuffle), then
     # one global aggregate over the key counts.
-    per_key = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("n"))
-    listed_k = F.coalesce(F.col(device_col).isin(ids), F.lit(False))
+    per_key = marked.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("n"),
+                                            F.max(listed).alias("__l"))
+    listed_k = F.col("__l")
     return per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("rows_in"),
         F.coalesce(F.sum(F.when(listed_k, F.col("n"))), F.lit(0)).cast("long").alias("rows_out"),
@@ -143,9 +153,11 @@ def frame_from_rows(spark: SparkSession, rows, schema) -> DataFrame:
 
 
 def preview(df: DataFrame, n: int = 5, last: bool = False,
-            time_col: str = "when") -> DataFrame:
+            order=("when",)) -> DataFrame:
     """First n (or last n, shown in ascending order) rows by time.
     A top-k: Spark plans TakeOrderedAndProject, no global sort."""
+    order = list(order)
     if not last:
-        return df.orderBy(F.col(time_col).asc()).limit(n)
-    return df.orderBy(F.col(time_col).desc()).limit(n).orderBy(F.col(time_col).asc())
+        return df.orderBy(*[F.col(c).asc() for c in order]).limit(n)
+    return df.orderBy(*[F.col(c).desc() for c in order]).limit(n).orderBy(
+        *[F.col(c).asc() for c in order])
