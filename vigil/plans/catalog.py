@@ -440,3 +440,354 @@ def n5_null_counts(spark, sf):
 FROM blocks""", "blocks"))
 def n6_drop_report(spark, sf):
     return N.drop_report(S.blocks(spark, sf), S.SENSORS)
+
+
+# -------------------------------------------------------- A: aggregates
+
+from vigil.operators import aggregates as A  # noqa: E402
+
+
+@register("a1_rows_per_device_raw", sql("""SELECT hwid, count(*) AS n_rows FROM wide GROUP BY hwid""",
+                                        "wide"))
+def a1_rows_per_device_raw(spark, sf):
+    return A.rows_per_device(S.wide(spark, sf))
+
+
+@register("a1_rows_per_device_grid", sql("""SELECT hwid, count(*) AS n_rows FROM grid GROUP BY hwid""",
+                                         "grid"))
+def a1_rows_per_device_grid(spark, sf):
+    return A.rows_per_device(S.grid(spark, sf))
+
+
+@register("a2_constant_columns", sql(f"""SELECT sensor, min, max, COALESCE(min = max, FALSE) AS is_constant
+FROM ({' UNION ALL '.join(f"SELECT '{c}' AS sensor, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM blocks" for c in S.GRID_COLS)})""",
+                                     "blocks"))
+def a2_constant_columns(spark, sf):
+    return A.constant_columns(S.blocks(spark, sf), S.GRID_COLS)
+
+
+@register("a3_distinct_counts", sql(f"""SELECT sensor, n_distinct FROM ({' UNION ALL '.join(
+    f"SELECT '{c}' AS sensor, count(DISTINCT CAST({c} AS DOUBLE)) AS n_distinct FROM blocks" for c in S.GRID_COLS)})
+WHERE n_distinct > 1""", "blocks"))
+def a3_distinct_counts(spark, sf):
+    return A.distinct_counts(S.blocks(spark, sf), S.GRID_COLS)
+
+
+@register("a4_approx_distinct_counts")
+def a4_approx_distinct_counts(spark, sf):
+    return A.approx_distinct_counts(S.blocks(spark, sf), S.GRID_COLS, 0.15)
+
+
+@register("a5_approx_distinct_per_block")
+def a5_approx_distinct_per_block(spark, sf):
+    return A.approx_distinct_per_block(S.blocks(spark, sf), S.GRID_COLS, 2)
+
+
+_A6 = """SELECT hwid, time_diff, count(*) AS count FROM (
+  SELECT hwid, "when" - lag("when") OVER (PARTITION BY hwid ORDER BY "when") AS time_diff FROM wide)
+WHERE time_diff IS NOT NULL GROUP BY hwid, time_diff"""
+
+
+@register("a6_time_gap_frequency", sql(_A6, "wide"))
+def a6_time_gap_frequency(spark, sf):
+    return A.time_gap_frequency(S.wide(spark, sf), split_seconds=S.EVENTS.split_seconds)
+
+
+def _a7_sql(lo, hi, delta):
+    bins = int((hi - lo) / delta)
+    w = (hi - lo) / bins
+    return sql(f"""SELECT bin, {float(lo)} + bin * {w} AS bin_lo, {float(lo)} + (bin + 1) * {w} AS bin_hi,
+  CAST(sum(count) AS BIGINT) AS count
+FROM (SELECT CAST(least(greatest(floor((time_diff - {float(lo)}) / (({float(hi)} - {float(lo)}) / {bins})), 0), {bins - 1}) AS INTEGER) AS bin,
+             count FROM ({_A6}) WHERE time_diff BETWEEN {lo} AND {hi})
+GROUP BY bin""", "wide")
+
+
+@register("a7_gap_histogram_short", _a7_sql(0, 86400, 3600))
+def a7_gap_histogram_short(spark, sf):
+    return A.gap_histogram(A.time_gap_frequency(S.wide(spark, sf)), 0, 86400, 3600)
+
+
+@register("a7_gap_histogram_long", _a7_sql(86400, 864000, 21600))
+def a7_gap_histogram_long(spark, sf):
+    return A.gap_histogram(A.time_gap_frequency(S.wide(spark, sf)), 86400, 864000, 21600)
+
+
+@register("a9_flag_totals", sql("""SELECT hwid, CAST(sum(flag_anomaly) AS BIGINT) AS total_flag_anomaly,
+  CAST(sum(overheating) AS BIGINT) AS total_overheating FROM final GROUP BY hwid""", "final"))
+def a9_flag_totals(spark, sf):
+    return A.flag_totals(S.final(spark, sf), ["flag_anomaly", "overheating"])
+
+
+@register("a10_any_true", sql("""SELECT hwid, BlockID, bool_or(flag_engine) AS any_flag_engine
+FROM final GROUP BY hwid, BlockID""", "final"))
+def a10_any_true(spark, sf):
+    return A.any_true(S.final(spark, sf), ["hwid", "BlockID"], "flag_engine")
+
+
+@register("a11_global_aggregate", sql("""SELECT count(*) AS n, avg(value) AS avg_value,
+  max(value) AS max_value, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_ts FROM events"""))
+def a11_global_aggregate(spark, sf):
+    ev = X.load_table(spark, sf, "events")
+    return A.summarize(ev, n=F.count(F.lit(1)), avg_value=F.avg("value"),
+                       max_value=F.max("value"),
+                       first_ts=F.date_format(F.min("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+@register("a11_grouped_aggregate", sql("""SELECT event_type, avg(value) AS avg_value,
+  max(value) AS max_value, count(DISTINCT user_id) AS n_devices, count(*) AS n
+FROM events GROUP BY event_type"""))
+def a11_grouped_aggregate(spark, sf):
+    ev = X.load_table(spark, sf, "events")
+    return A.summarize(ev, ["event_type"], avg_value=F.avg("value"), max_value=F.max("value"),
+                       n_devices=F.count_distinct("user_id"), n=F.count(F.lit(1)))
+
+
+@register("a12_anomalous_blocks", sql("""SELECT hwid, BlockID FROM final GROUP BY hwid, BlockID
+HAVING max(flag_anomaly) = 1""", "final"))
+def a12_anomalous_blocks(spark, sf):
+    return A.anomalous_blocks(S.final(spark, sf))
+
+
+@register("a13_daily_anomaly_counts", sql(f"""SELECT hwid, strftime(make_timestamp("when" * 1000000), '%Y-%m-%d') AS day,
+  CAST(sum(flag_anomaly) AS BIGINT) AS n_flag_anomaly, CAST(sum(overheating) AS BIGINT) AS n_overheating
+FROM final WHERE "when" BETWEEN {T0} AND {T1} GROUP BY 1, 2""", "final"))
+def a13_daily_anomaly_counts(spark, sf):
+    x = A.daily_anomaly_counts(S.final(spark, sf), ["flag_anomaly", "overheating"], T0, T1)
+    return x.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
+@register("a14_approx_median_by_class")
+def a14_approx_median_by_class(spark, sf):
+    return A.approx_median_by_class(S.final(spark, sf), "view", "flag_anomaly")
+
+
+def _class_hist_sql(src, feature, target, bins):
+    return f"""SELECT {target}, bin, lo + bin * ((hi - lo) / {bins}) AS bin_lo, count,
+  CASE WHEN hi = lo THEN NULL ELSE count / (n_class * ((hi - lo) / {bins})) END AS density
+FROM (SELECT {target}, bin, lo, hi, n_class, count(*) AS count FROM (
+  SELECT x.{target}, lo, hi, n_class,
+    CAST(CASE WHEN hi = lo THEN 0 ELSE least(greatest(floor((x.v - lo) / ((hi - lo) / {bins})), 0), {bins - 1}) END AS INTEGER) AS bin
+  FROM (SELECT CAST({feature} AS DOUBLE) AS v, {target} FROM {src}
+        WHERE {feature} IS NOT NULL AND {target} IS NOT NULL) x
+  JOIN (SELECT {target}, min(CAST({feature} AS DOUBLE)) AS lo, max(CAST({feature} AS DOUBLE)) AS hi,
+               count(*) AS n_class FROM {src} WHERE {feature} IS NOT NULL AND {target} IS NOT NULL
+        GROUP BY {target}) b ON x.{target} = b.{target})
+  GROUP BY {target}, bin, lo, hi, n_class)"""
+
+
+@register("a16_class_histogram", sql(_class_hist_sql("final", "view", "flag_anomaly", 30), "final"))
+def a16_class_histogram(spark, sf):
+    return A.class_histogram(S.final(spark, sf), "view", "flag_anomaly", 30)
+
+
+# ---------------------------------------------------------- D: anomaly
+
+from vigil.operators import anomaly as D  # noqa: E402
+
+_DKEYS = 'hwid, BlockID, "when", engine'
+
+
+@register("d1_did_switch", sql(f"SELECT {_DKEYS}, didSwitch_engine FROM an1", "an1"))
+def d1_did_switch(spark, sf):
+    x = D.switch_columns(S.blocks(spark, sf), S.ENGINES, S.SEP)
+    return x.select("hwid", "BlockID", "when", "engine", "didSwitch_engine")
+
+
+@register("d2_qualify_switch", sql(f"SELECT {_DKEYS}, didSwitch_engine, qualified_engine FROM an2", "an2"))
+def d2_qualify_switch(spark, sf):
+    x = D.switch_columns(S.blocks(spark, sf), S.ENGINES, S.SEP)
+    return x.select("hwid", "BlockID", "when", "engine", "didSwitch_engine", "qualified_engine")
+
+
+@register("d3_switch_group", sql(f"""SELECT {_DKEYS}, qualified_engine, startGroup_engine, switchID_engine
+FROM an4""", "an4"))
+def d3_switch_group(spark, sf):
+    x = D.switch_columns(S.blocks(spark, sf), S.ENGINES, S.SEP)
+    return x.select("hwid", "BlockID", "when", "engine", "qualified_engine", "startGroup_engine",
+                    "switchID_engine")
+
+
+@register("d4_flag_groups", sql(f"""SELECT {_DKEYS}, switchID_engine, count_engine,
+  flag0_engine AS flag_engine FROM an5""", "an5"))
+def d4_flag_groups(spark, sf):
+    x = D.switch_columns(S.blocks(spark, sf), S.ENGINES, S.SEP)
+    x = D.flag_groups(x, S.ENGINES, S.TH)
+    return x.select("hwid", "BlockID", "when", "engine", "switchID_engine", "count_engine",
+                    "flag_engine")
+
+
+@register("d5_extend_flags", sql(f"""SELECT {_DKEYS}, prevID_engine, nextID_engine, flag_engine
+FROM anomalies""", "anomalies"))
+def d5_extend_flags(spark, sf):
+    x = S.anomalies(spark, sf, debug=True)
+    return x.select("hwid", "BlockID", "when", "engine", "prevID_engine", "nextID_engine",
+                    "flag_engine")
+
+
+@register("d6_d7_detect_anomalies", sql(f"SELECT {_DKEYS}, flag_engine, flag_anomaly FROM anomalies",
+                                        "anomalies"))
+def d6_d7_detect_anomalies(spark, sf):
+    return S.anomalies(spark, sf)
+
+
+def _d8_sql(rows):
+    return sql(f"""SELECT {_DKEYS}, CASE WHEN nextID = prevID AND nextID > 0 THEN TRUE ELSE flag0 END AS flag_engine
+FROM (SELECT *,
+  CASE WHEN bool_or(flag0) OVER ({S._W_BLK} ROWS BETWEEN {rows} PRECEDING AND CURRENT ROW)
+       THEN max(sid) OVER ({S._W_BLK} ROWS BETWEEN {rows} PRECEDING AND CURRENT ROW) END AS prevID,
+  CASE WHEN bool_or(flag0) OVER ({S._W_BLK} ROWS BETWEEN CURRENT ROW AND {rows} FOLLOWING)
+       THEN min(sid) OVER ({S._W_BLK} ROWS BETWEEN CURRENT ROW AND {rows} FOLLOWING) END AS nextID
+FROM (SELECT *, COALESCE(count(*) OVER (PARTITION BY hwid, BlockID, sid) >= {S.TH} AND sid > 0, FALSE) AS flag0
+FROM (SELECT *, CASE WHEN q THEN CAST(sum(COALESCE(sg, 0)) OVER ({S._W_BLK} {S._RUN}) AS BIGINT) END AS sid
+FROM (SELECT *, CASE WHEN q THEN CASE WHEN pq IS NULL OR "when" - pq > {S.SEP} THEN 1 ELSE 0 END END AS sg
+FROM (SELECT *, last(CASE WHEN q THEN "when" END IGNORE NULLS)
+        OVER ({S._W_BLK} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pq
+FROM (SELECT *, COALESCE(ds = 1 AND (CASE WHEN engine = 1 THEN za > 0 ELSE TRUE END)
+        AND (CASE WHEN engine = 0 THEN zb > 0 ELSE TRUE END), FALSE) AS q
+FROM (SELECT *, CASE WHEN lag(engine) OVER ({S._W_BLK}) <> engine THEN 1 ELSE 0 END AS ds,
+  count(CASE WHEN engine = 0 THEN 1 END) OVER ({S._W_BLK} ROWS BETWEEN 1 FOLLOWING AND {rows} FOLLOWING) AS za,
+  count(CASE WHEN engine = 0 THEN 1 END) OVER ({S._W_BLK} ROWS BETWEEN {rows} PRECEDING AND 1 PRECEDING) AS zb
+FROM blocks)))))))""", "blocks")
+
+
+@register("d8_detect_anomalies_rows", _d8_sql(int(S.SEP / 60)))
+def d8_detect_anomalies_rows(spark, sf):
+    return D.detect_anomalies_rows(S.blocks(spark, sf), S.SEP, S.TH, S.ENGINES)
+
+
+_D9_TH = 3
+
+
+@register("d9_detect_anomalies_first", sql(f"""SELECT {_DKEYS}, COALESCE(count_engine > {_D9_TH} AND ds = 1, FALSE) AS flag_engine,
+  count_engine
+FROM (SELECT *, count(*) OVER (PARTITION BY hwid, BlockID, sid) AS count_engine
+FROM (SELECT *, CASE WHEN ds = 1 THEN CAST(sum(COALESCE(sg, 0)) OVER ({S._W_BLK} {S._RUN}) AS BIGINT) END AS sid
+FROM (SELECT *, CASE WHEN ds = 1 THEN CASE WHEN pq IS NULL OR "when" - pq > {S.SEP} THEN 1 ELSE 0 END END AS sg
+FROM (SELECT *, last(CASE WHEN ds = 1 THEN "when" END IGNORE NULLS)
+        OVER ({S._W_BLK} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pq
+FROM (SELECT *, CASE WHEN lag(engine, 1, 0) OVER ({S._W_BLK}) <> engine THEN 1 ELSE 0 END AS ds
+FROM blocks)))))""", "blocks"))
+def d9_detect_anomalies_first(spark, sf):
+    return D.detect_anomalies_first(S.blocks(spark, sf), S.SEP, _D9_TH, S.ENGINES)
+
+
+_D10_MIN, _D10_TH = 720, 1
+
+
+@register("d10_rolling_switch_anomaly", sql(f"""SELECT hwid, "when", strftime(day, '%Y-%m-%d') AS day, engine, switch_engine,
+  change_count_engine, change_count_engine > {_D10_TH} AS engine_anomaly
+FROM (SELECT *, CAST(sum(switch_engine) OVER (PARTITION BY hwid, day ORDER BY "when"
+        RANGE BETWEEN {_D10_MIN * 60} PRECEDING AND CURRENT ROW) AS BIGINT) AS change_count_engine
+FROM (SELECT hwid, "when", day, engine,
+        CASE WHEN lag(engine) OVER (PARTITION BY hwid, day ORDER BY "when") <> engine THEN 1 ELSE 0 END AS switch_engine
+      FROM (SELECT *, CAST(make_timestamp("when" * 1000000) AS DATE) AS day FROM grid)))""", "grid"))
+def d10_rolling_switch_anomaly(spark, sf):
+    x = D.rolling_switch_anomaly(S.grid(spark, sf), S.ENGINES, _D10_MIN, _D10_TH)
+    return x.select("hwid", "when", F.date_format("day", "yyyy-MM-dd").alias("day"), "engine",
+                    "switch_engine", "change_count_engine", "engine_anomaly")
+
+
+@register("d11_blocks_with_anomaly", sql("""SELECT DISTINCT hwid, BlockID FROM anomalies
+WHERE flag_engine""", "anomalies"))
+def d11_blocks_with_anomaly(spark, sf):
+    return D.blocks_with_anomaly(S.anomalies(spark, sf), "engine")
+
+
+# ------------------------------------------------------------- J: joins
+
+from vigil.operators import alarms as M  # noqa: E402
+
+
+@register("j2_attach_flag_join", sql("""SELECT hwid, "when", BlockID, overheating FROM final""", "final"))
+def j2_attach_flag_join(spark, sf):
+    b = S.blocks(spark, sf)
+    alarms = M.extract_alarms(b.select("hwid", "when", "A5", "A9"))
+    out = M.attach_flag(b.select("hwid", "when", "BlockID"), alarms, "overheating")
+    return out
+
+
+@register("j3_join_multi_key", sql("""SELECT b.hwid, b."when", b.BlockID, b.engine, b.click, a.flag_anomaly
+FROM blocks b LEFT JOIN anomalies a ON b.hwid = a.hwid AND b."when" = a."when"
+  AND b.BlockID = a.BlockID AND b.engine = a.engine""", "blocks", "anomalies"))
+def j3_join_multi_key(spark, sf):
+    b = S.blocks(spark, sf).select("hwid", "when", "BlockID", "engine", "click")
+    a = S.anomalies(spark, sf).select("hwid", "when", "BlockID", "engine", "flag_anomaly")
+    return b.join(a, ["hwid", "when", "BlockID", "engine"], "left")
+
+
+@register("j5_semi_join", sql("""SELECT hwid, "when", BlockID, flag_anomaly FROM final f
+WHERE EXISTS (SELECT 1 FROM final g WHERE g.hwid = f.hwid AND g.BlockID = f.BlockID
+              GROUP BY g.hwid, g.BlockID HAVING max(g.flag_anomaly) = 1)""", "final"))
+def j5_semi_join(spark, sf):
+    f = S.final(spark, sf)
+    blocks = A.anomalous_blocks(f)
+    return f.select("hwid", "when", "BlockID", "flag_anomaly").join(blocks, ["hwid", "BlockID"],
+                                                                    "left_semi")
+
+
+@register("j10_first_event_per_block", sql("""SELECT hwid, "when", BlockID, overheating,
+  min(CASE WHEN overheating = 1 THEN "when" END) OVER (PARTITION BY hwid, BlockID) AS first_event,
+  count(*) OVER (PARTITION BY hwid, BlockID) AS block_rows
+FROM final""", "final"))
+def j10_first_event_per_block(spark, sf):
+    f = S.final(spark, sf)
+    w = Window.partitionBy("hwid", "BlockID")
+    return f.select("hwid", "when", "BlockID", "overheating",
+                    F.min(F.when(F.col("overheating") == 1, F.col("when"))).over(w).alias("first_event"),
+                    F.count(F.lit(1)).over(w).alias("block_rows"))
+
+
+# ------------------------------------------------------ Z: set operators
+
+from vigil.operators import setops as Z  # noqa: E402
+
+
+@register("z1_union_by_name", sql("""SELECT hwid, "when", 'grid' AS src FROM grid
+UNION ALL SELECT hwid, "when", 'raw' AS src FROM wide""", "grid", "wide"))
+def z1_union_by_name(spark, sf):
+    g = S.grid(spark, sf).select("hwid", "when", F.lit("grid").alias("src"))
+    w = S.wide(spark, sf).select(F.lit("raw").alias("src"), "when", "hwid")
+    return Z.union_by_name(g, w)
+
+
+@register("z1_union_by_position", sql("""SELECT hwid, "when" FROM grid UNION ALL SELECT hwid, "when" FROM wide""",
+                                      "grid", "wide"))
+def z1_union_by_position(spark, sf):
+    return Z.union_by_position(S.grid(spark, sf).select("hwid", "when"),
+                               S.wide(spark, sf).select("hwid", "when"))
+
+
+@register("z2_subtract", sql("""SELECT hwid, BlockID FROM blocks EXCEPT
+SELECT hwid, BlockID FROM anomalies WHERE flag_engine""", "blocks", "anomalies"))
+def z2_subtract(spark, sf):
+    return Z.subtract(S.blocks(spark, sf).select("hwid", "BlockID"),
+                      S.anomalies(spark, sf).where("flag_engine").select("hwid", "BlockID"))
+
+
+@register("z3_distinct", sql("SELECT DISTINCT hwid, engine FROM grid", "grid"))
+def z3_distinct(spark, sf):
+    return Z.distinct(S.grid(spark, sf), ["hwid", "engine"])
+
+
+@register("z4_sort", sql("""SELECT hwid, "when", view FROM grid
+ORDER BY hwid DESC, view * -1 ASC NULLS LAST, "when\"""", "grid"))
+def z4_sort(spark, sf):
+    g = S.grid(spark, sf).select("hwid", "when", "view")
+    return Z.sort(g, F.col("hwid").desc(), (F.col("view") * -1).asc_nulls_last(), "when")
+
+
+@register("z5_limit_last", sql("""SELECT hwid, "when" FROM grid ORDER BY "when" DESC, hwid DESC LIMIT 7""",
+                               "grid"))
+def z5_limit_last(spark, sf):
+    return Z.first_n(S.grid(spark, sf).select("hwid", "when"), 7, "when", "hwid", last=True)
+
+
+@register("z6_top_gaps", sql(f"""SELECT hwid, time_diff, count, rank_small, rank_large,
+  CASE WHEN rank_small <= 3 THEN 'smallest' ELSE 'largest' END AS side
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY hwid ORDER BY time_diff) AS INTEGER) AS rank_small,
+        CAST(row_number() OVER (PARTITION BY hwid ORDER BY time_diff DESC) AS INTEGER) AS rank_large
+      FROM ({_A6}))
+WHERE rank_small <= 3 OR rank_large <= 3""", "wide"))
+def z6_top_gaps(spark, sf):
+    return Z.top_gaps(A.time_gap_frequency(S.wide(spark, sf)), 3)
