@@ -148,12 +148,13 @@ def stump_threshold(df: DataFrame, feature: str, target: str) -> float:
 def threshold_rules(df: DataFrame, thresholds: dict) -> DataFrame:
     """``prediction`` = 1 if any feature is over its threshold;
     ``score`` = number of rules that hold."""
-    hits = [F.coalesce((F.col(c) > t).cast("int"), F.lit(0)) for c, t in thresholds.items()]
+    hits = [F.coalesce((F.col(c).cast("double") > float(t)).cast("int"), F.lit(0))
+            for c, t in thresholds.items()]
     score = hits[0]
     for h in hits[1:]:
         score = score + h
-    return df.withColumns({"score": score,
-                           "prediction": F.when(score > 0, 1.0).otherwise(0.0)})
+    return df.withColumns({"score": score.cast("double"),
+                           "prediction": F.when(score > 0, 1).otherwise(0)})
 
 
 def linear_score(df: DataFrame, intercept: float, coefs: dict, means: dict | None = None,
@@ -165,8 +166,9 @@ def linear_score(df: DataFrame, intercept: float, coefs: dict, means: dict | Non
         x = F.col(c).cast("double")
         if means is not None and stds is not None:
             sd = stds[c] if stds[c] != 0 else 1e-8
-            x = (x - F.lit(float(means[c]))) / F.lit(float(sd))
-        expr = expr + F.lit(float(w)) * x
+            expr = expr + (F.lit(float(w)) * (x - F.lit(float(means[c])))) / F.lit(float(sd))
+        else:
+            expr = expr + F.lit(float(w)) * x
     return df.withColumns({name: expr}).withColumn(
         f"{name}_prob", 1.0 / (1.0 + F.exp(-F.col(name))))
 

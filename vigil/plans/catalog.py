@@ -791,3 +791,189 @@ FROM (SELECT *, CAST(row_number() OVER (PARTITION BY hwid ORDER BY time_diff) AS
 WHERE rank_small <= 3 OR rank_large <= 3""", "wide"))
 def z6_top_gaps(spark, sf):
     return Z.top_gaps(A.time_gap_frequency(S.wide(spark, sf)), 3)
+
+
+# ------------------------------------------------------ C: correlation
+
+from vigil.operators import correlation as C  # noqa: E402
+
+LI_COLS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@register("c1_covariance_matrix", sql(f"""SELECT col_i, col_j, cov FROM (
+  {' UNION ALL '.join(f"SELECT '{a}' AS col_i, '{b}' AS col_j, covar_samp({a}, {b}) AS cov FROM li"
+                      for a in LI_COLS for b in LI_COLS)})""".replace(
+    "FROM li", f"FROM (SELECT * FROM lineitem WHERE {' AND '.join(f'{c} IS NOT NULL' for c in LI_COLS)})")))
+def c1_covariance_matrix(spark, sf):
+    return C.covariance_matrix(X.load_table(spark, sf, "lineitem"), LI_COLS)
+
+
+def _rank_sql(src, cols, target):
+    feats = [c for c in cols if c != target]
+    where = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+    parts = " UNION ALL ".join(
+        f"SELECT '{c}' AS sensor, covar_samp({c}, {target}) / NULLIF(sqrt(var_samp({c})) * sqrt(var_samp({target})), 0) AS correlation FROM x"
+        for c in feats)
+    return (f"SELECT sensor, correlation, abs(correlation) AS abs_corr FROM ({parts.replace('FROM x', f'FROM (SELECT * FROM {src} WHERE {where})')}) "
+            f"WHERE correlation IS NOT NULL AND NOT isnan(correlation) AND NOT isinf(correlation)")
+
+
+@register("c2_correlation_ranking", sql(_rank_sql("lineitem", LI_COLS, "l_extendedprice")))
+def c2_correlation_ranking(spark, sf):
+    return C.correlation_ranking(X.load_table(spark, sf, "lineitem"), LI_COLS, "l_extendedprice")
+
+
+def _pair_sql(src, feats, target, group=None):
+    exprs = []
+    for s in feats:
+        b = f"CASE WHEN {s} IS NOT NULL AND {target} IS NOT NULL"
+        vs, ts = f"{b} THEN CAST({s} AS DOUBLE) END", f"{b} THEN CAST({target} AS DOUBLE) END"
+        exprs.append((s, f"covar_samp({vs}, {ts}) / NULLIF(stddev_samp({vs}) * stddev_samp({ts}), 0)"))
+    if group:
+        return f"SELECT {group}, " + ", ".join(f"{e} AS corr_{s}" for s, e in exprs) + \
+            f" FROM {src} GROUP BY {group}"
+    parts = " UNION ALL ".join(
+        f"SELECT '{s}' AS sensor, COALESCE(CASE WHEN isnan({e}) THEN NULL ELSE {e} END, 0.0) AS correlation FROM {src}"
+        for s, e in exprs)
+    return f"SELECT sensor, correlation, abs(correlation) AS abs_corr FROM ({parts})"
+
+
+@register("c3_pairwise_correlation", sql(_pair_sql("final", [*S.SENSORS, "engine"], "flag_anomaly"),
+                                         "final"))
+def c3_pairwise_correlation(spark, sf):
+    return C.pairwise_correlation(S.final(spark, sf), [*S.SENSORS, "engine"], "flag_anomaly")
+
+
+@register("c5_correlation_by_device", sql(_pair_sql("final", [*S.SENSORS, "engine"], "flag_anomaly",
+                                                    group="hwid"), "final"))
+def c5_correlation_by_device(spark, sf):
+    return C.correlation_by_device(S.final(spark, sf), [*S.SENSORS, "engine"], "flag_anomaly")
+
+
+@register("c6_overlap_area", sql("""WITH x AS (SELECT CAST(view AS DOUBLE) AS x, CAST(flag_anomaly AS INTEGER) AS y
+  FROM final WHERE view IS NOT NULL AND flag_anomaly IN (0, 1)),
+b AS (SELECT min(x) AS lo, max(x) AS hi, count(CASE WHEN y = 0 THEN 1 END) AS n0,
+             count(CASE WHEN y = 1 THEN 1 END) AS n1 FROM x)
+SELECT 'view' AS sensor, sum(least(c0 / (n0 * w), c1 / (n1 * w))) * w * 100 AS overlap_pct
+FROM (SELECT bin, count(CASE WHEN y = 0 THEN 1 END) AS c0, count(CASE WHEN y = 1 THEN 1 END) AS c1
+      FROM (SELECT y, CAST(least(greatest(floor((x - lo) / ((hi - lo) / 50)), 0), 49) AS INTEGER) AS bin
+            FROM x, b) GROUP BY bin), (SELECT n0, n1, (hi - lo) / 50 AS w FROM b)
+GROUP BY w""", "final"))
+def c6_overlap_area(spark, sf):
+    return C.overlap_area(S.final(spark, sf), "view", "flag_anomaly", 50)
+
+
+@register("c8_load_temperature", sql("""SELECT l_quantity, count(l_extendedprice) AS count,
+  avg(l_extendedprice) AS avg_temperature, stddev_samp(l_extendedprice) AS std_temperature
+FROM lineitem WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL GROUP BY l_quantity
+HAVING count(l_extendedprice) > 300 OR l_quantity = 100"""))
+def c8_load_temperature(spark, sf):
+    return C.load_temperature(X.load_table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice")
+
+
+@register("c9_hist2d", sql("""WITH x AS (SELECT CAST(l_quantity AS DOUBLE) AS l, l_tax * 100 AS t FROM lineitem
+  WHERE l_quantity IS NOT NULL AND l_tax IS NOT NULL),
+b AS (SELECT min(t) - 1 - 0.5 AS t0, max(t) + 1 + 0.5 AS t1 FROM x)
+SELECT load_bin, temp_bin, count(*) AS count FROM (
+  SELECT CAST(floor((l - (-3.0)) / 4) AS BIGINT) AS load_bin, CAST(floor((t - t0) / 1) AS BIGINT) AS temp_bin,
+         CAST(ceil((t1 - t0) / 1) AS BIGINT) - 1 AS n_t
+  FROM x, b)
+WHERE load_bin BETWEEN 0 AND 25 AND temp_bin BETWEEN 0 AND n_t - 1
+GROUP BY load_bin, temp_bin"""))
+def c9_hist2d(spark, sf):
+    li = X.load_table(spark, sf, "lineitem").withColumn("tax_pct", F.col("l_tax") * 100)
+    return C.hist2d(li, "l_quantity", "tax_pct")
+
+
+@register("c10_top_levels", sql("""WITH top AS (SELECT l_quantity FROM lineitem
+  WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL
+  GROUP BY l_quantity ORDER BY count(*) DESC, l_quantity ASC LIMIT 3),
+b AS (SELECT l_quantity, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi,
+        CAST(greatest(floor(max(l_extendedprice) - min(l_extendedprice)) * 2, 1) AS INTEGER) AS n_bins
+      FROM lineitem WHERE l_quantity IN (SELECT l_quantity FROM top) AND l_extendedprice IS NOT NULL
+      GROUP BY l_quantity)
+SELECT l_quantity, bin, lo + bin * ((hi - lo) / n_bins) AS bin_lo, count(*) AS count FROM (
+  SELECT b.l_quantity, lo, hi, n_bins, CAST(CASE WHEN hi = lo THEN 0
+    ELSE least(floor((l.l_extendedprice - lo) / ((hi - lo) / n_bins)), n_bins - 1) END AS INTEGER) AS bin
+  FROM lineitem l JOIN b ON l.l_quantity = b.l_quantity WHERE l.l_extendedprice IS NOT NULL)
+GROUP BY l_quantity, n_bins, lo, hi, bin"""))
+def c10_top_levels(spark, sf):
+    return C.top_levels(X.load_table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice", 3)
+
+
+@register("c11_load_temp_correlation", sql(_pair_sql("lineitem", ["l_quantity", "l_discount", "l_tax"],
+                                                     "l_extendedprice")))
+def c11_load_temp_correlation(spark, sf):
+    return C.pairwise_correlation(X.load_table(spark, sf, "lineitem"),
+                                  ["l_quantity", "l_discount", "l_tax"], "l_extendedprice")
+
+
+@register("c12_pca")
+def c12_pca(spark, sf):
+    table, _ = C.pca(X.load_table(spark, sf, "lineitem"), LI_COLS)
+    return table
+
+
+_C13_MIN = 3
+
+
+@register("c13_auc_by_block_sensor", sql(f"""WITH fb AS (SELECT hwid, BlockID FROM final GROUP BY hwid, BlockID
+  HAVING max(flag_anomaly) = 1),
+long AS (SELECT hwid, BlockID, CAST(flag_anomaly AS INTEGER) AS y, sensor, v
+  FROM (SELECT * FROM final WHERE EXISTS (SELECT 1 FROM fb WHERE fb.hwid = final.hwid
+                                         AND fb.BlockID = final.BlockID))
+  UNPIVOT (v FOR sensor IN ({', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in S.SENSORS)}))),
+r AS (SELECT *, rank() OVER (PARTITION BY hwid, BlockID, sensor ORDER BY v)
+        + (count(*) OVER (PARTITION BY hwid, BlockID, sensor, v) - 1) / 2.0 AS rk FROM long),
+g AS (SELECT hwid, BlockID, sensor, count(DISTINCT v) AS nd, sum(CASE WHEN y = 1 THEN rk END) AS rsum,
+        count(CASE WHEN y = 1 THEN 1 END) AS n1, count(CASE WHEN y = 0 THEN 1 END) AS n0
+      FROM r GROUP BY hwid, BlockID, sensor)
+SELECT hwid, BlockID, sensor, (CAST(rsum AS DOUBLE) - CAST(n1 * (n1 + 1) AS DOUBLE) / 2) / CAST(n1 * n0 AS DOUBLE) AS roc_auc
+FROM g WHERE nd > {_C13_MIN} AND n1 > 0 AND n0 > 0""", "final"))
+def c13_auc_by_block_sensor(spark, sf):
+    return C.auc_by_block_sensor(S.final(spark, sf), S.SENSORS, "flag_anomaly", _C13_MIN)
+
+
+def _docs(spark, sf):
+    d = X.load_table(spark, sf, "documents").select("doc_id", "n_chars")
+    return d.join(X.load_table(spark, sf, "labels"), "doc_id")
+
+
+_DOCS_SQL = "(SELECT d.doc_id, d.n_chars, l.quality, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"
+
+
+@register("c14_roc_curve", sql(f"""WITH per AS (SELECT CAST(n_chars AS DOUBLE) AS s,
+    count(CASE WHEN quality = 1 THEN 1 END) AS tp_d, count(CASE WHEN quality = 0 THEN 1 END) AS fp_d
+  FROM {_DOCS_SQL} WHERE n_chars IS NOT NULL AND quality IS NOT NULL GROUP BY 1)
+SELECT s AS threshold,
+  CAST(sum(tp_d) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS DOUBLE) / (SELECT sum(tp_d) FROM per) AS tpr,
+  CAST(sum(fp_d) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS DOUBLE) / (SELECT sum(fp_d) FROM per) AS fpr
+FROM per"""))
+def c14_roc_curve(spark, sf):
+    return C.roc_curve(_docs(spark, sf), "quality", "n_chars")
+
+
+@register("c15_mutual_information", sql(f"""WITH long AS (SELECT hwid, BlockID, CAST(flag_anomaly AS INTEGER) AS y, sensor, v
+  FROM final UNPIVOT (v FOR sensor IN ({', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in S.SENSORS)}))
+  WHERE flag_anomaly IS NOT NULL),
+b AS (SELECT hwid, BlockID, sensor, min(v) AS lo, max(v) AS hi, count(*) AS n FROM long GROUP BY 1, 2, 3),
+cell AS (SELECT l.hwid, l.BlockID, l.sensor, n, y,
+    CAST(CASE WHEN hi = lo THEN 0 ELSE least(greatest(floor((v - lo) / ((hi - lo) / 10)), 0), 9) END AS INTEGER) AS bin,
+    count(*) AS nxy
+  FROM long l JOIN b ON l.hwid = b.hwid AND l.BlockID = b.BlockID AND l.sensor = b.sensor
+  GROUP BY l.hwid, l.BlockID, l.sensor, n, y, bin),
+c2 AS (SELECT *, sum(nxy) OVER (PARTITION BY hwid, BlockID, sensor, bin) AS nx,
+              sum(nxy) OVER (PARTITION BY hwid, BlockID, sensor, y) AS ny FROM cell)
+SELECT hwid, BlockID, sensor, sum((CAST(nxy AS DOUBLE) / n) * ln(nxy * n / (nx * ny))) AS mutual_info
+FROM c2 GROUP BY hwid, BlockID, sensor""", "final"))
+def c15_mutual_information(spark, sf):
+    return C.mutual_information(S.final(spark, sf), S.SENSORS, "flag_anomaly", 10)
+
+
+@register("c16_top_bottom", sql(f"""(SELECT *, 'top' AS side FROM ({_pair_sql('final', [*S.SENSORS, 'engine'], 'flag_anomaly')})
+  ORDER BY abs_corr DESC, sensor LIMIT 2)
+UNION ALL (SELECT *, 'bottom' AS side FROM ({_pair_sql('final', [*S.SENSORS, 'engine'], 'flag_anomaly')})
+  ORDER BY abs_corr ASC, sensor LIMIT 2)""", "final"))
+def c16_top_bottom(spark, sf):
+    r = C.pairwise_correlation(S.final(spark, sf), [*S.SENSORS, "engine"], "flag_anomaly")
+    return C.top_bottom(r, 2)

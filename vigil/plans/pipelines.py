@@ -1,0 +1,85 @@
+"""Composite pipelines (Q1-Q3): the reference's chain end to end.
+
+Each returns lazy DataFrames; only the constant-column test reads one row
+of column statistics on the driver.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from vigil.config import Roles, Settings
+from vigil.functions.scalar import scale_decimals
+from vigil.operators.aggregates import constant_columns
+from vigil.operators.alarms import add_predictive, add_rolling_features, attach_overheating
+from vigil.operators.anomaly import detect_anomalies
+from vigil.operators.blocks import build_blocks, event_blocks
+from vigil.operators.correlation import pairwise_correlation
+from vigil.operators.grid import create_grid, pivot_metrics
+from vigil.operators.learn import probability_trend, run_model, undersample
+from vigil.operators.nulls import fill_nearest
+
+
+def prepare(readings: DataFrame, roles: Roles, settings: Settings,
+            decimals: dict | None = None, binary=None, fill_cols=None,
+            drop_constant: bool = True) -> DataFrame:
+    """Q1: readings -> pivot -> scale -> grid -> blocks -> nearest fill ->
+    drop constant sensors.
+
+    Shuffles: one for the pivot (partial aggregation first), one for the
+    grid, one for the blocks (by device / time slice) and one for the fill
+    (by device, block); the fill's window reuses nothing from the block
+    window because the key changes from device to (device, block)."""
+    metrics = list(roles.all_metrics)
+    wide = pivot_metrics(readings, metrics)
+    wide = wide.withColumns({a: F.col(a).cast("int") for a in roles.alarms})
+    if decimals:
+        wide = scale_decimals(wide, decimals)
+    grid = create_grid(wide, settings.grid_interval, alarms=roles.alarms, binary=binary,
+                       metrics=metrics)
+    blocks = build_blocks(grid, settings.block_gap, split_seconds=settings.split_seconds)
+    fill_cols = list(fill_cols) if fill_cols is not None else [*roles.sensors, *roles.engines]
+    filled = fill_nearest(blocks, fill_cols, settings.fill_gap)
+    if not drop_constant:
+        return filled
+    const = constant_columns(filled, roles.sensors).where("is_constant").select("sensor")
+    useless = [r["sensor"] for r in const.collect()]  # at most one row per sensor
+    return filled.drop(*useless)
+
+
+def anomaly_report(blocks: DataFrame, roles: Roles, settings: Settings):
+    """Q2: anomalies on the blocks, the joint flag attached, and the
+    sensors ranked by correlation with it.  Returns (rows, ranking)."""
+    flagged = detect_anomalies(blocks, settings.switch_separator, settings.switch_threshold,
+                               roles.engines, debug=True)
+    keep = blocks.columns + [f"flag_{e}" for e in roles.engines] + ["flag_anomaly"]
+    rows = flagged.select(*keep)
+    ranking = pairwise_correlation(rows, list(roles.sensors), "flag_anomaly")
+    return rows, ranking
+
+
+def maintenance_frame(rows: DataFrame, roles: Roles, settings: Settings,
+                      features=None) -> DataFrame:
+    """Q3 (data part): overheating flag, look-ahead label, event blocks and
+    rolling features."""
+    x = attach_overheating(rows)
+    x = add_predictive(x, "overheating", settings.lookahead_minutes)
+    x = event_blocks(x, "overheating", settings.min_heat_block)
+    features = list(features) if features is not None else list(roles.engines)
+    return add_rolling_features(x, features, settings.rolling_minutes)
+
+
+def maintenance_report(frame: DataFrame, features, show: float, moving: float,
+                       score: str | None = None, model: str | None = "rf",
+                       **model_kw) -> DataFrame:
+    """Q3 (report part): the mean probability trend before an event.
+
+    With ``score`` the trend is taken of that column; otherwise a classifier
+    (``model``) is fit on the undersampled frame and its class-1 probability
+    is used."""
+    if score is not None:
+        return probability_trend(frame.withColumn("ProbOverheating", F.col(score)), show, moving)
+    data = undersample(frame, "predictive_overheating")
+    _, _, preds = run_model(data, features, "predictive_overheating", model, **model_kw)
+    return probability_trend(preds, show, moving)

@@ -215,4 +215,8 @@ def sql(select: str, *needed: str) -> str:
     if not order:
         return select
     parts = [f"{n} AS (\n{CTES[n][0]}\n)" for n in order]
+    head = select.lstrip()
+    if head[:5].upper() == "WITH ":
+        # the query's own CTEs follow the shared ones
+        return "WITH " + ",\n".join(parts) + ",\n" + head[5:]
     return "WITH " + ",\n".join(parts) + "\n" + select
