@@ -97,6 +97,7 @@ def run_model(df: DataFrame, cols, label: str, algo: str = "rf", weight_class1:
     from pyspark.ml import Pipeline
     if algo not in _ALGOS:
         raise ValueError(f"Unsupported algorithm: {algo}")
+    from vigil.session import cut_lineage
     data = df.na.drop(subset=list(cols) + [label])
     train, test = train_test_split(data, share, seed, keys)
     weight = None
@@ -105,6 +106,10 @@ def run_model(df: DataFrame, cols, label: str, algo: str = "rf", weight_class1:
     else:
         train = class_weights(train, label, weight_class1)
         weight = "weight"
+    # Iterative fits scan the training set many times: write it once to the
+    # shared checkpoint folder so each pass reads it instead of recomputing
+    # the whole chain (and a lost executor does not restart the lineage).
+    train = cut_lineage(train.select(*cols, label, *([weight] if weight else [])))
     pipe = Pipeline(stages=[*assembler_stages(cols, scaler),
                             build_model(algo, label, weight, seed, **model_kw)])
     model = pipe.fit(train)
@@ -133,7 +138,8 @@ def stump_threshold(df: DataFrame, feature: str, target: str) -> float:
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import DecisionTreeClassifier
     from pyspark.ml.feature import VectorAssembler
-    data = df.select(feature, target).na.drop()
+    from vigil.session import cut_lineage
+    data = cut_lineage(df.select(feature, target).na.drop())
     pipe = Pipeline(stages=[VectorAssembler(inputCols=[feature], outputCol="features"),
                             DecisionTreeClassifier(maxDepth=1, labelCol=target)])
     tree = pipe.fit(data).stages[-1]

@@ -977,3 +977,342 @@ UNION ALL (SELECT *, 'bottom' AS side FROM ({_pair_sql('final', [*S.SENSORS, 'en
 def c16_top_bottom(spark, sf):
     r = C.pairwise_correlation(S.final(spark, sf), [*S.SENSORS, "engine"], "flag_anomaly")
     return C.top_bottom(r, 2)
+
+
+# -------------------------------------------------- M: alarms and labels
+
+def _bit_sql(word, b):
+    return f'CAST(({word} & {1 << (b - 1)}) > 0 AS INTEGER)'
+
+
+_BITS8 = range(1, 9)
+
+
+@register("m1_alarm_bits", sql(f"""SELECT hwid, "when", A5, A9, {', '.join(
+    f'{_bit_sql(w, b)} AS "{b}-{w}"' for w in S.ALARMS for b in _BITS8)} FROM grid""", "grid"))
+def m1_alarm_bits(spark, sf):
+    return M.alarm_bits(S.grid(spark, sf).select("hwid", "when", "A5", "A9"), S.ALARMS, _BITS8)
+
+
+_B678 = (6, 7, 8)
+_OVER = " OR ".join(f"{_bit_sql(w, b)} = 1" for w in S.ALARMS for b in _B678)
+
+
+@register("m2_extract_alarms", sql(f"""SELECT hwid, "when", A5, A9, {', '.join(
+    f'{_bit_sql(w, b)} AS "{b}-{w}"' for w in S.ALARMS for b in _B678)},
+  CASE WHEN {_OVER} THEN 1 ELSE 0 END AS overheating
+FROM grid WHERE A5 IS NOT NULL OR A9 IS NOT NULL""", "grid"))
+def m2_extract_alarms(spark, sf):
+    return M.extract_alarms(S.grid(spark, sf).select("hwid", "when", "A5", "A9"))
+
+
+@register("m3_extract_alarms_sum", sql(f"""SELECT hwid, "when", A5, A9, {', '.join(
+    f'{_bit_sql(w, b)} AS "{b}-{w}"' for w in S.ALARMS for b in (8, 7, 6))},
+  CASE WHEN {' + '.join(_bit_sql(w, b) for w in S.ALARMS for b in (8, 7, 6))} > 0 THEN 1 ELSE 0 END AS overheating
+FROM grid""", "grid"))
+def m3_extract_alarms_sum(spark, sf):
+    return M.extract_alarms_sum(S.grid(spark, sf).select("hwid", "when", "A5", "A9"))
+
+
+@register("m4_extract_alarms_fill", sql(f"""SELECT hwid, "when", A5, A9, {', '.join(
+    f'COALESCE({_bit_sql(w, b)}, 0) AS "{b}-{w}"' for w in S.ALARMS for b in _B678)},
+  CASE WHEN {_OVER} THEN 1 ELSE 0 END AS overheating FROM grid""", "grid"))
+def m4_extract_alarms_fill(spark, sf):
+    return M.extract_alarms(S.grid(spark, sf).select("hwid", "when", "A5", "A9"), fill_null=True)
+
+
+@register("m5_attach_overheating", sql("""SELECT hwid, "when", BlockID, A5, A9, overheating FROM final""",
+                                       "final"))
+def m5_attach_overheating(spark, sf):
+    return S.final(spark, sf).select("hwid", "when", "BlockID", "A5", "A9", "overheating")
+
+
+@register("m6_add_predictive", sql("""SELECT hwid, "when", BlockID, overheating, predictive_overheating
+FROM predicted""", "predicted"))
+def m6_add_predictive(spark, sf):
+    return S.predicted(spark, sf).select("hwid", "when", "BlockID", "overheating",
+                                         "predictive_overheating")
+
+
+@register("m6_add_predictive_anomaly", sql(f"""SELECT hwid, "when", BlockID, flag_anomaly,
+  CASE WHEN ns IS NOT NULL AND (flag_anomaly IS NULL OR flag_anomaly = 0)
+        AND ns - "when" > 0 AND ns - "when" <= {S.LOOK} THEN 1 ELSE 0 END AS predictive_flag_anomaly
+FROM (SELECT *, first(CASE WHEN st = 1 THEN "when" END IGNORE NULLS)
+        OVER ({S._W_BLK} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ns
+      FROM (SELECT *, CASE WHEN flag_anomaly = 1 AND (lag(flag_anomaly) OVER ({S._W_BLK}) <> 1
+              OR lag(flag_anomaly) OVER ({S._W_BLK}) IS NULL) THEN 1 ELSE 0 END AS st FROM final))""",
+                                           "final"))
+def m6_add_predictive_anomaly(spark, sf):
+    x = M.add_predictive(S.final(spark, sf), "flag_anomaly", S.EVENTS.lookahead_minutes)
+    return x.select("hwid", "when", "BlockID", "flag_anomaly", "predictive_flag_anomaly")
+
+
+_M7_PREV, _M7_POST = 2 * 86400, 6 * 3600
+
+
+@register("m7_event_aligned_by_position", sql(f"""SELECT hwid, BlockID, "when", engine, view, overheating,
+  CAST(naive_order - min(CASE WHEN overheating = 1 THEN naive_order END)
+       OVER (PARTITION BY hwid, BlockID) AS INTEGER) AS "order"
+FROM (SELECT *, row_number() OVER ({S._W_BLK}) - 1 AS naive_order FROM (
+  SELECT hwid, BlockID, "when", engine, view, overheating,
+    count(CASE WHEN overheating = 1 THEN 1 END) OVER ({S._W_BLK}
+      RANGE BETWEEN {_M7_POST} PRECEDING AND {_M7_PREV} FOLLOWING) AS c FROM final) WHERE c > 0)""",
+                                              "final"))
+def m7_event_aligned_by_position(spark, sf):
+    return M.event_aligned_by_position(S.final(spark, sf), ["engine", "view"], "overheating",
+                                       _M7_PREV, _M7_POST)
+
+
+_M8_POST = 10 * 86400
+
+
+@register("m8_event_aligned_rate", sql(f"""SELECT sensor, relative_time, value,
+  CAST(occurrences AS DOUBLE) / sum(occurrences) OVER (PARTITION BY sensor, relative_time) AS rate
+FROM (SELECT 'engine' AS sensor, relative_time, CAST(engine AS DOUBLE) AS value, count(*) AS occurrences
+      FROM (SELECT engine, "when" - min(CASE WHEN overheating = 1 THEN "when" END)
+                   OVER (PARTITION BY hwid, BlockID) AS relative_time FROM final)
+      WHERE relative_time < {_M8_POST} GROUP BY 1, 2, 3)""", "final"))
+def m8_event_aligned_rate(spark, sf):
+    return M.event_aligned_rate(S.final(spark, sf), ["engine"], "overheating", _M8_POST)
+
+
+_M9_DUR, _M9_ROLL = 4320, 720
+
+
+@register("m9_event_summary", sql(f"""SELECT MinToOverheating, {', '.join(
+    f'{s}_avg, {s}_std, {s}_n, avg({s}_avg) OVER (ORDER BY MinToOverheating RANGE BETWEEN {_M9_ROLL} PRECEDING AND CURRENT ROW) AS {s}_rolling, {s}_std / sqrt({s}_n) AS {s}_err'
+    for s in ('engine', 'view'))}
+FROM (SELECT MinToOverheating, {', '.join(f'avg({s}) AS {s}_avg, stddev_samp({s}) AS {s}_std, count({s}) AS {s}_n'
+                                          for s in ('engine', 'view'))}
+      FROM heat WHERE MinToOverheating <= {_M9_DUR} GROUP BY MinToOverheating)""", "heat"))
+def m9_event_summary(spark, sf):
+    return M.event_summary(S.heat(spark, sf), _M9_DUR, ["engine", "view"], _M9_ROLL)
+
+
+def _rolling_sql(src, cols, minutes):
+    parts = []
+    for c in cols:
+        r = f'avg({c}) OVER ({S._W_HEAT} RANGE BETWEEN {minutes * 60} PRECEDING AND CURRENT ROW)'
+        parts.append(f"{r} AS {c}_rolling")
+    inner = f"SELECT *, {', '.join(parts)} FROM {src}"
+    ders = ", ".join(
+        f'COALESCE(({c}_rolling - lag({c}_rolling) OVER ({S._W_HEAT})) / '
+        f'NULLIF("when" - lag("when") OVER ({S._W_HEAT}), 0), 0.0) AS {c}_rolling_derivative'
+        for c in cols)
+    return f"SELECT *, {ders} FROM ({inner})"
+
+
+_M10_MIN = 1440
+
+
+@register("m10_rolling_and_derivative", sql(f"""SELECT hwid, BlockHeat, "when", engine, engine_rolling,
+  engine_rolling_derivative FROM ({_rolling_sql('heat', ['engine'], _M10_MIN)})""", "heat"))
+def m10_rolling_and_derivative(spark, sf):
+    x = M.rolling_and_derivative(S.heat(spark, sf), "engine", _M10_MIN)
+    return x.select("hwid", "BlockHeat", "when", "engine", "engine_rolling",
+                    "engine_rolling_derivative")
+
+
+# ------------------------------------------------- L: learning and scores
+
+from vigil.operators import learn as L  # noqa: E402
+
+FEATURES = ("engine_rolling", "engine_rolling_derivative", "flag_anomaly_rolling",
+            "flag_anomaly_rolling_derivative")
+
+
+def _features(spark, sf):
+    return M.add_rolling_features(S.heat(spark, sf), ["engine", "flag_anomaly"], _M10_MIN)
+
+
+_KEYS_P = ["hwid", "when", "predictive_overheating"]
+
+
+@register("l1_undersample")
+def l1_undersample(spark, sf):
+    return L.undersample(S.predicted(spark, sf), "predictive_overheating", 0.25).select(*_KEYS_P)
+
+
+@register("l2_class_weights", sql("""SELECT hwid, "when", predictive_overheating,
+  CASE WHEN predictive_overheating = 1 THEN 8.0 ELSE 1.0 END AS weight FROM predicted""", "predicted"))
+def l2_class_weights(spark, sf):
+    return L.class_weights(S.predicted(spark, sf).select(*_KEYS_P), "predictive_overheating", 8)
+
+
+@register("l3_replicate_positive", sql("""SELECT f.hwid, f."when", f.overheating FROM final f,
+  range(CASE WHEN f.overheating = 1 THEN 3 ELSE 1 END) r""", "final"))
+def l3_replicate_positive(spark, sf):
+    return L.replicate_positive(S.final(spark, sf).select("hwid", "when", "overheating"),
+                                "overheating", 3)
+
+
+@register("l4_balanced_set")
+def l4_balanced_set(spark, sf):
+    return L.balanced_set(S.predicted(spark, sf).select(*_KEYS_P), "predictive_overheating", 0.73)
+
+
+@register("l5_train_test_split")
+def l5_train_test_split(spark, sf):
+    train, _ = L.train_test_split(S.predicted(spark, sf).select(*_KEYS_P), 0.8)
+    return train
+
+
+@register("l6_assemble_scale")
+def l6_assemble_scale(spark, sf):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    data = _features(spark, sf).na.drop(subset=list(FEATURES))
+    model = Pipeline(stages=L.assembler_stages(FEATURES, scaler=True)).fit(data)
+    return model.transform(data).select("hwid", "when",
+                                        vector_to_array("features").alias("scaled"))
+
+
+def _model_preds(spark, sf, algo, **kw):
+    data = L.undersample(_features(spark, sf), "predictive_overheating", 0.25)
+    model, _, preds = L.run_model(data, FEATURES, "predictive_overheating", algo, **kw)
+    cols = ["hwid", "when", "BlockHeat", "MinToOverheating", "predictive_overheating", "prediction"]
+    if "ProbOverheating" in preds.columns:
+        cols.append("ProbOverheating")
+    return model, preds.select(*cols)
+
+
+@register("l7_linear_svm")
+def l7_linear_svm(spark, sf):
+    return _model_preds(spark, sf, "svc", weight_class1=8, max_iter=100)[1]
+
+
+@register("l8_logistic_regression")
+def l8_logistic_regression(spark, sf):
+    return _model_preds(spark, sf, "lr", weight_class1=10)[1]
+
+
+@register("l9_l16_random_forest")
+def l9_l16_random_forest(spark, sf):
+    return _model_preds(spark, sf, "rf", weight_class1=10, n_trees=100, max_depth=10)[1]
+
+
+@register("l10_decision_stump")
+def l10_decision_stump(spark, sf):
+    thr = L.stump_threshold(_features(spark, sf), "engine_rolling", "predictive_overheating")
+    return spark.createDataFrame([("engine_rolling", float(thr))], "feature string, threshold double")
+
+
+@register("l15_run_model_test_part")
+def l15_run_model_test_part(spark, sf):
+    data = _features(spark, sf)
+    _, test, _ = L.run_model(data, FEATURES, "predictive_overheating", "lr")
+    return test.select("hwid", "when", "predictive_overheating", "prediction")
+
+
+@register("l17_importance_report")
+def l17_importance_report(spark, sf):
+    model, _ = _model_preds(spark, sf, "rf", n_trees=50, max_depth=6)
+    rows = L.importance_report(model, FEATURES, 4)
+    return spark.createDataFrame(rows, "sensor string, importance_pct double")
+
+
+_THR = {"n_chars": 5000, "toxic": 0}
+_DOC_COLS = ["doc_id", "n_chars", "quality", "toxic"]
+
+
+def _rules_sql():
+    hits = " + ".join(f"COALESCE(CAST(CAST({c} AS DOUBLE) > {float(t)} AS INTEGER), 0)"
+                      for c, t in _THR.items())
+    return (f"SELECT doc_id, n_chars, quality, toxic, CAST({hits} AS DOUBLE) AS score, "
+            f"CASE WHEN {hits} > 0 THEN 1 ELSE 0 END AS prediction FROM {_DOCS_SQL}")
+
+
+@register("l11_threshold_rules", sql(_rules_sql()))
+def l11_threshold_rules(spark, sf):
+    return L.threshold_rules(_docs(spark, sf).select(*_DOC_COLS), _THR)
+
+
+_LS = dict(intercept=-1.0, coefs={"n_chars": 0.8, "toxic": -0.5},
+           means={"n_chars": 2000.0, "toxic": 0.1}, stds={"n_chars": 1500.0, "toxic": 0.0})
+
+
+def _linear_sql():
+    e = f"{_LS['intercept']}"
+    for c, w in _LS["coefs"].items():
+        sd = _LS["stds"][c] if _LS["stds"][c] != 0 else 1e-8
+        e = f"({e} + ({w} * (CAST({c} AS DOUBLE) - {_LS['means'][c]})) / {sd})"
+    return e
+
+
+@register("l12_linear_score", sql(f"""SELECT doc_id, n_chars, quality, toxic, {_linear_sql()} AS score,
+  1.0 / (1.0 + exp(-{_linear_sql()})) AS score_prob FROM {_DOCS_SQL}"""))
+def l12_linear_score(spark, sf):
+    return L.linear_score(_docs(spark, sf).select(*_DOC_COLS), **_LS)
+
+
+@register("l13_confusion_matrix", sql(f"""SELECT
+  count(CASE WHEN quality = 0 AND prediction = 0 THEN 1 END) AS tn,
+  count(CASE WHEN quality = 0 AND prediction = 1 THEN 1 END) AS fp,
+  count(CASE WHEN quality = 1 AND prediction = 0 THEN 1 END) AS fn,
+  count(CASE WHEN quality = 1 AND prediction = 1 THEN 1 END) AS tp
+FROM ({_rules_sql()})"""))
+def l13_confusion_matrix(spark, sf):
+    return L.confusion_matrix(L.threshold_rules(_docs(spark, sf), _THR), "quality")
+
+
+@register("l14_metrics", sql(f"""WITH r AS ({_rules_sql()}),
+cm AS (SELECT count(CASE WHEN quality = 0 AND prediction = 0 THEN 1 END) AS tn,
+  count(CASE WHEN quality = 0 AND prediction = 1 THEN 1 END) AS fp,
+  count(CASE WHEN quality = 1 AND prediction = 0 THEN 1 END) AS fn,
+  count(CASE WHEN quality = 1 AND prediction = 1 THEN 1 END) AS tp FROM r),
+per AS (SELECT CAST(n_chars AS DOUBLE) AS s, count(CASE WHEN quality = 1 THEN 1 END) AS pos,
+  count(CASE WHEN quality = 0 THEN 1 END) AS neg FROM r
+  WHERE n_chars IS NOT NULL AND quality IS NOT NULL GROUP BY 1),
+c AS (SELECT *, sum(neg) OVER (ORDER BY s ROWS UNBOUNDED PRECEDING) AS neg_cum FROM per)
+SELECT CAST(tp + tn AS DOUBLE) / (tn + fp + fn + tp) AS accuracy,
+  COALESCE(CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0), 0.0) AS precision,
+  (SELECT sum(pos * (CAST(neg_cum - neg AS DOUBLE) + CAST(neg AS DOUBLE) / 2))
+          / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) FROM c) AS auc
+FROM cm"""))
+def l14_metrics(spark, sf):
+    return L.metrics(L.threshold_rules(_docs(spark, sf), _THR), "quality", "n_chars")
+
+
+_SHOW, _MOVE = 4320, 720
+
+
+def _scored_sql():
+    return (f"SELECT *, engine_rolling AS ProbOverheating FROM "
+            f"({_rolling_sql('heat', ['engine', 'flag_anomaly'], _M10_MIN)})")
+
+
+@register("l18_probability_trend", sql(f"""SELECT *, avg(AvgProb) OVER (ORDER BY MinToOverheating
+  RANGE BETWEEN CURRENT ROW AND {_MOVE} FOLLOWING) AS MovingAvg
+FROM (SELECT MinToOverheating, avg(ProbOverheating) AS AvgProb, stddev_samp(ProbOverheating) AS Std,
+        count(ProbOverheating) AS N, stddev_samp(ProbOverheating) / pow(count(ProbOverheating), 0.5) AS Err
+      FROM ({_scored_sql()}) GROUP BY MinToOverheating)
+WHERE MinToOverheating < {_SHOW}""", "heat"))
+def l18_probability_trend(spark, sf):
+    scored = _features(spark, sf).withColumn("ProbOverheating", F.col("engine_rolling"))
+    return L.probability_trend(scored, _SHOW, _MOVE)
+
+
+@register("l19_block_probability_trend", sql(f"""SELECT * FROM (
+  SELECT hwid, BlockHeat, MinToOverheating, ProbOverheating,
+    avg(ProbOverheating) OVER (PARTITION BY hwid, BlockHeat ORDER BY MinToOverheating
+      RANGE BETWEEN CURRENT ROW AND {_MOVE} FOLLOWING) AS MovingAvg
+  FROM ({_scored_sql()})) WHERE MinToOverheating < {_SHOW}""", "heat"))
+def l19_block_probability_trend(spark, sf):
+    scored = _features(spark, sf).withColumn("ProbOverheating", F.col("engine_rolling"))
+    return L.block_probability_trend(scored, _SHOW, _MOVE)
+
+
+@register("l20_score_separation", sql(f"""SELECT avg(CASE WHEN quality = 0 THEN score END) AS mean_0,
+  stddev_samp(CASE WHEN quality = 0 THEN score END) AS std_0,
+  avg(CASE WHEN quality = 1 THEN score END) AS mean_1,
+  stddev_samp(CASE WHEN quality = 1 THEN score END) AS std_1,
+  avg(CAST(CAST(score > 0 AS INTEGER) = quality AS DOUBLE)) AS accuracy_at_0,
+  avg(CASE WHEN quality = 1 THEN score END) - avg(CASE WHEN quality = 0 THEN score END) AS mean_diff
+FROM (SELECT quality, {_linear_sql()} AS score FROM {_DOCS_SQL})"""))
+def l20_score_separation(spark, sf):
+    return L.score_separation(L.linear_score(_docs(spark, sf), **_LS), "quality", "score")
+
+
+@register("l21_random_rows")
+def l21_random_rows(spark, sf):
+    return L.random_rows(S.final(spark, sf).select("hwid", "when", "BlockID", "flag_anomaly"), 10)
