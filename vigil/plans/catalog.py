@@ -1316,3 +1316,49 @@ def l20_score_separation(spark, sf):
 @register("l21_random_rows")
 def l21_random_rows(spark, sf):
     return L.random_rows(S.final(spark, sf).select("hwid", "when", "BlockID", "flag_anomaly"), 10)
+
+
+# ------------------------------------------------- Q: composite pipelines
+
+from vigil.config import Roles  # noqa: E402
+from vigil.plans import pipelines as Q  # noqa: E402
+
+ROLES = Roles(sensors=S.SENSORS, alarms=S.ALARMS, engines=S.ENGINES)
+_Q1_FILL = (*S.SENSORS, *S.ENGINES)
+_FILLED_Q1 = ", ".join(_fill_case(c, f'lead({c}) OVER ({S._W_BLK})', f'lag({c}) OVER ({S._W_BLK})')
+                       for c in _Q1_FILL)
+
+
+@register("q1_prepare", sql(f"""SELECT * FROM (
+  SELECT hwid, "when", window_start, window_end, A5, A9, Prev_TimeStamp, Next_TimeStamp, PrevDiff,
+    NextDiff, BlockID, {_FILLED_Q1} FROM blocks)
+WHERE {' AND '.join(f'{c} IS NOT NULL' for c in _Q1_FILL)}""", "blocks"))
+def q1_prepare(spark, sf):
+    out = Q.prepare(S.readings(spark, sf), ROLES, S.EVENTS, fill_cols=_Q1_FILL, drop_constant=False)
+    return _grid_out(out)
+
+
+@register("q2_anomaly_report", sql(_pair_sql("final", list(S.SENSORS), "flag_anomaly"), "final"))
+def q2_anomaly_report(spark, sf):
+    _, ranking = Q.anomaly_report(S.blocks(spark, sf), ROLES, S.EVENTS)
+    return ranking
+
+
+@register("q3_maintenance_report", sql(f"""SELECT *, avg(AvgProb) OVER (ORDER BY MinToOverheating
+  RANGE BETWEEN CURRENT ROW AND {_MOVE} FOLLOWING) AS MovingAvg
+FROM (SELECT MinToOverheating, avg(ProbOverheating) AS AvgProb, stddev_samp(ProbOverheating) AS Std,
+        count(ProbOverheating) AS N, stddev_samp(ProbOverheating) / pow(count(ProbOverheating), 0.5) AS Err
+      FROM ({_scored_sql()}) GROUP BY MinToOverheating)
+WHERE MinToOverheating < {_SHOW}""", "heat"))
+def q3_maintenance_report(spark, sf):
+    rows, _ = Q.anomaly_report(S.blocks(spark, sf), ROLES, S.EVENTS)
+    frame = Q.maintenance_frame(rows, ROLES, S.EVENTS, features=["engine", "flag_anomaly"])
+    return Q.maintenance_report(frame, FEATURES, _SHOW, _MOVE, score="engine_rolling")
+
+
+@register("q3_maintenance_model")
+def q3_maintenance_model(spark, sf):
+    rows, _ = Q.anomaly_report(S.blocks(spark, sf), ROLES, S.EVENTS)
+    frame = Q.maintenance_frame(rows, ROLES, S.EVENTS, features=["engine", "flag_anomaly"])
+    return Q.maintenance_report(frame, FEATURES, _SHOW, _MOVE, model="rf", n_trees=100,
+                                max_depth=10)
