@@ -82,20 +82,49 @@ def switch_columns(df: DataFrame, sensors, time_separator: int,
 
 def flag_groups(df: DataFrame, sensors, threshold: int, device_col: str = "hwid",
                 block_col: str = "BlockID", strict: bool = False,
-                require_switch: bool = False) -> DataFrame:
+                require_switch: bool = False, time_col: str = "when") -> DataFrame:
     """``flag_<s>`` is true on the rows of a switch group with at least
     ``threshold`` rows (``> threshold`` if ``strict``) and a positive id.
-    The group window (device, block, id) is a sub-clustering of (device,
-    block), so it reuses the existing partitioning (no new exchange)."""
+
+    ``count_<s>`` is the number of rows sharing the row's switch id in the
+    block (for rows with no id: the rows with no id).  Group members are
+    consecutive among the qualified rows in time order, so the size is
+    computed with frames on the same (device, block, time) ordering as the
+    rest of the chain: running count of group rows at the group's end minus
+    the one before its start.  No window is partitioned by the id, so the
+    chain keeps one exchange and one sort.
+    """
+    w = _w(device_col, block_col, time_col)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    after = w.rowsBetween(1, Window.unboundedFollowing)
     cols = {}
     for s in sensors:
         sid = F.col(f"switchID_{s}")
-        n = F.count(F.lit(1)).over(Window.partitionBy(device_col, block_col, sid))
+        member = sid.isNotNull()
+        cols[f"__cq_{s}"] = F.sum(member.cast("long")).over(upto)
+        cols[f"__nq_{s}"] = F.sum(member.cast("long")).over(whole)
+        cols[f"__n_{s}"] = F.count(F.lit(1)).over(whole)
+    x = df.withColumns(cols)
+    cols = {}
+    for s in sensors:
+        sid, cq = F.col(f"switchID_{s}"), F.col(f"__cq_{s}")
+        starts = F.col(f"startGroup_{s}") == 1
+        first_cq = F.last(F.when(starts, cq), ignorenulls=True).over(upto)
+        next_start_cq = F.first(F.when(starts, cq), ignorenulls=True).over(after)
+        last_cq = F.coalesce(next_start_cq - 1, F.col(f"__nq_{s}"))
+        n = F.when(sid.isNotNull(), last_cq - first_cq + 1).otherwise(
+            F.col(f"__n_{s}") - F.col(f"__nq_{s}"))
+        cols[f"count_{s}"] = n
+    x = x.withColumns(cols)
+    cols = {}
+    for s in sensors:
+        sid, n = F.col(f"switchID_{s}"), F.col(f"count_{s}")
         big = (n > threshold) if strict else (n >= threshold)
         cond = big & (F.col(f"didSwitch_{s}") == 1) if require_switch else big & (sid > 0)
-        cols[f"count_{s}"] = n
         cols[f"flag_{s}"] = F.coalesce(cond, F.lit(False))
-    return df.withColumns(cols)
+    x = x.withColumns(cols)
+    return x.drop(*[f"__{k}_{s}" for s in sensors for k in ("cq", "nq", "n")])
 
 
 def extend_flags(df: DataFrame, sensors, time_separator: int, device_col: str = "hwid",
@@ -135,7 +164,7 @@ def detect_anomalies(df: DataFrame, time_separator: int, threshold: int, sensors
     """D1..D6 for all engines.  ``debug`` keeps every helper column."""
     sensors = list(sensors)
     x = switch_columns(df, sensors, time_separator, device_col, block_col, time_col)
-    x = flag_groups(x, sensors, threshold, device_col, block_col)
+    x = flag_groups(x, sensors, threshold, device_col, block_col, time_col=time_col)
     x = extend_flags(x, sensors, time_separator, device_col, block_col, time_col)
     x = joint_flag(x, sensors)
     if debug:
@@ -154,7 +183,7 @@ def detect_anomalies_rows(df: DataFrame, time_separator: int, threshold: int, se
     rows = int(time_separator / 60)
     x = switch_columns(df, sensors, time_separator, device_col, block_col, time_col,
                        row_frames=rows)
-    x = flag_groups(x, sensors, threshold, device_col, block_col)
+    x = flag_groups(x, sensors, threshold, device_col, block_col, time_col=time_col)
     if extended:
         x = extend_flags(x, sensors, time_separator, device_col, block_col, time_col,
                          row_frames=rows)
@@ -174,7 +203,7 @@ def detect_anomalies_first(df: DataFrame, time_separator: int, threshold: int, s
     x = switch_columns(df, sensors, time_separator, device_col, block_col, time_col,
                        first_lag_default=0, qualify=False)
     x = flag_groups(x, sensors, threshold, device_col, block_col, strict=True,
-                    require_switch=True)
+                    require_switch=True, time_col=time_col)
     return x.select(device_col, block_col, time_col, *sensors,
                     *[f"flag_{s}" for s in sensors], *[f"count_{s}" for s in sensors])
 

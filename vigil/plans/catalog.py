@@ -312,9 +312,20 @@ def b1_build_blocks(spark, sf):
     return _grid_out(S.blocks(spark, sf))
 
 
-@register("b2_build_blocks_one_pass", sql(f"SELECT {BLOCK_SELECT} FROM blocks", "blocks"))
-def b2_build_blocks_one_pass(spark, sf):
-    return _grid_out(B.build_blocks(S.grid(spark, sf), S.GAP, split_seconds=None))
+@register("b1_build_blocks_sliced", sql(f"SELECT {BLOCK_SELECT} FROM blocks", "blocks"))
+def b1_build_blocks_sliced(spark, sf):
+    # the hot-device form: rows of a device cut into weekly slices
+    return _grid_out(B.build_blocks(S.grid(spark, sf), S.GAP, split_seconds=S.EVENTS.split_seconds))
+
+
+@register("b2_build_blocks_one_device", sql(f"""SELECT {BLOCK_SELECT} FROM blocks
+WHERE hwid = (SELECT max(hwid) FROM grid)""", "blocks"))
+def b2_build_blocks_one_device(spark, sf):
+    # B2: the same operator on one device's rows (the device key is kept);
+    # the device is picked from the data (the largest id).
+    g = S.grid(spark, sf)
+    top = g.agg(F.max("hwid").alias("hwid"))
+    return _grid_out(B.build_blocks(g.join(top, "hwid", "left_semi"), S.GAP))
 
 
 @register("b3_blocks_per_device", sql("""SELECT hwid, count(DISTINCT BlockID) AS n_blocks
