@@ -80,34 +80,36 @@ def event_blocks(df: DataFrame, event_col: str = "overheating",
     1, 2, .. per device without holes.  ``TimeOverheating`` is the block's
     last time and ``MinToOverheating = (TimeOverheating - when)/60``.
 
-    Block totals are computed once per block (a small table) and joined back
-    on (device, block); no global window and no driver round trip.
+    Only window expressions on the device partitioning: block totals are
+    frames over (device, block), which is a sub-clustering of the device
+    partitioning, so there is one exchange, no self-join and no second pass
+    over the input.  Rows per device are bounded by the grid resolution.
     """
     w = Window.partitionBy(device_col).orderBy(time_col)
+    whole_dev = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     prev_event = F.lag(event_col).over(w)
     x = df.withColumn("new_block_flag", F.when(prev_event == 1, 1).otherwise(0))
     x = x.withColumn("oldBlockHeat", F.sum("new_block_flag").over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) + 1)
-    per_block = x.groupBy(device_col, "oldBlockHeat").agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.max(time_col).alias("TimeOverheating"),
-        F.max_by(F.col(event_col), F.col(time_col)).alias("__last_event"),
-    )
-    wd = Window.partitionBy(device_col)
-    per_block = per_block.withColumn(
-        "__is_last", F.col("oldBlockHeat") == F.max("oldBlockHeat").over(wd))
-    keep = (per_block.where(
-        ~(F.col("__is_last") & ~F.coalesce(F.col("__last_event") == 1, F.lit(False)))
-        & (F.col("__n") >= min_block_length)))
-    keep = keep.withColumn("BlockHeat", F.row_number().over(
-        Window.partitionBy(device_col).orderBy("oldBlockHeat")).cast("long"))
-    out = x.join(keep.select(device_col, "oldBlockHeat", "BlockHeat", "TimeOverheating"),
-                 [device_col, "oldBlockHeat"], "inner")
-    out = out.withColumn("MinToOverheating",
-                         (F.col("TimeOverheating") - F.col(time_col)) / 60)
+    x = x.withColumn("__last_block", F.max("oldBlockHeat").over(whole_dev))
+    wb = Window.partitionBy(device_col, "oldBlockHeat").orderBy(time_col)
+    whole_blk = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    x = x.withColumns({
+        "__n": F.count(F.lit(1)).over(whole_blk),
+        "TimeOverheating": F.max(time_col).over(whole_blk),
+        "__last_event": F.last(event_col).over(whole_blk),
+        "__first_row": F.row_number().over(wb) == 1,
+    })
+    dropped_tail = (F.col("oldBlockHeat") == F.col("__last_block")) & \
+        ~F.coalesce(F.col("__last_event") == 1, F.lit(False))
+    x = x.where(~dropped_tail & (F.col("__n") >= min_block_length))
+    x = x.withColumn("BlockHeat", F.sum(F.col("__first_row").cast("long")).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    x = x.withColumn("MinToOverheating", (F.col("TimeOverheating") - F.col(time_col)) / 60)
+    x = x.drop("__last_block", "__n", "__last_event", "__first_row")
     if debug:
-        return out
-    return out.drop("new_block_flag", "oldBlockHeat", "TimeOverheating")
+        return x
+    return x.drop("new_block_flag", "oldBlockHeat", "TimeOverheating")
 
 
 def event_block_sizes(heat: DataFrame, device_col: str = "hwid",

@@ -202,14 +202,18 @@ def auc_by_block_sensor(df: DataFrame, sensors, flag: str = "flag_anomaly",
     ``min_distinct`` distinct values in that block, the AUC of the raw
     sensor value against the flag, by the rank-sum formula with mean ranks
     on ties.  All blocks and sensors at once, no collect.  Blocks with only
-    one class give no row."""
+    one class give no row.
+
+    The anomalous-block test is a window over (device, block) and the ranks
+    are windows over (device, block, sensor): all sub-clusterings of the
+    (device, block) partitioning, so no join and no extra exchange."""
     keys = [device_col, block_col]
-    flagged = (df.groupBy(*keys).agg(F.max(F.col(flag).cast("int")).alias("__m"))
-               .where(F.col("__m") == 1).select(*keys))
-    x = df.join(flagged, keys, "left_semi")
-    long = unpivot(x.select(*keys, F.col(flag).cast("int").alias("__y"), *sensors), sensors,
-                   "double", keys=(*keys, "__y"), name_col="sensor", value_col="v") \
-        .where(F.col("v").isNotNull())
+    y = F.col(flag).cast("int")
+    x = df.select(*keys, y.alias("__y"), *sensors,
+                  F.max(y).over(Window.partitionBy(*keys)).alias("__m")) \
+        .where(F.col("__m") == 1)
+    long = unpivot(x, sensors, "double", keys=(*keys, "__y"), name_col="sensor",
+                   value_col="v").where(F.col("v").isNotNull())
     g = [*keys, "sensor"]
     w = Window.partitionBy(*g).orderBy("v")
     tie = Window.partitionBy(*g, "v")
@@ -253,15 +257,17 @@ def mutual_information(df: DataFrame, sensors, flag: str = "flag_anomaly",
                        block_col: str = "BlockID") -> DataFrame:
     """Mutual information (nats) between a sensor, cut in ``bins``
     equal bins over its range in the block, and the flag, per block and
-    sensor.  Blocks where the sensor is constant give 0."""
+    sensor.  Blocks where the sensor is constant give 0.  Bounds and
+    marginals are windows over (device, block, sensor): no join back."""
     keys = [device_col, block_col]
     long = unpivot(df.select(*keys, F.col(flag).cast("int").alias("__y"), *sensors), sensors,
                    "double", keys=(*keys, "__y"), name_col="sensor", value_col="v") \
         .where(F.col("v").isNotNull() & F.col("__y").isNotNull())
     g = [*keys, "sensor"]
-    bounds = long.groupBy(*g).agg(F.min("v").alias("lo"), F.max("v").alias("hi"),
-                                  F.count(F.lit(1)).alias("n"))
-    j = long.join(bounds, g).withColumn("bin", equal_width_bin("v", "lo", "hi", bins))
+    wg = Window.partitionBy(*g)
+    j = long.select(*g, "__y", "v", F.min("v").over(wg).alias("lo"),
+                    F.max("v").over(wg).alias("hi"), F.count(F.lit(1)).over(wg).alias("n"))
+    j = j.withColumn("bin", equal_width_bin("v", "lo", "hi", bins))
     cell = j.groupBy(*g, "n", "bin", "__y").agg(F.count(F.lit(1)).alias("nxy"))
     wx = Window.partitionBy(*g, "bin")
     wy = Window.partitionBy(*g, "__y")
