@@ -1,0 +1,6 @@
+"""Structured Streaming.
+
+The reference has no streaming (no watermark, no streaming window, no
+state), so no streaming operator is built here; every operator is a batch
+DataFrame function.
+"""
