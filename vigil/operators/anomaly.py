@@ -160,17 +160,22 @@ def joint_flag(df: DataFrame, sensors, name: str = "flag_anomaly") -> DataFrame:
 
 def detect_anomalies(df: DataFrame, time_separator: int, threshold: int, sensors,
                      debug: bool = False, device_col: str = "hwid",
-                     block_col: str = "BlockID", time_col: str = "when") -> DataFrame:
-    """D1..D6 for all engines.  ``debug`` keeps every helper column."""
+                     block_col: str = "BlockID", time_col: str = "when",
+                     keep_input: bool = False) -> DataFrame:
+    """D1..D6 for all engines.  ``debug`` keeps every helper column;
+    ``keep_input`` keeps the input columns plus the flags."""
     sensors = list(sensors)
+    in_cols = df.columns
     x = switch_columns(df, sensors, time_separator, device_col, block_col, time_col)
     x = flag_groups(x, sensors, threshold, device_col, block_col, time_col=time_col)
     x = extend_flags(x, sensors, time_separator, device_col, block_col, time_col)
     x = joint_flag(x, sensors)
     if debug:
         return x
-    return x.select(device_col, block_col, time_col, *sensors,
-                    *[f"flag_{s}" for s in sensors], "flag_anomaly")
+    flags = [f"flag_{s}" for s in sensors] + ["flag_anomaly"]
+    if keep_input:
+        return x.select(*in_cols, *flags)
+    return x.select(device_col, block_col, time_col, *sensors, *flags)
 
 
 def detect_anomalies_rows(df: DataFrame, time_separator: int, threshold: int, sensors,

@@ -318,14 +318,11 @@ def b1_build_blocks_sliced(spark, sf):
     return _grid_out(B.build_blocks(S.grid(spark, sf), S.GAP, split_seconds=S.EVENTS.split_seconds))
 
 
-@register("b2_build_blocks_one_device", sql(f"""SELECT {BLOCK_SELECT} FROM blocks
-WHERE hwid = (SELECT max(hwid) FROM grid)""", "blocks"))
-def b2_build_blocks_one_device(spark, sf):
-    # B2: the same operator on one device's rows (the device key is kept);
-    # the device is picked from the data (the largest id).
-    g = S.grid(spark, sf)
-    top = g.agg(F.max("hwid").alias("hwid"))
-    return _grid_out(B.build_blocks(g.join(top, "hwid", "left_semi"), S.GAP))
+@register("b2_build_blocks_device_window", sql(f"SELECT {BLOCK_SELECT} FROM blocks", "blocks"))
+def b2_build_blocks_device_window(spark, sf):
+    # B2: the single-partition form of the reference made per device: one
+    # window per device over the whole table, the device key kept.
+    return _grid_out(B.build_blocks(S.grid(spark, sf), S.GAP, split_seconds=None))
 
 
 @register("b3_blocks_per_device", sql("""SELECT hwid, count(DISTINCT BlockID) AS n_blocks

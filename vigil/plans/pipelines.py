@@ -23,14 +23,16 @@ from vigil.operators.nulls import fill_nearest
 
 def prepare(readings: DataFrame, roles: Roles, settings: Settings,
             decimals: dict | None = None, binary=None, fill_cols=None,
-            drop_constant: bool = True) -> DataFrame:
+            drop_constant: bool = True, slice_blocks: bool = False) -> DataFrame:
     """Q1: readings -> pivot -> scale -> grid -> blocks -> nearest fill ->
     drop constant sensors.
 
-    Shuffles: one for the pivot (partial aggregation first), one for the
-    grid, one for the blocks (by device / time slice) and one for the fill
-    (by device, block); the fill's window reuses nothing from the block
-    window because the key changes from device to (device, block)."""
+    Shuffles: one for the pivot (partial aggregation before it), one for the
+    grid (partial aggregation before it) and one for the blocks (by device).
+    The fill's window on (device, block) is a sub-clustering of the device
+    partitioning, so it adds a sort but no exchange.  Grid rows per device are
+    bounded by time span / interval; ``slice_blocks`` uses the time-sliced
+    block builder anyway (for grids over very long spans)."""
     metrics = list(roles.all_metrics)
     wide = pivot_metrics(readings, metrics)
     wide = wide.withColumns({a: F.col(a).cast("int") for a in roles.alarms})
@@ -38,7 +40,8 @@ def prepare(readings: DataFrame, roles: Roles, settings: Settings,
         wide = scale_decimals(wide, decimals)
     grid = create_grid(wide, settings.grid_interval, alarms=roles.alarms, binary=binary,
                        metrics=metrics)
-    blocks = build_blocks(grid, settings.block_gap, split_seconds=settings.split_seconds)
+    blocks = build_blocks(grid, settings.block_gap,
+                          split_seconds=settings.split_seconds if slice_blocks else None)
     fill_cols = list(fill_cols) if fill_cols is not None else [*roles.sensors, *roles.engines]
     filled = fill_nearest(blocks, fill_cols, settings.fill_gap)
     if not drop_constant:
@@ -51,10 +54,8 @@ def prepare(readings: DataFrame, roles: Roles, settings: Settings,
 def anomaly_report(blocks: DataFrame, roles: Roles, settings: Settings):
     """Q2: anomalies on the blocks, the joint flag attached, and the
     sensors ranked by correlation with it.  Returns (rows, ranking)."""
-    flagged = detect_anomalies(blocks, settings.switch_separator, settings.switch_threshold,
-                               roles.engines, debug=True)
-    keep = blocks.columns + [f"flag_{e}" for e in roles.engines] + ["flag_anomaly"]
-    rows = flagged.select(*keep)
+    rows = detect_anomalies(blocks, settings.switch_separator, settings.switch_threshold,
+                            roles.engines, keep_input=True)
     ranking = pairwise_correlation(rows, list(roles.sensors), "flag_anomaly")
     return rows, ranking
 

@@ -69,9 +69,9 @@ def anomalies(spark: SparkSession, sf: str, debug: bool = False) -> DataFrame:
 
 def final(spark: SparkSession, sf: str) -> DataFrame:
     """Blocks with the joint anomaly flag and the overheating flag."""
-    a = anomalies(spark, sf, debug=True)
-    keep = [c for c in blocks(spark, sf).columns] + ["flag_engine", "flag_anomaly"]
-    return attach_overheating(a.select(*keep))
+    a = detect_anomalies(blocks(spark, sf), EVENTS.switch_separator, EVENTS.switch_threshold,
+                         ENGINES, keep_input=True)
+    return attach_overheating(a)
 
 
 def predicted(spark: SparkSession, sf: str) -> DataFrame:
