@@ -1370,3 +1370,122 @@ def q3_maintenance_model(spark, sf):
     frame = Q.maintenance_frame(rows, ROLES, S.EVENTS, features=["engine", "flag_anomaly"])
     return Q.maintenance_report(frame, FEATURES, _SHOW, _MOVE, model="rf", n_trees=100,
                                 max_depth=10)
+
+
+# ----------------------------------------------------- W: window blocks
+
+from vigil.operators import windows as W  # noqa: E402
+
+_DEV = ["hwid"]
+
+
+@register("w1_lag_lead", sql(f"""SELECT hwid, "when", engine,
+  lag(engine) OVER ({S._W_DEV}) AS prev_engine, lead(engine) OVER ({S._W_DEV}) AS next_engine,
+  lag(engine, 1, -1.0) OVER ({S._W_DEV}) AS prev_engine_d, lead(engine, 1, -1.0) OVER ({S._W_DEV}) AS next_engine_d
+FROM grid""", "grid"))
+def w1_lag_lead(spark, sf):
+    p, n = W.lag_lead("engine", _DEV)
+    pd_, nd = W.lag_lead("engine", _DEV, default=-1.0)
+    return S.grid(spark, sf).select("hwid", "when", "engine", p.alias("prev_engine"),
+                                    n.alias("next_engine"), pd_.alias("prev_engine_d"),
+                                    nd.alias("next_engine_d"))
+
+
+@register("w2_w3_running_and_group_count", sql(f"""SELECT hwid, "when", engine,
+  sum(engine) OVER ({S._W_DEV} {S._RUN}) AS running_engine,
+  count(*) OVER (PARTITION BY hwid) AS device_rows FROM grid""", "grid"))
+def w2_w3_running_and_group_count(spark, sf):
+    return S.grid(spark, sf).select("hwid", "when", "engine",
+                                    W.running_sum("engine", _DEV).alias("running_engine"),
+                                    W.group_count(_DEV).alias("device_rows"))
+
+
+_D = 86400
+
+
+@register("w4_range_frames", sql(f"""SELECT hwid, "when", engine,
+  count(CASE WHEN engine = 0 THEN 1 END) OVER ({S._W_DEV} RANGE BETWEEN 1 FOLLOWING AND {_D} FOLLOWING) AS zeros_ahead,
+  COALESCE(bool_or(engine = 1) OVER ({S._W_DEV} RANGE BETWEEN {_D} PRECEDING AND 1 PRECEDING), FALSE) AS on_before,
+  max(view) OVER ({S._W_DEV} RANGE BETWEEN {_D} PRECEDING AND {_D} FOLLOWING) AS max_view_2d,
+  min(view) OVER ({S._W_DEV} RANGE BETWEEN {_D} PRECEDING AND {_D} FOLLOWING) AS min_view_2d
+FROM grid""", "grid"))
+def w4_range_frames(spark, sf):
+    g = S.grid(spark, sf)
+    return g.select("hwid", "when", "engine",
+                    F.count_if(F.col("engine") == 0).over(W.range_frame(_DEV, 1, _D)).alias("zeros_ahead"),
+                    F.coalesce(F.bool_or(F.col("engine") == 1).over(W.range_frame(_DEV, -_D, -1)),
+                               F.lit(False)).alias("on_before"),
+                    F.max("view").over(W.range_frame(_DEV, -_D, _D)).alias("max_view_2d"),
+                    F.min("view").over(W.range_frame(_DEV, -_D, _D)).alias("min_view_2d"))
+
+
+@register("w5_w11_row_frames", sql(f"""SELECT hwid, "when", engine,
+  sum(engine) OVER ({S._W_DEV} ROWS BETWEEN CURRENT ROW AND 1 FOLLOWING) AS sum_0_1,
+  sum(engine) OVER ({S._W_DEV} ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS sum_m1_1,
+  count(engine) OVER ({S._W_DEV} ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS count_m1_1,
+  sum(engine) OVER ({S._W_DEV} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS sum_last5
+FROM grid""", "grid"))
+def w5_w11_row_frames(spark, sf):
+    return S.grid(spark, sf).select(
+        "hwid", "when", "engine",
+        F.sum("engine").over(W.rows_frame(_DEV, 0, 1)).alias("sum_0_1"),
+        F.sum("engine").over(W.rows_frame(_DEV, -1, 1)).alias("sum_m1_1"),
+        F.count("engine").over(W.rows_frame(_DEV, -1, 1)).alias("count_m1_1"),
+        F.sum("engine").over(W.rows_frame(_DEV, -4, 0)).alias("sum_last5"))
+
+
+@register("w6_w7_non_null_neighbours", sql(f"""SELECT hwid, "when", view,
+  first(view IGNORE NULLS) OVER ({S._W_DEV} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS next_view,
+  last(view IGNORE NULLS) OVER ({S._W_DEV} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_view
+FROM grid""", "grid"))
+def w6_w7_non_null_neighbours(spark, sf):
+    return S.grid(spark, sf).select("hwid", "when", "view",
+                                    W.next_non_null("view", _DEV).alias("next_view"),
+                                    W.last_non_null("view", _DEV).alias("last_view"))
+
+
+@register("w8_w9_rolling", sql(f"""SELECT hwid, "when", engine,
+  avg(engine) OVER ({S._W_DEV} RANGE BETWEEN {_D} PRECEDING AND CURRENT ROW) AS engine_mean_1d,
+  sum(engine) OVER ({S._W_DEV} RANGE BETWEEN {_D} PRECEDING AND CURRENT ROW) AS engine_sum_1d
+FROM grid""", "grid"))
+def w8_w9_rolling(spark, sf):
+    return S.grid(spark, sf).select("hwid", "when", "engine",
+                                    W.rolling_mean("engine", _DEV, _D).alias("engine_mean_1d"),
+                                    W.rolling_sum("engine", _DEV, _D).alias("engine_sum_1d"))
+
+
+@register("w10_w12_positions", sql(f"""SELECT hwid, "when",
+  CAST(row_number() OVER ({S._W_DEV}) - 1 AS INTEGER) AS pos_in_device,
+  CAST(row_number() OVER (PARTITION BY hwid ORDER BY view DESC NULLS LAST, "when") AS INTEGER) AS view_rank
+FROM grid""", "grid"))
+def w10_w12_positions(spark, sf):
+    return S.grid(spark, sf).select(
+        "hwid", "when", W.position(_DEV, ["when"], start=0).alias("pos_in_device"),
+        W.position(_DEV, [F.col("view").desc_nulls_last(), "when"]).alias("view_rank"))
+
+
+@register("x1_read_readings_csv", sql("""SELECT CAST(round(CAST(floor(epoch_us(ts) / 1000) AS BIGINT) / 1000) AS BIGINT) AS "when",
+  CAST(user_id AS VARCHAR) AS hwid, metric, value FROM (
+  SELECT ts, user_id, event_type AS metric, value FROM events WHERE value IS NOT NULL
+  UNION ALL SELECT ts, user_id, 'engine', CAST(CAST(value > 50 AS INTEGER) AS DOUBLE) FROM events WHERE value IS NOT NULL
+  UNION ALL SELECT ts, user_id, 'A5', CAST(CAST(json_extract(props, '$.k') AS INTEGER) AS DOUBLE) FROM events
+    WHERE event_type = 'error' AND json_extract(props, '$.k') IS NOT NULL
+  UNION ALL SELECT ts, user_id, 'A9', CAST(CAST(json_extract(props, '$.k') AS INTEGER) AS DOUBLE) FROM events
+    WHERE event_type = 'purchase' AND json_extract(props, '$.k') IS NOT NULL)"""))
+def x1_read_readings_csv(spark, sf):
+    # write the readings as the raw CSV form (epoch ms, header), then read it
+    # back with the explicit schema and the ms -> s rounding
+    ev = X.load_table(spark, sf, "events")
+    ms = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1000)
+    # same rows as the stand-in readings, with the time kept in ms
+    k = F.get_json_object("props", "$.k").cast("int").cast("double")
+    base = ev.select(ms.alias("when"), F.col("user_id").cast("string").alias("hwid"),
+                     "event_type", "value", k.alias("k"))
+    long = base.select("when", "hwid", F.expr(
+        "stack(4, event_type, value, 'engine', CAST(CAST(value > 50 AS INT) AS DOUBLE),"
+        " 'A5', CASE WHEN event_type = 'error' THEN k END,"
+        " 'A9', CASE WHEN event_type = 'purchase' THEN k END) AS (metric, value)")) \
+        .where(F.col("value").isNotNull())
+    path = f"{checkpoint_dir(spark)}/readings_csv_{abs(hash(sf))}"
+    long.write.mode("overwrite").option("header", True).csv(path)
+    return X.read_readings(spark, path)
