@@ -52,11 +52,35 @@ def fill_nearest_nonnull(df: DataFrame, sensors, max_gap: int,
 
 
 def forward_fill(df: DataFrame, cols, device_col: str = "hwid",
-                 time_col: str = "when") -> DataFrame:
-    """Last non-null value so far, per device."""
-    w = Window.partitionBy(device_col).orderBy(time_col).rowsBetween(
+                 time_col: str = "when", split_seconds: int | None = None) -> DataFrame:
+    """Last non-null value so far, per device.
+
+    With ``split_seconds`` a device's rows are cut into time slices: the fill
+    runs per (device, slice), and each slice's last non-null values (one row
+    per slice) are carried forward over the earlier slices of the device and
+    joined back for the rows that have nothing earlier in their own slice.
+    No task then holds a whole device."""
+    cols = list(cols)
+    if split_seconds is None:
+        w = Window.partitionBy(device_col).orderBy(time_col).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
+    sl = "__slice"
+    x = df.withColumn(sl, F.floor(F.col(time_col) / split_seconds))
+    w = Window.partitionBy(device_col, sl).orderBy(time_col).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
+    x = x.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
+    # last non-null value of each column in each slice (max_by skips nulls
+    # because the ordering key is null where the value is null)
+    summ = df.withColumn(sl, F.floor(F.col(time_col) / split_seconds)).groupBy(device_col, sl).agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(time_col))).alias(f"__l_{c}")
+          for c in cols])
+    ws = Window.partitionBy(device_col).orderBy(sl).rowsBetween(Window.unboundedPreceding, -1)
+    summ = summ.select(device_col, sl, *[F.last(f"__l_{c}", ignorenulls=True).over(ws)
+                                         .alias(f"__c_{c}") for c in cols])
+    j = x.join(summ, [device_col, sl], "left")
+    return j.withColumns({c: F.coalesce(F.col(c), F.col(f"__c_{c}")) for c in cols}) \
+        .drop(sl, *[f"__c_{c}" for c in cols])
 
 
 def null_profile(df: DataFrame, sensors, alarms, device_col: str = "hwid") -> DataFrame:

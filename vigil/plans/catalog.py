@@ -1489,3 +1489,24 @@ def x1_read_readings_csv(spark, sf):
     path = f"{checkpoint_dir(spark)}/readings_csv_{abs(hash(sf))}"
     long.write.mode("overwrite").option("header", True).csv(path)
     return X.read_readings(spark, path)
+
+
+@register("n3_forward_fill_raw_sliced", sql(f"""SELECT hwid, "when", {', '.join(
+    f'last({c} IGNORE NULLS) OVER ({S._W_DEV} {S._RUN}) AS {c}' for c in S.SENSORS)} FROM wide""", "wide"))
+def n3_forward_fill_raw_sliced(spark, sf):
+    # the raw pivoted readings (rows per device grow with the data): weekly slices
+    w = S.wide(spark, sf).select("hwid", "when", *S.SENSORS)
+    return N.forward_fill(w, S.SENSORS, split_seconds=S.EVENTS.split_seconds)
+
+
+@register("p8_drop_columns", sql("""SELECT hwid, "when", BlockID, A5, A9, click, engine, error, purchase,
+  signup, view, PrevDiff, NextDiff FROM blocks""", "blocks"))
+def p8_drop_columns(spark, sf):
+    return S.blocks(spark, sf).drop("Prev_TimeStamp", "Next_TimeStamp", "window_start", "window_end")
+
+
+@register("p6_coalesce_flag", sql("""SELECT hwid, "when", COALESCE(A5, 0) AS A5, COALESCE(A9, 0) AS A9 FROM grid""",
+                                  "grid"))
+def p6_coalesce_flag(spark, sf):
+    g = S.grid(spark, sf)
+    return g.select("hwid", "when", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in S.ALARMS])
