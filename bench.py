@@ -36,7 +36,14 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     from vigil.session import checkpoint_dir, get_session
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, app="vigil-bench")
+    extra = {}
+    log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if log_dir:
+        # Spark's event log (stage and task times) into a scratch folder
+        os.makedirs(log_dir, exist_ok=True)
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir}
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, app="vigil-bench",
+                        extra=extra)
     checkpoint_dir(spark)
     from vigil.plans.catalog import QUERIES
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]

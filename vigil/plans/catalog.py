@@ -8,6 +8,7 @@ and its twin are the same.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -59,7 +60,7 @@ def x2_repartition_by_device(spark, sf):
 
 @register("x3_x5_snapshot_roundtrip", sql(f"SELECT {BLOCK_SELECT} FROM blocks", "blocks"))
 def x3_x5_snapshot_roundtrip(spark, sf):
-    path = f"{checkpoint_dir(spark)}/snapshot_blocks_{abs(hash(sf))}"
+    path = f"{checkpoint_dir(spark)}/snapshot_blocks_{zlib.crc32(sf.encode())}"
     X.write_snapshot(_grid_out(S.blocks(spark, sf)), path)
     df = X.read_snapshot(spark, path)
     return df.withColumn("hwid", F.col("hwid").cast("long"))
@@ -68,7 +69,7 @@ def x3_x5_snapshot_roundtrip(spark, sf):
 @register("x4_x6_csv_roundtrip", sql(f"SELECT {GRID_SELECT} FROM grid", "grid"))
 def x4_x6_csv_roundtrip(spark, sf):
     g = _grid_out(S.grid(spark, sf))
-    path = f"{checkpoint_dir(spark)}/snapshot_grid_csv_{abs(hash(sf))}"
+    path = f"{checkpoint_dir(spark)}/snapshot_grid_csv_{zlib.crc32(sf.encode())}"
     g.write.mode("overwrite").option("header", True).csv(path)
     return X.read_csv_snapshot(spark, path, g.schema)
 
@@ -1486,7 +1487,7 @@ def x1_read_readings_csv(spark, sf):
         " 'A5', CASE WHEN event_type = 'error' THEN k END,"
         " 'A9', CASE WHEN event_type = 'purchase' THEN k END) AS (metric, value)")) \
         .where(F.col("value").isNotNull())
-    path = f"{checkpoint_dir(spark)}/readings_csv_{abs(hash(sf))}"
+    path = f"{checkpoint_dir(spark)}/readings_csv_{zlib.crc32(sf.encode())}"
     long.write.mode("overwrite").option("header", True).csv(path)
     return X.read_readings(spark, path)
 

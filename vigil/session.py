@@ -36,6 +36,28 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(raw_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 << 20) -> dict:
+    """Suggested settings for a large run (a starting point, not a rule).
+
+    Shuffle partitions sized so a partition of the raw readings' shuffle is
+    about ``target_partition_bytes`` (AQE coalesces the later, smaller
+    shuffles), at least 2-3 tasks per core; file splits of 256 MB; AQE with
+    skew-join splitting on.  Broadcasts stay at Spark's measured-size
+    threshold."""
+    cores = executors * cores_per_executor
+    parts = max(3 * cores, raw_bytes // target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(int(parts)),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster; a scratch one if unset."""
     conf = spark.sparkContext.getConf()
