@@ -105,14 +105,21 @@ def event_aligned_by_position(df: DataFrame, sensors, event: str = "overheating"
 
 
 def event_aligned_rate(df: DataFrame, sensors, event: str = "overheating",
-                       post_time: int = 6_000_000, device_col: str = "hwid",
-                       block_col: str = "BlockID", time_col: str = "when") -> DataFrame:
-    """M8: time relative to the block's first event; for every sensor value
-    the share of rows at that relative time having it (relative time below
-    ``post_time``).  Long format: (sensor, relative_time, value, rate)."""
+                       prev_time: int = 6_000_000, post_time: int = 6_000_000,
+                       device_col: str = "hwid", block_col: str = "BlockID",
+                       time_col: str = "when") -> DataFrame:
+    """M8: rows with an event from ``post_time`` before to ``prev_time``
+    after them (same block); time relative to the block's first event; for
+    every sensor value the share of rows at that relative time having it,
+    for relative times below ``post_time``.  Long format:
+    (sensor, relative_time, value, rate)."""
+    w = Window.partitionBy(device_col, block_col).orderBy(time_col)
+    near = F.count_if(F.col(event) == 1).over(w.rangeBetween(-post_time, prev_time)) > 0
     first = F.min(F.when(F.col(event) == 1, F.col(time_col))).over(
         Window.partitionBy(device_col, block_col))
-    x = df.select(*sensors, (F.col(time_col) - first).alias("relative_time")) \
+    x = df.select(*sensors, event, time_col, device_col, block_col, near.alias("__near")) \
+        .where("__near")
+    x = x.select(*sensors, (F.col(time_col) - first).alias("relative_time")) \
         .where(F.col("relative_time") < post_time)
     parts = ", ".join(f"'{s}', CAST(`{s}` AS DOUBLE)" for s in sensors)
     long = x.select("relative_time", F.expr(f"stack({len(sensors)}, {parts}) AS (sensor, value)"))

@@ -41,16 +41,30 @@ def first_n(df: DataFrame, n: int, *keys, last: bool = False) -> DataFrame:
 
 
 def top_gaps(df: DataFrame, n: int = 5, device_col: str = "hwid",
-             gap_col: str = "time_diff", count_col: str = "count") -> DataFrame:
+             gap_col: str = "time_diff", count_col: str = "count",
+             buckets: int = 64) -> DataFrame:
     """Per device the n smallest and the n largest gaps (from the gap
-    frequency table, one row per distinct gap)."""
+    frequency table, one row per distinct gap).
+
+    Two-level top-k so that a device with very many distinct gaps is not
+    ranked in one task: the top n of each side inside hash buckets of
+    (device, gap), then the final top n per device over at most
+    ``n * buckets`` candidates.  Gaps are unique per device, so the result
+    is exact."""
+    b = F.pmod(F.xxhash64(F.col(gap_col)), F.lit(buckets))
+    x = df.select(device_col, gap_col, count_col, b.alias("__b"))
+    wb_s = Window.partitionBy(device_col, "__b").orderBy(F.col(gap_col).asc())
+    wb_l = Window.partitionBy(device_col, "__b").orderBy(F.col(gap_col).desc())
+    cand = x.select("*", F.row_number().over(wb_s).alias("__rs"),
+                    F.row_number().over(wb_l).alias("__rl")) \
+        .where((F.col("__rs") <= n) | (F.col("__rl") <= n)).drop("__b", "__rs", "__rl")
     w_small = Window.partitionBy(device_col).orderBy(F.col(gap_col).asc())
     w_large = Window.partitionBy(device_col).orderBy(F.col(gap_col).desc())
-    x = df.select(device_col, gap_col, count_col,
-                  F.row_number().over(w_small).alias("rank_small"),
-                  F.row_number().over(w_large).alias("rank_large"))
-    x = x.where((F.col("rank_small") <= n) | (F.col("rank_large") <= n))
-    return x.withColumn("side", F.when(F.col("rank_small") <= n, "smallest").otherwise("largest"))
+    y = cand.select(device_col, gap_col, count_col,
+                    F.row_number().over(w_small).alias("rank_small"),
+                    F.row_number().over(w_large).alias("rank_large"))
+    y = y.where((F.col("rank_small") <= n) | (F.col("rank_large") <= n))
+    return y.withColumn("side", F.when(F.col("rank_small") <= n, "smallest").otherwise("largest"))
 
 
 def slice_time(df: DataFrame, sensors, start: int, end: int, time_col: str = "when",

@@ -1072,17 +1072,20 @@ def m7_event_aligned_by_position(spark, sf):
                                        _M7_PREV, _M7_POST)
 
 
-_M8_POST = 10 * 86400
+_M8_PREV, _M8_POST = 10 * 86400, 10 * 86400
 
 
 @register("m8_event_aligned_rate", sql(f"""SELECT sensor, relative_time, value,
   CAST(occurrences AS DOUBLE) / sum(occurrences) OVER (PARTITION BY sensor, relative_time) AS rate
 FROM (SELECT 'engine' AS sensor, relative_time, CAST(engine AS DOUBLE) AS value, count(*) AS occurrences
       FROM (SELECT engine, "when" - min(CASE WHEN overheating = 1 THEN "when" END)
-                   OVER (PARTITION BY hwid, BlockID) AS relative_time FROM final)
+                   OVER (PARTITION BY hwid, BlockID) AS relative_time
+            FROM (SELECT * FROM (SELECT *, count(CASE WHEN overheating = 1 THEN 1 END) OVER ({S._W_BLK}
+                    RANGE BETWEEN {_M8_POST} PRECEDING AND {_M8_PREV} FOLLOWING) AS near FROM final)
+                  WHERE near > 0))
       WHERE relative_time < {_M8_POST} GROUP BY 1, 2, 3)""", "final"))
 def m8_event_aligned_rate(spark, sf):
-    return M.event_aligned_rate(S.final(spark, sf), ["engine"], "overheating", _M8_POST)
+    return M.event_aligned_rate(S.final(spark, sf), ["engine"], "overheating", _M8_PREV, _M8_POST)
 
 
 _M9_DUR, _M9_ROLL = 4320, 720
