@@ -44,7 +44,8 @@ def top_gaps(df: DataFrame, n: int = 5, device_col: str = "hwid",
              gap_col: str = "time_diff", count_col: str = "count",
              buckets: int = 64) -> DataFrame:
     """Per device the n smallest and the n largest gaps (from the gap
-    frequency table, one row per distinct gap).
+    frequency table, one row per distinct gap), with the rank on each side
+    (null when the gap is not among that side's n).
 
     Two-level top-k so that a device with very many distinct gaps is not
     ranked in one task: the top n of each side inside hash buckets of
@@ -64,7 +65,12 @@ def top_gaps(df: DataFrame, n: int = 5, device_col: str = "hwid",
                     F.row_number().over(w_small).alias("rank_small"),
                     F.row_number().over(w_large).alias("rank_large"))
     y = y.where((F.col("rank_small") <= n) | (F.col("rank_large") <= n))
-    return y.withColumn("side", F.when(F.col("rank_small") <= n, "smallest").otherwise("largest"))
+    # a rank is reported only on its own side (ranks past n are not computed
+    # over all gaps by the two-level top-k)
+    return y.select(device_col, gap_col, count_col,
+                    F.when(F.col("rank_small") <= n, F.col("rank_small")).alias("rank_small"),
+                    F.when(F.col("rank_large") <= n, F.col("rank_large")).alias("rank_large"),
+                    F.when(F.col("rank_small") <= n, "smallest").otherwise("largest").alias("side"))
 
 
 def slice_time(df: DataFrame, sensors, start: int, end: int, time_col: str = "when",

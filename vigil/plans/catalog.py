@@ -792,7 +792,9 @@ def z5_limit_last(spark, sf):
     return Z.first_n(S.grid(spark, sf).select("hwid", "when"), 7, "when", "hwid", last=True)
 
 
-@register("z6_top_gaps", sql(f"""SELECT hwid, time_diff, count, rank_small, rank_large,
+@register("z6_top_gaps", sql(f"""SELECT hwid, time_diff, count,
+  CASE WHEN rank_small <= 3 THEN rank_small END AS rank_small,
+  CASE WHEN rank_large <= 3 THEN rank_large END AS rank_large,
   CASE WHEN rank_small <= 3 THEN 'smallest' ELSE 'largest' END AS side
 FROM (SELECT *, CAST(row_number() OVER (PARTITION BY hwid ORDER BY time_diff) AS INTEGER) AS rank_small,
         CAST(row_number() OVER (PARTITION BY hwid ORDER BY time_diff DESC) AS INTEGER) AS rank_large
