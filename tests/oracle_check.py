@@ -85,6 +85,18 @@ def _close(a, b):
     return a == b
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+          "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP",
+          "date": "DATE", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_diffs(spark_df, con, sql):
+    """Columns whose Spark type and DuckDB type differ."""
+    st = dict(spark_df.dtypes)
+    dt = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return [(c, st[c], dt.get(c)) for c in st if _TYPES.get(st[c], st[c]) != dt.get(c)]
+
+
 def compare(sdf, ddf):
     scols, dcols = sorted(sdf.columns), sorted(ddf.columns)
     if scols != dcols:

@@ -9,7 +9,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
-from tests.oracle_check import compare, duck
+from tests.oracle_check import compare, duck, type_diffs
 
 SF = os.environ.get("VIGIL_TEST_SF", "/root/testdata/sf0.001")
 QUERIES = E.queries()
@@ -23,7 +23,9 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if n in SQLS))
 def test_query_matches_twin(spark, con, name):
-    sdf = QUERIES[name](spark, SF).toPandas()
+    df = QUERIES[name](spark, SF)
+    assert type_diffs(df, con, SQLS[name]) == []
+    sdf = df.toPandas()
     ddf = con.execute(SQLS[name]).df()
     ok, msg = compare(sdf, ddf)
     assert ok, msg

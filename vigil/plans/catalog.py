@@ -291,7 +291,7 @@ def r6_densify_gaps(spark, sf):
 @register("r7_block_timeline", sql(f"""SELECT a.hwid, a.BlockID, a."when",
   CAST((a."when" - a.t0) / {S.G} AS BIGINT) AS minute,
   CAST(COALESCE(r.engine, 0) AS DOUBLE) AS value, COALESCE(r.flag_engine, FALSE) AS flag,
-  CASE WHEN r.hwid IS NULL THEN 0.5 ELSE 0.0 END AS missing,
+  CAST(CASE WHEN r.hwid IS NULL THEN 0.5 ELSE 0.0 END AS DOUBLE) AS missing,
   greatest(CAST(COALESCE(r.flag_engine, FALSE) AS DOUBLE),
            CASE WHEN r.hwid IS NULL THEN 0.5 ELSE 0.0 END) AS combined
 FROM (SELECT hwid, BlockID, t0, UNNEST(generate_series(t0, t1, {S.G})) AS "when"
@@ -505,7 +505,8 @@ def a6_time_gap_frequency(spark, sf):
 def _a7_sql(lo, hi, delta):
     bins = int((hi - lo) / delta)
     w = (hi - lo) / bins
-    return sql(f"""SELECT bin, {float(lo)} + bin * {w} AS bin_lo, {float(lo)} + (bin + 1) * {w} AS bin_hi,
+    return sql(f"""SELECT bin, CAST({float(lo)} AS DOUBLE) + bin * CAST({w} AS DOUBLE) AS bin_lo,
+  CAST({float(lo)} AS DOUBLE) + (bin + 1) * CAST({w} AS DOUBLE) AS bin_hi,
   CAST(sum(count) AS BIGINT) AS count
 FROM (SELECT CAST(least(greatest(floor((time_diff - {float(lo)}) / (({float(hi)} - {float(lo)}) / {bins})), 0), {bins - 1}) AS INTEGER) AS bin,
              count FROM ({_A6}) WHERE time_diff BETWEEN {lo} AND {hi})
@@ -1148,7 +1149,7 @@ def l1_undersample(spark, sf):
 
 
 @register("l2_class_weights", sql("""SELECT hwid, "when", predictive_overheating,
-  CASE WHEN predictive_overheating = 1 THEN 8.0 ELSE 1.0 END AS weight FROM predicted""", "predicted"))
+  CAST(CASE WHEN predictive_overheating = 1 THEN 8.0 ELSE 1.0 END AS DOUBLE) AS weight FROM predicted""", "predicted"))
 def l2_class_weights(spark, sf):
     return L.class_weights(S.predicted(spark, sf).select(*_KEYS_P), "predictive_overheating", 8)
 
