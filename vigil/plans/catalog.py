@@ -23,8 +23,15 @@ SQL: dict[str, str] = {}
 
 
 def register(name: str, oracle: str | None = None):
+    """Register a query.  The stand-in mapping reads ``events.ts`` (a
+    timestamp without zone) as UTC, so the session zone is pinned to UTC
+    before the plan is built (the twins' DuckDB times are UTC too)."""
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf)
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         if oracle is not None:
             SQL[name] = oracle
         return fn
