@@ -70,7 +70,8 @@ def contiguous_blocks(df: DataFrame, interval: int, time_col: str = "when",
 
 def event_blocks(df: DataFrame, event_col: str = "overheating",
                  min_block_length: int = 2, device_col: str = "hwid",
-                 time_col: str = "when", debug: bool = False) -> DataFrame:
+                 time_col: str = "when", debug: bool = False,
+                 order=None) -> DataFrame:
     """Blocks that run from one event row to the next (``BlockHeat``).
 
     Per device, ordered by time: a new block starts on the row after a row
@@ -84,8 +85,13 @@ def event_blocks(df: DataFrame, event_col: str = "overheating",
     frames over (device, block), which is a sub-clustering of the device
     partitioning, so there is one exchange, no self-join and no second pass
     over the input.  Rows per device are bounded by the grid resolution.
+
+    ``order`` may give an ordering equal to time order that the input is
+    already sorted by, e.g. ``("BlockID", "when")`` after the gap blocks
+    (block ids rise with time), so the device windows need no new sort.
     """
-    w = Window.partitionBy(device_col).orderBy(time_col)
+    order = list(order) if order else [time_col]
+    w = Window.partitionBy(device_col).orderBy(*order)
     whole_dev = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     prev_event = F.lag(event_col).over(w)
     x = df.withColumn("new_block_flag", F.when(prev_event == 1, 1).otherwise(0))

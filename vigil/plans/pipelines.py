@@ -66,7 +66,7 @@ def maintenance_frame(rows: DataFrame, roles: Roles, settings: Settings,
     rolling features."""
     x = attach_overheating(rows)
     x = add_predictive(x, "overheating", settings.lookahead_minutes)
-    x = event_blocks(x, "overheating", settings.min_heat_block)
+    x = event_blocks(x, "overheating", settings.min_heat_block, order=("BlockID", "when"))
     features = list(features) if features is not None else list(roles.engines)
     return add_rolling_features(x, features, settings.rolling_minutes)
 

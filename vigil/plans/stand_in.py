@@ -79,7 +79,8 @@ def predicted(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def heat(spark: SparkSession, sf: str) -> DataFrame:
-    return event_blocks(predicted(spark, sf), "overheating", EVENTS.min_heat_block)
+    return event_blocks(predicted(spark, sf), "overheating", EVENTS.min_heat_block,
+                        order=("BlockID", "when"))
 
 
 def epoch(c: str):
