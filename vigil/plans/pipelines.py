@@ -16,7 +16,7 @@ from vigil.operators.alarms import add_predictive, add_rolling_features, attach_
 from vigil.operators.anomaly import detect_anomalies
 from vigil.operators.blocks import build_blocks, event_blocks
 from vigil.operators.correlation import pairwise_correlation
-from vigil.operators.grid import create_grid, pivot_metrics
+from vigil.operators.grid import binary_metrics, create_grid, pivot_metrics
 from vigil.operators.learn import probability_trend, run_model, undersample
 from vigil.operators.nulls import fill_nearest
 
@@ -34,6 +34,9 @@ def prepare(readings: DataFrame, roles: Roles, settings: Settings,
     bounded by time span / interval; ``slice_blocks`` uses the time-sliced
     block builder anyway (for grids over very long spans)."""
     metrics = list(roles.all_metrics)
+    if binary is None:
+        # decided on the long readings: one small aggregate, no second pivot
+        binary = binary_metrics(readings, [m for m in metrics if m not in roles.alarms])
     wide = pivot_metrics(readings, metrics)
     wide = wide.withColumns({a: F.col(a).cast("int") for a in roles.alarms})
     if decimals:
