@@ -74,3 +74,42 @@ def test_error_contract(spark):
         R.resample_sensor(w, "click", 60, "nearest")
     with pytest.raises(ValueError):
         run_model(w, ["click"], "engine", algo="gbt")
+
+
+def test_sliced_forward_fill_equals_plain(spark):
+    w = S.wide(spark, SF).select("hwid", "when", *S.SENSORS)
+    a = N.forward_fill(w, S.SENSORS)
+    b = N.forward_fill(w, S.SENSORS, split_seconds=2 * 86400)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_two_level_top_gaps_equals_one_level(spark):
+    from vigil.operators.aggregates import time_gap_frequency
+    from vigil.operators.setops import top_gaps
+    f = time_gap_frequency(S.wide(spark, SF))
+    a = top_gaps(f, 3, buckets=1)
+    b = top_gaps(f, 3, buckets=16)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_global_cumsum_equals_single_window(spark):
+    from vigil.operators.sequence import global_cumsum
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    per = ev.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    lo, hi = per.agg(F.min("value"), F.max("value")).first()
+    got = global_cumsum(per, "value", ["n"], lo, hi, slices=7, descending=True)
+    ref = per.withColumn("n_cum", F.sum("n").over(
+        Window.orderBy(F.col("value").desc()).rowsBetween(Window.unboundedPreceding, 0)))
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+
+
+def test_split_by_device_writes_partitions(spark, tmp_path):
+    from vigil.sources.readings import split_by_device
+    r = S.readings(spark, SF)
+    ids = [r["hwid"] for r in r.select("hwid").distinct().limit(3).collect()]
+    out = str(tmp_path / "split")
+    rep = split_by_device(r, ids, path=out).first()
+    back = spark.read.parquet(out)
+    assert back.count() == rep["rows_out"]
+    assert rep["rows_in"] == r.count() == rep["rows_out"] + rep["rows_unmatched"]
+    assert {x["hwid"] for x in back.select("hwid").distinct().collect()} == set(ids)
