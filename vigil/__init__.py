@@ -8,7 +8,7 @@ whole chain.  Sub-packages:
 ``functions``  column-level helpers (scaling, bit tests, buckets, rounding)
 ``operators``  grid / blocks / nulls / aggregates / anomaly / correlation /
                alarms / learn / setops
-``plans``      composite pipelines and the registered query catalog
+``plans``      composite chains and the registered query catalog
 ``streaming``  the grid operator run on Structured Streaming
 """
 

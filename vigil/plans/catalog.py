@@ -1340,10 +1340,10 @@ def l21_random_rows(spark, sf):
     return L.random_rows(S.final(spark, sf).select("hwid", "when", "BlockID", "flag_anomaly"), 10)
 
 
-# ------------------------------------------------- Q: composite pipelines
+# ---------------------------------------------------- Q: composite chains
 
 from vigil.config import Roles  # noqa: E402
-from vigil.plans import pipelines as Q  # noqa: E402
+from vigil.plans import composite as Q  # noqa: E402
 
 ROLES = Roles(sensors=S.SENSORS, alarms=S.ALARMS, engines=S.ENGINES)
 _Q1_FILL = (*S.SENSORS, *S.ENGINES)

@@ -1,4 +1,4 @@
-"""Composite pipelines (Q1-Q3): the reference's chain end to end.
+"""Composite chains (Q1-Q3): the reference's chain end to end.
 
 Each returns lazy DataFrames; only the constant-column test reads one row
 of column statistics on the driver.
