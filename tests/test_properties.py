@@ -113,3 +113,14 @@ def test_split_by_device_writes_partitions(spark, tmp_path):
     assert back.count() == rep["rows_out"]
     assert rep["rows_in"] == r.count() == rep["rows_out"] + rep["rows_unmatched"]
     assert {x["hwid"] for x in back.select("hwid").distinct().collect()} == set(ids)
+
+
+def test_prepare_materialized_sliced_equals_default(spark):
+    from vigil.plans import composite as Q
+    from vigil.plans.catalog import ROLES
+    r = S.readings(spark, SF)
+    a = Q.prepare(r, ROLES, S.EVENTS, fill_cols=("engine",), slice_blocks=True,
+                  materialize_grid=True)
+    b = Q.prepare(r, ROLES, S.EVENTS, fill_cols=("engine",))
+    assert a.columns == b.columns
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

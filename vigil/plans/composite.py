@@ -19,11 +19,13 @@ from vigil.operators.correlation import pairwise_correlation
 from vigil.operators.grid import binary_metrics, create_grid, pivot_metrics
 from vigil.operators.learn import probability_trend, run_model, undersample
 from vigil.operators.nulls import fill_nearest
+from vigil.session import cut_lineage
 
 
 def prepare(readings: DataFrame, roles: Roles, settings: Settings,
             decimals: dict | None = None, binary=None, fill_cols=None,
-            drop_constant: bool = True, slice_blocks: bool = False) -> DataFrame:
+            drop_constant: bool = True, slice_blocks: bool = False,
+            materialize_grid: bool = False) -> DataFrame:
     """Q1: readings -> pivot -> scale -> grid -> blocks -> nearest fill ->
     drop constant sensors.
 
@@ -32,7 +34,10 @@ def prepare(readings: DataFrame, roles: Roles, settings: Settings,
     The fill's window on (device, block) is a sub-clustering of the device
     partitioning, so it adds a sort but no exchange.  Grid rows per device are
     bounded by time span / interval; ``slice_blocks`` uses the time-sliced
-    block builder anyway (for grids over very long spans)."""
+    block builder anyway (for grids over very long spans).
+    ``materialize_grid`` writes the grid once to the shared checkpoint folder
+    (the raw -> grid part is the expensive one; later reports and the sliced
+    builder's second read then start from the written grid)."""
     metrics = list(roles.all_metrics)
     if binary is None:
         # decided on the long readings: one small aggregate, no second pivot
@@ -43,6 +48,8 @@ def prepare(readings: DataFrame, roles: Roles, settings: Settings,
         wide = scale_decimals(wide, decimals)
     grid = create_grid(wide, settings.grid_interval, alarms=roles.alarms, binary=binary,
                        metrics=metrics)
+    if materialize_grid:
+        grid = cut_lineage(grid)
     blocks = build_blocks(grid, settings.block_gap,
                           split_seconds=settings.split_seconds if slice_blocks else None)
     fill_cols = list(fill_cols) if fill_cols is not None else [*roles.sensors, *roles.engines]

@@ -83,10 +83,6 @@ def heat(spark: SparkSession, sf: str) -> DataFrame:
                         order=("BlockID", "when"))
 
 
-def epoch(c: str):
-    return F.unix_timestamp(F.col(c)).alias(c)
-
-
 # ------------------------------------------------------------------ SQL side
 
 G, HALF, GAP, FILL, SEP, TH = (EVENTS.grid_interval, EVENTS.grid_interval // 2,
