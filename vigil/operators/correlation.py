@@ -89,10 +89,10 @@ def correlation_by_device(df: DataFrame, sensors, target: str,
 
 
 def overlap_area(df: DataFrame, sensor: str, target: str, num_bins: int = 50) -> DataFrame:
-    """Overlap of the two class densities of a sensor.  Common
-    min/max over both classes, ``num_bins`` equal bins (last closed),
-    density per class = count / (n_class * width); overlap = sum over bins
-    of min(density_0, density_1) * width * 100.
+    """Overlap of the two class histograms of a sensor.  Common
+    min/max over both classes, ``num_bins`` equal bins (last closed), each
+    class's counts as shares of its total; overlap = 100 * sum over bins of
+    min(share_0, share_1).
 
     The bounds are one row of column statistics read once on the driver."""
     x = df.select(F.col(sensor).cast("double").alias("x"), F.col(target).cast("int").alias("y")) \
@@ -104,12 +104,11 @@ def overlap_area(df: DataFrame, sensor: str, target: str, num_bins: int = 50) ->
     if b is None or b["lo"] is None or not b["n0"] or not b["n1"] or b["lo"] == b["hi"]:
         return spark.createDataFrame([(sensor, None)], "sensor string, overlap_pct double")
     lo, hi, n0, n1 = float(b["lo"]), float(b["hi"]), int(b["n0"]), int(b["n1"])
-    width = (hi - lo) / num_bins
     binned = x.withColumn("bin", equal_width_bin("x", lo, hi, num_bins))
     per_bin = binned.groupBy("bin").agg(
         F.count_if(F.col("y") == 0).alias("c0"), F.count_if(F.col("y") == 1).alias("c1"))
-    dens = F.least(F.col("c0") / (n0 * width), F.col("c1") / (n1 * width))
-    return per_bin.agg((F.sum(dens) * width * 100).alias("overlap_pct")) \
+    share = F.least(F.col("c0") / n0, F.col("c1") / n1)
+    return per_bin.agg((F.sum(share) * 100).alias("overlap_pct")) \
         .select(F.lit(sensor).alias("sensor"), "overlap_pct")
 
 

@@ -873,11 +873,11 @@ def c5_correlation_by_device(spark, sf):
   FROM final WHERE view IS NOT NULL AND flag_anomaly IN (0, 1)),
 b AS (SELECT min(x) AS lo, max(x) AS hi, count(CASE WHEN y = 0 THEN 1 END) AS n0,
              count(CASE WHEN y = 1 THEN 1 END) AS n1 FROM x)
-SELECT 'view' AS sensor, sum(least(c0 / (n0 * w), c1 / (n1 * w))) * w * 100 AS overlap_pct
+SELECT 'view' AS sensor, sum(least(CAST(c0 AS DOUBLE) / n0, CAST(c1 AS DOUBLE) / n1)) * 100 AS overlap_pct
 FROM (SELECT bin, count(CASE WHEN y = 0 THEN 1 END) AS c0, count(CASE WHEN y = 1 THEN 1 END) AS c1
       FROM (SELECT y, CAST(least(greatest(floor((x - lo) / ((hi - lo) / 50)), 0), 49) AS INTEGER) AS bin
-            FROM x, b) GROUP BY bin), (SELECT n0, n1, (hi - lo) / 50 AS w FROM b)
-GROUP BY w""", "final"))
+            FROM x, b) GROUP BY bin), (SELECT n0, n1 FROM b)
+GROUP BY n0, n1""", "final"))
 def c6_overlap_area(spark, sf):
     return C.overlap_area(S.final(spark, sf), "view", "flag_anomaly", 50)
 
