@@ -40,21 +40,45 @@ GRID_COLS = ("A5", "A9", "click", "engine", "error", "purchase", "signup", "view
 
 
 # ---------------------------------------------------------------- Spark side
+#
+# The base frames are lazy plans shared by many queries.  They are memoized
+# per (session, tables folder) so each plan is built and analyzed once per
+# process; nothing is cached or computed by this (no data is kept).
 
+_FRAMES: dict = {}
+
+
+def _memo(fn):
+    def wrapper(spark: SparkSession, sf: str, *args, **kw):
+        key = (fn.__name__, id(spark), spark.conf.get("spark.sql.session.timeZone"),
+               spark.conf.get("spark.sql.ansi.enabled", "true"), sf,
+               args, tuple(sorted(kw.items())))
+        df = _FRAMES.get(key)
+        if df is None:
+            df = _FRAMES[key] = fn(spark, sf, *args, **kw)
+        return df
+    wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
+    return wrapper
+
+
+@_memo
 def readings(spark: SparkSession, sf: str) -> DataFrame:
     return events_as_readings(load_table(spark, sf, "events"))
 
 
+@_memo
 def wide(spark: SparkSession, sf: str) -> DataFrame:
     w = pivot_metrics(readings(spark, sf), EVENT_METRICS)
     return w.withColumns({a: F.col(a).cast("int") for a in ALARMS})
 
 
+@_memo
 def grid(spark: SparkSession, sf: str, binary=ENGINES) -> DataFrame:
     return create_grid(wide(spark, sf), EVENTS.grid_interval, alarms=ALARMS, binary=binary,
                        metrics=GRID_COLS)
 
 
+@_memo
 def blocks(spark: SparkSession, sf: str) -> DataFrame:
     # Grid rows per device are bounded by (time span / interval), so the
     # one-level device window is used here; the sliced form is for series
@@ -62,11 +86,13 @@ def blocks(spark: SparkSession, sf: str) -> DataFrame:
     return build_blocks(grid(spark, sf), EVENTS.block_gap)
 
 
+@_memo
 def anomalies(spark: SparkSession, sf: str, debug: bool = False) -> DataFrame:
     return detect_anomalies(blocks(spark, sf), EVENTS.switch_separator,
                             EVENTS.switch_threshold, ENGINES, debug=debug)
 
 
+@_memo
 def final(spark: SparkSession, sf: str) -> DataFrame:
     """Blocks with the joint anomaly flag and the overheating flag."""
     a = detect_anomalies(blocks(spark, sf), EVENTS.switch_separator, EVENTS.switch_threshold,
@@ -74,10 +100,12 @@ def final(spark: SparkSession, sf: str) -> DataFrame:
     return attach_overheating(a)
 
 
+@_memo
 def predicted(spark: SparkSession, sf: str) -> DataFrame:
     return add_predictive(final(spark, sf), "overheating", EVENTS.lookahead_minutes)
 
 
+@_memo
 def heat(spark: SparkSession, sf: str) -> DataFrame:
     return event_blocks(predicted(spark, sf), "overheating", EVENTS.min_heat_block,
                         order=("BlockID", "when"))
