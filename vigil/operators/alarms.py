@@ -20,16 +20,18 @@ def alarm_bits(df: DataFrame, columns=ALARM_WORDS, bits=OVERHEATING_BITS) -> Dat
 def extract_alarms(df: DataFrame, columns=ALARM_WORDS, bits=OVERHEATING_BITS,
                    fill_null: bool = False) -> DataFrame:
     """M2 (and M4 with ``fill_null``): ``overheating`` = 1 if any listed
-    bit of any listed word is 1, else 0.  M2 drops rows where every word is
-    null; M4 keeps them (flag 0) and fills the bit columns with 0."""
+    bit of any listed word is 1, else 0; rows where every word is null are
+    dropped.  M4 also passes the flag through ``coalesce(flag, 0)`` (the
+    bit columns keep their nulls)."""
     x = alarm_bits(df, columns, bits)
     names = [f"{b}-{c}" for c in columns for b in bits]
     cond = reduce(lambda a, b: a | b, [F.col(n) == 1 for n in names])
     x = x.withColumn("overheating", F.when(cond, 1).otherwise(0).cast("int"))
-    if fill_null:
-        return x.fillna(0, subset=names)
     present = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in columns])
-    return x.where(present)
+    x = x.where(present)
+    if fill_null:
+        x = x.withColumn("overheating", F.coalesce(F.col("overheating"), F.lit(0)))
+    return x
 
 
 def extract_alarms_sum(df: DataFrame, columns=ALARM_WORDS, bits=(8, 7, 6)) -> DataFrame:

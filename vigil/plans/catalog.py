@@ -1034,8 +1034,9 @@ def m3_extract_alarms_sum(spark, sf):
 
 
 @register("m4_extract_alarms_fill", sql(f"""SELECT hwid, "when", A5, A9, {', '.join(
-    f'COALESCE({_bit_sql(w, b)}, 0) AS "{b}-{w}"' for w in S.ALARMS for b in _B678)},
-  CASE WHEN {_OVER} THEN 1 ELSE 0 END AS overheating FROM grid""", "grid"))
+    f'{_bit_sql(w, b)} AS "{b}-{w}"' for w in S.ALARMS for b in _B678)},
+  COALESCE(CASE WHEN {_OVER} THEN 1 ELSE 0 END, 0) AS overheating
+FROM grid WHERE A5 IS NOT NULL OR A9 IS NOT NULL""", "grid"))
 def m4_extract_alarms_fill(spark, sf):
     return M.extract_alarms(S.grid(spark, sf).select("hwid", "when", "A5", "A9"), fill_null=True)
 
