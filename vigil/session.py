@@ -63,12 +63,16 @@ def cluster_conf(raw_bytes: int, executors: int, cores_per_executor: int,
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster; a scratch one if unset."""
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        # only when the cluster names none (tests, local runs)
         path = tempfile.mkdtemp(prefix="vigil-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # noqa: BLE001  core confs may be read-only at runtime
+            pass
     spark.sparkContext.setCheckpointDir(path)
     return path
 
