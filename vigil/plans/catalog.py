@@ -819,10 +819,14 @@ from vigil.operators import correlation as C  # noqa: E402
 LI_COLS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
-@register("c1_covariance_matrix", sql(f"""SELECT col_i, col_j, cov FROM (
+_LI_COMPLETE = ("SELECT * FROM lineitem WHERE "
+                + " AND ".join(f"{c} IS NOT NULL" for c in LI_COLS))
+
+
+@register("c1_covariance_matrix", sql(f"""WITH li AS ({_LI_COMPLETE})
+SELECT col_i, col_j, cov FROM (
   {' UNION ALL '.join(f"SELECT '{a}' AS col_i, '{b}' AS col_j, covar_samp({a}, {b}) AS cov FROM li"
-                      for a in LI_COLS for b in LI_COLS)})""".replace(
-    "FROM li", f"FROM (SELECT * FROM lineitem WHERE {' AND '.join(f'{c} IS NOT NULL' for c in LI_COLS)})")))
+                      for a in LI_COLS for b in LI_COLS)})"""))
 def c1_covariance_matrix(spark, sf):
     return C.covariance_matrix(X.load_table(spark, sf, "lineitem"), LI_COLS)
 
@@ -831,9 +835,11 @@ def _rank_sql(src, cols, target):
     feats = [c for c in cols if c != target]
     where = " AND ".join(f"{c} IS NOT NULL" for c in cols)
     parts = " UNION ALL ".join(
-        f"SELECT '{c}' AS sensor, covar_samp({c}, {target}) / NULLIF(sqrt(var_samp({c})) * sqrt(var_samp({target})), 0) AS correlation FROM x"
+        f"SELECT '{c}' AS sensor, covar_samp({c}, {target}) / "
+        f"NULLIF(sqrt(var_samp({c})) * sqrt(var_samp({target})), 0) AS correlation FROM x"
         for c in feats)
-    return (f"SELECT sensor, correlation, abs(correlation) AS abs_corr FROM ({parts.replace('FROM x', f'FROM (SELECT * FROM {src} WHERE {where})')}) "
+    return (f"WITH x AS (SELECT * FROM {src} WHERE {where})\n"
+            f"SELECT sensor, correlation, abs(correlation) AS abs_corr FROM ({parts}) "
             f"WHERE correlation IS NOT NULL AND NOT isnan(correlation) AND NOT isinf(correlation)")
 
 
