@@ -61,9 +61,18 @@ def prepare(readings: DataFrame, roles: Roles, settings: Settings,
     return filled.drop(*useless)
 
 
-def anomaly_report(blocks: DataFrame, roles: Roles, settings: Settings):
+def anomaly_report(blocks: DataFrame, roles: Roles, settings: Settings,
+                   spread_blocks: bool = True):
     """Q2: anomalies on the blocks, the joint flag attached, and the
-    sensors ranked by correlation with it.  Returns (rows, ranking)."""
+    sensors ranked by correlation with it.  Returns (rows, ranking).
+
+    Blocks come out of the block builder partitioned by device only, which
+    would leave the whole per-block chain to one task per device (a fleet of
+    a few devices gets a few tasks).  ``spread_blocks`` repartitions by
+    (device, block) first: one exchange of grid-level rows, then the chain
+    runs over as many tasks as there are blocks to spread."""
+    if spread_blocks:
+        blocks = blocks.repartition(roles.device_col, "BlockID")
     rows = detect_anomalies(blocks, settings.switch_separator, settings.switch_threshold,
                             roles.engines, keep_input=True)
     ranking = pairwise_correlation(rows, list(roles.sensors), "flag_anomaly")
