@@ -239,6 +239,10 @@ def roc_curve(df: DataFrame, label: str, score: str, slices: int = 1024) -> Data
         .where(F.col("s").isNotNull() & F.col("y").isNotNull())
     per = x.groupBy("s").agg(F.count_if(F.col("y") == 1).alias("tp_d"),
                              F.count_if(F.col("y") == 0).alias("fp_d"))
+    # the per-score table feeds the bounds read and both sides of the
+    # two-level running sum: write it once instead of computing it three times
+    from vigil.session import cut_lineage
+    per = cut_lineage(per)
     b = per.agg(F.min("s").alias("lo"), F.max("s").alias("hi"),
                 F.sum("tp_d").alias("P"), F.sum("fp_d").alias("N")).first()
     if b is None or b["lo"] is None:

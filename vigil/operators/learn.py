@@ -197,6 +197,9 @@ def auc(df: DataFrame, target: str, score: str, slices: int = 1024) -> DataFrame
         .where(F.col("s").isNotNull() & F.col("y").isNotNull())
     per = x.groupBy("s").agg(F.count_if(F.col("y") == 1).alias("pos"),
                              F.count_if(F.col("y") == 0).alias("neg"))
+    # used by the bounds read and both sides of the running sum: write once
+    from vigil.session import cut_lineage
+    per = cut_lineage(per)
     b = per.agg(F.min("s").alias("lo"), F.max("s").alias("hi")).first()
     spark = df.sparkSession
     if b is None or b["lo"] is None:
