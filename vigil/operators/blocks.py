@@ -81,10 +81,11 @@ def event_blocks(df: DataFrame, event_col: str = "overheating",
     1, 2, .. per device without holes.  ``TimeOverheating`` is the block's
     last time and ``MinToOverheating = (TimeOverheating - when)/60``.
 
-    Only window expressions on the device partitioning: block totals are
-    frames over (device, block), which is a sub-clustering of the device
-    partitioning, so there is one exchange, no self-join and no second pass
-    over the input.  Rows per device are bounded by the grid resolution.
+    Only window expressions on one device ordering: blocks are runs of
+    consecutive rows, so a block's size, end time and last event come from
+    frames on that same ordering (position of the next block start), with no
+    window partitioned by the block and no self-join: one exchange, no second
+    pass over the input.  Rows per device are bounded by the grid resolution.
 
     ``order`` may give an ordering equal to time order that the input is
     already sorted by, e.g. ``("BlockID", "when")`` after the gap blocks
@@ -92,27 +93,38 @@ def event_blocks(df: DataFrame, event_col: str = "overheating",
     """
     order = list(order) if order else [time_col]
     w = Window.partitionBy(device_col).orderBy(*order)
-    whole_dev = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    prev_event = F.lag(event_col).over(w)
-    x = df.withColumn("new_block_flag", F.when(prev_event == 1, 1).otherwise(0))
-    x = x.withColumn("oldBlockHeat", F.sum("new_block_flag").over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) + 1)
-    x = x.withColumn("__last_block", F.max("oldBlockHeat").over(whole_dev))
-    wb = Window.partitionBy(device_col, "oldBlockHeat").orderBy(time_col)
-    whole_blk = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    after = w.rowsBetween(1, Window.unboundedFollowing)
+    t = F.col(time_col)
+    x = df.withColumn("new_block_flag", F.when(F.lag(event_col).over(w) == 1, 1).otherwise(0))
     x = x.withColumns({
-        "__n": F.count(F.lit(1)).over(whole_blk),
-        "TimeOverheating": F.max(time_col).over(whole_blk),
-        "__last_event": F.last(event_col).over(whole_blk),
-        "__first_row": F.row_number().over(wb) == 1,
+        "oldBlockHeat": F.sum("new_block_flag").over(upto) + 1,
+        "__pos": F.row_number().over(w),
+        "__prev_t": F.lag(time_col).over(w),
+        "__n_dev": F.count(F.lit(1)).over(whole),
+        "__last_t": F.max(time_col).over(whole),
+        "__last_ev": F.last(event_col).over(whole),
     })
-    dropped_tail = (F.col("oldBlockHeat") == F.col("__last_block")) & \
-        ~F.coalesce(F.col("__last_event") == 1, F.lit(False))
-    x = x.where(~dropped_tail & (F.col("__n") >= min_block_length))
-    x = x.withColumn("BlockHeat", F.sum(F.col("__first_row").cast("long")).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    x = x.withColumn("MinToOverheating", (F.col("TimeOverheating") - F.col(time_col)) / 60)
-    x = x.drop("__last_block", "__n", "__last_event", "__first_row")
+    # blocks are runs of consecutive rows: a block starts on the device's
+    # first row and on each row whose previous row is an event
+    starts = (F.col("new_block_flag") == 1) | (F.col("__pos") == 1)
+    nxt = F.col("new_block_flag") == 1
+    x = x.withColumns({
+        "__start": F.last(F.when(starts, F.col("__pos")), ignorenulls=True).over(upto),
+        "__next_start": F.first(F.when(nxt, F.col("__pos")), ignorenulls=True).over(after),
+        "__end_t": F.first(F.when(nxt, F.col("__prev_t")), ignorenulls=True).over(after),
+    })
+    n = F.coalesce(F.col("__next_start") - 1, F.col("__n_dev")) - F.col("__start") + 1
+    last_block = F.col("__next_start").isNull()
+    dropped_tail = last_block & ~F.coalesce(F.col("__last_ev") == 1, F.lit(False))
+    x = x.withColumn("TimeOverheating", F.coalesce(F.col("__end_t"), F.col("__last_t")))
+    x = x.where(~dropped_tail & (n >= min_block_length))
+    x = x.withColumn("BlockHeat", F.sum((F.col("__pos") == F.col("__start")).cast("long"))
+                     .over(upto))
+    x = x.withColumn("MinToOverheating", (F.col("TimeOverheating") - t) / 60)
+    x = x.drop("__pos", "__prev_t", "__n_dev", "__last_t", "__last_ev", "__start",
+               "__next_start", "__end_t")
     if debug:
         return x
     return x.drop("new_block_flag", "oldBlockHeat", "TimeOverheating")
