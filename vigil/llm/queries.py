@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import mixing, quality
+from vigil.llm import mixing, quality, simhash
 from vigil.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +25,9 @@ def op4_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("epochs", "row_no")
+
+
+@query
+def op7_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.simhash_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", simhash.hex_of(groups.fp).alias("fingerprint"), "component_id")
