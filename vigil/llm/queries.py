@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import mixing, quality, simhash
+from vigil.llm import mixing, packing, quality, secrets, simhash
 from vigil.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+def word_tokenizer() -> str:
+    """Path of the public word-level BPE vocabulary."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -31,3 +37,13 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", simhash.hex_of(groups.fp).alias("fingerprint"), "component_id")
+
+
+@query
+def op6_secret_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.find_secrets(table(spark, sf_dir, "documents")))
+
+
+@query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), word_tokenizer())
