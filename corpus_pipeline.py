@@ -11,8 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import mixing, quality
+from vigil.llm import mixing, packing, quality, secrets, simhash
 from vigil.llm.common import stored, table
+from vigil.llm.queries import word_tokenizer
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,15 +21,34 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def simhash_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: three-word shingles,
+    fingerprints linked at two or fewer differing bits."""
+    return simhash.keep_one(docs, shingle=3, max_bits=2)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret in a text replaced by a mark."""
+    return secrets.redact(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each whole copy of a document that the mix takes, and one with
     its first words for the document it takes in part."""
     return mixing.mix_rows(docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in sequences."""
+    return packing.pack_documents(docs, word_tokenizer())
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
+    ("simhash_neardup", simhash_neardup),
+    ("secret_scan", secret_scan),
     ("mix_sources", mix_sources),
+    ("pack", pack),
 ]
 
 
