@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import mixing, packing, quality, secrets, simhash
+from vigil.llm import mixing, packing, quality, secrets, simhash, warc
 from vigil.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,8 @@ def op6_secret_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), word_tokenizer())
+
+
+@query
+def op2_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.records_of(warc.round_trip(spark, table(spark, sf_dir, "pages")))

@@ -54,3 +54,21 @@ SELECT doc_id, source, size, source_size, target,
        (epochs * size + greatest(0, least(size, rest - ahead)))::BIGINT AS taken
 FROM r
 """
+
+SQL["op2_warc_chunks"] = """
+WITH p AS (
+  SELECT page_id, coalesce(url, '') AS url, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest, coalesce(html, '') AS body
+  FROM pages),
+g AS (
+  SELECT body, max(page_id) AS last, count(*) AS copies FROM p WHERE payload_bytes >= 1000
+  GROUP BY body),
+r AS (
+  SELECT p.*, CASE WHEN copies > 1 AND (page_id IS NULL OR page_id < last) THEN last END AS refers_to
+  FROM p LEFT JOIN g USING (body))
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to, url,
+       CASE WHEN refers_to IS NULL THEN greatest(1, ceil(payload_bytes / 65536.0)) ELSE 1 END::BIGINT
+         AS n_chunks
+FROM r
+"""
