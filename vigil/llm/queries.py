@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vigil.llm import mixing, packing, quality, secrets, simhash, warc
+from vigil.llm import html_extract, mixing, packing, quality, secrets, simhash, warc
 from vigil.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +53,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.records_of(warc.round_trip(spark, table(spark, sf_dir, "pages")))
+
+
+@query
+def op10_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
