@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import html_extract, mixing, packing, quality, secrets, simhash, warc
+from vigil.llm import (html_extract, licenses, mixing, packing, quality, secrets, simhash,
+                       token_attribution, warc)
 from vigil.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +60,17 @@ def op2_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_extract.extract(table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op5_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    found = token_attribution.attribute_tokens(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN)
+    return found.withColumn("n_tokens", F.col("n_tokens").cast("long"))
+
+
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
