@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import (html_extract, licenses, mixing, packing, quality, secrets, simhash,
-                       token_attribution, warc)
+from vigil.llm import (embedding_neardup, html_extract, licenses, mixing, packing, quality,
+                       secrets, simhash, token_attribution, warc)
 from vigil.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,8 @@ def op5_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_neardup.link_vectors(table(spark, sf_dir, "embeddings"))

@@ -72,3 +72,25 @@ SELECT page_id, payload_bytes, payload_digest,
          AS n_chunks
 FROM r
 """
+
+SQL["op3_nn_descent"] = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+g AS (
+  SELECT * FROM e WHERE label IS NOT NULL AND v IS NOT NULL AND len(v) > 0
+    AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0),
+p AS (
+  SELECT a.vec_id AS u, b.vec_id AS w FROM g a JOIN g b
+    ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+r AS (
+  SELECT u, u AS w FROM (SELECT DISTINCT u FROM p)
+  UNION SELECT r.u, p.w FROM r JOIN p ON r.w = p.u),
+c AS (SELECT u, min(w) AS component_id FROM r GROUP BY u),
+n AS (SELECT u, count(*) AS n_links FROM p GROUP BY u)
+SELECT e.vec_id, coalesce(n.n_links, 0)::BIGINT AS n_links,
+       coalesce(c.component_id, e.vec_id)::BIGINT AS component_id,
+       coalesce(c.component_id, e.vec_id) = e.vec_id AS kept
+FROM e LEFT JOIN n ON n.u = e.vec_id LEFT JOIN c ON c.u = e.vec_id
+"""
