@@ -8,7 +8,7 @@ meet each other (neighbours of neighbours), and what is near goes to their
 lists.  Lists hold the ``k`` nearest of at least ``floor``; a full list whose
 last entry still links is saturated, and its ``k`` grows fourfold.  Of the large
 lists only some are joined in a round, as their members see each other in
-several.  Rounds go on until no list changes.
+several.  Rounds go on until no list changes, in the large lists twice in a row.
 
 The recall is audited against the exact neighbours of ``audit`` nodes drawn by
 hash (a stated set against all rows, in blocks); while it is below ``recall``,
@@ -170,7 +170,7 @@ def merged_lists(rows: DataFrame, threshold: float) -> DataFrame:
 
 
 def join_neighbours(lists: DataFrame, nodes: DataFrame, floor: float, turn: int,
-                    pivots: int = 6) -> DataFrame:
+                    pivots: int = 10) -> DataFrame:
     """Partial lists of all that meet in a list that grew.  A list joins
     with a chance of ``pivots`` in its length, drawn by hash for each turn."""
     draw = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 20)) / float(1 << 20)
@@ -222,8 +222,8 @@ def exact_counts(nodes: DataFrame, audit: int, threshold: float) -> DataFrame:
 
 
 def neighbour_lists(nodes: DataFrame, threshold: float = 0.98, floor: float = 0.95, k: int = 32,
-                    tables: int = 8, audit: int = 512, recall: float = 0.99, turns: int = 12,
-                    restarts: int = 4) -> DataFrame:
+                    tables: int = 8, audit: int = 512, recall: float = 0.99, turns: int = 30,
+                    restarts: int = 4, pivots: int = 10) -> DataFrame:
     """The refined lists; ``restarts`` bounds the enlargements after an audit."""
     truth = stored(exact_counts(nodes, audit, threshold), "audit")
     wanted = truth.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -233,10 +233,15 @@ def neighbour_lists(nodes: DataFrame, threshold: float = 0.98, floor: float = 0.
         if lists is not None:
             parts = parts.unionByName(lists.withColumn("grew", F.lit(False)))
         lists = stored(merged_lists(parts, threshold), "lists")
+        quiet = 0
         for turn in range(turns):
             if lists.filter("grew AND size(nbrs) > 1").limit(1).count() == 0:
-                break
-            more = join_neighbours(lists, nodes, floor, turn)
+                # the lists of which only some joined are drawn once more
+                quiet += 1
+                lists = lists.withColumn("grew", F.size("nbrs") > pivots)
+                if quiet == 2 or lists.filter("grew").limit(1).count() == 0:
+                    break
+            more = join_neighbours(lists, nodes, floor, turn, pivots)
             lists = stored(merged_lists(
                 lists.withColumn("grew", F.lit(False)).unionByName(more), threshold), "lists")
         found = F.size(F.filter("sims", lambda s: s >= threshold)).cast("long")

@@ -163,27 +163,25 @@ def language_references(counts: DataFrame, lang: str = "lang",
              .groupBy("w_lang", "e.word").agg(F.sum("e.n").alias("n"))
              .groupBy("w_lang").agg(F.map_from_entries(F.collect_list(F.struct("word", "n")))
                                     .alias("ref_words")))
-    own = chars.join(words, F.col("r_lang").eqNullSafe(F.col("w_lang")), "left").select(
+    own = stored(chars.join(words, F.col("r_lang").eqNullSafe(F.col("w_lang")), "left").select(
         "r_lang", "ref_chars", "ref_n", F.coalesce("ref_words", F.expr(
-            "cast(map() AS map<string, bigint>)")).alias("ref_words"))
-    # the sum over all languages serves those with too little text
-    total_words = (own.select(F.explode("ref_words").alias("word", "n")).groupBy("word")
-                   .agg(F.sum("n").alias("n")).agg(F.map_from_entries(F.collect_list(
-                       F.struct("word", "n"))).alias("all_words")))
-    total = own.agg(F.array(*[F.sum(F.get("ref_chars", F.lit(i))) for i in range(k)])
-                    .alias("all_chars"), F.sum("ref_n").alias("all_n"))
+            "cast(map() AS map<string, bigint>)")).alias("ref_words")), "quality-refs")
+    # the sum over all languages serves those with too little text: one row of
+    # a few dozen numbers, read by the driver
+    words_sum = own.select(F.explode("ref_words").alias("word", "n")).groupBy("word").agg(
+        F.sum("n").alias("n"))
+    total = own.agg(*[F.sum(F.get("ref_chars", F.lit(i))).alias(f"c{i}") for i in range(k)],
+                    F.sum("ref_n").alias("n")).first()
+    all_words = {r.word: r.n for r in words_sum.collect()}
+    pooled = F.expr("cast(map() AS map<string, bigint>)") if not all_words else F.create_map(
+        *[F.lit(x) for w in sorted(all_words) for x in (w, all_words[w])])
     langs = counts.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n_docs"))
     enough = F.coalesce(F.col("ref_n"), F.lit(0)) >= min_reference
-    one = F.lit(1)
-    return (langs.join(own, F.col("lang").eqNullSafe(F.col("r_lang")), "left")
-            .withColumn("one", one)
-            .join(total.withColumn("one", one), "one").join(total_words.withColumn("one", one), "one")
-            .select(F.col("lang").alias("ref_lang"),
-                    F.when(enough, F.col("ref_chars")).otherwise(F.col("all_chars"))
-                    .alias("ref_chars"),
-                    F.when(enough, F.col("ref_words")).otherwise(F.col("all_words"))
-                    .alias("ref_words"),
-                    F.when(enough, F.col("ref_n")).otherwise(F.col("all_n")).alias("ref_n")))
+    pick = lambda c, other: F.when(enough, F.col(c)).otherwise(other).alias(c)
+    sums = F.array(*[F.lit(total[f"c{i}"]).cast("long") for i in range(k)])
+    return langs.join(own, F.col("lang").eqNullSafe(F.col("r_lang")), "left").select(
+        F.col("lang").alias("ref_lang"), pick("ref_chars", sums), pick("ref_words", pooled),
+        pick("ref_n", F.lit(total["n"]).cast("long")))
 
 
 def judge(counts: DataFrame, references: DataFrame, lang: str = "lang",

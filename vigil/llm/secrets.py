@@ -21,7 +21,8 @@ driver has at most one row per encoding, length class and level.
 
 Defined cases: a null text is empty and has no spans; texts without any
 candidate give an empty string and the digest of the empty string; repeated
-rows are scanned alike; digits alone are numbers, no secrets; an empty table
+rows are scanned alike; digits alone and words joined by signs are no
+secrets; an empty table
 gives no rows.
 """
 
@@ -43,10 +44,12 @@ MIN_ASSIGN = 8
 MIN_TOKEN = 16
 TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_TOKEN
 
-#: Inferred encodings: pattern and alphabet.  ``word`` is the plain population.
+#: Inferred encodings: pattern and alphabet.  ``word`` is the plain population;
+#: words or numbers joined by signs, as in paths and names, are never reported.
 ENCODINGS = (
     ("number", r"^[0-9]+$", "0123456789"),
     ("word", r"^([A-Z]?[a-z]+|[A-Z]+)$", "abcdefghijklmnopqrstuvwxyz"),
+    ("joined", r"^([A-Z]?[a-z]+|[A-Z]+|[0-9]+)([-_/+]([A-Z]?[a-z]+|[A-Z]+|[0-9]+))+$", "-_/+"),
     ("hex", r"^[0-9a-f]+$", "0123456789abcdef"),
     ("hex_upper", r"^[0-9A-F]+$", "0123456789ABCDEF"),
     ("base32", r"^[A-Z2-7]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
@@ -55,7 +58,7 @@ ENCODINGS = (
 )
 
 #: Levels at which a token may pass, and upper ends of the length classes.
-LEVELS = (0.0001, 0.001, 0.01, 0.05, 0.1, 0.2)
+LEVELS = (0.01, 0.02, 0.05, 0.1, 0.2)
 LENGTHS = (17, 19, 21, 24, 28, 32, 40, 48, 64, 128)
 
 
@@ -154,7 +157,7 @@ def scan(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
     plain = "rtrim('=', v.body)"
     tested = _let("q", plain, _let("c", encoding_of("q"), (
         "struct(v.start AS start, v.stop AS stop, c AS enc, length(q) AS len, "
-        f"CASE WHEN c = 'number' THEN 0D ELSE {randomness('q', 'c')} END AS p)")))
+        f"CASE WHEN c IN ('number', 'joined') THEN 0D ELSE {randomness('q', 'c')} END AS p)")))
     got = got.withColumn("tokens", F.expr(f"transform(tokens, v -> {tested})"))
     spans = lambda c: f"transform({c}, v -> struct(v.start AS start, v.stop AS stop))"
     return stored(got.withColumns({c: F.expr(spans(c)) for c in ("assign", "access", "hex")}),
@@ -182,7 +185,7 @@ def false_discovery_levels(counts: list[tuple[str, int, int, int]],
                  for i in range(len(LEVELS))] for c in classes}
     total = {c: sum(n for e, k, _, n in counts if e == "word" and k == c) for c in classes}
     out = {}
-    for enc in {e for e, *_ in counts} - {"word", "number"}:
+    for enc in {e for e, *_ in counts} - {"word", "number", "joined"}:
         for c in classes:
             mine = [(p, n) for e, k, p, n in counts if e == enc and k == c]
             if not mine:

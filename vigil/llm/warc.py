@@ -110,7 +110,7 @@ def write_archives(chunks: DataFrame, folder: str) -> DataFrame:
             for row in batch.to_pylist():
                 if out is None:
                     store.create_dir(top, recursive=True)
-                    out = store.open_output_stream(path)
+                    out = store.open_output_stream(path, compression=None)
                 if row["chunk_no"] == 0:
                     if zipped is not None:
                         out.write(zipped.compress(b"\r\n\r\n") + zipped.flush())
@@ -223,7 +223,7 @@ def read_archives(manifest: DataFrame, folder: str, chunk_bytes: int = 1 << 16)
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 rows, size = [], 0
-                with store.open_input_stream(path) as raw:
+                with store.open_input_stream(path, compression=None) as raw:
                     for row in archive_chunks(raw, chunk_bytes):
                         rows.append(row)
                         size += 200 + len(row[7] or b"")
