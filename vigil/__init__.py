@@ -9,7 +9,6 @@ whole chain.  Sub-packages:
 ``operators``  grid / blocks / nulls / aggregates / anomaly / correlation /
                alarms / learn / setops
 ``plans``      composite chains and the registered query catalog
-``streaming``  empty: the reference has no streaming operator
 """
 
 from vigil.config import Roles, Settings  # noqa: F401

@@ -42,18 +42,6 @@ class Settings:
     extra: dict = field(default_factory=dict)
 
 
-# Fixed values of the reference (the chain on one-minute readings).
-REFERENCE_SETTINGS = Settings(
-    grid_interval=60,
-    block_gap=30 * 60,
-    fill_gap=4 * 60,
-    switch_separator=30 * 60,
-    switch_threshold=8,
-    lookahead_minutes=30,
-    min_heat_block=31,
-    rolling_minutes=4 * 60,
-)
-
 # Fixed values of the reference: the alarm bits that mean overheating
 # (bit 1 is the least significant bit) and the alarm words they are read from.
 OVERHEATING_BITS = (6, 7, 8)

@@ -7,6 +7,5 @@ from vigil.functions.scalar import (  # noqa: F401
     size_bucket_rank,
     bit_is_set,
     safe_divide,
-    any_of,
     equal_width_bin,
 )

@@ -5,8 +5,6 @@ All are built-in Spark expressions, so they stay inside whole-stage codegen.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,12 +35,14 @@ def scale_decimals(df: DataFrame, decimals: dict[str, int]) -> DataFrame:
 
 
 def round_half_up(c, digits: int = 2) -> Column:
-    """Rounding used by the grid (Trap T23): floor(x*10^d + 0.5)/10^d.
+    """Rounding used by the grid (Trap T23): ties go away from zero, NaN
+    stays NaN.
 
-    Written as plain arithmetic so that Spark and the SQL twin give the same
-    double on ties."""
-    p = 10 ** digits
-    return F.floor(_c(c) * p + 0.5) / p
+    Written as plain arithmetic, sign * floor(|x|*10^d + 0.5)/10^d, so that
+    Spark and the SQL twin give the same double on ties."""
+    p, x = 10 ** digits, _c(c).cast("double")
+    return F.when(F.isnan(x), x).otherwise(
+        F.signum(x) * F.floor(F.abs(x) * p + 0.5) / p + F.lit(0.0))
 
 
 def size_bucket(c="count") -> Column:
@@ -78,11 +78,6 @@ def safe_divide(a, b) -> Column:
     return F.try_divide(_c(a), _c(b))
 
 
-def any_of(cols) -> Column:
-    """OR of boolean columns."""
-    return reduce(lambda x, y: x | y, [_c(c) for c in cols])
-
-
 def equal_width_bin(x, lo, hi, n: int) -> Column:
     """Bin 0..n-1 of ``x`` in [lo, hi] with n equal bins, last bin closed
     (Trap T18).  ``lo``/``hi`` may be columns."""

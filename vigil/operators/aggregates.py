@@ -137,23 +137,13 @@ def class_histogram(df: DataFrame, feature: str, target: str, bins: int = 30) ->
     """Per class, ``bins`` equal bins over that class's own range (last
     bin closed), count and density ``count / (n_class * width)``.
 
-    The class bounds are one small aggregate (one row per class; the label
-    has few values) read on the driver, so the binning is a projection with
-    literals over a single pass of the input."""
+    The class bounds are an aggregate (one row per class, however many) that
+    is joined back; AQE splits a class that holds most of the rows."""
     x = df.select(F.col(feature).cast("double").alias("x"), F.col(target).alias("cls")) \
         .where(F.col("x").isNotNull() & F.col("cls").isNotNull())
     stats = x.groupBy("cls").agg(F.min("x").alias("lo"), F.max("x").alias("hi"),
-                                 F.count(F.lit(1)).alias("n_class")).collect()
-    if not stats:
-        return df.sparkSession.createDataFrame(
-            [], f"{target} {dict(df.dtypes)[target]}, bin int, bin_lo double, count bigint, density double")
-    lo = hi = n = None
-    for r in stats:
-        cond = F.col("cls") == F.lit(r["cls"])
-        lo = F.when(cond, F.lit(r["lo"])) if lo is None else lo.when(cond, F.lit(r["lo"]))
-        hi = F.when(cond, F.lit(r["hi"])) if hi is None else hi.when(cond, F.lit(r["hi"]))
-        n = F.when(cond, F.lit(r["n_class"])) if n is None else n.when(cond, F.lit(r["n_class"]))
-    j = x.select("x", "cls", lo.alias("lo"), hi.alias("hi"), n.alias("n_class"))
+                                 F.count(F.lit(1)).alias("n_class"))
+    j = x.join(stats, "cls")
     j = j.withColumn("bin", equal_width_bin("x", "lo", "hi", bins))
     res = j.groupBy("cls", "bin", "lo", "hi", "n_class").agg(F.count(F.lit(1)).alias("count"))
     width = (F.col("hi") - F.col("lo")) / bins

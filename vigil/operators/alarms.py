@@ -65,27 +65,26 @@ def add_predictive(df: DataFrame, target: str, window_before: int = 30,
                    block_col: str = "BlockID", time_col: str = "when",
                    name: str | None = None) -> DataFrame:
     """M6: look-ahead label.  An event starts where target = 1 and the
-    previous row of the block is not 1 (or missing).  ``next_start`` is the
-    first start at or after the row in the block; the label is 1 if the row
-    is not an event and ``0 < next_start - when <= window_before*60``.
-    A column on the same frame (the original self-join is not needed)."""
-    name = name or f"predictive_{target}"
-    w = Window.partitionBy(device_col, block_col).orderBy(time_col)
-    t = F.col(time_col)
-    prev = F.lag(target).over(w)
-    x = df.withColumn(f"is_start_{target}", F.when(
-        (F.col(target) == 1) & ((prev != 1) | prev.isNull()), 1).otherwise(0))
-    x = x.withColumn(f"next_start_{target}", F.first(
-        F.when(F.col(f"is_start_{target}") == 1, t), ignorenulls=True).over(
-        w.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
-    ns = F.col(f"next_start_{target}")
-    d = ns - t
-    x = x.withColumn(name, F.when(
-        ns.isNotNull() & (F.col(target).isNull() | (F.col(target) == 0))
-        & (d > 0) & (d <= window_before * 60), 1).otherwise(0))
-    if debug:
-        return x
-    return x.drop(f"is_start_{target}", f"next_start_{target}")
+    previous row of the block is not 1 (or missing).  The label is 1 on rows
+    that are no event themselves and have the next start of the block at most
+    ``window_before`` minutes ahead.
+
+    The next start is the latest one met when the block is read backwards: a
+    running value in descending order, linear in the rows of a block.
+    ``debug`` keeps ``is_start_<target>`` and ``next_start_<target>``."""
+    start, ahead = f"is_start_{target}", f"next_start_{target}"
+    block = Window.partitionBy(device_col, block_col)
+    backwards = block.orderBy(F.desc(time_col)).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    on = F.coalesce(F.col(target) == 1, F.lit(False))
+    was_on = F.coalesce(F.lag(target).over(block.orderBy(time_col)) == 1, F.lit(False))
+    x = df.withColumn(start, (on & ~was_on).cast("int"))
+    x = x.withColumn(ahead, F.last(F.when(F.col(start) == 1, F.col(time_col)), True).over(backwards))
+    wait = F.col(ahead) - F.col(time_col)
+    idle = F.coalesce(F.col(target), F.lit(0)) == 0
+    near = F.coalesce(wait.between(1, window_before * 60), F.lit(False))
+    x = x.withColumn(name or f"predictive_{target}", (idle & near).cast("int"))
+    return x if debug else x.drop(start, ahead)
 
 
 def event_aligned_by_position(df: DataFrame, sensors, event: str = "overheating",
@@ -110,13 +109,18 @@ def event_aligned_rate(df: DataFrame, sensors, event: str = "overheating",
                        prev_time: int = 6_000_000, post_time: int = 6_000_000,
                        device_col: str = "hwid", block_col: str = "BlockID",
                        time_col: str = "when") -> DataFrame:
-    """M8: rows with an event from ``post_time`` before to ``prev_time``
-    after them (same block); time relative to the block's first event; for
+    """M8: rows with an event of the device from ``post_time`` before to
+    ``prev_time`` after them; time relative to the block's first event; for
     every sensor value the share of rows at that relative time having it,
     for relative times below ``post_time``.  Long format:
     (sensor, relative_time, value, rate)."""
-    w = Window.partitionBy(device_col, block_col).orderBy(time_col)
-    near = F.count_if(F.col(event) == 1).over(w.rangeBetween(-post_time, prev_time)) > 0
+    # the last event up to a row and the next one from it, on the whole device
+    device, at = Window.partitionBy(device_col), F.when(F.col(event) == 1, F.col(time_col))
+    passed = F.max(at).over(device.orderBy(time_col).rangeBetween(Window.unboundedPreceding, 0))
+    coming = F.min(at).over(device.orderBy(F.desc(time_col)).rangeBetween(
+        Window.unboundedPreceding, 0))
+    near = F.coalesce(F.col(time_col) - passed <= post_time, F.lit(False)) | F.coalesce(
+        coming - F.col(time_col) <= prev_time, F.lit(False))
     first = F.min(F.when(F.col(event) == 1, F.col(time_col))).over(
         Window.partitionBy(device_col, block_col))
     x = df.select(*sensors, event, time_col, device_col, block_col, near.alias("__near")) \
@@ -134,46 +138,39 @@ def event_aligned_rate(df: DataFrame, sensors, event: str = "overheating",
 
 def event_summary(df: DataFrame, duration: float, sensors, rolling: float,
                   key: str = "MinToOverheating") -> DataFrame:
-    """M9: rows with ``key <= duration``; per value of ``key`` the mean,
-    std and count of each sensor, ``err = std/sqrt(n)`` and a rolling mean
-    of the means over ``[key - rolling, key]`` (towards the event, since a
-    smaller key is later).  The summary has one row per key value, bounded
-    by ``duration``, so its window is small."""
-    x = df.where(F.col(key) <= duration)
-    aggs = []
-    for s in sensors:
-        aggs += [F.avg(s).alias(f"{s}_avg"), F.stddev_samp(s).alias(f"{s}_std"),
-                 F.count(s).alias(f"{s}_n")]
-    summ = x.groupBy(key).agg(*aggs)
-    w = Window.orderBy(key).rangeBetween(-rolling, 0)
-    cols = {}
-    for s in sensors:
-        cols[f"{s}_rolling"] = F.avg(f"{s}_avg").over(w)
-        cols[f"{s}_err"] = F.col(f"{s}_std") / F.sqrt(f"{s}_n")
-    return summ.withColumns(cols)
+    """M9: per value of ``key`` up to ``duration`` the mean, std and count of
+    each sensor, ``err = std/sqrt(n)``, and the mean of the means over
+    ``[key - rolling, key]`` (towards the event, since a smaller key is later).
+    The last window runs over the summary: one row per key value."""
+    stats = {"avg": F.avg, "std": F.stddev_samp, "n": F.count}
+    summary = df.where(F.col(key) <= duration).groupBy(key).agg(
+        *[fn(s).alias(f"{s}_{tag}") for s in sensors for tag, fn in stats.items()])
+    past = Window.orderBy(key).rangeBetween(-rolling, 0)
+    return summary.select(
+        "*", *[F.avg(f"{s}_avg").over(past).alias(f"{s}_rolling") for s in sensors],
+        *[(F.col(f"{s}_std") / F.sqrt(f"{s}_n")).alias(f"{s}_err") for s in sensors])
 
 
 def rolling_and_derivative(df: DataFrame, colname: str, mean_minutes: int = 240,
                            debug: bool = False, device_col: str = "hwid",
                            block_col: str = "BlockHeat", time_col: str = "when") -> DataFrame:
-    """Mean over the past ``mean_minutes`` in the event block (range
-    frame, current row included) and its change per second against the
-    previous row; no previous row or zero time step -> 0."""
+    """M10 for one column (see ``add_rolling_features``).  ``debug`` adds the
+    previous row's rolling mean and time."""
+    x = add_rolling_features(df, [colname], mean_minutes, device_col, block_col, time_col)
+    if not debug:
+        return x
     w = Window.partitionBy(device_col, block_col).orderBy(time_col)
-    r = f"{colname}_rolling"
-    x = df.withColumn(r, F.avg(colname).over(w.rangeBetween(-mean_minutes * 60, 0)))
-    x = x.withColumns({f"{colname}_rolling_prev": F.lag(r).over(w),
-                       "when_prev": F.lag(time_col).over(w)})
-    x = x.withColumn(f"{colname}_rolling_derivative", F.coalesce(
-        safe_divide(F.col(r) - F.col(f"{colname}_rolling_prev"),
-                    F.col(time_col) - F.col("when_prev")), F.lit(0.0)))
-    return x if debug else x.drop(f"{colname}_rolling_prev", "when_prev")
+    return x.withColumns({f"{colname}_rolling_prev": F.lag(f"{colname}_rolling").over(w),
+                          "when_prev": F.lag(time_col).over(w)})
 
 
 def add_rolling_features(df: DataFrame, cols, mean_minutes: int = 240,
                          device_col: str = "hwid", block_col: str = "BlockHeat",
                          time_col: str = "when") -> DataFrame:
-    """M10 for many columns in one projection over one window spec."""
+    """Mean over the past ``mean_minutes`` in the event block (range
+    frame, current row included) and its change per second against the
+    previous row; no previous row or no time between gives 0.  All columns in
+    one projection over one window."""
     w = Window.partitionBy(device_col, block_col).orderBy(time_col)
     wr = w.rangeBetween(-mean_minutes * 60, 0)
     x = df.withColumns({f"{c}_rolling": F.avg(c).over(wr) for c in cols})

@@ -91,13 +91,15 @@ def flag_groups(df: DataFrame, sensors, threshold: int, device_col: str = "hwid"
     consecutive among the qualified rows in time order, so the size is
     computed with frames on the same (device, block, time) ordering as the
     rest of the chain: running count of group rows at the group's end minus
-    the one before its start.  No window is partitioned by the id, so the
-    chain keeps one exchange and one sort.
+    the one before its start.  The next group's start is a running
+    value in descending order, and no window is partitioned by the id: one
+    exchange and two sorts for all engines.
     """
     w = _w(device_col, block_col, time_col)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = w.rowsBetween(1, Window.unboundedFollowing)
+    after = Window.partitionBy(device_col, block_col).orderBy(F.desc(time_col)).rowsBetween(
+        Window.unboundedPreceding, -1)
     cols = {}
     for s in sensors:
         sid = F.col(f"switchID_{s}")
@@ -111,7 +113,7 @@ def flag_groups(df: DataFrame, sensors, threshold: int, device_col: str = "hwid"
         sid, cq = F.col(f"switchID_{s}"), F.col(f"__cq_{s}")
         starts = F.col(f"startGroup_{s}") == 1
         first_cq = F.last(F.when(starts, cq), ignorenulls=True).over(upto)
-        next_start_cq = F.first(F.when(starts, cq), ignorenulls=True).over(after)
+        next_start_cq = F.last(F.when(starts, cq), ignorenulls=True).over(after)
         last_cq = F.coalesce(next_start_cq - 1, F.col(f"__nq_{s}"))
         n = F.when(sid.isNotNull(), last_cq - first_cq + 1).otherwise(
             F.col(f"__n_{s}") - F.col(f"__nq_{s}"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.scalar import size_bucket, size_bucket_rank
-from vigil.operators.sequence import neighbour_times
+from vigil.operators.sequence import neighbour_times, runs_after
 
 
 def build_blocks(df: DataFrame, max_interval: int, device_col: str = "hwid",
@@ -71,7 +71,7 @@ def contiguous_blocks(df: DataFrame, interval: int, time_col: str = "when",
 def event_blocks(df: DataFrame, event_col: str = "overheating",
                  min_block_length: int = 2, device_col: str = "hwid",
                  time_col: str = "when", debug: bool = False,
-                 order=None) -> DataFrame:
+                 order=None, split_seconds: int | None = None) -> DataFrame:
     """Blocks that run from one event row to the next (``BlockHeat``).
 
     Per device, ordered by time: a new block starts on the row after a row
@@ -81,21 +81,29 @@ def event_blocks(df: DataFrame, event_col: str = "overheating",
     1, 2, .. per device without holes.  ``TimeOverheating`` is the block's
     last time and ``MinToOverheating = (TimeOverheating - when)/60``.
 
-    Only window expressions on one device ordering: blocks are runs of
-    consecutive rows, so a block's size, end time and last event come from
-    frames on that same ordering (position of the next block start), with no
-    window partitioned by the block and no self-join: one exchange, no second
-    pass over the input.  Rows per device are bounded by the grid resolution.
+    Only window expressions on the device ordering and its reverse: blocks are
+    runs of consecutive rows, so a block's size, end time and last event come
+    from running values (the next block start is one in descending order),
+    with no window partitioned by the block and no self-join: one exchange,
+    no second pass over the input.
+
+    With ``split_seconds`` no task holds a whole device: runs are numbered in
+    two levels by time slice, blocks are summed up by an aggregate (one row
+    per block), and only that table is windowed per device and joined back.
 
     ``order`` may give an ordering equal to time order that the input is
     already sorted by, e.g. ``("BlockID", "when")`` after the gap blocks
     (block ids rise with time), so the device windows need no new sort.
     """
+    if split_seconds is not None:
+        return _event_blocks_sliced(df, event_col, min_block_length, device_col, time_col, debug,
+                                    split_seconds)
     order = list(order) if order else [time_col]
     w = Window.partitionBy(device_col).orderBy(*order)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = w.rowsBetween(1, Window.unboundedFollowing)
+    after = Window.partitionBy(device_col).orderBy(*[F.desc(c) for c in order]).rowsBetween(
+        Window.unboundedPreceding, -1)
     t = F.col(time_col)
     x = df.withColumn("new_block_flag", F.when(F.lag(event_col).over(w) == 1, 1).otherwise(0))
     x = x.withColumns({
@@ -112,8 +120,8 @@ def event_blocks(df: DataFrame, event_col: str = "overheating",
     nxt = F.col("new_block_flag") == 1
     x = x.withColumns({
         "__start": F.last(F.when(starts, F.col("__pos")), ignorenulls=True).over(upto),
-        "__next_start": F.first(F.when(nxt, F.col("__pos")), ignorenulls=True).over(after),
-        "__end_t": F.first(F.when(nxt, F.col("__prev_t")), ignorenulls=True).over(after),
+        "__next_start": F.last(F.when(nxt, F.col("__pos")), ignorenulls=True).over(after),
+        "__end_t": F.last(F.when(nxt, F.col("__prev_t")), ignorenulls=True).over(after),
     })
     n = F.coalesce(F.col("__next_start") - 1, F.col("__n_dev")) - F.col("__start") + 1
     last_block = F.col("__next_start").isNull()
@@ -130,6 +138,26 @@ def event_blocks(df: DataFrame, event_col: str = "overheating",
     return x.drop("new_block_flag", "oldBlockHeat", "TimeOverheating")
 
 
+def _event_blocks_sliced(df: DataFrame, event_col: str, min_block_length: int, device_col: str,
+                         time_col: str, debug: bool, split_seconds: int) -> DataFrame:
+    """B6 in time slices (see ``event_blocks``)."""
+    x = runs_after(df, [device_col], F.coalesce(F.col(event_col) == 1, F.lit(False)), time_col,
+                   split_seconds, "new_block_flag", "__run")
+    x = x.withColumn("oldBlockHeat", F.col("__run") + 1).drop("__run")
+    keys = [device_col, "oldBlockHeat"]
+    ends = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
+                                F.max(F.struct(time_col, event_col)).alias("__end"))
+    w = Window.partitionBy(device_col).orderBy("oldBlockHeat")
+    ended = F.coalesce(F.col(f"__end.{event_col}") == 1, F.lit(False))
+    ends = ends.withColumn("__tail", F.lead("oldBlockHeat").over(w).isNull() & ~ended)
+    ends = ends.where(~F.col("__tail") & (F.col("__n") >= min_block_length)).select(
+        *keys, F.col(f"__end.{time_col}").alias("TimeOverheating"),
+        F.row_number().over(w).cast("long").alias("BlockHeat"))
+    x = x.join(ends, keys)
+    x = x.withColumn("MinToOverheating", (F.col("TimeOverheating") - F.col(time_col)) / 60)
+    return x if debug else x.drop("new_block_flag", "oldBlockHeat", "TimeOverheating")
+
+
 def event_block_sizes(heat: DataFrame, device_col: str = "hwid",
                       block_col: str = "BlockHeat") -> DataFrame:
     """Rows per event block -> size label -> number of blocks, with the

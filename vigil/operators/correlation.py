@@ -7,8 +7,6 @@ driver); results come back as small long-format DataFrames.
 
 from __future__ import annotations
 
-from itertools import combinations_with_replacement
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,18 +21,26 @@ def _complete(df: DataFrame, cols) -> DataFrame:
 
 def covariance_matrix(df: DataFrame, cols) -> DataFrame:
     """Sample covariance of every pair after dropping rows with any
-    null (listwise).  Long format (col_i, col_j, cov), both triangles."""
+    null (listwise).  Long format (col_i, col_j, cov), both triangles.
+
+    The matrix comes from one tree aggregate over assembled vectors (Spark ML),
+    so wide frames cost no expression per pair; the driver reads one number
+    per pair of columns."""
     cols = list(cols)
     x = _complete(df, cols)
-    pairs = list(combinations_with_replacement(range(len(cols)), 2))
-    agg = x.agg(*[F.covar_samp(cols[i], cols[j]).alias(f"c_{i}_{j}") for i, j in pairs])
-    entries = []
-    for i, j in pairs:
-        entries.append(f"'{cols[i]}', '{cols[j]}', c_{i}_{j}")
-        if i != j:
-            entries.append(f"'{cols[j]}', '{cols[i]}', c_{i}_{j}")
-    return agg.select(F.expr(
-        f"stack({len(entries)}, {', '.join(entries)}) AS (col_i, col_j, cov)"))
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    spread = x.agg(F.count(F.lit(1)).alias("n"), *[F.stddev_samp(c).alias(c) for c in cols]).first()
+    names = "col_i string, col_j string, cov double"
+    if spread["n"] < 2:
+        return df.sparkSession.createDataFrame([(a, b, None) for a in cols for b in cols], names)
+    vec = VectorAssembler(inputCols=cols, outputCol="__v").transform(x).select("__v")
+    corr = Correlation.corr(vec, "__v").first()[0].toArray()
+    sd = [spread[c] for c in cols]
+    cov = lambda i, j: (sd[i] * sd[j] if i == j else
+                        float(corr[i, j]) * sd[i] * sd[j] if sd[i] and sd[j] else 0.0)
+    return df.sparkSession.createDataFrame(
+        [(a, b, cov(i, j)) for i, a in enumerate(cols) for j, b in enumerate(cols)], names)
 
 
 def correlation_ranking(df: DataFrame, cols, target: str) -> DataFrame:
@@ -175,8 +181,9 @@ def top_levels(df: DataFrame, load: str, temp: str, n: int = 3) -> DataFrame:
 
 
 def pca(df: DataFrame, cols, k: int | None = None):
-    """Principal components of the listwise-complete columns (centred),
-    with explained variance ratio; Spark ML fits on the executors."""
+    """Principal components of the listwise-complete columns (centred);
+    Spark ML fits on the executors.  Long format: component, explained_ratio,
+    column, loading; the largest loading of a component is positive."""
     from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
     from pyspark.ml import Pipeline
     cols = list(cols)
@@ -190,8 +197,14 @@ def pca(df: DataFrame, cols, k: int | None = None):
     model = pipe.fit(x)
     pm = model.stages[-1]
     ratios = [float(v) for v in pm.explainedVariance.toArray()]
-    rows = [(i + 1, r) for i, r in enumerate(ratios)]
-    return df.sparkSession.createDataFrame(rows, "component int, explained_ratio double"), model
+    loadings = pm.pc.toArray()
+    rows = []
+    for i, ratio in enumerate(ratios):
+        axis = loadings[:, i]
+        sign = 1.0 if axis[abs(axis).argmax()] >= 0 else -1.0
+        rows += [(i + 1, ratio, c, float(sign * v)) for c, v in zip(cols, axis)]
+    return df.sparkSession.createDataFrame(
+        rows, "component int, explained_ratio double, column string, loading double"), model
 
 
 def auc_by_block_sensor(df: DataFrame, sensors, flag: str = "flag_anomaly",
@@ -228,12 +241,12 @@ def auc_by_block_sensor(df: DataFrame, sensors, flag: str = "flag_anomaly",
     return res.select(*g, auc.alias("roc_auc"))
 
 
-def roc_curve(df: DataFrame, label: str, score: str, slices: int = 1024) -> DataFrame:
+def roc_curve(df: DataFrame, label: str, score: str, slices: int = 256) -> DataFrame:
     """C14: FPR and TPR at every distinct score taken as threshold
     (predict 1 when score >= threshold), from the highest score down.
 
-    Counts per distinct score are cumulated in two levels: inside equal
-    score slices (windows per slice) and across slices (a table of at most
+    Counts per distinct score are cumulated in two levels: inside equally
+    full score slices (windows per slice) and across slices (a table of at most
     ``slices`` rows), so no single task sorts all distinct scores."""
     x = df.select(F.col(score).cast("double").alias("s"), F.col(label).cast("int").alias("y")) \
         .where(F.col("s").isNotNull() & F.col("y").isNotNull())
@@ -243,12 +256,11 @@ def roc_curve(df: DataFrame, label: str, score: str, slices: int = 1024) -> Data
     # two-level running sum: write it once instead of computing it three times
     from vigil.session import cut_lineage
     per = cut_lineage(per)
-    b = per.agg(F.min("s").alias("lo"), F.max("s").alias("hi"),
-                F.sum("tp_d").alias("P"), F.sum("fp_d").alias("N")).first()
-    if b is None or b["lo"] is None:
+    b = per.agg(F.sum("tp_d").alias("P"), F.sum("fp_d").alias("N")).first()
+    if b["P"] is None:
         return per.sparkSession.createDataFrame([], "threshold double, tpr double, fpr double")
     from vigil.operators.sequence import global_cumsum
-    cum = global_cumsum(per, "s", ["tp_d", "fp_d"], b["lo"], b["hi"], slices, descending=True)
+    cum = global_cumsum(per, "s", ["tp_d", "fp_d"], slices, descending=True)
     P, N = float(b["P"]), float(b["N"])
     return cum.select(F.col("s").alias("threshold"),
                       (F.col("tp_d_cum") / P if P else F.lit(None).cast("double")).alias("tpr"),
@@ -282,6 +294,9 @@ def mutual_information(df: DataFrame, sensors, flag: str = "flag_anomaly",
 def top_bottom(ranking: DataFrame, k: int, by: str = "abs_corr",
                name_col: str = "sensor") -> DataFrame:
     """The k highest and k lowest of a ranking, with a ``side`` tag."""
-    hi = ranking.orderBy(F.col(by).desc(), name_col).limit(k).withColumn("side", F.lit("top"))
-    lo = ranking.orderBy(F.col(by).asc(), name_col).limit(k).withColumn("side", F.lit("bottom"))
-    return hi.unionByName(lo)
+    one = Window.partitionBy(F.lit(1))  # one row per sensor
+    x = ranking.withColumns({"__hi": F.row_number().over(one.orderBy(F.desc(by), name_col)),
+                             "__lo": F.row_number().over(one.orderBy(F.col(by), name_col))})
+    sides = F.filter(F.array(F.when(F.col("__hi") <= k, "top"), F.when(F.col("__lo") <= k, "bottom")),
+                     lambda s: s.isNotNull())
+    return x.withColumn("side", F.explode(sides)).drop("__hi", "__lo")

@@ -15,9 +15,11 @@ _ALGOS = ("rf", "lr", "svc")
 
 
 def _unit_hash(keys, seed: int):
-    """A number in [0, 1) from the row keys and a seed."""
-    h = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
-    return F.pmod(h, F.lit(1 << 31)).cast("double") / float(1 << 31)
+    """A number in [0, 1) from the row keys and a seed: the first eight hex
+    digits of an md5, so that SQL can draw the same rows."""
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    digits = F.substring(F.md5(text.cast("binary")), 1, 8)
+    return F.conv(digits, 16, 10).cast("double") / float(1 << 32)
 
 
 def undersample(df: DataFrame, target: str, skim: float = 0.25, seed: int = 123,
@@ -51,7 +53,7 @@ def balanced_set(df: DataFrame, label: str, frac: float = 0.73, seed: int = 42,
     return zeros.subtract(drawn).unionByName(df.where(F.col(label) == 1))
 
 
-def train_test_split(df: DataFrame, share: float = 0.8, seed: int = 42,
+def train_test_split(df: DataFrame, share: float = 0.7, seed: int = 42,
                      keys=("hwid", "when")):
     """Repeatable split by row-key hash."""
     u = _unit_hash(keys, seed + 7919)
@@ -63,15 +65,16 @@ def assembler_stages(cols, scaler: bool = True, out: str = "features"):
     from pyspark.ml.feature import StandardScaler, VectorAssembler
     cols = list(cols)
     if not scaler:
-        return [VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="skip")]
-    return [VectorAssembler(inputCols=cols, outputCol="__raw", handleInvalid="skip"),
+        return [VectorAssembler(inputCols=cols, outputCol=out)]
+    return [VectorAssembler(inputCols=cols, outputCol="__raw"),
             StandardScaler(inputCol="__raw", outputCol=out, withMean=True, withStd=True)]
 
 
 def build_model(algo: str, label: str, weight_col: str | None = None, seed: int = 42,
-                n_trees: int = 100, max_depth: int = 10, reg: float = 0.01,
-                max_iter: int = 100):
-    """The classifier for ``rf``, ``lr`` or ``svc``."""
+                n_trees: int = 500, max_depth: int = 10, svc_reg: float = 0.01,
+                svc_iter: int = 1000):
+    """The classifier for ``rf`` (500 trees of depth 10), ``lr``
+    (no regularisation) or ``svc`` (up to 1000 iterations)."""
     from pyspark.ml.classification import (LinearSVC, LogisticRegression,
                                            RandomForestClassifier)
     if algo not in _ALGOS:
@@ -82,18 +85,19 @@ def build_model(algo: str, label: str, weight_col: str | None = None, seed: int
     if algo == "rf":
         return RandomForestClassifier(numTrees=n_trees, maxDepth=max_depth, seed=seed, **kw)
     if algo == "lr":
-        return LogisticRegression(regParam=reg, maxIter=max_iter, **kw)
-    return LinearSVC(regParam=reg, maxIter=max_iter, tol=1e-8, **kw)
+        return LogisticRegression(regParam=0.0, **kw)
+    return LinearSVC(regParam=svc_reg, maxIter=svc_iter, tol=1e-8, **kw)
 
 
 def run_model(df: DataFrame, cols, label: str, algo: str = "rf", weight_class1: float = 10.0,
-              replicate: int = 1, seed: int = 42, scaler: bool = True, share: float = 0.8,
+              seed: int = 42, scaler: bool = True, share: float = 0.7,
               keys=("hwid", "when"), **model_kw):
     """Fit on the train part and score on the test part and on all rows.
 
-    ``rf`` replicates class 1 (L3) when ``replicate > 1``; ``lr``/``svc``
-    use class weights (L2).  Returns (model, test predictions, all
-    predictions)."""
+    ``rf`` replicates class 1 (L3) ``floor(weight_class1)`` times;
+    ``lr``/``svc`` use class weights (L2).  Rows with a null feature or label
+    are not fitted; among all rows they come back with null predictions.
+    Returns (model, test predictions, all predictions)."""
     from pyspark.ml import Pipeline
     if algo not in _ALGOS:
         raise ValueError(f"Unsupported algorithm: {algo}")
@@ -101,8 +105,8 @@ def run_model(df: DataFrame, cols, label: str, algo: str = "rf", weight_class1:
     data = df.na.drop(subset=list(cols) + [label])
     train, test = train_test_split(data, share, seed, keys)
     weight = None
-    if algo == "rf" and replicate > 1:
-        train = replicate_positive(train, label, replicate)
+    if algo == "rf":
+        train = replicate_positive(train, label, int(weight_class1))
     else:
         train = class_weights(train, label, weight_class1)
         weight = "weight"
@@ -113,7 +117,10 @@ def run_model(df: DataFrame, cols, label: str, algo: str = "rf", weight_class1:
     pipe = Pipeline(stages=[*assembler_stages(cols, scaler),
                             build_model(algo, label, weight, seed, **model_kw)])
     model = pipe.fit(train)
-    return model, with_probability(model.transform(test)), with_probability(model.transform(data))
+    missing = F.greatest(*[F.col(c).isNull() for c in (*cols, label)])
+    scored = with_probability(model.transform(data)).unionByName(
+        df.where(missing), allowMissingColumns=True)
+    return model, with_probability(model.transform(test)), scored
 
 
 def with_probability(preds: DataFrame, name: str = "ProbOverheating") -> DataFrame:
@@ -132,6 +139,14 @@ def importance_report(model, cols, n: int = 4) -> list[tuple[str, float]]:
     return [(c.split("_")[0], float(v) * 100) for c, v in ranked]
 
 
+def coefficient_report(model, cols) -> list[tuple[str, float, str]]:
+    """Coefficient of each (scaled) feature of a linear model, largest
+    first, and whether it speaks for or against class 1."""
+    coefs = model.stages[-1].coefficients.toArray()
+    ranked = sorted(zip(cols, map(float, coefs)), key=lambda p: (-abs(p[1]), p[0]))
+    return [(c, w, "for" if w > 0 else "against" if w < 0 else "none") for c, w in ranked]
+
+
 def stump_threshold(df: DataFrame, feature: str, target: str) -> float:
     """Split point of a depth-1 tree on one feature; if the tree has no
     split, the mean of the two class medians."""
@@ -188,7 +203,7 @@ def confusion_matrix(df: DataFrame, target: str, prediction: str = "prediction")
                   F.count_if((y == 1) & (p == 1)).alias("tp"))
 
 
-def auc(df: DataFrame, target: str, score: str, slices: int = 1024) -> DataFrame:
+def auc(df: DataFrame, target: str, score: str, slices: int = 256) -> DataFrame:
     """Area under the ROC curve by rank-sum with mean ranks on ties:
     sum over distinct scores of pos(s) * (neg_below(s) + neg(s)/2) / (P*N).
     One row: ``auc``."""
@@ -200,11 +215,7 @@ def auc(df: DataFrame, target: str, score: str, slices: int = 1024) -> DataFrame
     # used by the bounds read and both sides of the running sum: write once
     from vigil.session import cut_lineage
     per = cut_lineage(per)
-    b = per.agg(F.min("s").alias("lo"), F.max("s").alias("hi")).first()
-    spark = df.sparkSession
-    if b is None or b["lo"] is None:
-        return spark.createDataFrame([(None,)], "auc double")
-    cum = global_cumsum(per, "s", ["neg"], b["lo"], b["hi"], slices)
+    cum = global_cumsum(per, "s", ["neg"], slices)
     part = F.col("pos") * (F.col("neg_cum") - F.col("neg") + F.col("neg") / 2.0)
     return cum.agg((F.try_divide(F.sum(part), F.sum("pos") * F.sum("neg"))).alias("auc"))
 
@@ -257,6 +268,7 @@ def score_separation(df: DataFrame, target: str, score: str) -> DataFrame:
     ).withColumn("mean_diff", F.col("mean_1") - F.col("mean_0"))
 
 
-def random_rows(df: DataFrame, n: int, seed: int = 7) -> DataFrame:
-    """N random rows (a sampling operator; top-n of a random key)."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def random_rows(df: DataFrame, n: int, seed: int = 7, keys=("hwid", "when")) -> DataFrame:
+    """N random rows (a sampling operator; top-n of a hash of the row
+    keys, so the same rows whatever the partitions)."""
+    return df.orderBy(_unit_hash(keys, seed), *keys).limit(n)

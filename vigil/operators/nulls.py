@@ -40,11 +40,13 @@ def fill_nearest_nonnull(df: DataFrame, sensors, max_gap: int,
     adjacent row.  Alarm words are skipped and no row is dropped."""
     w = Window.partitionBy(device_col, block_col).orderBy(time_col)
     w_prev = w.rowsBetween(Window.unboundedPreceding, -1)
-    w_next = w.rowsBetween(1, Window.unboundedFollowing)
+    # the rows ahead are those before in descending order
+    w_next = Window.partitionBy(device_col, block_col).orderBy(F.desc(time_col)).rowsBetween(
+        Window.unboundedPreceding, -1)
     nd, pd_ = F.col("NextDiff"), F.col("PrevDiff")
     filled = {
         s: F.when(F.col(s).isNotNull(), F.col(s))
-        .when((nd <= max_gap) & (nd <= pd_), F.first(s, ignorenulls=True).over(w_next))
+        .when((nd <= max_gap) & (nd <= pd_), F.last(s, ignorenulls=True).over(w_next))
         .when(pd_ <= max_gap, F.last(s, ignorenulls=True).over(w_prev))
         for s in sensors if s not in skip
     }

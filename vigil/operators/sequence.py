@@ -84,21 +84,64 @@ def neighbour_times(df: DataFrame, keys, time_col: str = "when",
     return out.drop(_SLICE, "__lp", "__ln", "__lf", "__lc", "__pl", "__nf", "__sf", "__off")
 
 
-def global_cumsum(df: DataFrame, order_col: str, sum_cols, lo: float, hi: float,
-                  slices: int = 1024, descending: bool = False) -> DataFrame:
+def runs_after(df: DataFrame, keys, mark, time_col: str, split_seconds: int, flag_name: str,
+               run_name: str) -> DataFrame:
+    """Number the runs of rows that end with a marked row: ``flag_name`` = 1
+    on the row after one where ``mark`` holds, ``run_name`` = running sum of
+    it (0-based), per ``keys`` in the order of ``time_col``, by time slice.
+
+    Inside a slice the flag is the mark of the row before, and the running
+    sum counts the marks before the row, so the whole summary of a slice is
+    its number of marks; whether the row before a slice was marked is carried
+    with the count."""
+    keys = list(keys)
+    sliced = df.withColumn(_SLICE, F.floor(F.col(time_col) / split_seconds)).withColumn(
+        "__mark", mark.cast("int"))
+    w = Window.partitionBy(*keys, _SLICE).orderBy(time_col)
+    local = sliced.withColumns({
+        "__before": F.lag("__mark").over(w),
+        "__count": F.coalesce(F.sum("__mark").over(
+            w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+    totals = sliced.groupBy(*keys, _SLICE).agg(
+        F.sum("__mark").alias("__marks"), F.max_by("__mark", time_col).alias("__last"))
+    ws = Window.partitionBy(*keys).orderBy(_SLICE)
+    totals = totals.select(*keys, _SLICE, F.lag("__last").over(ws).alias("__carried"), F.coalesce(
+        F.sum("__marks").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
+    out = local.join(totals, [*keys, _SLICE])
+    return out.withColumns({
+        flag_name: F.coalesce("__before", "__carried", F.lit(0)),
+        run_name: F.col("__off") + F.col("__count"),
+    }).drop(_SLICE, "__mark", "__before", "__count", "__carried", "__off")
+
+
+def slice_bounds(df: DataFrame, order_col: str, slices: int) -> list[float]:
+    """Inner bounds of ``slices`` ranges with about equally many rows, from
+    approximate quantiles (at most ``slices - 1`` numbers, read by the driver;
+    repeated bounds collapse)."""
+    at = [k / slices for k in range(1, slices)]
+    cuts = df.approxQuantile(order_col, at, 0.1 / slices) if at else []
+    return sorted(set(cuts))
+
+
+def global_cumsum(df: DataFrame, order_col: str, sum_cols, slices: int = 256,
+                  descending: bool = False) -> DataFrame:
     """Running sums of ``sum_cols`` over the whole frame ordered by the
     (unique) ``order_col``, without a single-partition window.
 
-    Rows are cut into ``slices`` equal ranges of ``order_col`` (bounds
-    ``lo``/``hi``): a window per slice gives the local running sums, and the
-    slice totals (at most ``slices`` rows, so broadcasting them is bounded)
-    give each slice its offset.  Adds ``<c>_cum`` for every column.
+    Rows are cut into ranges of ``order_col`` with about equally many rows
+    (so crowded values spread): a window per range gives the local running
+    sums, and the range totals (at most ``slices`` rows, so broadcasting them
+    is bounded) give each range its offset.  Adds ``<c>_cum`` for every
+    column.
     """
-    from vigil.functions.scalar import equal_width_bin
     sum_cols = list(sum_cols)
-    b = equal_width_bin(order_col, float(lo), float(hi), slices)
+    cuts = slice_bounds(df, order_col, slices)
+    b = F.lit(0)
+    if cuts:
+        # number of cuts at or below the value
+        b = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(order_col)))
     if descending:
-        b = F.lit(slices - 1) - b
+        b = F.lit(len(cuts)) - b
     x = df.withColumn(_SLICE, b)
     o = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w = Window.partitionBy(_SLICE).orderBy(o).rowsBetween(Window.unboundedPreceding,

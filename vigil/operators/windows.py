@@ -45,9 +45,12 @@ def rows_frame(keys, start: int, end: int, order: str = "when"):
 
 
 def next_non_null(col, keys, order: str = "when") -> Column:
-    """First non-null value at or after the row."""
-    return F.first(col, ignorenulls=True).over(
-        ordered(keys, order).rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    """First non-null value at or after the row: a running value in
+    descending order (a frame that reaches ahead to the end would be worked
+    out anew for every row)."""
+    back = Window.partitionBy(*keys).orderBy(F.desc(order))
+    return F.last(col, ignorenulls=True).over(
+        back.rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
 def last_non_null(col, keys, order: str = "when") -> Column:

@@ -8,7 +8,6 @@ and its twin are the same.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 from vigil.plans import stand_in as S
 from vigil.plans.stand_in import sql
-from vigil.session import checkpoint_dir
+from vigil.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -67,7 +66,7 @@ def x2_repartition_by_device(spark, sf):
 
 @register("x3_x5_snapshot_roundtrip", sql(f"SELECT {BLOCK_SELECT} FROM blocks", "blocks"))
 def x3_x5_snapshot_roundtrip(spark, sf):
-    path = f"{checkpoint_dir(spark)}/snapshot_blocks_{zlib.crc32(sf.encode())}"
+    path = scratch_path(spark, "snapshot-blocks")
     X.write_snapshot(_grid_out(S.blocks(spark, sf)), path)
     df = X.read_snapshot(spark, path)
     return df.withColumn("hwid", F.col("hwid").cast("long"))
@@ -76,9 +75,11 @@ def x3_x5_snapshot_roundtrip(spark, sf):
 @register("x4_x6_csv_roundtrip", sql(f"SELECT {GRID_SELECT} FROM grid", "grid"))
 def x4_x6_csv_roundtrip(spark, sf):
     g = _grid_out(S.grid(spark, sf))
-    path = f"{checkpoint_dir(spark)}/snapshot_grid_csv_{zlib.crc32(sf.encode())}"
-    g.write.mode("overwrite").option("header", True).csv(path)
-    return X.read_csv_snapshot(spark, path, g.schema)
+    path = scratch_path(spark, "snapshot-grid")
+    X.write_parquet(g, f"{path}.parquet")
+    g = spark.read.parquet(f"{path}.parquet")
+    g.write.option("header", True).csv(f"{path}.csv")
+    return X.read_csv_snapshot(spark, f"{path}.csv", g.schema)
 
 
 @register("x7_split_by_device", sql("""SELECT CAST(sum(n) AS BIGINT) AS rows_in,
@@ -90,7 +91,7 @@ FROM (SELECT hwid, "when", metric, count(*) AS n,
       FROM readings GROUP BY hwid, "when", metric)""", "readings"))
 def x7_split_by_device(spark, sf):
     ids = X.load_table(spark, sf, "customer").select(F.col("c_custkey").alias("hwid"))
-    return X.split_by_device(S.readings(spark, sf), ids)
+    return X.split_by_device(S.readings(spark, sf), ids, path=scratch_path(spark, "by-device"))
 
 
 @register("x9_preview_first", sql(f"""SELECT {GRID_SELECT} FROM grid
@@ -489,9 +490,20 @@ def a3_distinct_counts(spark, sf):
     return A.distinct_counts(S.blocks(spark, sf), S.GRID_COLS)
 
 
-@register("a4_approx_distinct_counts")
+_EXACT_DISTINCT = " UNION ALL ".join(
+    f"SELECT '{c}' AS sensor, count(DISTINCT {c}) AS exact, TRUE AS within FROM blocks"
+    for c in S.GRID_COLS)
+
+
+@register("a4_approx_distinct_counts", sql(f"SELECT * FROM ({_EXACT_DISTINCT}) WHERE exact > 1",
+                                           "blocks"))
 def a4_approx_distinct_counts(spark, sf):
-    return A.approx_distinct_counts(S.blocks(spark, sf), S.GRID_COLS, 0.15)
+    """The sketch beside the exact count: within three standard errors."""
+    blocks = S.blocks(spark, sf)
+    exact = A.distinct_counts(blocks, S.GRID_COLS).withColumnRenamed("n_distinct", "exact")
+    near = A.approx_distinct_counts(blocks, S.GRID_COLS, 0.15, keep_over=0)
+    return exact.join(near, "sensor").select("sensor", "exact", (
+        F.abs(F.col("n_distinct") - F.col("exact")) <= 0.45 * F.col("exact")).alias("within"))
 
 
 @register("a5_approx_distinct_per_block")
@@ -522,12 +534,13 @@ GROUP BY bin""", "wide")
 
 @register("a7_gap_histogram_short", _a7_sql(0, 86400, 3600))
 def a7_gap_histogram_short(spark, sf):
-    return A.gap_histogram(A.time_gap_frequency(S.wide(spark, sf)), 0, 86400, 3600)
+    return A.gap_histogram(A.time_gap_frequency(S.wide(spark, sf), split_seconds=S.EVENTS.split_seconds), 0, 86400, 3600)
 
 
 @register("a7_gap_histogram_long", _a7_sql(86400, 864000, 21600))
 def a7_gap_histogram_long(spark, sf):
-    return A.gap_histogram(A.time_gap_frequency(S.wide(spark, sf)), 86400, 864000, 21600)
+    return A.gap_histogram(A.time_gap_frequency(
+        S.wide(spark, sf), split_seconds=S.EVENTS.split_seconds), 86400, 864000, 21600)
 
 
 @register("a9_flag_totals", sql("""SELECT hwid, CAST(sum(flag_anomaly) AS BIGINT) AS total_flag_anomaly,
@@ -574,9 +587,18 @@ def a13_daily_anomaly_counts(spark, sf):
     return x.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
-@register("a14_approx_median_by_class")
+@register("a14_approx_median_by_class", sql("""SELECT flag_anomaly, quantile_disc("view", 0.5) AS exact,
+  TRUE AS within FROM final WHERE "view" IS NOT NULL GROUP BY flag_anomaly""", "final"))
 def a14_approx_median_by_class(spark, sf):
-    return A.approx_median_by_class(S.final(spark, sf), "view", "flag_anomaly")
+    """The sketch beside the exact median: equal while a class has fewer rows
+    than the sketch's accuracy, near it beyond."""
+    x = S.final(spark, sf).where("view IS NOT NULL")
+    exact = x.groupBy("flag_anomaly").agg(
+        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY view)").alias("exact"),
+        F.stddev_pop("view").alias("sd"))
+    return exact.join(A.approx_median_by_class(x, "view", "flag_anomaly"), "flag_anomaly").select(
+        "flag_anomaly", "exact", (F.abs(F.col("median") - F.col("exact")) <= 0.05 * F.col("sd"))
+        .alias("within"))
 
 
 def _class_hist_sql(src, feature, target, bins):
@@ -809,7 +831,8 @@ FROM (SELECT *, CAST(row_number() OVER (PARTITION BY hwid ORDER BY time_diff) AS
       FROM ({_A6}))
 WHERE rank_small <= 3 OR rank_large <= 3""", "wide"))
 def z6_top_gaps(spark, sf):
-    return Z.top_gaps(A.time_gap_frequency(S.wide(spark, sf)), 3)
+    return Z.top_gaps(A.time_gap_frequency(S.wide(spark, sf),
+                                           split_seconds=S.EVENTS.split_seconds), 3)
 
 
 # ------------------------------------------------------ C: correlation
@@ -1097,7 +1120,7 @@ _M8_PREV, _M8_POST = 10 * 86400, 10 * 86400
 FROM (SELECT 'engine' AS sensor, relative_time, CAST(engine AS DOUBLE) AS value, count(*) AS occurrences
       FROM (SELECT engine, "when" - min(CASE WHEN overheating = 1 THEN "when" END)
                    OVER (PARTITION BY hwid, BlockID) AS relative_time
-            FROM (SELECT * FROM (SELECT *, count(CASE WHEN overheating = 1 THEN 1 END) OVER ({S._W_BLK}
+            FROM (SELECT * FROM (SELECT *, count(CASE WHEN overheating = 1 THEN 1 END) OVER ({S._W_DEV}
                     RANGE BETWEEN {_M8_POST} PRECEDING AND {_M8_PREV} FOLLOWING) AS near FROM final)
                   WHERE near > 0))
       WHERE relative_time < {_M8_POST} GROUP BY 1, 2, 3)""", "final"))
@@ -1157,7 +1180,13 @@ def _features(spark, sf):
 _KEYS_P = ["hwid", "when", "predictive_overheating"]
 
 
-@register("l1_undersample")
+def _unit_sql(seed, keys=("hwid", '"when"')):
+    text = "':' || ".join(f"{k}::VARCHAR || " for k in keys)[:-4]
+    return f"('0x' || substr(md5('{seed}:' || {text}), 1, 8))::BIGINT / 4294967296.0::DOUBLE"
+
+
+@register("l1_undersample", sql(f"""SELECT hwid, "when", predictive_overheating FROM predicted
+WHERE predictive_overheating = 1 OR {_unit_sql(123)} <= 0.25""", "predicted"))
 def l1_undersample(spark, sf):
     return L.undersample(S.predicted(spark, sf), "predictive_overheating", 0.25).select(*_KEYS_P)
 
@@ -1175,25 +1204,42 @@ def l3_replicate_positive(spark, sf):
                                 "overheating", 3)
 
 
-@register("l4_balanced_set")
+@register("l4_balanced_set", sql(f"""SELECT DISTINCT hwid, "when", predictive_overheating FROM predicted
+WHERE predictive_overheating = 0 AND NOT {_unit_sql(42)} <= 0.73
+UNION ALL SELECT hwid, "when", predictive_overheating FROM predicted
+WHERE predictive_overheating = 1""", "predicted"))
 def l4_balanced_set(spark, sf):
     return L.balanced_set(S.predicted(spark, sf).select(*_KEYS_P), "predictive_overheating", 0.73)
 
 
-@register("l5_train_test_split")
+@register("l5_train_test_split", sql(f"""SELECT hwid, "when", predictive_overheating,
+  CASE WHEN {_unit_sql(42 + 7919)} < 0.7 THEN 'train' ELSE 'test' END AS part FROM predicted""",
+                                     "predicted"))
 def l5_train_test_split(spark, sf):
-    train, _ = L.train_test_split(S.predicted(spark, sf).select(*_KEYS_P), 0.8)
-    return train
+    train, test = L.train_test_split(S.predicted(spark, sf).select(*_KEYS_P))
+    return train.withColumn("part", F.lit("train")).unionByName(
+        test.withColumn("part", F.lit("test")))
+
+
+def _scaled_sql():
+    mean = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in FEATURES)
+    keep = " AND ".join(f"{c} IS NOT NULL" for c in FEATURES)
+    cols = ", ".join(f"CASE WHEN s_{c} = 0 THEN 0.0::DOUBLE ELSE ({c} - m_{c}) / s_{c} END AS {c}"
+                     for c in FEATURES)
+    return f"""WITH f AS (SELECT * FROM ({_rolling_sql('heat', ['engine', 'flag_anomaly'], _M10_MIN)})
+  WHERE {keep}), m AS (SELECT {mean} FROM f)
+SELECT hwid, "when", {cols} FROM f, m"""
 
 
-@register("l6_assemble_scale")
+@register("l6_assemble_scale", sql(_scaled_sql(), "heat"))
 def l6_assemble_scale(spark, sf):
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
     data = _features(spark, sf).na.drop(subset=list(FEATURES))
     model = Pipeline(stages=L.assembler_stages(FEATURES, scaler=True)).fit(data)
-    return model.transform(data).select("hwid", "when",
-                                        vector_to_array("features").alias("scaled"))
+    scaled = vector_to_array("features")
+    return model.transform(data).select("hwid", "when", *[scaled[i].alias(c)
+                                                          for i, c in enumerate(FEATURES)])
 
 
 def _model_preds(spark, sf, algo, **kw):
@@ -1207,7 +1253,7 @@ def _model_preds(spark, sf, algo, **kw):
 
 @register("l7_linear_svm")
 def l7_linear_svm(spark, sf):
-    return _model_preds(spark, sf, "svc", weight_class1=8, max_iter=100)[1]
+    return _model_preds(spark, sf, "svc", weight_class1=8)[1]
 
 
 @register("l8_logistic_regression")
@@ -1215,9 +1261,31 @@ def l8_logistic_regression(spark, sf):
     return _model_preds(spark, sf, "lr", weight_class1=10)[1]
 
 
+@register("l8_coefficients")
+def l8_coefficients(spark, sf):
+    model, _ = _model_preds(spark, sf, "lr", weight_class1=10)
+    return spark.createDataFrame(L.coefficient_report(model, FEATURES),
+                                 "feature string, coefficient double, direction string")
+
+
 @register("l9_l16_random_forest")
 def l9_l16_random_forest(spark, sf):
-    return _model_preds(spark, sf, "rf", weight_class1=10, n_trees=100, max_depth=10)[1]
+    return _model_preds(spark, sf, "rf", weight_class1=10)[1]
+
+
+@register("l13_l14_model_metrics")
+def l13_l14_model_metrics(spark, sf):
+    """Confusion matrix, accuracy, precision and AUC of each model's own
+    predictions (the SVM's score is its prediction)."""
+    out = None
+    for algo in ("rf", "lr", "svc"):
+        preds = _model_preds(spark, sf, algo)[1].where("prediction IS NOT NULL")
+        score = "ProbOverheating" if "ProbOverheating" in preds.columns else "prediction"
+        label = "predictive_overheating"
+        one = L.confusion_matrix(preds, label).withColumn("algo", F.lit(algo)).join(
+            L.metrics(preds, label, score).withColumn("algo", F.lit(algo)), "algo")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @register("l10_decision_stump")
@@ -1226,16 +1294,22 @@ def l10_decision_stump(spark, sf):
     return spark.createDataFrame([("engine_rolling", float(thr))], "feature string, threshold double")
 
 
-@register("l15_run_model_test_part")
-def l15_run_model_test_part(spark, sf):
-    data = _features(spark, sf)
-    _, test, _ = L.run_model(data, FEATURES, "predictive_overheating", "lr")
-    return test.select("hwid", "when", "predictive_overheating", "prediction")
+def _test_part(algo):
+    def run(spark, sf):
+        data = _features(spark, sf)
+        _, test, _ = L.run_model(data, FEATURES, "predictive_overheating", algo)
+        return test.select("hwid", "when", "predictive_overheating", "prediction")
+    return run
+
+
+register("l15_run_model_test_part")(_test_part("lr"))
+register("l15_run_model_rf")(_test_part("rf"))
+register("l15_run_model_svc")(_test_part("svc"))
 
 
 @register("l17_importance_report")
 def l17_importance_report(spark, sf):
-    model, _ = _model_preds(spark, sf, "rf", n_trees=50, max_depth=6)
+    model, _ = _model_preds(spark, sf, "rf")
     rows = L.importance_report(model, FEATURES, 4)
     return spark.createDataFrame(rows, "sensor string, importance_pct double")
 
@@ -1342,7 +1416,8 @@ def l20_score_separation(spark, sf):
     return L.score_separation(L.linear_score(_docs(spark, sf), **_LS), "quality", "score")
 
 
-@register("l21_random_rows")
+@register("l21_random_rows", sql(f"""SELECT hwid, "when", BlockID, flag_anomaly FROM final
+ORDER BY {_unit_sql(7)}, hwid, "when" LIMIT 10""", "final"))
 def l21_random_rows(spark, sf):
     return L.random_rows(S.final(spark, sf).select("hwid", "when", "BlockID", "flag_anomaly"), 10)
 
@@ -1389,8 +1464,7 @@ def q3_maintenance_report(spark, sf):
 def q3_maintenance_model(spark, sf):
     rows, _ = Q.anomaly_report(S.blocks(spark, sf), ROLES, S.EVENTS)
     frame = Q.maintenance_frame(rows, ROLES, S.EVENTS, features=["engine", "flag_anomaly"])
-    return Q.maintenance_report(frame, FEATURES, _SHOW, _MOVE, model="rf", n_trees=100,
-                                max_depth=10)
+    return Q.maintenance_report(frame, FEATURES, _SHOW, _MOVE, model="rf")
 
 
 # ----------------------------------------------------- W: window blocks

@@ -50,7 +50,7 @@ _FRAMES: dict = {}
 
 def _memo(fn):
     def wrapper(spark: SparkSession, sf: str, *args, **kw):
-        key = (fn.__name__, id(spark), spark.conf.get("spark.sql.session.timeZone"),
+        key = (fn.__name__, spark.sparkContext.applicationId, id(spark._jsparkSession), spark.conf.get("spark.sql.session.timeZone"),
                spark.conf.get("spark.sql.ansi.enabled", "true"), sf,
                args, tuple(sorted(kw.items())))
         df = _FRAMES.get(key)
@@ -125,7 +125,7 @@ _RUN = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
 
 def _avg2(c):
-    return f"floor(avg({c}) * 100 + 0.5) / 100 AS {c}"
+    return f"sign(avg({c})) * floor(abs(avg({c})) * 100 + 0.5) / 100 AS {c}"
 
 
 def _bits(word, bits=(6, 7, 8)):

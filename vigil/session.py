@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,21 +63,33 @@ def cluster_conf(raw_bytes: int, executors: int, cores_per_executor: int,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by the cluster; a scratch one if unset."""
+    """Shared checkpoint folder named by the cluster.  If none is named, a
+    local session gets a scratch folder; on a cluster that would put files on
+    the executors' own disks, so it is an error there."""
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
-        # only when the cluster names none (tests, local runs)
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all "
+                             "executors share")
         path = tempfile.mkdtemp(prefix="vigil-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", path)
         except Exception:  # noqa: BLE001  core confs may be read-only at runtime
             pass
-    spark.sparkContext.setCheckpointDir(path)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the checkpoint folder: no call overwrites what an
+    earlier, still lazy frame reads.  The folder is the cluster's scratch
+    space; whoever owns it clears it after the job."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives the
     loss of an executor, unlike a local checkpoint)."""
