@@ -394,25 +394,20 @@ def b7_event_block_sizes(spark, sf):
 from vigil.operators import nulls as N  # noqa: E402
 
 
-def _fill_case(c, nxt, prv):
-    return (f"CASE WHEN {c} IS NOT NULL THEN {c} "
-            f"WHEN NextDiff <= {S.FILL} AND NextDiff <= PrevDiff THEN {nxt} "
-            f"WHEN PrevDiff <= {S.FILL} THEN {prv} END AS {c}")
-
-
-_FILLED = ", ".join(_fill_case(c, f'lead({c}) OVER ({S._W_BLK})', f'lag({c}) OVER ({S._W_BLK})')
-                    for c in S.SENSORS)
+_FILLED = ", ".join(S.fill_case(c, f'lead({c}) OVER ({S._W_BLK})', f'lag({c}) OVER ({S._W_BLK})')
+                    for c in S.PREPARED_FILL)
 
 
 @register("n1_fill_nearest", sql(f"""SELECT * FROM (
   SELECT hwid, "when", BlockID, PrevDiff, NextDiff, {_FILLED} FROM blocks)
-WHERE {' AND '.join(f'{c} IS NOT NULL' for c in S.SENSORS)}""", "blocks"))
+WHERE {' AND '.join(f'{c} IS NOT NULL' for c in S.PREPARED_FILL)}""", "blocks"))
 def n1_fill_nearest(spark, sf):
-    b = S.blocks(spark, sf).select("hwid", "when", "BlockID", "PrevDiff", "NextDiff", *S.SENSORS)
-    return N.fill_nearest(b, S.SENSORS, S.FILL)
+    b = S.blocks(spark, sf).select("hwid", "when", "BlockID", "PrevDiff", "NextDiff",
+                                   *S.PREPARED_FILL)
+    return N.fill_nearest(b, S.PREPARED_FILL, S.FILL)
 
 
-_FILLED_NN = ", ".join(_fill_case(
+_FILLED_NN = ", ".join(S.fill_case(
     c,
     f'first({c} IGNORE NULLS) OVER ({S._W_BLK} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)',
     f'last({c} IGNORE NULLS) OVER ({S._W_BLK} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)')
@@ -1379,9 +1374,9 @@ def l14_metrics(spark, sf):
 _SHOW, _MOVE = 4320, 720
 
 
-def _scored_sql():
+def _scored_sql(src="heat"):
     return (f"SELECT *, engine_rolling AS ProbOverheating FROM "
-            f"({_rolling_sql('heat', ['engine', 'flag_anomaly'], _M10_MIN)})")
+            f"({_rolling_sql(src, ['engine', 'flag_anomaly'], _M10_MIN)})")
 
 
 @register("l18_probability_trend", sql(f"""SELECT *, avg(AvgProb) OVER (ORDER BY MinToOverheating
@@ -1428,43 +1423,50 @@ from vigil.config import Roles  # noqa: E402
 from vigil.plans import composite as Q  # noqa: E402
 
 ROLES = Roles(sensors=S.SENSORS, alarms=S.ALARMS, engines=S.ENGINES)
-_Q1_FILL = (*S.SENSORS, *S.ENGINES)
-_FILLED_Q1 = ", ".join(_fill_case(c, f'lead({c}) OVER ({S._W_BLK})', f'lag({c}) OVER ({S._W_BLK})')
-                       for c in _Q1_FILL)
 
 
-@register("q1_prepare", sql(f"""SELECT * FROM (
-  SELECT hwid, "when", window_start, window_end, A5, A9, Prev_TimeStamp, Next_TimeStamp, PrevDiff,
-    NextDiff, BlockID, {_FILLED_Q1} FROM blocks)
-WHERE {' AND '.join(f'{c} IS NOT NULL' for c in _Q1_FILL)}""", "blocks"))
+@register("q1_prepare", sql(f"SELECT {BLOCK_SELECT} FROM p_blocks", "p_blocks"))
 def q1_prepare(spark, sf):
-    out = Q.prepare(S.readings(spark, sf), ROLES, S.EVENTS, fill_cols=_Q1_FILL, drop_constant=False)
-    return _grid_out(out)
+    """Pivot, scale, grid, blocks, fill, drop of the constant sensor."""
+    return _grid_out(S.prepared(spark, sf))
+
 
+def _report(spark, sf):
+    return Q.anomaly_report(S.prepared(spark, sf), ROLES, S.EVENTS)
 
-@register("q2_anomaly_report", sql(_pair_sql("final", list(S.SENSORS), "flag_anomaly"), "final"))
+
+@register("q2_anomaly_report", sql(_pair_sql("p_final", list(S.SENSORS), "flag_anomaly"), "p_final"))
 def q2_anomaly_report(spark, sf):
-    _, ranking = Q.anomaly_report(S.blocks(spark, sf), ROLES, S.EVENTS)
-    return ranking
+    return _report(spark, sf)[1]
+
+
+@register("q2_overheating_ranking", sql(_pair_sql("p_final", list(S.SENSORS), "overheating"),
+                                        "p_final"))
+def q2_overheating_ranking(spark, sf):
+    """The ranking that picks the features of the model."""
+    rows = M.attach_overheating(_report(spark, sf)[0])
+    return C.pairwise_correlation(rows, list(S.SENSORS), "overheating")
+
+
+def _maintenance_rows(spark, sf):
+    return Q.maintenance_frame(_report(spark, sf)[0], ROLES, S.EVENTS,
+                               features=["engine", "flag_anomaly"])
 
 
 @register("q3_maintenance_report", sql(f"""SELECT *, avg(AvgProb) OVER (ORDER BY MinToOverheating
   RANGE BETWEEN CURRENT ROW AND {_MOVE} FOLLOWING) AS MovingAvg
 FROM (SELECT MinToOverheating, avg(ProbOverheating) AS AvgProb, stddev_samp(ProbOverheating) AS Std,
         count(ProbOverheating) AS N, stddev_samp(ProbOverheating) / pow(count(ProbOverheating), 0.5) AS Err
-      FROM ({_scored_sql()}) GROUP BY MinToOverheating)
-WHERE MinToOverheating < {_SHOW}""", "heat"))
+      FROM ({_scored_sql('p_heat')}) GROUP BY MinToOverheating)
+WHERE MinToOverheating < {_SHOW}""", "p_heat"))
 def q3_maintenance_report(spark, sf):
-    rows, _ = Q.anomaly_report(S.blocks(spark, sf), ROLES, S.EVENTS)
-    frame = Q.maintenance_frame(rows, ROLES, S.EVENTS, features=["engine", "flag_anomaly"])
-    return Q.maintenance_report(frame, FEATURES, _SHOW, _MOVE, score="engine_rolling")
+    return Q.maintenance_report(_maintenance_rows(spark, sf), FEATURES, _SHOW, _MOVE,
+                                score="engine_rolling")
 
 
 @register("q3_maintenance_model")
 def q3_maintenance_model(spark, sf):
-    rows, _ = Q.anomaly_report(S.blocks(spark, sf), ROLES, S.EVENTS)
-    frame = Q.maintenance_frame(rows, ROLES, S.EVENTS, features=["engine", "flag_anomaly"])
-    return Q.maintenance_report(frame, FEATURES, _SHOW, _MOVE, model="rf")
+    return Q.maintenance_report(_maintenance_rows(spark, sf), FEATURES, _SHOW, _MOVE, model="rf")
 
 
 # ----------------------------------------------------- W: window blocks

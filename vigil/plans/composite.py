@@ -24,20 +24,18 @@ from vigil.session import cut_lineage
 
 def prepare(readings: DataFrame, roles: Roles, settings: Settings,
             decimals: dict | None = None, binary=None, fill_cols=None,
-            drop_constant: bool = True, slice_blocks: bool = False,
-            materialize_grid: bool = False) -> DataFrame:
+            drop_constant: bool = True, slice_blocks: bool = True,
+            materialize_grid: bool = True) -> DataFrame:
     """Q1: readings -> pivot -> scale -> grid -> blocks -> nearest fill ->
     drop constant sensors.
 
     Shuffles: one for the pivot (partial aggregation before it), one for the
-    grid (partial aggregation before it) and one for the blocks (by device).
-    The fill's window on (device, block) is a sub-clustering of the device
-    partitioning, so it adds a sort but no exchange.  Grid rows per device are
-    bounded by time span / interval; ``slice_blocks`` uses the time-sliced
-    block builder anyway (for grids over very long spans).
-    ``materialize_grid`` writes the grid once to the shared checkpoint folder
-    (the raw -> grid part is the expensive one; later reports and the sliced
-    builder's second read then start from the written grid)."""
+    grid (partial aggregation before it), one for the blocks (by device and
+    time slice) and one for the fill (by device and block).  The grid is
+    written once to the shared checkpoint folder: the raw -> grid part is the
+    expensive one, and the sliced block builder reads its input twice.
+    Without ``slice_blocks`` and ``materialize_grid`` the blocks are one
+    window per device over the lazy grid, for small fleets and short spans."""
     metrics = list(roles.all_metrics)
     if binary is None:
         # decided on the long readings: one small aggregate, no second pivot
@@ -82,10 +80,12 @@ def anomaly_report(blocks: DataFrame, roles: Roles, settings: Settings,
 def maintenance_frame(rows: DataFrame, roles: Roles, settings: Settings,
                       features=None) -> DataFrame:
     """Q3 (data part): overheating flag, look-ahead label, event blocks and
-    rolling features."""
+    rolling features.  The labelled rows are written once, as the sliced event
+    blocks read them twice; no task holds a whole device."""
     x = attach_overheating(rows)
     x = add_predictive(x, "overheating", settings.lookahead_minutes)
-    x = event_blocks(x, "overheating", settings.min_heat_block, order=("BlockID", "when"))
+    x = event_blocks(cut_lineage(x), "overheating", settings.min_heat_block,
+                     split_seconds=settings.split_seconds)
     features = list(features) if features is not None else list(roles.engines)
     return add_rolling_features(x, features, settings.rolling_minutes)
 

@@ -11,14 +11,17 @@ oracle is the CTEs it needs plus its own final SELECT.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.config import Settings
+from vigil.config import Roles, Settings
 from vigil.operators.alarms import attach_overheating, add_predictive
 from vigil.operators.anomaly import detect_anomalies
 from vigil.operators.blocks import build_blocks, event_blocks
 from vigil.operators.grid import create_grid, pivot_metrics
+from vigil.plans.composite import prepare
 from vigil.sources.readings import EVENT_METRICS, events_as_readings, load_table
 
 # Fixed parameters of the stand-in chain.
@@ -111,6 +114,28 @@ def heat(spark: SparkSession, sf: str) -> DataFrame:
                         order=("BlockID", "when"))
 
 
+# The end-to-end chain (Q1-Q3) runs on prepared rows: a constant sensor is added
+# to the readings and has to be found and dropped again, one sensor is scaled, and
+# rows are filled and kept by the engine and the densest sensor.
+
+PREPARED_FILL = ("engine", "view")
+DECIMALS = {"view": 1}
+
+
+def prepared_readings(spark: SparkSession, sf: str) -> DataFrame:
+    r = readings(spark, sf)
+    ones = r.where("metric = 'engine'").select("hwid", "when", F.lit("status").alias("metric"),
+                                               F.lit(1.0).alias("value"))
+    return r.unionByName(ones)
+
+
+@_memo
+def prepared(spark: SparkSession, sf: str) -> DataFrame:
+    roles = Roles(sensors=(*SENSORS, "status"), alarms=ALARMS, engines=ENGINES)
+    return prepare(prepared_readings(spark, sf), roles, EVENTS, decimals=DECIMALS, binary=ENGINES,
+                   fill_cols=PREPARED_FILL)
+
+
 # ------------------------------------------------------------------ SQL side
 
 G, HALF, GAP, FILL, SEP, TH = (EVENTS.grid_interval, EVENTS.grid_interval // 2,
@@ -226,6 +251,35 @@ FROM heat1 h JOIN heatkeep k ON h.hwid = k.hwid AND h.oldBlockHeat = k.oldBlockH
      ["heat1", "heatkeep"])
 
 
+def fill_case(c, nxt, prv):
+    """N1 for one column."""
+    return (f"CASE WHEN {c} IS NOT NULL THEN {c} WHEN NextDiff <= {FILL} AND NextDiff <= PrevDiff "
+            f"THEN {nxt} WHEN PrevDiff <= {FILL} THEN {prv} END AS {c}")
+
+
+# The same chain on prepared rows: every name from the wide table on gets the
+# prefix ``p_``; the wide table is scaled, and the blocks are filled.
+_CHAIN = list(CTES)[list(CTES).index("wide"):]
+
+
+for _name in _CHAIN:
+    _body, _deps = CTES[_name]
+    if _name == "wide":
+        _cte("p_wide", "SELECT * REPLACE (" + ", ".join(
+            f"{c} / {float(10 ** d)} AS {c}" for c, d in DECIMALS.items()) + ") FROM wide", ["wide"])
+        continue
+    _body = re.sub(rf"\b(FROM|JOIN) ({'|'.join(_CHAIN)})\b", r"\1 p_\2", _body)
+    _deps = [f"p_{d}" for d in _deps]
+    if _name == "blocks":
+        _cte("p_blocks_raw", _body, _deps)
+        _filled = ", ".join(fill_case(c, f"lead({c}) OVER ({_W_BLK})", f"lag({c}) OVER ({_W_BLK})")
+                            for c in PREPARED_FILL)
+        _cte("p_blocks", f"""SELECT * FROM (SELECT * REPLACE ({_filled}) FROM p_blocks_raw)
+WHERE {' AND '.join(f'{c} IS NOT NULL' for c in PREPARED_FILL)}""", ["p_blocks_raw"])
+    else:
+        _cte(f"p_{_name}", _body, _deps)
+
+
 def sql(select: str, *needed: str) -> str:
     """WITH clause holding the needed CTEs (and what they depend on, in
     dependency order) followed by ``select``."""
