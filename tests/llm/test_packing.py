@@ -38,12 +38,13 @@ def tokenizer():
 def test_words_give_the_ids_of_whole_texts(tokenizer):
     texts = ["", " ", "It's we're I'D don't  a b ́x é Iİ ẞ ΣΣ", "<|endoftext|>x a<|startoftext|>",
              "\x1c q\x85r 日本語 １２３ 12ab \t\n x​y 🎉🎉", "\ńabc ̈́ ", "a" * 3000,
-             "w***\r\n$$$ e.g. x=1;y=2"]
+             "w***\r\n$$$ e.g. x=1;y=2", "<|ENDOFTEXT|> A.", "İ İ. É É, K. x.y. a.., 'S. it's. z's,",
+             "don't! 'Tis. ABC?! é. 1. 1a. a1, ...", "m'." + "b," * 40 + " " + "q." * 3]
     enc = packing.WordEncoder(word_tokenizer())
     for _ in range(2):  # with and without the words known
         got = [np.frombuffer(x, "<u4").tolist() for x in enc.ids([t.encode() for t in texts])]
         assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
-    assert all(len(w) <= packing.CACHE_BYTES for w in enc.cache)
+    assert all(len(w) <= packing.CACHE_BYTES for w in enc.known)
 
 
 def test_cache_starts_anew(tokenizer, monkeypatch):

@@ -9,8 +9,8 @@ children in every node, so the first fit is a walk from the root.
 
 Token ids: white space is dropped by the tokenizer and nothing in it reaches
 across white space, so a text's ids are those of its words in a row.  Each
-worker keeps the ids of the words it has met (at most ``CACHE_WORDS``, then it
-starts anew) and hands only new words to the tokenizer.
+worker keeps the ids of the words it has met (a bounded number, those met
+lately) and hands only new words to the tokenizer.
 
 Defined cases: a null, empty or blank text is the end id alone, one piece; a
 null id is carried; repeated rows are packed as often as they occur; an empty
@@ -20,6 +20,7 @@ table gives no rows; texts of any length are cut, never dropped.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,40 +30,65 @@ from pyspark.sql import functions as F
 
 from vigil.llm.common import stored, text_or_empty
 
-#: Words whose ids a worker keeps, and the longest word (in bytes) it keeps.
-CACHE_WORDS = 500_000
+#: Words whose ids a worker keeps in each of two generations, and the longest
+#: word (in bytes) that it keeps.
+CACHE_WORDS = 300_000
 CACHE_BYTES = 64
 
 #: UTF-8 bytes of text that a worker encodes at a time.
 CHUNK_BYTES = 4 << 20
 
+_ENDED = re.compile(rb"(.*[a-z])([.,;:!?]+)", re.S)
+
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
 class WordEncoder:
-    """Ids of whole texts through a cache of words."""
+    """Ids of whole texts through a cache of words.  ASCII letters are lowered
+    first, as the tokenizer lowers all letters (unless a text may hold one of
+    its special tokens, which are matched as they are written), and signs that
+    end a word are looked up by themselves, as they are tokens of their own."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task is one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _encode(self, words: list[bytes]) -> None:
+        """One call for all words; those that may hold a special token, which
+        belongs to no word, are encoded one by one."""
+        plain = [w for w in words if b"<|" not in w]
+        if plain:
+            found = self.tokenizer.encode_batch(
+                [[w.decode("utf-8", "replace") for w in plain]], is_pretokenized=True,
+                add_special_tokens=False)[0]
+            raw = np.array(found.ids, "<u4").tobytes()
+            counts = np.bincount(np.array(found.word_ids, np.int64), minlength=len(plain))
+            ends = (4 * np.cumsum(counts)).tolist()
+            self.known.update(zip(plain, (raw[i:j] for i, j in zip([0, *ends], ends))))
+        for w in words:
+            if b"<|" in w:
+                found = self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False)
+                self.known[w] = np.array(found.ids, "<u4").tobytes()
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text (UTF-8)."""
-        split = [t.split() for t in texts]
-        words = set().union(*split)
-        new = words - self.cache.keys()
-        if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache.clear()
-            new = words
-        order = list(new)
-        found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in order],
-                                            add_special_tokens=False)
-        known = self.cache
-        known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(order, found))
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        if len(self.known) > CACHE_WORDS:
+            self.older, self.known = self.known, {}
+        known = self.known
+        new = set().union(*split) - known.keys()
+        again = new & self.older.keys()
+        known.update((w, self.older[w]) for w in again)
+        new -= again
+        ended = {w: m for w in new if (m := _ENDED.fullmatch(w))}
+        parts = {x for m in ended.values() for x in m.groups()}
+        self._encode(list((new - ended.keys()) | (parts - known.keys())))
+        known.update((w, known[m[1]] + known[m[2]]) for w, m in ended.items())
         out = [b"".join(map(known.__getitem__, ws)) for ws in split]
-        for w in order:
+        for w in new | parts:
             if len(w) > CACHE_BYTES:
                 del known[w]
         return out
