@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.session import checkpoint_dir
+from vigil.session import scratch_path
 
 #: Word separators: space, tab, line feed, vertical tab, form feed, return.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -23,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return scratch_path(spark, name)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
