@@ -5,10 +5,13 @@ neighbour graph starts from random projections: nodes are sorted by a
 signature of random hyperplanes, in several tables, and meet those near them in
 the order.  Then the graph is refined: all members of a node's neighbour list
 meet each other (neighbours of neighbours), and what is near goes to their
-lists.  Lists hold the ``k`` nearest of at least ``floor``; a full list whose
-last entry still links is saturated, and its ``k`` grows fourfold.  Of the large
-lists only some are joined in a round, as their members see each other in
-several.  Rounds go on until no list changes, in the large lists twice in a row.
+lists.  Lists hold the ``k`` nearest of at least ``floor``; a list whose ``k``
+entries all link is saturated, and its ``k`` grows fourfold until all links
+found so far fit, so that none is dropped.  Of the large lists only some are
+joined in a round, as their members see each other in several.  A list that
+grew is due until it has met others without growing; one that waits is drawn
+with a chance that grows fourfold each round.  Rounds go on until no list is
+due, the large ones twice.
 
 The recall is audited against the exact neighbours of ``audit`` nodes drawn by
 hash (a stated set against all rows, in blocks); while it is below ``recall``,
@@ -38,7 +41,12 @@ from vigil.llm.components import connected_components
 #: Rows that meet in the order of a table, half of them anew at each step.
 MEET = 256
 
-LISTS = "node long, nbrs array<long>, sims array<double>, k int, grew boolean"
+#: ``old`` tells the list of a node from partial lists that are to be added;
+#: ``due`` is 0, or one more than the rounds that a list has waited for its join.
+LISTS = "node long, nbrs array<long>, sims array<double>, k int, old boolean, due int"
+
+#: Lists of one neighbour have no others to bring together.
+DUE = "due > 0 AND size(nbrs) > 1"
 
 
 def usable(vector: Column, label: Column) -> Column:
@@ -66,16 +74,18 @@ def unit_rows(column: pa.Array) -> list[np.ndarray]:
     return out
 
 
-def _meet(units: np.ndarray, nodes: np.ndarray, floor: float, k: int, known: int = 0):
-    """(node, neighbours, cosines) for all rows; pairs among the first
-    ``known`` rows have met before."""
+def _meet(units: np.ndarray, nodes: np.ndarray, floor: float, threshold: float, k: int,
+          known: int = 0):
+    """(node, neighbours, cosines) for all rows: all that link, and others up to
+    ``k``; pairs among the first ``known`` rows have met before."""
     sims = np.clip(units @ units.T, -1.0, 1.0)
     np.fill_diagonal(sims, -2.0)
     if known:
         sims[:known, :known] = -2.0
     for i in np.flatnonzero(sims.max(axis=1, initial=-2.0) >= floor):
         near = np.flatnonzero(sims[i] >= floor)
-        near = near[np.lexsort((nodes[near], -sims[i, near]))][:k]
+        near = near[np.lexsort((nodes[near], -sims[i, near]))]
+        near = near[:max(k, int((sims[i, near] >= threshold).sum()))]
         yield int(nodes[i]), nodes[near], sims[i, near]
 
 
@@ -85,10 +95,11 @@ def _lists_batch(rows: list, k: int) -> pa.RecordBatch:
         "nbrs": pa.array([r[1] for r in rows], pa.list_(pa.int64())),
         "sims": pa.array([r[2] for r in rows], pa.list_(pa.float64())),
         "k": pa.array([k] * len(rows), pa.int32()),
-        "grew": pa.array([True] * len(rows), pa.bool_())})
+        "old": pa.array([False] * len(rows), pa.bool_()),
+        "due": pa.array([0] * len(rows), pa.int32())})
 
 
-def first_lists(nodes: DataFrame, tables: int, seed: int, floor: float, k: int,
+def first_lists(nodes: DataFrame, tables: int, seed: int, floor: float, threshold: float, k: int,
                 bits: int = 30) -> DataFrame:
     """Partial lists from random projections; a node may have several rows."""
 
@@ -115,7 +126,7 @@ def first_lists(nodes: DataFrame, tables: int, seed: int, floor: float, k: int,
 
         def found(rows: list) -> Iterator[pa.RecordBatch]:
             got = list(_meet(np.stack([r[1] for r in rows]), np.array([r[0] for r in rows]),
-                             floor, k, known))
+                             floor, threshold, k, known))
             if got:
                 yield _lists_batch(got, k)
 
@@ -144,38 +155,43 @@ def first_lists(nodes: DataFrame, tables: int, seed: int, floor: float, k: int,
 
 
 def merged_lists(rows: DataFrame, threshold: float) -> DataFrame:
-    """One list per node.  ``grew`` tells a list that has more than the old one
-    (the row with ``grew`` false) or was saturated, and so has a larger k."""
+    """One list per node, with all links of the rows.  It is due if it has more
+    than the old one or was saturated, or if it was due and met none."""
 
     def merge(group: pa.Table) -> pa.Table:
-        old = group.filter(pc.invert(group.column("grew")))
+        old = group.filter(group.column("old"))
         before = len(old.column("nbrs")[0]) if len(old) else 0
+        waited = old.column("due")[0].as_py() if len(old) == len(group) else 0
         k = max(group.column("k").to_pylist())
         nbrs = np.asarray(pc.list_flatten(group.column("nbrs")))
         sims = np.asarray(pc.list_flatten(group.column("sims")))
         nbrs, place = np.unique(nbrs, return_index=True)
         sims = sims[place]
-        order = np.lexsort((nbrs, -sims))
-        full = len(order) >= k and sims[order[k - 1]] >= threshold
-        k = 4 * k if full else k
-        order = order[:k]
+        links = int((sims >= threshold).sum())
+        full = links >= k
+        while links >= k:
+            k *= 4
+        order = np.lexsort((nbrs, -sims))[:k]
+        due = 1 if full or len(order) > before else waited + 1 if waited else 0
         return pa.Table.from_batches([pa.RecordBatch.from_pydict({
             "node": group.column("node").combine_chunks()[:1],
             "nbrs": pa.array([nbrs[order]], pa.list_(pa.int64())),
             "sims": pa.array([sims[order]], pa.list_(pa.float64())),
             "k": pa.array([k], pa.int32()),
-            "grew": pa.array([full or len(order) > before], pa.bool_())})])
+            "old": pa.array([True], pa.bool_()),
+            "due": pa.array([due], pa.int32())})])
 
     return rows.groupBy("node").applyInArrow(merge, LISTS)
 
 
-def join_neighbours(lists: DataFrame, nodes: DataFrame, floor: float, turn: int,
+def join_neighbours(lists: DataFrame, nodes: DataFrame, floor: float, threshold: float, turn: int,
                     pivots: int = 10) -> DataFrame:
-    """Partial lists of all that meet in a list that grew.  A list joins
-    with a chance of ``pivots`` in its length, drawn by hash for each turn."""
+    """Partial lists of all that meet in a list that is due.  A list joins with
+    a chance of ``pivots`` in its length, fourfold for each turn that it has
+    waited, drawn by hash for each turn."""
     draw = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 20)) / float(1 << 20)
-    chosen = lists.filter("grew AND size(nbrs) > 1").filter(
-        draw < F.lit(float(pivots)) / F.size("nbrs"))
+    chosen = lists.filter(DUE).filter(
+        draw < F.lit(float(pivots)) * F.pow(F.lit(4.0), F.col("due") - 1) / F.size("nbrs"))
     members = chosen.select(F.col("node").alias("pivot"), "k", F.explode(
         F.array_append("nbrs", F.col("node"))).alias("node"))
     rows = members.join(nodes.select("node", "vec"), "node").select("pivot", "k", "node", "vec")
@@ -183,7 +199,7 @@ def join_neighbours(lists: DataFrame, nodes: DataFrame, floor: float, turn: int,
     def meet(group: pa.Table) -> pa.Table:
         k = max(group.column("k").to_pylist())
         units = np.stack(unit_rows(group.column("vec").combine_chunks()))
-        got = list(_meet(units, np.asarray(group.column("node")), floor, k))
+        got = list(_meet(units, np.asarray(group.column("node")), floor, threshold, k))
         return pa.Table.from_batches([_lists_batch(got, k)])
 
     return rows.groupBy("pivot").applyInArrow(meet, LISTS)
@@ -222,28 +238,27 @@ def exact_counts(nodes: DataFrame, audit: int, threshold: float) -> DataFrame:
 
 
 def neighbour_lists(nodes: DataFrame, threshold: float = 0.98, floor: float = 0.95, k: int = 32,
-                    tables: int = 8, audit: int = 512, recall: float = 0.99, turns: int = 30,
+                    tables: int = 8, audit: int = 512, recall: float = 0.999, turns: int = 30,
                     restarts: int = 4, pivots: int = 10) -> DataFrame:
     """The refined lists; ``restarts`` bounds the enlargements after an audit."""
     truth = stored(exact_counts(nodes, audit, threshold), "audit")
     wanted = truth.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     lists = None
     for restart in range(restarts + 1):
-        parts = first_lists(nodes, tables, restart, floor, k)
+        parts = first_lists(nodes, tables, restart, floor, threshold, k)
         if lists is not None:
-            parts = parts.unionByName(lists.withColumn("grew", F.lit(False)))
+            parts = parts.unionByName(lists)
         lists = stored(merged_lists(parts, threshold), "lists")
         quiet = 0
         for turn in range(turns):
-            if lists.filter("grew AND size(nbrs) > 1").limit(1).count() == 0:
+            if lists.filter(DUE).limit(1).count() == 0:
                 # the lists of which only some joined are drawn once more
                 quiet += 1
-                lists = lists.withColumn("grew", F.size("nbrs") > pivots)
-                if quiet == 2 or lists.filter("grew").limit(1).count() == 0:
+                lists = lists.withColumn("due", (F.size("nbrs") > pivots).cast("int"))
+                if quiet == 2 or lists.filter(DUE).limit(1).count() == 0:
                     break
-            more = join_neighbours(lists, nodes, floor, turn, pivots)
-            lists = stored(merged_lists(
-                lists.withColumn("grew", F.lit(False)).unionByName(more), threshold), "lists")
+            more = join_neighbours(lists, nodes, floor, threshold, turn, pivots)
+            lists = stored(merged_lists(lists.unionByName(more), threshold), "lists")
         found = F.size(F.filter("sims", lambda s: s >= threshold)).cast("long")
         got = truth.join(lists.select("node", found.alias("found")), "node").agg(
             F.coalesce(F.sum(F.least("found", "n")), F.lit(0))).first()[0]
