@@ -38,3 +38,28 @@ def test_scan(docs_of, odd_rows):
                for x in got if x.doc_id not in (50, 51))
     assert by[1].n_paragraphs == by[2].n_paragraphs == 0
     assert licenses.scan_licenses(docs_of([])).count() == 0
+
+
+def test_notices_without_the_word_license():
+    model = licenses.trained()
+    for text, family in (("All rights reserved.", "all_rights"),
+                         ("Copyright (c) 2024 X. All rights reserved.", "all_rights"),
+                         ("CC BY-SA 4.0", "cc_by_sa"), ("CC BY 4.0", "cc_by"),
+                         ("CC BY-NC 4.0", "cc_by_nc"), ("CC0 1.0", "public_domain")):
+        got = model.judge(text)
+        assert got and got[0] == family, text
+
+
+def test_whatever_can_be_confirmed_has_a_listed_pair():
+    listed = {" ".join(x) for x in licenses.listed_pairs()}
+    for templates in licenses.TEMPLATES.values():
+        for template in templates:
+            every = licenses.pairs(template.split())
+            assert len(every - listed) / len(every) < licenses.CONFIRM, template
+
+
+def test_templates_are_recognised():
+    model = licenses.trained()
+    for family, templates in licenses.TEMPLATES.items():
+        for template in templates:
+            assert model.judge(template)[0] == family, template

@@ -5,9 +5,9 @@ n-grams up to three words.  A multinomial logistic regression in numpy gives
 the probability of each licence family and of an ``unknown`` class; its
 temperature is fitted on held-out examples, and a family is predicted only
 above a level found there.  A prediction counts if a template of the family
-confirms it: the window has one of the ``ANCHORS`` and at least ``CONFIRM`` of
-the template's word pairs.  As nothing counts without an anchor, texts and
-lines without one are passed over.
+confirms it: the window has at least ``CONFIRM`` of the template's word pairs.
+Of each template so many pairs are listed that a window without any of them
+cannot have that share; what has none of the listed pairs is passed over.
 
 The model is trained on the driver, once per process, on ``EXAMPLES`` variations
 of each template and as many sentences without a licence for each.
@@ -20,6 +20,7 @@ no rows; other columns of the input do no harm.
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter
@@ -52,20 +53,19 @@ TEMPLATES = {
             "released under the bsd license", "licensed under the 3 clause bsd license"),
     "mpl": ("this source code form is subject to the terms of the mozilla public license v 2.0",
             "licensed under the mozilla public license 2.0"),
-    "cc_by": ("licensed under cc by 4.0",
+    "cc_by": ("cc by 4.0", "licensed under cc by 4.0",
               "this work is licensed under a creative commons attribution 4.0 international license"),
-    "cc_by_sa": ("licensed under cc by sa 4.0",
+    "cc_by_sa": ("cc by sa 4.0", "licensed under cc by sa 4.0",
                  "this work is licensed under a creative commons attribution sharealike 4.0 "
                  "international license"),
-    "cc_by_nc": ("licensed under cc by nc 4.0",
+    "cc_by_nc": ("cc by nc 4.0", "licensed under cc by nc 4.0",
                  "this work is licensed under a creative commons attribution noncommercial 4.0 "
                  "international license"),
-    "public_domain": ("this work is dedicated to the public domain cc0 1.0 universal license",
+    "public_domain": ("cc0 1.0", "this work is dedicated to the public domain cc0 1.0 universal license",
                       "the author has waived all copyright and placed this work in the public domain"),
-    "all_rights": ("copyright all rights reserved",
+    "all_rights": ("all rights reserved", "copyright all rights reserved",
                    "no part of this work may be copied without written permission all rights reserved"),
 }
-ANCHORS = ("licen", "copyright", "public domain", "permission", "warranty", "redistribut")
 UNKNOWN = "unknown"
 FAMILIES = (*sorted(TEMPLATES), UNKNOWN)
 
@@ -100,9 +100,24 @@ def pairs(words: list[str]) -> set[str]:
     return {f"{a} {b}" for a, b in zip(words, words[1:])} or set(words)
 
 
+def needed(template: str) -> int:
+    """Pairs of a template that confirm it."""
+    return math.ceil(CONFIRM * len(pairs(template.split())) - 1e-9)
+
+
+def listed_pairs() -> set[tuple[str, str]]:
+    """Of each template as many pairs, the longest, as cannot all be missing
+    where the template is confirmed."""
+    out = set()
+    for template in (t for ts in TEMPLATES.values() for t in ts):
+        every = sorted(pairs(template.split()), key=lambda x: (-len(x), x))
+        out.update(tuple(x.split()) for x in every[:len(every) - needed(template) + 1])
+    return out
+
+
 def examples(n: int = EXAMPLES, seed: int = 3) -> list[tuple[list[str], int]]:
-    """(words, class): templates with words around, left out or changed, and
-    frames with fillers and single words of templates."""
+    """(words, class): templates with words around or left out, as far as they
+    are still confirmed, and frames with fillers and single words of templates."""
     rng = random.Random(seed)
     noise = lambda k: [rng.choice(_FILLERS) for _ in range(rng.randint(0, k))]
     out = []
@@ -110,7 +125,9 @@ def examples(n: int = EXAMPLES, seed: int = 3) -> list[tuple[list[str], int]]:
         for template in TEMPLATES[family]:
             plain = template.split()
             for _ in range(n):
-                kept = [w for w in plain if rng.random() > 0.05] or plain
+                kept = [w for w in plain if rng.random() > 0.05]
+                if len(pairs(kept) & pairs(plain)) < needed(template):
+                    kept = plain  # what is left may be another family's notice
                 out.append((noise(8) + kept + noise(8), k))
     words = sorted({w for ts in TEMPLATES.values() for t in ts for w in t.split()})
     for _ in range(len(out)):
@@ -154,6 +171,7 @@ class LicenseModel:
             if taken.any() and (best[taken] == truth[taken]).mean() >= precision:
                 self.level = level
                 break
+        self.listed = listed_pairs()
         self.template_pairs = {f: [(t, pairs(t.split())) for t in ts] for f, ts in TEMPLATES.items()}
 
     def _dense(self, words: list[str]) -> np.ndarray:
@@ -181,14 +199,12 @@ class LicenseModel:
 
     def judge(self, text: str) -> tuple[str, float, float] | None:
         """Family, probability and similarity of a paragraph that is confirmed."""
-        low = text.lower()
-        if not any(a in low for a in ANCHORS):
+        words, found = words_in(text), None
+        if self.listed.isdisjoint(zip(words, words[1:])):
             return None
-        words, found = words_in(low), None
         for k in range(0, max(1, len(words) - STRIDE), STRIDE) if len(words) > WINDOW else (0,):
             part = words[k:k + WINDOW] if len(words) > WINDOW else words
-            joined = " ".join(part)
-            if not any(a in joined for a in ANCHORS):
+            if self.listed.isdisjoint(zip(part, part[1:])):
                 continue
             family, p = self.predict(part)
             if family != UNKNOWN and (s := self.confirm(family, part)) >= CONFIRM:
@@ -221,11 +237,10 @@ def scan_licenses(docs: DataFrame, model: LicenseModel | None = None, text: str
 
     def scan(text: str) -> tuple:
         found, n, at = [], 0, 0
-        checked = any(a in text.lower() for a in ANCHORS)
         for line in text.split("\n"):
             if line and not line.isspace():
                 n += 1
-                got = model.judge(line) if checked else None
+                got = model.judge(line)
                 if got:
                     found.append((*got, at, at + len(line)))
             at += len(line) + 1
