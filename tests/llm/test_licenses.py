@@ -63,3 +63,43 @@ def test_templates_are_recognised():
     for family, templates in licenses.TEMPLATES.items():
         for template in templates:
             assert model.judge(template)[0] == family, template
+
+
+WRAPPED = {
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+           "of this software and associated documentation files (the \"Software\"), to deal",
+    "gpl": " * This program is free software: you can redistribute it and/or modify\n"
+           " * it under the terms of the GNU General Public License as published by",
+    "lgpl": "This library is free software; you can redistribute it and/or modify it under the\n"
+            "terms of the GNU Lesser General Public License as published by the Foundation",
+    "bsd": "# Redistribution and use in source and binary forms, with or without\n"
+           "# modification, are permitted provided that the following conditions are met:"}
+
+
+def test_notices_wrapped_over_lines():
+    model = licenses.trained()
+    for family, text in WRAPPED.items():
+        for body in (text, text.replace("\n", "\r\n"), "x y\n\n" + text + "\nmore words\n"):
+            assert {n[0] for n in model.notices(body)} == {family}, (family, body)
+    assert not model.notices(WRAPPED["mit"].replace("\n", "\n\n"))
+    assert model.judge("under the terms of the GNU General Public License")[0] == "gpl"
+
+
+def test_all_notices_of_one_line(docs_of):
+    filler = "the people went by the river on foot " * 30
+    text = f"\u0130 {WRAPPED['mit']} {filler}{WRAPPED['gpl']} {filler}".replace("\n", " ")
+    near = "Copyright 2024 X. All rights reserved. Released under the MIT License. CC BY-SA 4.0"
+    twice = "Released under the MIT License. Released under the MIT License."
+    got = {r.doc_id: r for r in licenses.scan_licenses(docs_of(
+        [(1, text, "", ""), (2, near, "", ""), (3, twice, "", "")])).collect()}
+    assert (got[1].n_paragraphs, got[1].n_licensed, got[1].families) == (1, 2, "gpl,mit")
+    (_, a, b), (_, c, d) = (x.split(":") for x in got[1].spans.split(","))
+    assert text[int(a):int(b)].startswith("Permission") and text[int(b) - 5:int(b)] == "files"
+    assert text[int(c):int(d)].endswith("General Public License")
+    assert (got[2].n_licensed, got[2].families) == (3, "all_rights,cc_by_sa,mit")
+    assert (got[3].n_licensed, got[3].families) == (2, "mit")
+
+
+def test_lowered_keeps_places():
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    assert len(licenses.lowered(every)) == len(every)

@@ -1,19 +1,26 @@
 """Licence scans: a trained paragraph classifier, confirmed by templates.
 
-Paragraphs (lines; long ones in overlapping windows) are vectors of word
-n-grams up to three words.  A multinomial logistic regression in numpy gives
-the probability of each licence family and of an ``unknown`` class; its
-temperature is fitted on held-out examples, and a family is predicted only
-above a level found there.  A prediction counts if a template of the family
-confirms it: the window has at least ``CONFIRM`` of the template's word pairs.
-Of each template so many pairs are listed that a window without any of them
-cannot have that share; what has none of the listed pairs is passed over.
+Windows of words are vectors of word n-grams up to three words.  A multinomial
+logistic regression in numpy gives the probability of each licence family and
+of an ``unknown`` class; its temperature is fitted on held-out examples, and a
+family is predicted only above a level found there.
+
+The words of consecutive non-blank lines are joined, so that a notice may be
+wrapped over lines.  The windows are those that have at least ``CONFIRM`` of a
+template's word pairs within ``WINDOW`` words: first those of about the
+template's length, the ones with most pairs first.  A window counts if the
+classifier predicts the template's family from its words.  Of windows of
+different families that share words the best confirmed one counts; all others
+are notices of their own.  Of each template so many pairs are listed that a
+window without any of them cannot have that share; what has none of the listed
+pairs is passed over.
 
 The model is trained on the driver, once per process, on ``EXAMPLES`` variations
 of each template and as many sentences without a licence for each.
 
 Defined cases: a null or empty text has no paragraph and the licence
-``unknown``; ties between families go to the more probable, then by name;
+``unknown``; paragraphs are counted as non-blank lines; a blank line ends a
+notice; ties between families go to the more probable, then by name;
 repeated rows are judged alike; long texts are read whole; an empty table gives
 no rows; other columns of the input do no harm.
 """
@@ -23,7 +30,7 @@ from __future__ import annotations
 import math
 import random
 import re
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,6 +52,8 @@ TEMPLATES = {
     "gpl": ("this work is licensed under the gnu general public license version 3",
             "this program is free software you can redistribute it and or modify it under the terms "
             "of the gnu general public license",
+            "under the terms of the gnu general public license",
+            "licensed under the gnu general public license",
             "released under the gnu gpl license"),
     "lgpl": ("licensed under the gnu lesser general public license version 2.1",
              "under the terms of the gnu lesser general public license"),
@@ -83,13 +92,21 @@ _FILLERS = ("and then the people went to the old house by the river and it was c
             "long roads with many small stones for all who came from the north at night on foot").split()
 
 #: Examples of each template, the longest window, and the needed share of pairs.
-EXAMPLES, WINDOW, STRIDE, CONFIRM = 40, 80, 40, 0.7
+EXAMPLES, WINDOW, CONFIRM = 40, 80, 0.7
 
 _WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
+#: What closes a notice, and runs of non-blank lines.
+_CLOSING = re.compile(r"[^\w\s]*")
+_BLOCK = re.compile(r"\S[^\n]*(?:\n[^\S\n]*+\S[^\n]*)*+")
+
+
+def lowered(text: str) -> str:
+    """Lower case of the same length: only one letter has a longer one."""
+    return text.replace("\u0130", "I").lower()
 
 
 def words_in(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return _WORD.findall(lowered(text))
 
 
 def grams(words: list[str]) -> list[str]:
@@ -117,16 +134,20 @@ def listed_pairs() -> set[tuple[str, str]]:
 
 def examples(n: int = EXAMPLES, seed: int = 3) -> list[tuple[list[str], int]]:
     """(words, class): templates with words around or left out, as far as they
-    are still confirmed, and frames with fillers and single words of templates."""
+    are still confirmed best by their own family, and frames with fillers and single words of templates."""
     rng = random.Random(seed)
     noise = lambda k: [rng.choice(_FILLERS) for _ in range(rng.randint(0, k))]
+    every = [(f, pairs(t.split())) for f, ts in TEMPLATES.items() for t in ts]
     out = []
     for k, family in enumerate(FAMILIES[:-1] if FAMILIES[-1] == UNKNOWN else FAMILIES):
         for template in TEMPLATES[family]:
             plain = template.split()
             for _ in range(n):
                 kept = [w for w in plain if rng.random() > 0.05]
-                if len(pairs(kept) & pairs(plain)) < needed(template):
+                had = pairs(kept)
+                share = len(had & pairs(plain)) / len(pairs(plain))
+                if share < CONFIRM or any(f != family and len(had & t) >= share * len(t)
+                                          for f, t in every):
                     kept = plain  # what is left may be another family's notice
                 out.append((noise(8) + kept + noise(8), k))
     words = sorted({w for ts in TEMPLATES.values() for t in ts for w in t.split()})
@@ -172,7 +193,12 @@ class LicenseModel:
                 self.level = level
                 break
         self.listed = listed_pairs()
-        self.template_pairs = {f: [(t, pairs(t.split())) for t in ts] for f, ts in TEMPLATES.items()}
+        self.measures = {t: (f, len(pairs(t.split())), len(t.split()))
+                         for f, ts in TEMPLATES.items() for t in ts}
+        self.by_pair: dict[tuple, list[str]] = {}
+        for t in self.measures:
+            for pair in pairs(t.split()):
+                self.by_pair.setdefault(tuple(pair.split()), []).append(t)
 
     def _dense(self, words: list[str]) -> np.ndarray:
         x = np.zeros(len(self.slots) + 1, np.float32)
@@ -192,24 +218,72 @@ class LicenseModel:
         k = int(p[:-1].argmax())
         return (FAMILIES[k], float(p[k])) if p[k] >= self.level else (UNKNOWN, float(p[-1]))
 
-    def confirm(self, family: str, words: list[str]) -> float:
-        """Largest share of a template's pairs that the words have."""
-        mine = pairs(words)
-        return max(len(t & mine) / len(t) for _, t in self.template_pairs[family])
-
-    def judge(self, text: str) -> tuple[str, float, float] | None:
-        """Family, probability and similarity of a paragraph that is confirmed."""
-        words, found = words_in(text), None
+    def aligned(self, words: list[str]) -> list[tuple]:
+        """(loose, -share, -pairs, family, from, to) of the windows that a
+        template confirms; those of one template do not overlap."""
+        at: dict[str, list[int]] = {}
+        for i, pair in enumerate(zip(words, words[1:])):
+            for template in self.by_pair.get(pair, ()):
+                at.setdefault(template, []).append(i)
+        out = []
+        for template, hits in at.items():
+            family, every, length = self.measures[template]
+            if len({(words[i], words[i + 1]) for i in hits}) < needed(template):
+                continue
+            taken = bytearray(len(words))
+            for loose, limit in enumerate((2 * length, WINDOW)):
+                for want in range(every, needed(template) - 1, -1):
+                    held: deque = deque()
+                    seen: Counter = Counter()
+                    for i in hits:
+                        if taken[i] or taken[i + 1]:
+                            held.clear()
+                            seen.clear()
+                            continue
+                        held.append(i)
+                        seen[words[i], words[i + 1]] += 1
+                        while held[-1] - held[0] + 2 > limit or (
+                                seen[words[held[0]], words[held[0] + 1]] > 1):
+                            first = words[held[0]], words[held[0] + 1]
+                            seen[first] -= 1
+                            if not seen[first]:
+                                del seen[first]
+                            held.popleft()
+                        if len(seen) >= want:
+                            a, b = held[0], i + 2
+                            out.append((loose, -want / every, -want, family, a, b))
+                            taken[a:b] = b"\1" * (b - a)
+                            held.clear()
+                            seen.clear()
+        return out
+
+    def notices(self, text: str) -> list[tuple[str, float, float, int, int]]:
+        """Family, probability, similarity, start and end of all notices in
+        order; a notice ends with the signs that follow its last word."""
+        low = lowered(text)
+        words = _WORD.findall(low)
         if self.listed.isdisjoint(zip(words, words[1:])):
-            return None
-        for k in range(0, max(1, len(words) - STRIDE), STRIDE) if len(words) > WINDOW else (0,):
-            part = words[k:k + WINDOW] if len(words) > WINDOW else words
-            if self.listed.isdisjoint(zip(part, part[1:])):
+            return []
+        found = []
+        for block in _BLOCK.finditer(low):
+            places = list(_WORD.finditer(low, block.start(), block.end()))
+            words = [w[0] for w in places]
+            if self.listed.isdisjoint(zip(words, words[1:])):
                 continue
-            family, p = self.predict(part)
-            if family != UNKNOWN and (s := self.confirm(family, part)) >= CONFIRM:
-                found = max(found or ("", 0.0, 0.0), (family, p, s), key=lambda f: (f[1], f[0]))
-        return found
+            owner = [None] * len(words)
+            for _, share, _, family, a, b in sorted(self.aligned(words)):
+                if any(x is not None for x in owner[a:b]):
+                    continue
+                said, p = self.predict(words[a:b])
+                if said == family:
+                    owner[a:b] = [family] * (b - a)
+                    end = _CLOSING.match(low, places[b - 1].end(), block.end()).end()
+                    found.append((family, p, -share, places[a].start(), end))
+        return sorted(found, key=lambda f: (f[3], f[4]))
+
+    def judge(self, text: str) -> tuple[str, float, float] | None:
+        """Family, probability and similarity of the most probable notice."""
+        return max((f[:3] for f in self.notices(text)), key=lambda f: (f[1], f[0]), default=None)
 
 
 _TRAINED: list[LicenseModel] = []
@@ -227,23 +301,17 @@ SCHEMA = ("doc_id long, n_paragraphs long, n_licensed long, license string, prob
 
 def scan_licenses(docs: DataFrame, model: LicenseModel | None = None, text: str = "text",
                   doc_id: str = "doc_id") -> DataFrame:
-    """One row per document: its paragraphs, those with a confirmed licence, the
-    most probable licence, all families found, and family:start:end (code
-    points) of each paragraph found."""
+    """One row per document: its paragraphs, the confirmed notices, the most
+    probable licence, all families found, and family:start:end (code points) of
+    each notice found."""
     model = model or trained()
     names = [c.split()[0] for c in SCHEMA.split(", ")]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.float64(),
              pa.string(), pa.string()]
 
     def scan(text: str) -> tuple:
-        found, n, at = [], 0, 0
-        for line in text.split("\n"):
-            if line and not line.isspace():
-                n += 1
-                got = model.judge(line)
-                if got:
-                    found.append((*got, at, at + len(line)))
-            at += len(line) + 1
+        n = sum(1 for line in text.split("\n") if line and not line.isspace())
+        found = model.notices(text)
         best = max(found, key=lambda f: (f[1], f[0]), default=(UNKNOWN, None, None))
         return (n, len(found), *best[:3], ",".join(sorted({f[0] for f in found})),
                 ",".join(f"{f[0]}:{f[3]}:{f[4]}" for f in found))
