@@ -81,3 +81,31 @@ def test_odd_rows_and_empty(docs_of, odd_rows):
     empty = docs_of([])
     assert quality.quality_rules(empty).count() == 0
     assert quality.keep_good(empty).count() == 0
+
+
+def french(i, n=200):
+    frame = ("la vieille maison de la ville est dans une vallée et le fleuve qui passe par là "
+             "va à la mer avec des bateaux très légers sur les eaux").split()
+    rng = random.Random(i)
+    return " ".join(rng.choice(frame) for _ in range(n))
+
+
+def test_rare_language_is_not_held_against_others(docs_of):
+    rows = [(i, clean(i), "en", "a") for i in range(60)]
+    rows += [(100 + i, french(i), "fr", "a") for i in range(4)]
+    rows += [(200, french(9), None, "a")]
+    got = {r.doc_id: r for r in quality.quality_rules(docs_of(rows)).collect()}
+    assert all(r.kept for r in got.values())
+    assert got[200].word_distance == 0
+
+
+def test_verdict_is_steady_in_the_reference_size(docs_of):
+    """No verdict turns where the words of the language pass min_reference."""
+    rows = [(i, clean(i), "en", "a") for i in range(20)]
+    rows += [(100, " | ".join(f"menu{k} item{k}" for k in range(200)), "en", "a")]
+    counts = quality.base_counts(docs_of(rows))
+    total = sum(r.n_words for r in counts.select("n_words").collect())
+    kept = [{r.doc_id: r.kept for r in quality.quality_rules(docs_of(rows), min_reference=m).collect()}
+            for m in (total - 1, total, total + 1, 50 * total)]
+    assert kept[0] == kept[1] == kept[2] and not kept[0][100]
+    assert all(kept[3].values())

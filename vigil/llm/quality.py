@@ -12,10 +12,15 @@ minimum length are not judged by that histogram at all.
 All expressions are Spark SQL functions on one row; only the small histograms
 meet in a shuffle, one row per language and class.
 
+A document is judged by its own language only.  The divergence of a reference
+from its source by chance goes with one over its words, so below
+``min_reference`` words the limit on the divergence grows in that proportion:
+it is the plain one at ``min_reference``, and nothing exceeds it where the
+reference is very small.
+
 Defined cases: a null, empty or blank text has no words, fails the base rules
-and is not kept; a null language is a language of its own; a language with
-fewer reference words than ``min_reference`` is held against the sum of all
-languages; repeated rows are judged alike; an empty table gives no rows.
+and is not kept; a null language is a language of its own; repeated rows are
+judged alike; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -150,43 +155,26 @@ def word_divergence(hist: str, n: str, ref: str, ref_n: str) -> str:
             f"0.5D * greatest(0D, 1D - aggregate(s, 0D, (a, z) -> a + z.q))), 0)")
 
 
-def language_references(counts: DataFrame, lang: str = "lang",
-                        min_reference: int = 5000) -> DataFrame:
-    """One row per language: ref_chars, ref_words, ref_n.  ``counts`` has the
-    histograms of documents that may serve as reference."""
-    k = N_CLASSES
+def language_references(counts: DataFrame, lang: str = "lang") -> DataFrame:
+    """One row per language with reference text: ref_lang, ref_chars, ref_words,
+    ref_n.  ``counts`` has the histograms of documents that may serve as
+    reference."""
     good = counts.filter(~F.col("base_failed"))
-    chars = good.groupBy(F.col(lang).alias("r_lang")).agg(
-        F.array(*[F.sum(F.get("char_hist", F.lit(i))) for i in range(k)]).alias("ref_chars"),
+    chars = good.groupBy(F.col(lang).alias("ref_lang")).agg(
+        F.array(*[F.sum(F.get("char_hist", F.lit(i))) for i in range(N_CLASSES)]).alias("ref_chars"),
         F.sum("n_words").alias("ref_n"))
     words = (good.select(F.col(lang).alias("w_lang"), F.explode("word_hist").alias("e"))
              .groupBy("w_lang", "e.word").agg(F.sum("e.n").alias("n"))
              .groupBy("w_lang").agg(F.map_from_entries(F.collect_list(F.struct("word", "n")))
                                     .alias("ref_words")))
-    own = stored(chars.join(words, F.col("r_lang").eqNullSafe(F.col("w_lang")), "left").select(
-        "r_lang", "ref_chars", "ref_n", F.coalesce("ref_words", F.expr(
-            "cast(map() AS map<string, bigint>)")).alias("ref_words")), "quality-refs")
-    # the sum over all languages serves those with too little text: one row of
-    # a few dozen numbers, read by the driver
-    words_sum = own.select(F.explode("ref_words").alias("word", "n")).groupBy("word").agg(
-        F.sum("n").alias("n"))
-    total = own.agg(*[F.sum(F.get("ref_chars", F.lit(i))).alias(f"c{i}") for i in range(k)],
-                    F.sum("ref_n").alias("n")).first()
-    all_words = {r.word: r.n for r in words_sum.collect()}
-    pooled = F.expr("cast(map() AS map<string, bigint>)") if not all_words else F.create_map(
-        *[F.lit(x) for w in sorted(all_words) for x in (w, all_words[w])])
-    langs = counts.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n_docs"))
-    enough = F.coalesce(F.col("ref_n"), F.lit(0)) >= min_reference
-    pick = lambda c, other: F.when(enough, F.col(c)).otherwise(other).alias(c)
-    sums = F.array(*[F.lit(total[f"c{i}"]).cast("long") for i in range(k)])
-    return langs.join(own, F.col("lang").eqNullSafe(F.col("r_lang")), "left").select(
-        F.col("lang").alias("ref_lang"), pick("ref_chars", sums), pick("ref_words", pooled),
-        pick("ref_n", F.lit(total["n"]).cast("long")))
+    return stored(chars.join(words, F.col("ref_lang").eqNullSafe(F.col("w_lang")), "left").select(
+        "ref_lang", "ref_chars", F.coalesce("ref_words", F.expr(
+            "cast(map() AS map<string, bigint>)")).alias("ref_words"), "ref_n"), "quality-refs")
 
 
 def judge(counts: DataFrame, references: DataFrame, lang: str = "lang",
           char_limit: float = 0.3, word_limit: float = 0.25,
-          min_chars: int = 250, min_words: int = 150) -> DataFrame:
+          min_chars: int = 250, min_words: int = 150, min_reference: int = 5000) -> DataFrame:
     """``counts`` with char_distance, word_distance (null: not judged) and
     ``kept``.  The references are one row per language; documents of a common
     language spread over salts."""
@@ -203,8 +191,10 @@ def judge(counts: DataFrame, references: DataFrame, lang: str = "lang",
     rows = rows.withColumns({
         "char_distance": F.expr(f"CASE WHEN {n_chars} >= {min_chars} AND ref_n > 0 THEN {char_d} END"),
         "word_distance": F.expr(f"CASE WHEN n_words >= {min_words} AND ref_n > 0 THEN {word_d} END")})
-    odd = (F.coalesce(F.col("char_distance") > char_limit, F.lit(False))
-           | F.coalesce(F.col("word_distance") > word_limit, F.lit(False)))
+    wider = f"greatest(1D, {min_reference} / cast(ref_n AS double))"
+    over = lambda d, limit: F.coalesce(
+        F.expr(f"{d}_distance > {limit}D * sqrt({wider})"), F.lit(False))
+    odd = over("char", char_limit) | over("word", word_limit)
     return (rows.withColumn("kept", ~F.col("base_failed") & ~odd)
             .drop(salt, "ref_lang", "ref_salt", "ref_chars", "ref_words", "ref_n"))
 
@@ -218,10 +208,9 @@ def quality_rules(docs: DataFrame, lang: str = "lang", text: str = "text", carry
     counts = base_counts(docs.select(*keep, lang_col, F.col(text).alias("judged_text")),
                          "judged_text").drop("judged_text")
     counts = stored(counts, "quality")
-    refs = language_references(counts, "judged_lang", min_reference)
-    return judge(counts, refs, "judged_lang", **limits).drop("char_hist", "word_hist",
-                                                             "judged_lang")
-
+    refs = language_references(counts, "judged_lang")
+    return judge(counts, refs, "judged_lang", min_reference=min_reference, **limits).drop(
+        "char_hist", "word_hist", "judged_lang")
 
 
 def keep_good(docs: DataFrame, lang: str = "lang", text: str = "text", **options) -> DataFrame:
