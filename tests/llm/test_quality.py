@@ -109,3 +109,13 @@ def test_verdict_is_steady_in_the_reference_size(docs_of):
             for m in (total - 1, total, total + 1, 50 * total)]
     assert kept[0] == kept[1] == kept[2] and not kept[0][100]
     assert all(kept[3].values())
+
+
+def test_short_texts_are_judged_by_words(docs_of):
+    rows = [(i, clean(i, 20 + 2 * i), "en", "a") for i in range(70)]
+    rows += [(100 + k, " | ".join(f"menu{j} item{j}" for j in range(k)), "en", "a")
+             for k in (25, 30, 40, 49)]
+    got = {r.doc_id: r for r in quality.quality_rules(docs_of(rows), min_reference=500).collect()}
+    assert all(got[i].kept for i in range(70))
+    assert all(got[100 + k].n_words < 150 and not got[100 + k].base_failed for k in (25, 30, 40, 49))
+    assert not any(got[100 + k].kept for k in (25, 30, 40, 49))

@@ -6,8 +6,10 @@ of a language are the same histograms summed over all its documents that pass
 the base rules.  A document is rejected if the Jensen-Shannon distance (base
 2) to the reference of its language exceeds a limit.  A histogram of ``n``
 items over ``b`` classes lies about ``(b - 1) / (8 n ln 2)`` from its own
-source by chance; this is taken off the divergence first, and texts below a
-minimum length are not judged by that histogram at all.
+source by chance; this is taken off the divergence first.  The words of all
+texts of ``LEAST_WORDS`` are judged: below ``min_words`` the limit on their
+divergence grows by as much as its standard error, ``sqrt(2 (b - 1)) / (8 n ln
+2)``, is above that of ``min_words``.  Characters are judged from ``min_chars``.
 
 All expressions are Spark SQL functions on one row; only the small histograms
 meet in a shuffle, one row per language and class.
@@ -48,6 +50,9 @@ COMMON_WORDS = (
 CLASSES = (r"[A-Z]", r"[0-9]", r"[.,;:!?'\"()\-]", r"[^\x00-\x7F]")
 N_CLASSES = len(CLASSES) + 3
 
+#: Shorter texts fail the base rules.
+LEAST_WORDS = 20
+
 
 def class_counts(text: Column, word_chars: Column, n_symbols: Column) -> Column:
     """array<long>: characters by class."""
@@ -120,7 +125,7 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         "char_hist": class_counts(t, word_chars, n_symbols),
         "word_hist": F.expr(word_histogram(f"`{words}`")),
     }).drop(words, line_arr)
-    return got.withColumn("base_failed", (F.col("n_words") < 20)
+    return got.withColumn("base_failed", (F.col("n_words") < LEAST_WORDS)
                           | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30))
 
 
@@ -190,11 +195,13 @@ def judge(counts: DataFrame, references: DataFrame, lang: str = "lang",
     word_d = distance(word_divergence("word_hist", "n_words", "ref_words", "ref_n"), 20, "n_words")
     rows = rows.withColumns({
         "char_distance": F.expr(f"CASE WHEN {n_chars} >= {min_chars} AND ref_n > 0 THEN {char_d} END"),
-        "word_distance": F.expr(f"CASE WHEN n_words >= {min_words} AND ref_n > 0 THEN {word_d} END")})
+        "word_distance": F.expr(f"CASE WHEN n_words >= {LEAST_WORDS} AND ref_n > 0 THEN {word_d} END")})
     wider = f"greatest(1D, {min_reference} / cast(ref_n AS double))"
-    over = lambda d, limit: F.coalesce(
-        F.expr(f"{d}_distance > {limit}D * sqrt({wider})"), F.lit(False))
-    odd = over("char", char_limit) | over("word", word_limit)
+    error = lambda n: f"sqrt(38D) / (8D * ln(2D) * {n})"
+    shorter = f"greatest(0D, {error('n_words')} - {error(min_words)})"
+    over = lambda d, limit, more: F.coalesce(F.expr(
+        f"{d}_distance > sqrt(power({limit}D, 2) * {wider} + {more})"), F.lit(False))
+    odd = over("char", char_limit, "0D") | over("word", word_limit, shorter)
     return (rows.withColumn("kept", ~F.col("base_failed") & ~odd)
             .drop(salt, "ref_lang", "ref_salt", "ref_chars", "ref_words", "ref_n"))
 
