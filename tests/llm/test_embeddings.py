@@ -86,3 +86,28 @@ def test_exact_counts(spark):
         u = np.array(me.vec) / np.linalg.norm(me.vec)
         assert n == sum(u @ np.array(r.vec) / np.linalg.norm(r.vec) >= 0.98 for r in all_nodes.values()
                         if r.node != node and r.label == me.label)
+
+
+def test_recall_is_a_mean_over_nodes(spark):
+    truth = spark.createDataFrame([(i, 1000) for i in range(95)] + [(100 + i, 1) for i in range(5)]
+                                  + [(200, 0)], "node long, n long")
+    lists = spark.createDataFrame([(i, [0.99] * 1000) for i in range(95)] + [(100, [0.97])],
+                                  "node long, sims array<double>")
+    assert abs(E.mean_recall(truth, lists, 0.98) - 0.95) < 1e-12
+    assert E.mean_recall(truth.filter("n = 0"), lists, 0.98) == 1.0
+
+
+def test_lone_pairs_beside_a_large_group(spark):
+    rng = np.random.default_rng(5)
+    ball = rng.normal(size=16)
+    vecs = [ball + rng.normal(size=16) * 0.03 for _ in range(600)]
+    for v in rng.normal(size=(400, 16)):
+        vecs += [v, v + rng.normal(size=16) * 0.15]
+    rows = [(i, [float(np.float32(x)) for x in v], 1) for i, v in enumerate(vecs)]
+    units = np.array([v for _, v, _ in rows])
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    links = (units @ units.T >= 0.98).sum(axis=1) - 1
+    with pytest.raises(RuntimeError, match="recall"):
+        E.link_vectors(frame(spark, rows), tables=1, restarts=0)
+    got = {r.vec_id: r.n_links for r in E.link_vectors(frame(spark, rows), tables=1).collect()}
+    assert [got[i] for i in range(len(rows))] == links.tolist()

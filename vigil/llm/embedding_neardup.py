@@ -14,9 +14,13 @@ with a chance that grows fourfold each round.  Rounds go on until no list is
 due, the large ones twice.
 
 The recall is audited against the exact neighbours of ``audit`` nodes drawn by
-hash (a stated set against all rows, in blocks); while it is below ``recall``,
-the graph is enlarged from new tables.  In the end edges of at least
-``threshold`` are kept, in double precision, so that no link is false.
+hash (a stated set against all rows, in blocks).  It is the mean over the
+audited nodes that have links, so that a node with one link counts as much as
+one of a large group.  While it is below ``recall``, the graph is enlarged from
+new tables, twice as many each time, as a vector with a single neighbour is
+found by the tables only; if it is still below in the end, that is an error.
+Edges of at least ``threshold`` are kept, in double precision, so that no link
+is false.
 
 Defined cases: vectors that are null, empty, zero or have null or non-finite
 components, and those with a null label, link with nothing and are their own
@@ -237,15 +241,24 @@ def exact_counts(nodes: DataFrame, audit: int, threshold: float) -> DataFrame:
             .groupBy("node").agg(F.sum("n").alias("n")))
 
 
+def mean_recall(truth: DataFrame, lists: DataFrame, threshold: float) -> float:
+    """Mean share of the exact links (``node``, ``n``) that the lists have, over
+    the nodes with links; 1 if there are none."""
+    found = F.size(F.filter("sims", lambda s: s >= threshold)).cast("long")
+    share = F.least(F.coalesce("found", F.lit(0)), "n") / F.col("n")
+    return truth.filter("n > 0").join(lists.select("node", found.alias("found")), "node", "left").agg(
+        F.coalesce(F.avg(share), F.lit(1.0))).first()[0]
+
+
 def neighbour_lists(nodes: DataFrame, threshold: float = 0.98, floor: float = 0.95, k: int = 32,
                     tables: int = 8, audit: int = 512, recall: float = 0.999, turns: int = 30,
                     restarts: int = 4, pivots: int = 10) -> DataFrame:
     """The refined lists; ``restarts`` bounds the enlargements after an audit."""
-    truth = stored(exact_counts(nodes, audit, threshold), "audit")
-    wanted = truth.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # a pair within rounding of the threshold is not missed
+    truth = stored(exact_counts(nodes, audit, threshold + 1e-9), "audit")
     lists = None
     for restart in range(restarts + 1):
-        parts = first_lists(nodes, tables, restart, floor, threshold, k)
+        parts = first_lists(nodes, tables << restart, restart, floor, threshold, k)
         if lists is not None:
             parts = parts.unionByName(lists)
         lists = stored(merged_lists(parts, threshold), "lists")
@@ -259,12 +272,11 @@ def neighbour_lists(nodes: DataFrame, threshold: float = 0.98, floor: float = 0.
                     break
             more = join_neighbours(lists, nodes, floor, threshold, turn, pivots)
             lists = stored(merged_lists(lists.unionByName(more), threshold), "lists")
-        found = F.size(F.filter("sims", lambda s: s >= threshold)).cast("long")
-        got = truth.join(lists.select("node", found.alias("found")), "node").agg(
-            F.coalesce(F.sum(F.least("found", "n")), F.lit(0))).first()[0]
-        if got >= recall * wanted:
-            break
-    return lists
+        got = mean_recall(truth, lists, threshold)
+        if got >= recall:
+            return lists
+    raise RuntimeError(f"mean recall {got:.5f} of {audit} audited nodes is below {recall} after "
+                       f"{restarts} restarts")
 
 
 def link_vectors(vectors: DataFrame, vector: str = "embedding", label: str = "label",
