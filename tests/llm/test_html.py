@@ -100,3 +100,18 @@ def test_extract(spark):
             (4, "e", "Title here Some text.")]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert X.extract(df.limit(0)).count() == 0
+
+
+def test_elements_without_content_leave_the_page():
+    from vigil.llm.html_blocks import blocks_of
+    texts = lambda html: [b.text for b in blocks_of(html)]
+    for head in ("<svg/>", "<svg width='1' />", '<svg viewBox="0 0 1 1"/>', "<math/>", "<noscript>",
+                 "<template>", "<svg>", "<math>"):
+        assert texts(f"<body>{head}<p>one</p><p>two</p></body>") == ["one", "two"], head
+    assert texts("<svg/><p>one</p><svg><path/>x</svg><p>two</p>") == ["one", "two"]
+    assert texts("<template><p>one</p><template>x</template><p>two</p>") == ["one", "two"]
+    assert texts("<svg><svg>x</svg>y</svg><p>one</p>") == ["one"]
+    assert texts("<svg width=5/>x</svg><p>one</p>") == ["one"]
+    assert texts("<noscript>x</noscript><p>one</p>") == ["one"]
+    assert texts("<p>so <math><mi>a</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><mspace/>"
+                 "<annotation>tex</annotation></math> holds</p>") == ["so a=12 holds"]

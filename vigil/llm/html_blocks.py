@@ -6,14 +6,20 @@ import re
 from html import unescape
 from typing import NamedTuple
 
-#: Tags that do not end a block, and tags without content.
-INLINE = frozenset((
+#: Formulas, tags that do not end a block, and tags without content.
+MATH = frozenset((
+    "math semantics mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom "
+    "mfenced menclose msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable "
+    "mtr mlabeledtr mtd maction").split())
+INLINE = MATH | frozenset((
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt "
     "ruby s samp small span strike strong sub sup time tt u var wbr").split())
 VOID = frozenset(("area base br col embed hr img input link meta param source track wbr").split())
 
-#: Elements whose content is no text of the page.
-RAW = frozenset("script style noscript template iframe textarea title svg math noframes".split())
+#: Elements whose content is no text of the page.  Those of ``NESTED`` may hold
+#: others of their name, and one without an end tag is passed over by itself.
+NESTED = frozenset("noscript template svg annotation annotation-xml".split())
+RAW = NESTED | frozenset("script style iframe textarea title noframes".split())
 
 #: A start of one of these ends an open element of the listed names.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
@@ -42,16 +48,40 @@ def _names(tag: str, attributes: str) -> str:
     return " ".join([tag, *words])
 
 
+def _self_closed(attributes: str) -> bool:
+    """True if a tag ends with a slash that is not part of a value."""
+    if not attributes.endswith("/"):
+        return False
+    return not any(m[4] is not None and m.end() == len(attributes)
+                   for m in _ATTRIBUTE.finditer(attributes))
+
+
+def _ends(html: str, tag: str) -> dict[int, int]:
+    """Place after the start tag -> place after the end tag of the elements."""
+    out: dict[int, int] = {}
+    opened: list[int] = []
+    for found in re.finditer(rf"<(/?){tag}(?=[\s/>])", html, re.I):
+        if found[1]:
+            gt = html.find(">", found.end())
+            if opened:
+                out[opened.pop()] = len(html) if gt < 0 else gt + 1
+        elif (start := _TAG.match(html, found.start())) and not _self_closed(start[3]):
+            opened.append(start.end())
+    return out
+
+
 def blocks_of(html: str) -> list[Block]:
     """The non-empty blocks of a page in order.  White space within a block is
     one space.  A tag that the end of the page cuts off is dropped; an open
-    element ends with its parent."""
+    element ends with its parent.  The text of formulas is text of their block,
+    but for their annotations."""
     blocks: list[Block] = []
     stack: list[str] = []
     labels: list[str] = []
     parts: list[str] = []
     linked = 0
     depth_of_links = 0
+    ends: dict[str, dict[int, int]] = {}
 
     def flush():
         nonlocal linked
@@ -109,7 +139,7 @@ def blocks_of(html: str) -> list[Block]:
         if tag == "br":
             parts.append(" ")
             continue
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in ("annotation", "annotation-xml"):
             flush()
         if closing:
             if tag in stack:
@@ -117,6 +147,14 @@ def blocks_of(html: str) -> list[Block]:
             continue
         if tag in VOID:
             continue
+        if (tag in MATH or tag in NESTED) and tag not in ("noscript", "template") and (
+                _self_closed(attributes)):
+            continue
+        if tag in NESTED:
+            if tag not in ends:
+                ends[tag] = _ends(html, tag)
+            at = ends[tag].get(at, at)
+            continue
         if tag in RAW:
             close = re.compile(rf"</{tag}[\s/>]", re.I).search(html, at)
             if not close:
