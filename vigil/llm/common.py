@@ -61,3 +61,15 @@ def new_name(df: DataFrame, stem: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def column(name: str) -> Column:
+    """A column by its whole name, dots included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def small(df: DataFrame, name: str, rows: int = 100_000) -> DataFrame:
+    """``df`` written once, and broadcast if it was counted to have at most
+    ``rows`` rows; beyond that Spark joins it as it sees fit."""
+    df = stored(df, name)
+    return F.broadcast(df) if df.count() <= rows else df

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import (embedding_neardup, html_extract, licenses, mixing, packing, quality,
-                       secrets, simhash, token_attribution, warc)
+from vigil.llm import (embedding_neardup, html_extract, licenses, merkle, mixing, packing,
+                       quality, secrets, simhash, token_attribution, warc)
 from vigil.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,19 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_neardup.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # every seventh document (by a checksum of its id) is shown with n_chars
+    # one higher than the manifest has it
+    docs = table(spark, sf_dir, "documents")
+    more = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0,
+                  F.col("n_chars").cast("decimal(20,0)") + 1).otherwise(
+                      F.col("n_chars").cast("decimal(20,0)"))
+    shown = merkle.leaf_of(*[more if f == "n_chars" else F.col(f) for f in merkle.FIELDS])
+    rows = merkle.manifest(docs, claim=shown)
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root",
+        F.sha2(F.array_join("path", ""), 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"))

