@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import (embedding_neardup, html_extract, licenses, merkle, mixing, packing,
-                       quality, secrets, simhash, token_attribution, warc)
+from vigil.llm import (bpe, embedding_neardup, html_extract, licenses, merkle, mixing,
+                       packing, quality, secrets, simhash, token_attribution, warc)
 from vigil.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root",
         F.sha2(F.array_join("path", ""), 256).alias("proof_sha256"), "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    tokens = bpe.encode_texts(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.digests(bpe.decode_ids(tokens, ranks))
