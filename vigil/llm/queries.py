@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import (bpe, embedding_neardup, html_extract, licenses, merkle, mixing,
-                       packing, quality, secrets, simhash, token_attribution, warc)
-from vigil.llm.common import table
+from vigil.llm import (bpe, conversations, embedding_neardup, html_extract, licenses, merkle,
+                       mixing, packing, quality, secrets, simhash, token_attribution, warc)
+from vigil.llm.common import new_name, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -103,3 +103,26 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     tokens = bpe.encode_texts(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
     return bpe.digests(bpe.decode_ids(tokens, ranks))
+
+
+def damaged_conversations(convs: DataFrame) -> tuple[DataFrame, Column]:
+    """Conversations with the damage that op11 is to repair, and the column of the
+    rows that it drops."""
+    code, gone = new_name(convs, "code"), new_name(convs, "gone")
+    place = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" "))
+                               for c in ("conv_id", "turn")])
+    hit = F.col(code)
+    role, text = [F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text")]
+    rows = convs.withColumn(code, (F.crc32(place.cast("binary")) % 20).cast("int")).select(
+        "conv_id", "turn", (hit == 0).alias(gone), hit,
+        F.when(hit == 4, F.lit("user")).otherwise(role).alias("role"),
+        F.when(hit == 1, F.lit("")).when(hit == 2, F.translate(text, ".!?", ""))
+        .otherwise(text).alias("text"))
+    twice = F.explode(F.when(hit == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return rows.select("*", twice.alias(new_name(rows, "copy"))), F.col(gone)
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, gone = damaged_conversations(table(spark, sf_dir, "conversations"))
+    return conversations.digests(conversations.repair(rows, ignored=gone))

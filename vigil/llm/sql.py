@@ -155,3 +155,73 @@ SELECT num.doc_id, num.leaf, g.subroot, r.node AS root, sha256(g.sibs) AS proof_
 FROM num JOIN gup g ON g.part = num.part AND g.leaf_pos = num.pos AND g.n = 1
 JOIN (SELECT node FROM glev WHERE n = 1) r ON true
 """
+
+
+def _least_edits() -> str:
+    """One step of the backward search: options as (cost, audit, repaired lines),
+    compared in this order."""
+    def opt(cost: str, letter: str, to: str, lines: str) -> str:
+        return f"{{'c': {cost} + {to}.c, 'a': '{letter}' || {to}.a, 'r': {lines} || {to}.r}}"
+
+    def row(state: int, to: int, role: str) -> str:
+        keep = {0: "ini IN ('s', 'u')", 2: "ini = 'a'"}.get(state, "ini = 'u'")
+        kept = f"CASE ini WHEN 's' THEN {opt('cut', 'K', 't.v1', 'line')} ELSE " \
+               f"{opt('cut', 'K', f't.v{to}', 'line')} END"
+        named = "'\n" + role + ":' || text"
+        return f"""least({opt('3', 'D', f't.v{state}', "''")},
+      CASE WHEN NOT gone AND {keep} THEN {kept} END,
+      CASE WHEN NOT gone THEN {opt('2 + cut', 'R', f't.v{to}', named)} END)"""
+
+    def ins(frm: str, to: str, role: str) -> str:
+        return f"least({frm}, {opt('2', 'I', to, chr(39) + chr(92) + 'n' + role + ':' + chr(39))})"
+
+    return f"""
+  SELECT conv_id, i, {ins('w0', 'x2', 'user')} AS v0, {ins('w1', 'x2', 'user')} AS v1, x2 AS v2, x3 AS v3
+  FROM (SELECT *, {ins('w2', 'w3', 'assistant')} AS x2, {ins('w3', 'w2', 'user')} AS x3 FROM (
+    SELECT f.conv_id, f.i, {row(0, 2, 'user')} AS w0, {row(1, 2, 'user')} AS w1,
+      {row(2, 3, 'assistant')} AS w2, {row(3, 2, 'user')} AS w3
+    FROM t JOIN f ON f.conv_id IS NOT DISTINCT FROM t.conv_id AND f.i = t.i - 1))"""
+
+
+SQL["op11_conversation_repair"] = f"""
+WITH RECURSIVE x AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_CRC32.format("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS hit
+  FROM conversations),
+y AS (
+  SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+    CASE hit WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE hit WHEN 3 THEN [1, 2] WHEN 0 THEN [] ELSE [1] END) AS copy
+  FROM x),
+z AS (
+  SELECT *, row_number() OVER o AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+    left(role, 1) AS ini, regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS solid
+  FROM y WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy)),
+f AS (
+  SELECT *, solid = '' AS blank, solid <> '' AND nth > 1 AS duplicate,
+    solid <> '' AND nth = 1 AND right(solid, 1) NOT IN ('.', '!', '?') AS truncated,
+    CASE WHEN solid <> '' AND nth = 1 AND right(solid, 1) NOT IN ('.', '!', '?') THEN 1 ELSE 0 END AS cut,
+    solid = '' OR nth > 1 AS gone, '\n' || role || ':' || text AS line,
+    lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini AS pair
+  FROM z),
+n AS (
+  SELECT conv_id, count(*) AS n, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+    count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv_id),
+t(conv_id, i, v0, v1, v2, v3) AS (
+  SELECT conv_id, n + 1, {{'c': 0::BIGINT, 'a': '', 'r': ''}},
+    {{'c': 4::BIGINT, 'a': 'II', 'r': '\nuser:\nassistant:'}},
+    {{'c': 2::BIGINT, 'a': 'I', 'r': '\nassistant:'}}, {{'c': 0::BIGINT, 'a': '', 'r': ''}}
+  FROM n
+  UNION ALL {_least_edits()})
+SELECT o.conv_id, coalesce(n.gaps, 0)::BIGINT AS gaps, coalesce(n.blank, 0)::BIGINT AS blank,
+  coalesce(n.duplicate, 0)::BIGINT AS duplicate, coalesce(n.truncated, 0)::BIGINT AS truncated,
+  coalesce(n.illegal, 0)::BIGINT AS illegal, coalesce(t.v0.c, 0)::BIGINT AS cost,
+  coalesce(t.v0.a, '') AS audit, sha256(coalesce(substr(t.v0.r, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM o.conv_id AND t.i = 1
+""".replace("'\\n", "E'\\n")
