@@ -180,6 +180,89 @@ def detect_anomalies(df: DataFrame, time_separator: int, threshold: int, sensors
     return x.select(device_col, block_col, time_col, *sensors, *flags)
 
 
+def detect_anomalies_sliced(df: DataFrame, time_separator: int, threshold: int, sensors,
+                            split_seconds: int, device_col: str = "hwid",
+                            block_col: str = "BlockID", time_col: str = "when") -> DataFrame:
+    """D7 for blocks longer than a task: the result of ``detect_anomalies`` for
+    times that are unique in a block, with windows over (device, block, time
+    slice) only.
+
+    Rows are written once with the needed columns.  The value before the first row of
+    a slice comes from a summary per slice.  Slices then get copies of the
+    rows within twice the separator of them (a row is qualified by rows one
+    separator away, and starts a group by qualified rows one separator away);
+    groups are numbered by running sums per slice and offsets per block; the
+    rows of a group are counted by its number; a second exchange of copies
+    within the separator extends the flags.  Only tables with a row per slice
+    are windowed per block."""
+    from vigil.operators.sequence import halo_slices, written_once
+    sensors = list(sensors)
+    keys = [device_col, block_col]
+    t = F.col(time_col)
+    sep = time_separator
+    rows = written_once(df.select(*keys, time_col, *sensors), "anomaly-rows").withColumn(
+        "__slice", F.floor(t / split_seconds))
+    sliced = [*keys, "__slice"]
+    w = Window.partitionBy(*sliced).orderBy(time_col)
+    over_slices = Window.partitionBy(*keys).orderBy("__slice")
+
+    # The row before, in the slice or at the end of the slice before
+    ends = rows.groupBy(*sliced).agg(*[F.max_by(s, time_col).alias(f"__end_{s}") for s in sensors])
+    ends = ends.select(*sliced, *[F.lag(f"__end_{s}").over(over_slices).alias(f"__pre_{s}")
+                                  for s in sensors])
+    x = rows.withColumns({f"__lag_{s}": F.lag(s).over(w) for s in sensors}
+                         | {"__inner": F.lag(F.lit(True)).over(w)}).join(ends, sliced)
+    x = x.select(*keys, time_col, *sensors, *[
+        F.coalesce(F.when(F.col("__inner"), F.col(f"__lag_{s}")).otherwise(F.col(f"__pre_{s}"))
+                   != F.col(s), F.lit(False)).alias(f"__sw_{s}") for s in sensors])
+
+    # Qualified switches and starts of groups
+    x = halo_slices(x, time_col, split_seconds, 2 * sep)
+    ahead, behind = w.rangeBetween(1, sep), w.rangeBetween(-sep, -1)
+    cols = {}
+    for s in sensors:
+        v = F.col(s)
+        cols[f"__q_{s}"] = F.coalesce(
+            F.col(f"__sw_{s}") & F.when(v == 1, F.count_if(v == 0).over(ahead) > 0).otherwise(True)
+            & F.when(v == 0, F.count_if(v == 0).over(behind) > 0).otherwise(True), F.lit(False))
+    x = x.withColumns(cols)
+    x = x.withColumns({f"__st_{s}": (F.col(f"__q_{s}") & (F.count_if(F.col(f"__q_{s}")).over(behind) == 0))
+                       .cast("long") for s in sensors}).filter("__own").drop("__own")
+    x = written_once(x, "anomaly-switches")
+
+    # group numbers: running sums per slice, offsets per block
+    sums = x.groupBy(*sliced).agg(*[F.sum(f"__st_{s}").alias(f"__n_{s}") for s in sensors])
+    sums = sums.select(*sliced, *[F.coalesce(F.sum(f"__n_{s}").over(
+        over_slices.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"__off_{s}")
+        for s in sensors])
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = x.withColumns({f"__run_{s}": F.sum(f"__st_{s}").over(upto) for s in sensors}).join(sums, sliced)
+    x = x.withColumns({f"__id_{s}": F.when(F.col(f"__q_{s}"), F.col(f"__off_{s}") + F.col(f"__run_{s}"))
+                       for s in sensors})
+    x = x.select(*keys, time_col, *sensors, *[f"__id_{s}" for s in sensors])
+
+    # Groups with enough rows
+    for s in sensors:
+        big = (x.filter(F.col(f"__id_{s}").isNotNull()).groupBy(*keys, f"__id_{s}")
+               .agg(F.count(F.lit(1)).alias("__size")).filter(F.col("__size") >= threshold)
+               .select(*keys, f"__id_{s}", F.lit(True).alias(f"__big_{s}")))
+        x = x.join(big, [*keys, f"__id_{s}"], "left").withColumn(
+            f"__big_{s}", F.coalesce(f"__big_{s}", F.lit(False)))
+
+    # Rows between two rows of the same flagged group
+    x = halo_slices(x, time_col, split_seconds, sep)
+    back, forth = w.rangeBetween(-sep, 0), w.rangeBetween(0, sep)
+    cols = {}
+    for s in sensors:
+        f, i = F.col(f"__big_{s}"), F.col(f"__id_{s}")
+        before = F.when(F.bool_or(f).over(back), F.max(i).over(back))
+        after = F.when(F.bool_or(f).over(forth), F.min(i).over(forth))
+        cols[f"flag_{s}"] = F.coalesce((before == after) & (after > 0), F.lit(False)) | f
+    x = joint_flag(x.withColumns(cols).filter("__own"), sensors)
+    return x.select(device_col, block_col, time_col, *sensors, *[f"flag_{s}" for s in sensors],
+                    "flag_anomaly")
+
+
 def detect_anomalies_rows(df: DataFrame, time_separator: int, threshold: int, sensors,
                           extended: bool = True, debug: bool = False,
                           device_col: str = "hwid", block_col: str = "BlockID",

@@ -214,28 +214,24 @@ def auc_by_block_sensor(df: DataFrame, sensors, flag: str = "flag_anomaly",
     ``min_distinct`` distinct values in that block, the AUC of the raw
     sensor value against the flag, by the rank-sum formula with mean ranks
     on ties.  All blocks and sensors at once, no collect.  Blocks with only
-    one class give no row.
+    one class give no row, so those without an anomaly do not either.
 
-    The anomalous-block test is a window over (device, block) and the ranks
-    are windows over (device, block, sensor): all sub-clusterings of the
-    (device, block) partitioning, so no join and no extra exchange."""
-    keys = [device_col, block_col]
+    Rows are counted per (device, block, sensor, value) first; the mean rank of
+    a value is the running count before it and half its own.  The running
+    counts (``sequence.keyed_cumsum``) are not bound to one task per block."""
+    from vigil.operators.sequence import keyed_cumsum
+    g = [device_col, block_col, "sensor"]
     y = F.col(flag).cast("int")
-    x = df.select(*keys, y.alias("__y"), *sensors,
-                  F.max(y).over(Window.partitionBy(*keys)).alias("__m")) \
-        .where(F.col("__m") == 1)
-    long = unpivot(x, sensors, "double", keys=(*keys, "__y"), name_col="sensor",
-                   value_col="v").where(F.col("v").isNotNull())
-    g = [*keys, "sensor"]
-    w = Window.partitionBy(*g).orderBy("v")
-    tie = Window.partitionBy(*g, "v")
-    ranked = long.select(*g, "__y", "v",
-                         (F.rank().over(w) + (F.count(F.lit(1)).over(tie) - 1) / 2.0).alias("r"))
+    long = unpivot(df.select(device_col, block_col, y.alias("__y"), *sensors), sensors, "double",
+                   keys=(device_col, block_col, "__y"), name_col="sensor", value_col="v")
+    per = long.where(F.col("v").isNotNull()).groupBy(*g, "v").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("__y") == 1).alias("ones"),
+        F.count_if(F.col("__y") == 0).alias("zeros"))
+    ranked = keyed_cumsum(per, g, "v", ["n"])
+    rank = F.col("n_cum") - (F.col("n") - 1) / 2.0
     res = ranked.groupBy(*g).agg(
-        F.count_distinct("v").alias("n_distinct"),
-        F.sum(F.when(F.col("__y") == 1, F.col("r"))).alias("rsum"),
-        F.count_if(F.col("__y") == 1).alias("n1"),
-        F.count_if(F.col("__y") == 0).alias("n0"))
+        F.count(F.lit(1)).alias("n_distinct"), F.sum(F.col("ones") * rank).alias("rsum"),
+        F.sum("ones").alias("n1"), F.sum("zeros").alias("n0"))
     res = res.where((F.col("n_distinct") > min_distinct) & (F.col("n1") > 0) & (F.col("n0") > 0))
     auc = (F.col("rsum") - F.col("n1") * (F.col("n1") + 1) / 2.0) / (F.col("n1") * F.col("n0"))
     return res.select(*g, auc.alias("roc_auc"))
@@ -291,6 +287,131 @@ def mutual_information(df: DataFrame, sensors, flag: str = "flag_anomaly",
     return cell.groupBy(*g).agg(F.sum(term).alias("mutual_info"))
 
 
+def digamma(n):
+    """Digamma of a positive whole number: the asymptotic series at n + 10, ten
+    steps of the recurrence back (within 1e-14)."""
+    x = n.cast("double") + 10.0
+    inv = 1.0 / (x * x)
+    series = F.log(x) - 0.5 / x - inv * (1 / 12 - inv * (1 / 120 - inv * (1 / 252 - inv * (
+        1 / 240 - inv / 132))))
+    return series - sum((1.0 / (n + i) for i in range(1, 10)), 1.0 / n)
+
+
+def neighbour_information(df: DataFrame, sensors, flag: str = "flag_anomaly", k: int = 3,
+                          device_col: str = "hwid", block_col: str = "BlockID") -> DataFrame:
+    """Mutual information (nats) of a sensor and the flag by nearest
+    neighbours, per sensor and block with an anomaly.
+
+    For every row the distance r to its k-th neighbour of the same class (fewer,
+    if the class has k rows or less) comes from ``lag`` and ``lead`` in value
+    order.  Then m rows of any class lie in the open interval (v - r, v + r), or,
+    where r is 0, at v.  The estimate is
+    ``digamma(N) + <digamma(k)> - <digamma(class size)> - <digamma(m)>``, at
+    least 0, over the N rows of classes with two rows or more; a sensor without
+    such a class gives 0.  Rows with a null value or flag are left out.  Rounded
+    to ten decimals, so that sums in another order agree.
+
+    m needs no join: the ends of the intervals are sorted among the values, and
+    a running count of the values at both ends gives it."""
+    keys = [device_col, block_col]
+    g = [*keys, "sensor"]
+    y = F.col(flag).cast("int")
+    odd = df.groupBy(*keys).agg(F.max(y).alias("__odd")).where("__odd = 1").drop("__odd")
+    long = unpivot(df.join(odd, keys).select(*keys, y.alias("y"), *sensors), sensors, "double",
+                   keys=(*keys, "y"), name_col="sensor", value_col="v")
+    long = long.where(F.col("v").isNotNull() & F.col("y").isNotNull())
+    mates = Window.partitionBy(*g, "y")
+    by_value = mates.orderBy("v")
+    below = [F.lit(0.0)] + [F.col("v") - F.lag("v", i).over(by_value) for i in range(1, k + 1)]
+    above = [F.lit(0.0)] + [F.lead("v", i).over(by_value) - F.col("v") for i in range(1, k + 1)]
+    x = long.withColumns({f"b{i}": b for i, b in enumerate(below)}
+                         | {f"a{i}": a for i, a in enumerate(above)}
+                         | {"mates": F.count(F.lit(1)).over(mates)})
+
+    def radius(size):
+        # the best run of size + 1 class mates that holds the row
+        ends = [F.when(F.col(f"b{i}").isNotNull() & F.col(f"a{size - i}").isNotNull(),
+                       F.greatest(f"b{i}", f"a{size - i}")) for i in range(size + 1)]
+        return F.array_min(F.array(*ends))
+
+    used = F.least(F.lit(k), F.col("mates") - 1)
+    r = F.coalesce(*[F.when(used == size, radius(size)) for size in range(1, k + 1)])
+    x = x.select(*g, "v", "mates", used.alias("k"), r.alias("r"),
+                 F.monotonically_increasing_id().alias("id"))
+    # the written rows fix the ids, which pair the two ends of an interval
+    from vigil.operators.sequence import written_once
+    x = written_once(x, "neighbour-radii")
+    wide = F.col("r") > 0
+    # at equal places: upper ends that leave out their place, values, others
+    ends = F.array(
+        F.struct(F.col("v").alias("place"), F.lit(1).alias("turn"), F.lit(0).alias("sign")),
+        F.struct((F.col("v") - F.col("r")).alias("place"), F.when(wide, 2).otherwise(0).alias("turn"),
+                 F.lit(-1).alias("sign")),
+        F.struct((F.col("v") + F.col("r")).alias("place"), F.when(wide, 0).otherwise(2).alias("turn"),
+                 F.lit(1).alias("sign")))
+    events = x.select(*g, "mates", "k", "id", F.explode(ends).alias("e")).select(
+        *g, "mates", "k", "id", "e.*").where("place is not null and (sign = 0 or mates > 1)")
+    counted = events.withColumn("values", F.sum(F.when(F.col("sign") == 0, 1).otherwise(0)).over(
+        Window.partitionBy(*g).orderBy("place", "turn")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    within = counted.where("mates > 1").groupBy(*g, "id", "mates", "k").agg(
+        F.sum(F.col("sign") * F.col("values")).alias("m"))
+    total = within.groupBy(*g).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg(digamma(F.col("k")) - digamma(F.col("mates")) - digamma(F.col("m"))).alias("mean"))
+    every = long.select(*g).distinct()
+    estimate = F.round(digamma(F.col("n")) + F.col("mean"), 10)
+    return every.join(total, g, "left").select(*g, F.coalesce(F.greatest(
+        F.lit(0.0), estimate), F.lit(0.0)).alias("mutual_info"))
+
+
+def own_bins_overlap(df: DataFrame, sensor: str, target: str, bins: int = 30) -> DataFrame:
+    """Overlap of the density histograms of the two classes, each with
+    ``bins`` equal bins over its own range (last one closed).
+
+    ``overlap_pct`` is the area under the lower of the two step functions: the
+    edges of both are merged and both heights carried forward over them.
+    ``by_bin_pct`` compares bin i with bin i whatever its place, and takes the
+    width of class 0, as the reference does.  A class with one value has a
+    range of width 1 around it; with an empty class both are null.  The only
+    tables joined have a row per bin."""
+    x = df.select(F.col(sensor).cast("double").alias("x"), F.col(target).cast("int").alias("y")) \
+        .where(F.col("x").isNotNull() & F.col("y").isin(0, 1))
+    b = x.groupBy("y").agg(F.min("x").alias("lo0"), F.max("x").alias("hi0"), F.count(F.lit(1)).alias("n"))
+    flat = F.col("lo0") == F.col("hi0")
+    b = b.select("y", "n", F.when(flat, F.col("lo0") - 0.5).otherwise(F.col("lo0")).alias("lo"),
+                 F.when(flat, F.col("hi0") + 0.5).otherwise(F.col("hi0")).alias("hi"))
+    b = b.withColumn("width", (F.col("hi") - F.col("lo")) / bins)
+    two = F.broadcast(b)  # one row per class
+    counts = x.join(two, "y").groupBy("y", equal_width_bin("x", "lo", "hi", bins).alias("bin")).agg(
+        F.count(F.lit(1)).alias("c"))
+    every = b.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    heights = every.join(counts, ["y", "bin"], "left").select(
+        "y", "bin", "width", (F.col("lo") + F.col("bin") * F.col("width")).alias("edge"),
+        (F.coalesce("c", F.lit(0)) / (F.col("n") * F.col("width"))).alias("height"))
+    # behind its last bin a class has height 0
+    ends = b.select("y", F.lit(bins).alias("bin"), "width", F.col("hi").alias("edge"),
+                    F.lit(0.0).alias("height"))
+    steps = heights.unionByName(ends)
+    w = Window.orderBy("edge", "y", "bin")  # two rows per bin
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = steps.select(
+        (F.lead("edge").over(w) - F.col("edge")).alias("length"),
+        *[F.coalesce(F.last(F.when(F.col("y") == c, F.col("height")), True).over(upto), F.lit(0.0))
+          .alias(f"h{c}") for c in (0, 1)])
+    area = carried.agg(F.sum(F.least("h0", "h1") * F.col("length")).alias("area"))
+    pairs = heights.groupBy("bin").agg(
+        F.max(F.when(F.col("y") == 0, F.col("height"))).alias("h0"),
+        F.max(F.when(F.col("y") == 1, F.col("height"))).alias("h1"),
+        F.max(F.when(F.col("y") == 0, F.col("width"))).alias("width"))
+    by_bin = pairs.agg(F.sum(F.least("h0", "h1") * F.col("width")).alias("same"),
+                       (F.count_if(F.col("h0").isNull() | F.col("h1").isNull()) == 0).alias("both"))
+    return area.crossJoin(by_bin).select(  # one row each
+        F.lit(sensor).alias("sensor"),
+        F.when(F.col("both"), F.col("area") * 100).alias("overlap_pct"),
+        F.when(F.col("both"), F.col("same") * 100).alias("by_bin_pct"))
+
+
 def top_bottom(ranking: DataFrame, k: int, by: str = "abs_corr",
                name_col: str = "sensor") -> DataFrame:
     """The k highest and k lowest of a ranking, with a ``side`` tag."""

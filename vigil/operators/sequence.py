@@ -13,6 +13,11 @@ levels:
    from step 1, so only the small summary moves.
 
 With ``split_seconds=None`` the plain one-level window is used.
+
+``keyed_cumsum`` does the same along any order: rows are range-partitioned by
+(key, order), so a hot key spreads over as many partitions as it fills.
+``halo_slices`` gives every time slice copies of the rows around it, so that
+range frames can run per slice.
 """
 
 from __future__ import annotations
@@ -155,3 +160,59 @@ def global_cumsum(df: DataFrame, order_col: str, sum_cols, slices: int = 256,
     j = x.join(F.broadcast(tot), _SLICE)
     return j.select(*df.columns, *[(F.col(f"__loc_{c}") + F.col(f"__off_{c}")).alias(f"{c}_cum")
                                    for c in sum_cols])
+
+
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the scratch folder: columns are pruned and
+    sizes known when it is read."""
+    from vigil.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def keyed_cumsum(df: DataFrame, keys, order_col: str, sum_cols,
+                 next_name: str | None = None) -> DataFrame:
+    """Running sums of ``sum_cols`` per ``keys`` in the order of the (unique per
+    key) ``order_col``, without one task per key.  Adds ``<c>_cum`` for every
+    column, the row itself included, and on demand the next value of
+    ``order_col`` within the key (null for the last).
+
+    Rows are range-partitioned by (keys, order) and written once; windows run
+    per (partition, key).  The totals per partition and key (at most partitions
+    + keys rows) give each its offset.  Null keys are a key of their own."""
+    keys, sum_cols = list(keys), list(sum_cols)
+    order = [*keys, order_col]
+    x = written_once(df.repartitionByRange(*order).withColumn("__pid", F.spark_partition_id()),
+                     "keyed-runs")
+    local = Window.partitionBy("__pid", *keys).orderBy(order_col)
+    upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    runs = x.groupBy("__pid", *keys).agg(F.min(order_col).alias("__first"), *[
+        F.sum(c).alias(f"__tot_{c}") for c in sum_cols])
+    # rows here: partitions that a key fills
+    across = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("__pid")
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(
+        F.col("__pid").alias("__p"), *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+        F.lead("__first").over(across).alias("__after"),
+        *[F.coalesce(F.sum(f"__tot_{c}").over(before), F.lit(0)).alias(f"__off_{c}") for c in sum_cols])
+    x = x.withColumns({f"__loc_{c}": F.sum(c).over(upto) for c in sum_cols}
+                      | {"__next": F.lead(order_col).over(local)})
+    same = F.col("__pid") == F.col("__p")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    j = x.join(runs, same)
+    nxt = [] if next_name is None else [F.coalesce("__next", "__after").alias(next_name)]
+    return j.select(*df.columns, *[(F.col(f"__loc_{c}") + F.col(f"__off_{c}")).alias(f"{c}_cum")
+                                   for c in sum_cols], *nxt)
+
+
+def halo_slices(df: DataFrame, time_col: str, split_seconds: int, reach: int) -> DataFrame:
+    """Every row once for each time slice that holds a moment within ``reach`` of
+    it: ``__slice``, and ``__own`` where the slice is its own.  Frames of up to
+    ``reach`` over (key, slice) see for own rows what they would see over the
+    key alone; drop the copies afterwards."""
+    t = F.col(time_col)
+    slice_of = lambda x: F.floor(x / F.lit(split_seconds))
+    out = df.withColumn(_SLICE, F.explode(F.sequence(slice_of(t - reach), slice_of(t + reach))))
+    return out.withColumn("__own", F.col(_SLICE) == slice_of(t))

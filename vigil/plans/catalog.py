@@ -665,6 +665,13 @@ def d6_d7_detect_anomalies(spark, sf):
     return S.anomalies(spark, sf)
 
 
+@register("d6_d7_detect_anomalies_sliced",
+          sql(f"SELECT {_DKEYS}, flag_engine, flag_anomaly FROM anomalies", "anomalies"))
+def d6_d7_detect_anomalies_sliced(spark, sf):
+    """The same flags by time slices of five days with copies around them."""
+    return D.detect_anomalies_sliced(S.blocks(spark, sf), S.SEP, S.TH, S.ENGINES, 5 * 24 * 3600)
+
+
 def _d8_sql(rows):
     return sql(f"""SELECT {_DKEYS}, CASE WHEN nextID = prevID AND nextID > 0 THEN TRUE ELSE flag0 END AS flag_engine
 FROM (SELECT *,
@@ -906,6 +913,22 @@ def c6_overlap_area(spark, sf):
     return C.overlap_area(S.final(spark, sf), "view", "flag_anomaly", 50)
 
 
+@register("c7_own_bins_overlap", sql("""WITH x AS (SELECT CAST(view AS DOUBLE) AS x, CAST(flag_anomaly AS INTEGER) AS y
+  FROM final WHERE view IS NOT NULL AND flag_anomaly IN (0, 1)),
+b AS (SELECT y, min(x) AS lo, max(x) AS hi, count(*) AS n, (max(x) - min(x)) / 30 AS width FROM x GROUP BY y),
+h AS (SELECT b.y, g.bin, lo + g.bin * width AS from_x, CASE WHEN g.bin = 29 THEN hi ELSE lo + (g.bin + 1) * width END AS to_x,
+    width, (SELECT count(*) FROM x WHERE x.y = b.y
+      AND least(greatest(floor((x.x - lo) / ((hi - lo) / 30)), 0), 29) = g.bin) / (n * width) AS height
+  FROM b, (SELECT unnest(range(30)) AS bin) g)
+SELECT 'view' AS sensor,
+  (SELECT sum(least(p.height, q.height) * greatest(0.0, least(p.to_x, q.to_x) - greatest(p.from_x, q.from_x)))
+   FROM h p, h q WHERE p.y = 0 AND q.y = 1) * 100 AS overlap_pct,
+  (SELECT sum(least(p.height, q.height) * p.width) FROM h p JOIN h q ON p.bin = q.bin
+   WHERE p.y = 0 AND q.y = 1) * 100 AS by_bin_pct""", "final"))
+def c7_own_bins_overlap(spark, sf):
+    return C.own_bins_overlap(S.final(spark, sf), "view", "flag_anomaly", 30)
+
+
 @register("c8_load_temperature", sql("""SELECT l_quantity, count(l_extendedprice) AS count,
   avg(l_extendedprice) AS avg_temperature, stddev_samp(l_extendedprice) AS std_temperature
 FROM lineitem WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL GROUP BY l_quantity
@@ -1013,6 +1036,36 @@ def c15_mutual_information(spark, sf):
     return C.mutual_information(S.final(spark, sf), S.SENSORS, "flag_anomaly", 10)
 
 
+@register("c15_neighbour_information", sql(f"""WITH fb AS (SELECT hwid, BlockID FROM final GROUP BY hwid, BlockID
+  HAVING max(flag_anomaly) = 1),
+long AS (SELECT row_number() OVER () AS id, hwid, BlockID, CAST(flag_anomaly AS INTEGER) AS y, sensor, v
+  FROM (SELECT * FROM final JOIN fb USING (hwid, BlockID))
+  UNPIVOT (v FOR sensor IN ({', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in S.SENSORS)}))),
+-- distances to all class mates, in order
+near AS (SELECT a.id, a.hwid, a.BlockID, a.sensor, a.v, count(b.id) AS mates,
+    list_sort(list(abs(a.v - b.v)) FILTER (b.id IS NOT NULL)) AS far
+  FROM long a LEFT JOIN long b ON a.hwid = b.hwid AND a.BlockID = b.BlockID AND a.sensor = b.sensor
+    AND a.y = b.y AND a.id <> b.id
+  GROUP BY a.id, a.hwid, a.BlockID, a.sensor, a.v),
+rad AS (SELECT *, least(3, mates) AS k, far[least(3, mates)] AS r FROM near WHERE mates > 0),
+cnt AS (SELECT p.id, p.hwid, p.BlockID, p.sensor, p.k, p.mates + 1 AS size, count(*) AS m
+  FROM rad p JOIN long q ON p.hwid = q.hwid AND p.BlockID = q.BlockID AND p.sensor = q.sensor
+    AND (q.v = p.v OR (q.v > p.v - p.r AND q.v < p.v + p.r))
+  GROUP BY ALL),
+psi AS (SELECT n, -0.57721566490153286::DOUBLE + coalesce(sum(1.0::DOUBLE / (n - 1)) OVER (ORDER BY n
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0.0) AS psi
+  FROM (SELECT unnest(range(2, (SELECT max(c) + 2 FROM (SELECT count(*) AS c FROM long GROUP BY hwid, BlockID, sensor)))) AS n)
+  UNION ALL SELECT 1, -0.57721566490153286::DOUBLE),
+est AS (SELECT c.hwid, c.BlockID, c.sensor, count(*) AS n, avg(a.psi - b.psi - d.psi) AS mean
+  FROM cnt c JOIN psi a ON a.n = c.k JOIN psi b ON b.n = c.size JOIN psi d ON d.n = c.m
+  GROUP BY c.hwid, c.BlockID, c.sensor)
+SELECT hwid, BlockID, sensor, coalesce(greatest(0.0::DOUBLE, round(p.psi + mean, 10)), 0.0::DOUBLE) AS mutual_info
+FROM (SELECT DISTINCT hwid, BlockID, sensor FROM long) LEFT JOIN est USING (hwid, BlockID, sensor)
+LEFT JOIN psi p ON p.n = est.n""", "final"))
+def c15_neighbour_information(spark, sf):
+    return C.neighbour_information(S.final(spark, sf), S.SENSORS, "flag_anomaly", 3)
+
+
 @register("c16_top_bottom", sql(f"""(SELECT *, 'top' AS side FROM ({_pair_sql('final', [*S.SENSORS, 'engine'], 'flag_anomaly')})
   ORDER BY abs_corr DESC, sensor LIMIT 2)
 UNION ALL (SELECT *, 'bottom' AS side FROM ({_pair_sql('final', [*S.SENSORS, 'engine'], 'flag_anomaly')})
@@ -1583,8 +1636,8 @@ def x1_read_readings_csv(spark, sf):
         " 'A5', CASE WHEN event_type = 'error' THEN k END,"
         " 'A9', CASE WHEN event_type = 'purchase' THEN k END) AS (metric, value)")) \
         .where(F.col("value").isNotNull())
-    path = f"{checkpoint_dir(spark)}/readings_csv_{zlib.crc32(sf.encode())}"
-    long.write.mode("overwrite").option("header", True).csv(path)
+    path = scratch_path(spark, "readings-csv")
+    long.write.option("header", True).csv(path)
     return X.read_readings(spark, path)
 
 
