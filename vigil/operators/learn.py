@@ -166,6 +166,66 @@ def stump_threshold(df: DataFrame, feature: str, target: str) -> float:
     return float(med)
 
 
+def exact_split(df: DataFrame, feature: str, target: str) -> DataFrame:
+    """The split of one feature with the largest Gini gain, searched over
+    every border between distinct values: feature, threshold (middle of the
+    border; the smaller one of equal gains), gain.  Without a border that gains
+    the threshold is the mean of the class medians (null without rows) and the
+    gain 0.
+
+    Classes are counted per distinct value; running counts along the values
+    give both sides of every border without one task for all values."""
+    from vigil.operators.sequence import keyed_cumsum, written_once
+    x = df.select(F.col(feature).cast("double").alias("v"), F.col(target).cast("int").alias("y")) \
+        .na.drop()
+    per = written_once(x.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("ones")),
+                       "split-counts")
+    totals = per.agg(F.sum("n").alias("all_n"), F.sum("ones").alias("all_ones"))
+    # every count up to a border, and what is left behind it; totals: one row
+    cum = keyed_cumsum(per, [], "v", ["n", "ones"], "after").where("after IS NOT NULL") \
+        .join(F.broadcast(totals))
+
+    def impure(n, ones):
+        p = ones / n
+        return n * 2.0 * p * (1.0 - p)
+
+    n, ones = F.col("all_n"), F.col("all_ones")
+    gain = (impure(n, ones) - impure(F.col("n_cum"), F.col("ones_cum"))
+            - impure(n - F.col("n_cum"), ones - F.col("ones_cum"))) / n
+    best = cum.select(F.round(gain, 12).alias("gain"), ((F.col("v") + F.col("after")) / 2).alias("at")) \
+        .where("gain > 0").agg(F.max(F.struct("gain", (-F.col("at")).alias("minus"))).alias("best"))
+    medians = x.groupBy("y").agg(F.percentile("v", 0.5).alias("m")).agg(F.avg("m").alias("middle"))
+    return best.join(F.broadcast(medians)).select(  # one row each
+        F.lit(feature).alias("feature"), F.coalesce(-F.col("best.minus"), "middle").alias("threshold"),
+        F.coalesce("best.gain", F.lit(0.0)).alias("gain"))
+
+
+def logistic_gradient(df: DataFrame, cols, label: str, coefficients, intercept: float,
+                      weight: str | None = None) -> DataFrame:
+    """The gradient of the mean weighted log loss at given coefficients of the
+    columns ``cols`` as they stand: feature (the last row: intercept), gradient.
+    One aggregate over the rows; at the optimum of an unpenalised model all are 0."""
+    w = F.col(weight) if weight else F.lit(1.0)
+    margin = sum((F.col(c) * float(b) for c, b in zip(cols, coefficients)), F.lit(float(intercept)))
+    off = w * (1.0 / (1.0 + F.exp(-margin)) - F.col(label).cast("double"))
+    names = [*cols, "intercept"]
+    agg = df.agg(*[(F.sum(off * F.col(c)) / F.sum(w)).alias(c) for c in cols],
+                 (F.sum(off) / F.sum(w)).alias("intercept"))
+    from vigil.operators.aggregates import unpivot
+    return unpivot(agg, names, "double", name_col="feature", value_col="gradient")
+
+
+def standardised(df: DataFrame, cols, by: DataFrame) -> DataFrame:
+    """``df`` with the columns centred and scaled by the mean and standard
+    deviation that they have in ``by`` (constant columns become 0)."""
+    stats = by.agg(*[F.avg(c).alias(f"__m_{c}") for c in cols],
+                   *[F.stddev_samp(c).alias(f"__s_{c}") for c in cols])
+    j = df.join(F.broadcast(stats))  # one row
+    scaled = {c: F.when(F.col(f"__s_{c}") > 0, (F.col(c) - F.col(f"__m_{c}")) / F.col(f"__s_{c}"))
+              .otherwise(F.lit(0.0)) for c in cols}
+    return j.withColumns(scaled).select(*df.columns)
+
+
 def threshold_rules(df: DataFrame, thresholds: dict) -> DataFrame:
     """``prediction`` = 1 if any feature is over its threshold;
     ``score`` = number of rules that hold."""

@@ -506,6 +506,40 @@ def a5_approx_distinct_per_block(spark, sf):
     return A.approx_distinct_per_block(S.blocks(spark, sf), S.GRID_COLS, 2)
 
 
+from vigil.operators import states as ST  # noqa: E402
+from vigil.operators.sequence import written_once  # noqa: E402
+
+
+def _exact_sql(level, keys):
+    cols = ", ".join(k if k in keys else f"CAST(NULL AS BIGINT) AS {k}" for k in ("hwid", "BlockID"))
+    group = f"GROUP BY {', '.join(keys)}" if keys else ""
+    return " UNION ALL ".join(
+        f"SELECT '{level}' AS level, {cols}, '{c}' AS sensor, count(DISTINCT {c}) AS exact, TRUE AS within "
+        f"FROM blocks {group}" for c in S.GRID_COLS)
+
+
+@register("a5_sketch_rollup", sql("SELECT * FROM (" + " UNION ALL ".join(
+    _exact_sql(level, keys) for level, keys in (("block", ("hwid", "BlockID")), ("device", ("hwid",)),
+                                                ("table", ()))) + ") WHERE exact > 0", "blocks"))
+def a5_sketch_rollup(spark, sf):
+    """Sketches per block, merged to devices and to the table, beside exact
+    counts: within four standard errors."""
+    blocks = S.blocks(spark, sf)
+    cells = written_once(ST.distinct_sketches(blocks, S.GRID_COLS), "sketches")
+    long = A.unpivot(blocks, list(S.GRID_COLS), "double", keys=("hwid", "BlockID"),
+                     name_col="sensor", value_col="v").where("v IS NOT NULL")
+    out = None
+    for level, keys in (("block", ["hwid", "BlockID"]), ("device", ["hwid"]), ("table", [])):
+        near = ST.distinct_estimates(ST.merge_sketches(cells, keys))
+        exact = long.groupBy(*keys, "sensor").agg(F.count_distinct("v").alias("exact"))
+        absent = [F.lit(None).cast("long").alias(k) for k in ("hwid", "BlockID") if k not in keys]
+        one = exact.join(near, [*keys, "sensor"]).select(
+            F.lit(level).alias("level"), *keys, *absent, "sensor", "exact",
+            ST.within_error(F.col("n_distinct"), F.col("exact")).alias("within"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 _A6 = """SELECT hwid, time_diff, count(*) AS count FROM (
   SELECT hwid, "when" - lag("when") OVER (PARTITION BY hwid ORDER BY "when") AS time_diff FROM wide)
 WHERE time_diff IS NOT NULL GROUP BY hwid, time_diff"""
@@ -900,6 +934,48 @@ def c5_correlation_by_device(spark, sf):
     return C.correlation_by_device(S.final(spark, sf), [*S.SENSORS, "engine"], "flag_anomaly")
 
 
+def _line_states(spark, sf, pairs):
+    """Co-moments of the order lines per supplier and day, written once."""
+    lines = X.load_table(spark, sf, "lineitem")
+    return written_once(ST.pair_states(lines, pairs, ["l_suppkey", "l_shipdate"], complete=True),
+                        "line-states")
+
+
+def _sensor_states(spark, sf):
+    """Co-moments of sensors and the flag per device and day, written once."""
+    rows = S.final(spark, sf).withColumn("day", F.floor(F.col("when") / 86400))
+    pairs = [(c, "flag_anomaly") for c in (*S.SENSORS, "engine")]
+    return written_once(ST.pair_states(rows, pairs, ["hwid", "day"]), "sensor-states")
+
+
+@register("c1_covariance_from_states", SQL["c1_covariance_matrix"])
+def c1_covariance_from_states(spark, sf):
+    return ST.covariances(ST.merge_pair_states(_line_states(spark, sf, ST.all_pairs(LI_COLS))))
+
+
+@register("c2_ranking_from_states", SQL["c2_correlation_ranking"])
+def c2_ranking_from_states(spark, sf):
+    pairs = [(c, "l_extendedprice") for c in LI_COLS if c != "l_extendedprice"]
+    got = ST.correlations(ST.merge_pair_states(_line_states(spark, sf, pairs)))
+    return got.where("correlation IS NOT NULL").withColumn("abs_corr", F.abs("correlation"))
+
+
+@register("c3_pairwise_from_states", SQL["c3_pairwise_correlation"])
+def c3_pairwise_from_states(spark, sf):
+    got = ST.correlations(ST.merge_pair_states(_sensor_states(spark, sf)))
+    return got.select("sensor", F.coalesce("correlation", F.lit(0.0)).alias("correlation"),
+                      F.abs(F.coalesce("correlation", F.lit(0.0))).alias("abs_corr"))
+
+
+@register("c5_by_device_from_states", sql(f"""SELECT hwid, sensor, correlation FROM (
+  {' UNION ALL '.join(f"""SELECT hwid, '{s}' AS sensor, corr_{s} AS correlation FROM
+    ({_pair_sql('final', [s], 'flag_anomaly', 'hwid')})""" for s in (*S.SENSORS, 'engine'))})
+WHERE correlation IS NOT NULL AND NOT isnan(correlation)""", "final"))
+def c5_by_device_from_states(spark, sf):
+    got = ST.correlations(ST.merge_pair_states(_sensor_states(spark, sf), ["hwid"]), "hwid")
+    return got.where("correlation IS NOT NULL")
+
+
 @register("c6_overlap_area", sql("""WITH x AS (SELECT CAST(view AS DOUBLE) AS x, CAST(flag_anomaly AS INTEGER) AS y
   FROM final WHERE view IS NOT NULL AND flag_anomaly IN (0, 1)),
 b AS (SELECT min(x) AS lo, max(x) AS hi, count(CASE WHEN y = 0 THEN 1 END) AS n0,
@@ -1342,6 +1418,42 @@ def l10_decision_stump(spark, sf):
     return spark.createDataFrame([("engine_rolling", float(thr))], "feature string, threshold double")
 
 
+_SPLIT_SQL = """WITH x AS (SELECT CAST(value AS DOUBLE) AS v,
+    CAST(event_type = 'error' AS INTEGER) AS y FROM events WHERE value IS NOT NULL AND event_type IS NOT NULL),
+per AS (SELECT v, count(*) AS n, sum(y) AS ones FROM x GROUP BY v),
+cum AS (SELECT v, lead(v) OVER (ORDER BY v) AS after, sum(n) OVER (ORDER BY v) AS n1,
+    sum(ones) OVER (ORDER BY v) AS o1, sum(n) OVER () AS n, sum(ones) OVER () AS o FROM per),
+g AS (SELECT (v + after) / 2 AS border, n, n1::DOUBLE AS a, (n - n1)::DOUBLE AS b, o1 / n1::DOUBLE AS p,
+    (o - o1) / (n - n1)::DOUBLE AS q, o / n::DOUBLE AS r FROM cum WHERE after IS NOT NULL),
+best AS (SELECT border, round((n * 2 * r * (1 - r) - a * 2 * p * (1 - p) - b * 2 * q * (1 - q)) / n, 12) AS gain
+  FROM g QUALIFY row_number() OVER (ORDER BY gain DESC, border) = 1),
+med AS (SELECT avg(m) AS m FROM (SELECT quantile_cont(v, 0.5) AS m FROM x GROUP BY y))
+SELECT 'value' AS feature, CASE WHEN gain > 0 THEN border ELSE m END AS threshold,
+  CASE WHEN gain > 0 THEN gain ELSE 0.0 END AS gain FROM med LEFT JOIN best ON true"""
+
+
+@register("l10_exact_split", _SPLIT_SQL)
+def l10_exact_split(spark, sf):
+    """The border of the event values that best tells error events apart."""
+    ev = X.load_table(spark, sf, "events").where("event_type IS NOT NULL")
+    return L.exact_split(ev.withColumn("is_error", F.col("event_type") == "error"), "value", "is_error")
+
+
+@register("l8_optimum", "SELECT unnest([" + ", ".join(f"'{c}'" for c in (*FEATURES, "intercept"))
+          + "]) AS feature, TRUE AS at_optimum")
+def l8_optimum(spark, sf):
+    """The gradient of the loss at the fitted coefficients, below 1e-4 a feature."""
+    label = "predictive_overheating"
+    data = written_once(L.undersample(_features(spark, sf), label, 0.25)
+                        .select("hwid", "when", *FEATURES, label), "l8-rows")
+    model, _, _ = L.run_model(data, FEATURES, label, "lr", weight_class1=10)
+    train = L.class_weights(L.train_test_split(data.na.drop(subset=[*FEATURES, label]))[0], label, 10)
+    fit = model.stages[-1]
+    slope = L.logistic_gradient(L.standardised(train, FEATURES, train), FEATURES, label,
+                                fit.coefficients, fit.intercept, "weight")
+    return slope.select("feature", (F.abs("gradient") < 1e-4).alias("at_optimum"))
+
+
 def _test_part(algo):
     def run(spark, sf):
         data = _features(spark, sf)
@@ -1641,6 +1753,28 @@ def x1_read_readings_csv(spark, sf):
     return X.read_readings(spark, path)
 
 
+@register("x1_read_readings_quarantine", """SELECT count(*) AS lines,
+  count(CASE WHEN ok THEN 1 END) AS "read", count(CASE WHEN NOT ok THEN 1 END) AS rejected,
+  count(DISTINCT CASE WHEN ok THEN user_id END) AS devices
+FROM (SELECT user_id, value IS NOT NULL AND event_type <> 'signup' AS ok FROM events)""")
+def x1_read_readings_quarantine(spark, sf):
+    # a line per event; those without a value say so in words, and signups
+    # have a field too many
+    ev = X.load_table(spark, sf, "events")
+    ms = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1000)
+    rows = ev.select("event_type", ms.alias("when"), F.col("user_id").alias("hwid"),
+                     F.col("event_type").alias("metric"),
+                     F.coalesce(F.col("value").cast("string"), F.lit("missing")).alias("value"))
+    signup = F.col("event_type") == "signup"
+    path = [scratch_path(spark, "readings-lines"), scratch_path(spark, "readings-lines")]
+    rows.where(~signup).drop("event_type").write.option("header", True).csv(path[0])
+    rows.where(signup).drop("event_type").withColumn("via", F.lit("web")) \
+        .write.option("header", True).csv(path[1])
+    good, counts = X.read_readings_checked(spark, path, scratch_path(spark, "quarantine"))
+    devices = good.agg(F.count_distinct("hwid").alias("devices"))
+    return counts.join(F.broadcast(devices))  # one row each
+
+
 @register("n3_forward_fill_raw_sliced", sql(f"""SELECT hwid, "when", {', '.join(
     f'last({c} IGNORE NULLS) OVER ({S._W_DEV} {S._RUN}) AS {c}' for c in S.SENSORS)} FROM wide""", "wide"))
 def n3_forward_fill_raw_sliced(spark, sf):

@@ -78,6 +78,29 @@ def read_readings(spark: SparkSession, path: str, fmt: str = "csv",
     return df
 
 
+def read_readings_checked(spark: SparkSession, path: str | list[str], quarantine: str,
+                          ms: bool = True) -> tuple[DataFrame, DataFrame]:
+    """X1 for files with bad lines: (readings, counts).  A line that does not
+    parse by the schema (a field of another type, too few or too many fields)
+    is kept as it stands (column ``bad_line``) in the folder ``rejected=1`` of
+    the Parquet table ``quarantine``; the readings are its other folder.
+    ``counts`` has one row: lines, read, rejected.
+
+    The lines are parsed once and written, good and bad, in one pass."""
+    schema = T.StructType([*READINGS_SCHEMA, T.StructField("bad_line", T.StringType(), True)])
+    lines = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+             .option("enforceSchema", True).option("columnNameOfCorruptRecord", "bad_line").csv(path))
+    lines.withColumn("rejected", F.col("bad_line").isNotNull().cast("int")) \
+        .write.partitionBy("rejected").parquet(quarantine)
+    written = spark.read.schema(T.StructType([*schema, T.StructField("rejected", T.IntegerType())])) \
+        .parquet(quarantine)
+    good = written.where("rejected = 0").select(*READINGS_SCHEMA.names)
+    counts = written.agg(F.count(F.lit(1)).alias("lines"),
+                         F.count_if(F.col("rejected") == 0).alias("read"),
+                         F.count_if(F.col("rejected") == 1).alias("rejected"))
+    return (good.withColumn("when", ms_to_seconds("when")) if ms else good), counts
+
+
 def repartition_by_device(df: DataFrame, n: int | None = None,
                           cols=("hwid",)) -> DataFrame:
     """Hash repartition by device (and more keys).  Usually not needed:
