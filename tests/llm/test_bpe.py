@@ -28,7 +28,7 @@ def row_of(doc, text):
 
 def built(df, **options):
     tokens = bpe.encode_texts(df, PATH, PATTERN, **options)
-    return sorted(map(tuple, bpe.digests(bpe.decode_ids(tokens, PATH)).collect()), key=str)
+    return sorted(map(tuple, bpe.digests(tokens, PATH).collect()), key=str)
 
 
 def random_texts(n, seed):

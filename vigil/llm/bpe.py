@@ -272,8 +272,8 @@ def _encode_stitched(chunks: DataFrame, links: DataFrame, path: str, pattern: st
 def encode_texts(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK,
                  overlap: int = OVERLAP, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Token ids of every text: doc_id, row, start, ids (little-endian unsigned
-    32-bit).  A text of one chunk has one row, with a null ``row``; the rows of
-    a longer one share ``row`` and follow each other by ``start``."""
+    32-bit), whole.  A text of one chunk has one row (``whole``, ``row`` null);
+    the rows of a longer one share ``row`` and follow each other by ``start``."""
     body = docs.select(column(doc_id).cast("long").alias("doc_id"),
                        text_or_empty(column(text)).alias("body"))
     names = ["doc_id", "row", "start", "ids"]
@@ -288,7 +288,10 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK,
     chunks = cut_chunks(body.filter(F.length("body") > chunk), chunk, overlap)
     own = python_pattern(pattern)
     links = stitch(chunks, own, chunk, overlap)
-    return short.unionByName(_encode_stitched(chunks, links, path, own, chunk))
+    stitched = _encode_stitched(chunks, links, path, own, chunk)
+    # a literal, so that a filter on it leaves one branch out of the plan
+    return short.withColumn("whole", F.lit(True)).unionByName(
+        stitched.withColumn("whole", F.lit(False)))
 
 
 def decode_ids(tokens: DataFrame, path: str) -> DataFrame:
@@ -306,10 +309,11 @@ def decode_ids(tokens: DataFrame, path: str) -> DataFrame:
     return tokens.select("doc_id", "row", "start", "ids").mapInArrow(run, TOKENS + ", bytes binary")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each text.  The rows of
-    a long text are sorted and pass through running digests."""
-    one = decoded.filter("row is null").select(
+def digests(tokens: DataFrame, path: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each text, from its ids
+    and the bytes that they decode to.  The rows of a long text are sorted and
+    pass through running digests."""
+    one = decode_ids(tokens.filter("whole"), path).select(
         "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
@@ -332,7 +336,7 @@ def digests(decoded: DataFrame) -> DataFrame:
     def run(batches):
         return _batches(texts(_rows(batches)), kinds, names, lambda r: 200)
 
-    many = (decoded.filter("row is not null").repartition("row")
+    many = (decode_ids(tokens.filter("not whole"), path).repartition("row")
             .sortWithinPartitions("row", "start").select("doc_id", "row", "start", "ids", "bytes"))
     return one.unionByName(many.mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"))

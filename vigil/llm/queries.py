@@ -102,7 +102,7 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     tokens = bpe.encode_texts(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode_ids(tokens, ranks))
+    return bpe.digests(tokens, ranks)
 
 
 def damaged_conversations(convs: DataFrame) -> tuple[DataFrame, Column]:
