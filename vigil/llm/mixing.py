@@ -31,8 +31,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.common import (SALTS, new_name, salted, stored, symbols_in, text_or_empty,
-                              words_of)
+from vigil.llm.common import (SALTS, column, salted, small, stored, symbols_in,
+                              text_or_empty, words_of)
 
 #: Weights by the order of the sources, repeating.
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -154,28 +154,82 @@ def first_words(text: Column, n: Column) -> Column:
     return F.array_join(F.slice(pieces, F.lit(1), n.cast("int")), "")
 
 
-def mix_rows(docs: DataFrame, **options) -> DataFrame:
+def mix_rows(docs: DataFrame, share: float = 1.5, max_epochs: float = 2.0,
+             weights: tuple[float, ...] = WEIGHTS, buckets: int = 1024, seed: int = 0,
+             text: str = "text", doc_id: str = "doc_id", source: str = "source") -> DataFrame:
     """The mix as documents: a row for each whole copy taken, and one with the
     first words of the document that is taken in part (its ``n_chars``, if
     there is such a column, follows the text).  Documents of which the mix
-    takes nothing are left out, those without words too."""
-    text = options.get("text", "text")
-    number = new_name(docs, "mix_row")
-    base = stored(docs.withColumn(number, F.monotonically_increasing_id()), "mix-docs")
-    got = mix(base, row=F.col(number), **options).filter("taken > 0").select(
-        F.col("row_no").alias("m_row"), F.col("size").alias("m_size"), F.col("taken").alias("m_taken"))
-    take = new_name(docs, "mix_take")
-    parts = F.filter(F.array_append(
-        F.array_repeat(F.col("m_size"), F.floor(F.col("m_taken") / F.col("m_size")).cast("int")),
-        F.pmod(F.col("m_taken"), F.col("m_size"))), lambda x: x > 0)
-    out = (base.join(got, F.col(number) == F.col("m_row"))
-           .withColumn(take, F.explode(parts)))
-    cut = F.when(F.col(take) < F.col("m_size"), first_words(F.col(text), F.col(take))).otherwise(
-        F.col(text))
-    out = out.withColumn(text, cut)
+    takes nothing are left out, those without words too.
+
+    The keys are those of ``mix``.  What a source takes is one row of a plan: its
+    epochs, the slice that holds the boundary, and in it the finer slice
+    (``buckets`` a slice) that does.  Every row compares its own slices with
+    the plan; only rows of the finer boundary slice are sorted, so texts
+    stay where they are.  Equal rows share a key: any of them may be cut."""
+    row = F.struct(*[column(c).alias(c) for c in docs.columns])
+    body = F.col("d").getField(text)
+    quantile = F.lit(1.0) - F.exp(F.log(uniform_of(
+        F.lit(seed), F.col("d").getField(doc_id),
+        F.md5(text_or_empty(body).cast("binary")))) / quality_of(body))
+    fine = F.least(F.floor(quantile * F.lit(buckets * buckets)), F.lit(buckets * buckets - 1))
+    rows = docs.select(row.alias("d")).select(
+        "d", F.col("d").getField(source).alias("source"), size_in_words(body).alias("size"),
+        fine.cast("long").alias("fine")).withColumn(
+            "bucket", F.floor(F.col("fine") / F.lit(buckets)).cast("long"))
+    narrow = stored(rows.groupBy("source", "bucket", "fine").agg(F.sum("size").alias("words")),
+                    "mix-slices")
+    slices = narrow.groupBy("source", "bucket").agg(F.sum("words").alias("words"))
+    sizes = slices.groupBy("source").agg(F.sum("words").alias("source_size"))
+    plan = (source_targets(sizes, share, max_epochs, weights)
+            .withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(
+                F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
+            .withColumn("rest", F.floor(F.col("target")).cast("long")
+                        - F.col("epochs") * F.col("source_size")))
+    plan = _edge(stored(plan.withColumn("before", F.lit(0).cast("long")), "mix-plan"), slices,
+                 "bucket")
+    at_edge = narrow.alias("n").join(
+        small(plan, "mix-edges").select(F.col("source").alias("p"), "edge_bucket"),
+        _same_source(F.col("n.source"), F.col("p")) & (F.col("bucket") == F.col("edge_bucket")))
+    plan = _edge(plan, at_edge.select("source", "fine", "words"), "fine")
+    plan = plan.select(F.col("source").alias("p_source"), "epochs", "rest", "before", "edge_fine")
+    got = rows.join(small(plan, "mix-plan"), _same_source(F.col("source"), F.col("p_source")))
+    below = F.when(F.col("edge_fine").isNull() | (F.col("fine") < F.col("edge_fine")),
+                   F.col("size")).otherwise(F.lit(0))
+    within = (Window.partitionBy("source").orderBy("quantile", F.col("d").getField(doc_id))
+              .rowsBetween(Window.unboundedPreceding, -1))
+    edge = (got.filter("fine = edge_fine").withColumn("quantile", quantile)
+            .withColumn("ahead", F.col("before") + F.coalesce(F.sum("size").over(within), F.lit(0)))
+            .withColumn("part", F.greatest(F.lit(0), F.least(
+                F.col("size"), F.col("rest") - F.col("ahead")))))
+    other = got.filter("edge_fine is null or fine <> edge_fine").withColumn("part", below)
+    cols = ["d", "size", "epochs", "part"]
+    both = edge.select(*cols).unionByName(other.select(*cols))
+    takes = F.filter(F.array_append(F.array_repeat(F.col("size"), F.col("epochs").cast("int")),
+                                    F.col("part").cast("long")), lambda x: x > 0)
+    out = both.select("d", "size", F.explode(takes).alias("take"))
+    cut = F.when(F.col("take") < F.col("size"), first_words(body, F.col("take"))).otherwise(body)
+    changed = {text: cut}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(
-            F.col(take) < F.col("m_size"), F.length(text).cast(docs.schema["n_chars"].dataType))
-            .otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
-
+        changed["n_chars"] = F.when(
+            F.col("take") < F.col("size"), F.length(cut).cast(docs.schema["n_chars"].dataType)
+        ).otherwise(F.col("d").getField("n_chars"))
+    return out.select(*[changed.get(c, F.col("d").getField(c)).alias(c) for c in docs.columns])
+
+
+def _edge(plan: DataFrame, slices: DataFrame, name: str) -> DataFrame:
+    """``plan`` with ``edge_<name>``: the slice of each source in which the running
+    sum of words passes its rest, and ``before``: the words ahead of it.  The
+    windows run over slices, at most ``buckets`` a source."""
+    running = Window.partitionBy("s_source").orderBy(name)
+    sums = slices.select(F.col("source").alias("s_source"), name, "words").withColumn(
+        "upto", F.sum("words").over(running))
+    known = plan.select(F.col("source").alias("k_source"), "rest", F.col("before").alias("base"))
+    found = (sums.join(known, _same_source(F.col("s_source"), F.col("k_source")))
+             .withColumn("upto", F.col("upto") + F.col("base")).filter("upto >= rest")
+             .groupBy(F.col("s_source").alias("e_source"))
+             .agg(F.min(F.struct(name, (F.col("upto") - F.col("words")).alias("before")))
+                  .alias("e")))
+    kept = [c for c in plan.columns if c != "before"]
+    return plan.join(found, _same_source(F.col("source"), F.col("e_source")), "left").select(
+        *kept, F.coalesce("e.before", "before").alias("before"), F.col(f"e.{name}").alias(f"edge_{name}"))
