@@ -90,3 +90,37 @@ def test_run_is_the_chain(spark, steps):
     key = ["doc_id", "start", "length", "ids_crc32"]
     a, b = (sorted(map(tuple, d.select(*key).collect())) for d in (got, steps[-1]))
     assert a == b
+
+
+CLASHES = ("m_size", "m_row", "m_taken", "scan_some", "scan_new", "scan_row", "judged_text",
+           "judged_lang", "judged_row", "a.b", "row", "d", "take", "part", "bucket", "fine",
+           "Source_Size", "some", "pick", "no_id", "dedup_row", "ids", "body")
+
+
+def odd_frame(docs_of, rows):
+    from pyspark.sql import functions as F
+    df = docs_of(rows).select("doc_id", "text", "lang", "source", "n_chars")
+    return df.select("*", *[F.lit(c).alias(c) for c in CLASHES])
+
+
+def test_every_stage_bears_odd_rows_and_names(spark, docs_of, odd_rows):
+    prose = "the quick brown fox jumps over the lazy dog and runs to the old house near the river "
+    df = odd_frame(docs_of, odd_rows + [(100 + i, prose + f"word{i} more words for {i} here password = abcdefgh{i}12", "en",
+                                         None) for i in range(30)])
+    for name, stage in P.STAGES:
+        out = stored(stage(spark, df, SF), f"odd-{name}")
+        if name == "pack":
+            assert out.agg({"doc_tokens": "count"}).first()[0] >= df.count()
+            break
+        assert out.dtypes == df.dtypes, name
+        assert out.count() > 0
+        for c in ("a.b", "m_size", "judged_text", "scan_some"):
+            assert {r[0] for r in out.select(f"`{c}`").distinct().collect()} == {c}
+        if name == "secret_scan":
+            assert out.filter("text like '%abcdefgh%'").count() == 0
+
+
+def test_every_stage_bears_an_empty_table(spark, docs_of):
+    df = odd_frame(docs_of, [])
+    for name, stage in P.STAGES:
+        assert stage(spark, df, SF).count() == 0, name

@@ -30,8 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import (SALTS, new_name, salted, stored, symbols_in, text_or_empty,
-                              words_of)
+from vigil.llm.common import (SALTS, column, new_name, salted, stored, symbols_in,
+                              text_or_empty, words_of)
 
 #: Common words of four languages.
 COMMON_WORDS = (
@@ -225,8 +225,7 @@ def keep_good(docs: DataFrame, lang: str = "lang", text: str = "text", **options
 
     The rows are carried through the written counts, so that no join by id is
     needed and repeated or null ids do no harm."""
-    if not {"judged_lang", "judged_text"}.isdisjoint(c.lower() for c in docs.columns):
-        raise ValueError("judged_lang and judged_text are names that the rules use")
-    row = F.struct(*[F.col(c) for c in docs.columns]).alias("judged_row")
-    got = quality_rules(docs.withColumn("judged_row", row), lang, text, ("judged_row",), **options)
-    return got.filter("kept").select("judged_row.*")
+    rows = docs.select(F.struct(*[column(c).alias(c) for c in docs.columns]).alias("row"),
+                       column(lang).alias("lang"), column(text).alias("text"))
+    got = quality_rules(rows, "lang", "text", ("row",), **options)
+    return got.filter("kept").select("row.*")

@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import stored, text_or_empty
+from vigil.llm.common import column, stored, text_or_empty
 
 #: Patterns of the base kinds, in the order of the report.
 ASSIGN = (r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"
@@ -255,15 +255,16 @@ def redacted(text: str, mark: str = "[SECRET]") -> str:
 def redact(docs: DataFrame, text: str = "text", fdr: float = 0.05) -> DataFrame:
     """``docs`` with every found secret replaced by a mark, and ``n_chars``, if
     there, following the text.  Rows without secrets stay as they are."""
-    row = F.struct(*[F.col(c) for c in docs.columns])
-    found = find_secrets(docs.select(row.alias("scan_row"), F.col(text).alias("scan_text")),
+    row = F.struct(*[column(c).alias(c) for c in docs.columns])
+    found = find_secrets(docs.select(row.alias("scan_row"), column(text).alias("scan_text")),
                          "scan_text", ("scan_row",), fdr)
     some = F.expr("size(assign) + size(access) + size(hex) + size(random) > 0")
-    out = found.select("scan_row.*", some.alias("scan_some"),
-                       F.expr(f"CASE WHEN size(assign) + size(access) + size(hex) + size(random) > 0 "
-                              f"THEN {redacted(f'scan_row.`{text}`')} END").alias("scan_new"))
-    out = out.withColumn(text, F.when(F.col("scan_some"), F.col("scan_new")).otherwise(F.col(text)))
+    quoted = text.replace("`", "``")
+    out = found.select("scan_row", some.alias("some"), F.when(some, F.expr(
+        redacted(f"scan_row.`{quoted}`"))).alias("new"))
+    old = {c: F.col("scan_row").getField(c) for c in docs.columns}
+    changed = {text: F.when(F.col("some"), F.col("new")).otherwise(old[text])}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("scan_some"), F.length(text).cast(
-            docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        changed["n_chars"] = F.when(F.col("some"), F.length("new").cast(
+            docs.schema["n_chars"].dataType)).otherwise(old["n_chars"])
+    return out.select(*[changed.get(c, old[c]).alias(c) for c in docs.columns])

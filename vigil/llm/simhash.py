@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import new_name, stored, text_or_empty
+from vigil.llm.common import column, new_name, stored, text_or_empty
 from vigil.llm.components import connected_components, spanning_forest
 
 SEED = 42
@@ -66,17 +66,19 @@ def with_fingerprint(docs: DataFrame, text: str = "text", shingle: int = 3,
                      keep: list[str] | None = None, name: str = "fp") -> DataFrame:
     """Columns ``keep`` (all, if not given) and the fingerprint as a signed long."""
     keep = docs.columns if keep is None else keep
-    body = new_name(docs, "body")
-    narrow = docs.select(*keep, text_or_empty(F.col(text)).cast("binary").alias(body))
+    kept = [column(c) for c in keep]
+    # Arrow functions take no names with dots, so columns go by their number
+    names = [f"c{i}" for i in range(len(keep))]
+    narrow = docs.select(*kept, text_or_empty(column(text)).cast("binary")).toDF(*names, "body")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(t, shingle) for t in batch.column(len(keep)).to_pylist()]
+            fps = [fingerprint(t, shingle) for t in batch.column(len(names)).to_pylist()]
             fps = pa.array(np.array(fps, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], fps], [*keep, name])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], fps], [*names, "fp"])
 
-    schema = narrow.select(*keep).schema.add(name, "long")
-    return narrow.mapInArrow(run, schema)
+    schema = narrow.drop("body").schema.add("fp", "long")
+    return narrow.mapInArrow(run, schema).toDF(*keep, name)
 
 
 def near_pairs(fps: list[int], max_bits: int) -> Iterator[tuple[int, int]]:
@@ -202,10 +204,10 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingl
                             shingle, name=fp)
     base = stored(base, "simhash-docs")
     rows = base.select(F.col(fp).alias("fp"), F.struct(
-        F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"),
+        column(doc_id).isNull().alias("no_id"), column(doc_id).alias("id"),
         F.col(number).alias("row")).alias("pick"))
     roots = fingerprint_components(rows, max_bits, cap)
     picks = (rows.groupBy("fp").agg(F.min("pick").alias("pick")).join(roots, "fp")
              .groupBy("root").agg(F.min("pick").alias("pick"))
              .select(F.col("pick.row").alias(number)))
-    return base.join(picks, number, "left_semi").select(*docs.columns)
+    return base.join(picks, number, "left_semi").select(*[column(c) for c in docs.columns])
