@@ -25,20 +25,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm.common import stored, text_or_empty
 
 #: Words whose ids a worker keeps in each of two generations, and the longest
-#: word (in bytes) that it keeps.
-CACHE_WORDS = 300_000
-CACHE_BYTES = 64
+#: word (in characters) that it keeps.
+CACHE_WORDS = 600_000
+CACHE_CHARS = 64
 
 #: UTF-8 bytes of text that a worker encodes at a time.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 16 << 20
 
-_ENDED = re.compile(rb"(.*[a-z])([.,;:!?]+)", re.S)
+_ENDED = re.compile(r"(.*[a-z])([.,;:!?]+)", re.S)
 
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
@@ -53,45 +54,77 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task is one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _encode(self, words: list[bytes]) -> None:
+    def _encode(self, words: list[str]) -> dict[str, bytes]:
         """One call for all words; those that may hold a special token, which
         belongs to no word, are encoded one by one."""
-        plain = [w for w in words if b"<|" not in w]
+        plain = [w for w in words if "<|" not in w]
+        out = {}
         if plain:
-            found = self.tokenizer.encode_batch(
-                [[w.decode("utf-8", "replace") for w in plain]], is_pretokenized=True,
-                add_special_tokens=False)[0]
+            found = self.tokenizer.encode_batch([plain], is_pretokenized=True,
+                                                add_special_tokens=False)[0]
             raw = np.array(found.ids, "<u4").tobytes()
             counts = np.bincount(np.array(found.word_ids, np.int64), minlength=len(plain))
             ends = (4 * np.cumsum(counts)).tolist()
-            self.known.update(zip(plain, (raw[i:j] for i, j in zip([0, *ends], ends))))
-        for w in words:
-            if b"<|" in w:
-                found = self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False)
-                self.known[w] = np.array(found.ids, "<u4").tobytes()
-
-    def ids(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text (UTF-8)."""
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+            out = dict(zip(plain, (raw[i:j] for i, j in zip([0, *ends], ends))))
+        if len(plain) < len(words):
+            for w in words:
+                if "<|" in w:
+                    found = self.tokenizer.encode(w, add_special_tokens=False)
+                    out[w] = np.array(found.ids, "<u4").tobytes()
+        return out
+
+    def _learn(self, new: list[str]) -> list[bytes]:
+        """Ids of distinct words not met lately; signs that end a word are split
+        off first."""
+        known, older = self.known, self.older
+        found = list(map(older.get, new))
+        ended, fresh = {}, set()
+        for w, ids in zip(new, found):
+            if ids is None:
+                m = _ENDED.fullmatch(w)
+                if m:
+                    ended[w] = m.groups()
+                    fresh.update(m.groups())
+                else:
+                    fresh.add(w)
+        made = self._encode([w for w in fresh if w not in known])
+        for w, (stem, signs) in ended.items():
+            made[w] = (made.get(stem) or known[stem]) + (made.get(signs) or known[signs])
+        found = [made[w] if ids is None else ids for w, ids in zip(new, found)]
+        known.update((w, ids) for w, ids in zip(new, found) if len(w) <= CACHE_CHARS)
+        known.update((w, made[w]) for pair in ended.values() for w in pair
+                     if w in made and len(w) <= CACHE_CHARS)
+        return found
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, how many each text has).  Words are split,
+        numbered and looked up by the column; only distinct words are handled
+        one by one."""
+        special = pc.match_substring(texts, "<|")
+        split = pc.ascii_split_whitespace(pc.if_else(special, texts, pc.ascii_lower(texts)))
+        words = split.flatten()
+        some = pc.greater(pc.binary_length(words), 0)
+        # words of each text, blanks at its ends aside
+        upto = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])
+        bounds = upto[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        coded = pc.dictionary_encode(words.filter(some))
+        each = coded.dictionary.to_pylist()
         if len(self.known) > CACHE_WORDS:
             self.older, self.known = self.known, {}
-        known = self.known
-        new = set().union(*split) - known.keys()
-        again = new & self.older.keys()
-        known.update((w, self.older[w]) for w in again)
-        new -= again
-        ended = {w: m for w in new if (m := _ENDED.fullmatch(w))}
-        parts = {x for m in ended.values() for x in m.groups()}
-        self._encode(list((new - ended.keys()) | (parts - known.keys())))
-        known.update((w, known[m[1]] + known[m[2]]) for w, m in ended.items())
-        out = [b"".join(map(known.__getitem__, ws)) for ws in split]
-        for w in new | parts:
-            if len(w) > CACHE_BYTES:
-                del known[w]
-        return out
+        found = list(map(self.known.get, each))
+        missing = [w for w, ids in zip(each, found) if ids is None]
+        learnt = iter(self._learn(missing))
+        found = [next(learnt) if ids is None else ids for ids in found]
+        counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        offsets = np.concatenate([[0], np.cumsum(counts)])
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
+                                         pa.array(np.frombuffer(b"".join(found), "<u4")))
+        ids = lists.take(coded.indices).flatten().to_numpy()
+        ends = np.concatenate([[0], np.cumsum(counts[coded.indices.to_numpy()])])[bounds]
+        return ids, np.diff(ends)
 
 
 def encoder(path: str) -> WordEncoder:
@@ -100,15 +133,15 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def _chunks(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
-    first, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= CHUNK_BYTES:
-            yield first, texts[first:i + 1]
-            first, size = i + 1, 0
-    if first < len(texts):
-        yield first, texts[first:]
+def _chunks(texts: pa.Array) -> Iterator[pa.Array]:
+    """Slices of about CHUNK_BYTES."""
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    first = 0
+    while first < len(texts):
+        done = sizes[first - 1] if first else 0
+        last = int(np.searchsorted(sizes, done + CHUNK_BYTES)) + 1
+        yield texts.slice(first, min(last, len(texts)) - first)
+        first = last
 
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
@@ -118,23 +151,26 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end
                  text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, and ``ids`` (little
     endian unsigned 32-bit)."""
-    end = np.array([end_id], "<u4").tobytes()
     body = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
-                       text_or_empty(F.col(text)).cast("binary").alias("body"))
+                       text_or_empty(F.col(text)).alias("body"))
     fields = ("doc_id", "start", "length", "doc_tokens", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path)
         for batch in batches:
-            names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for first, part in _chunks(texts):
-                rows = []
-                for name, ids in zip(names[first:], enc.ids(part)):
-                    ids += end
-                    n = len(ids) // 4
+            names = iter(batch.column(0).to_pylist())
+            for part in _chunks(batch.column(1)):
+                ids, counts = enc.ids(part)
+                # every text ends with the end id
+                stops = np.cumsum(counts)
+                ids, stops = np.insert(ids, stops, end_id), stops + np.arange(1, len(part) + 1)
+                rows, begin = [], 0
+                for stop in stops.tolist():
+                    name, n = next(names), stop - begin
                     for start in range(0, n, capacity):
-                        cut = ids[4 * start:4 * (start + capacity)]
-                        rows.append((name, start, len(cut) // 4, n, cut))
+                        cut = ids[begin + start:min(begin + start + capacity, stop)]
+                        rows.append((name, start, len(cut), n, cut.tobytes()))
+                    begin = stop
                 columns = zip(*rows)
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
