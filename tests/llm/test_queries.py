@@ -27,7 +27,7 @@ def test_op1(spark, documents):
     known = {"Licensed under CC BY-NC 4.0.": "cc_by_nc",
              "This work is licensed under the GNU General Public License, version 3.": "gpl",
              "Licensed under the Apache License, Version 2.0.": "apache",
-             "Released under the MIT License.": "mit"}
+             "Released under the MIT License.": "mit", "All rights reserved.": "all_rights"}
     texts = {d.doc_id: d.text or "" for d in documents}
     got = rows(spark, "op1_license_scan")
     assert len(got) == len(documents)
