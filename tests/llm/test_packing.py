@@ -46,7 +46,7 @@ def test_words_give_the_ids_of_whole_texts(tokenizer):
         ids, counts = enc.ids(pa.array(texts))
         got = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
         assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
-    assert all(len(w) <= packing.CACHE_CHARS for w in enc.known)
+    assert all(len(w) <= packing.CACHE_CHARS for w in enc.words.to_pylist())
 
 
 def test_cache_starts_anew(tokenizer, monkeypatch):

@@ -19,6 +19,7 @@ table gives no rows; texts of any length are cut, never dropped.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 from collections.abc import Iterator
@@ -31,13 +32,16 @@ from pyspark.sql import functions as F
 
 from vigil.llm.common import stored, text_or_empty
 
-#: Words whose ids a worker keeps in each of two generations, and the longest
-#: word (in characters) that it keeps.
-CACHE_WORDS = 600_000
+#: Words whose ids a worker keeps, and the longest word (in characters) that it
+#: keeps.
+CACHE_WORDS = 1_000_000
 CACHE_CHARS = 64
 
+#: Words handed to the tokenizer at a time.
+CALL_WORDS = 20_000
+
 #: UTF-8 bytes of text that a worker encodes at a time.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 6 << 20
 
 _ENDED = re.compile(r"(.*[a-z])([.,;:!?]+)", re.S)
 
@@ -54,21 +58,24 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task is one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        # columns take a seventh of the room of a dict
+        self.words = pa.array([], pa.string())
+        self.lists = pa.array([], pa.list_(pa.uint32()))
+        self.again = np.zeros(0, bool)
 
     def _encode(self, words: list[str]) -> dict[str, bytes]:
-        """One call for all words; those that may hold a special token, which
+        """A call for many words; those that may hold a special token, which
         belongs to no word, are encoded one by one."""
         plain = [w for w in words if "<|" not in w]
         out = {}
-        if plain:
-            found = self.tokenizer.encode_batch([plain], is_pretokenized=True,
+        for first in range(0, len(plain), CALL_WORDS):
+            part = plain[first:first + CALL_WORDS]
+            found = self.tokenizer.encode_batch([part], is_pretokenized=True,
                                                 add_special_tokens=False)[0]
             raw = np.array(found.ids, "<u4").tobytes()
-            counts = np.bincount(np.array(found.word_ids, np.int64), minlength=len(plain))
+            counts = np.bincount(np.array(found.word_ids, np.int64), minlength=len(part))
             ends = (4 * np.cumsum(counts)).tolist()
-            out = dict(zip(plain, (raw[i:j] for i, j in zip([0, *ends], ends))))
+            out |= zip(part, (raw[i:j] for i, j in zip([0, *ends], ends)))
         if len(plain) < len(words):
             for w in words:
                 if "<|" in w:
@@ -76,32 +83,35 @@ class WordEncoder:
                     out[w] = np.array(found.ids, "<u4").tobytes()
         return out
 
-    def _learn(self, new: list[str]) -> list[bytes]:
-        """Ids of distinct words not met lately; signs that end a word are split
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of distinct words that are not kept; signs that end a word are split
         off first."""
-        known, older = self.known, self.older
-        found = list(map(older.get, new))
-        ended, fresh = {}, set()
-        for w, ids in zip(new, found):
-            if ids is None:
-                m = _ENDED.fullmatch(w)
-                if m:
-                    ended[w] = m.groups()
-                    fresh.update(m.groups())
-                else:
-                    fresh.add(w)
-        made = self._encode([w for w in fresh if w not in known])
-        for w, (stem, signs) in ended.items():
-            made[w] = (made.get(stem) or known[stem]) + (made.get(signs) or known[signs])
-        found = [made[w] if ids is None else ids for w, ids in zip(new, found)]
-        known.update((w, ids) for w, ids in zip(new, found) if len(w) <= CACHE_CHARS)
-        known.update((w, made[w]) for pair in ended.values() for w in pair
-                     if w in made and len(w) <= CACHE_CHARS)
-        return found
+        ended = {w: m.groups() for w in new if (m := _ENDED.fullmatch(w))}
+        parts = {x for pair in ended.values() for x in pair}
+        kept = parts and pc.index_in(pa.array(list(parts), pa.string()), value_set=self.words)
+        made, offsets, values = {}, self.lists.offsets.to_numpy(), self.lists.values.to_numpy()
+        for w, i in zip(parts, kept.to_pylist() if parts else ()):
+            if i is not None:
+                made[w] = values[offsets[i]:offsets[i + 1]].tobytes()
+        fresh = (set(new) - ended.keys() | parts) - made.keys()
+        made |= self._encode(list(fresh))
+        made |= {w: made[stem] + made[signs] for w, (stem, signs) in ended.items()}
+        short = [w for w in (*fresh, *ended) if len(w) <= CACHE_CHARS]
+        self.words = pa.concat_arrays([self.words, pa.array(short, pa.string())])
+        self.lists = pa.concat_arrays([self.lists, _id_lists([made[w] for w in short])])
+        self.again = np.concatenate([self.again, np.zeros(len(short), bool)])
+        return made
+
+    def _forget(self) -> None:
+        """Beyond the bound only words stay that were met again since the last time."""
+        if len(self.words) > CACHE_WORDS:
+            stay = pa.array(self.again)
+            self.words, self.lists = self.words.filter(stay), self.lists.filter(stay)
+            self.again = np.zeros(len(self.words), bool)
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, how many each text has).  Words are split,
-        numbered and looked up by the column; only distinct words are handled
+        numbered and looked up by the column; only words not kept are handled
         one by one."""
         special = pc.match_substring(texts, "<|")
         split = pc.ascii_split_whitespace(pc.if_else(special, texts, pc.ascii_lower(texts)))
@@ -111,22 +121,38 @@ class WordEncoder:
         upto = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])
         bounds = upto[split.offsets.to_numpy() - split.offsets[0].as_py()]
         coded = pc.dictionary_encode(words.filter(some))
-        each = coded.dictionary.to_pylist()
-        if len(self.known) > CACHE_WORDS:
-            self.older, self.known = self.known, {}
-        found = list(map(self.known.get, each))
-        missing = [w for w, ids in zip(each, found) if ids is None]
-        learnt = iter(self._learn(missing))
-        found = [next(learnt) if ids is None else ids for ids in found]
-        counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        offsets = np.concatenate([[0], np.cumsum(counts)])
-        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
-                                         pa.array(np.frombuffer(b"".join(found), "<u4")))
-        ids = lists.take(coded.indices).flatten().to_numpy()
-        ends = np.concatenate([[0], np.cumsum(counts[coded.indices.to_numpy()])])[bounds]
+        each, places = coded.dictionary, coded.indices.to_numpy()
+        self._forget()
+        at = pc.index_in(each, value_set=self.words)
+        new = at.is_null().to_numpy(zero_copy_only=False)
+        at = at.fill_null(0).to_numpy()
+        self.again[at[~new]] = True
+        lists = self.lists
+        missing = each.filter(pa.array(new)).to_pylist()
+        if missing:
+            made = self._learn(missing)
+            at = np.where(new, len(lists) + np.cumsum(new) - 1, at)
+            lists = pa.concat_arrays([lists, _id_lists([made[w] for w in missing])])
+        ids = lists.take(pa.array(at[places])).flatten().to_numpy()
+        counts = lists.value_lengths().to_numpy()[at][places]
+        ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)[bounds]
         return ids, np.diff(ends)
 
 
+def _id_lists(raw: list[bytes]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) // 4)])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
+                                    pa.array(np.frombuffer(b"".join(raw), "<u4")))
+
+
+def _give_back() -> None:
+    """Freed memory goes back to the machine: workers live on beside other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if trim:
+        trim(0)
+
+
 def encoder(path: str) -> WordEncoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
@@ -175,6 +201,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds)], fields)
+        _give_back()
 
     return body.mapInArrow(run, PIECES)
 
