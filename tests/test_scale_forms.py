@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from vigil.operators.anomaly import detect_anomalies, detect_anomalies_sliced
 from vigil.operators.correlation import (auc_by_block_sensor, digamma, neighbour_information,
                                          own_bins_overlap)
+from vigil.operators import learn as L
 from vigil.operators.sequence import keyed_cumsum
 
 
@@ -137,3 +138,60 @@ def test_own_bins_overlap(spark):
     assert row.overlap_pct == pytest.approx(50) and row.by_bin_pct == pytest.approx(100)
     (row,) = own_bins_overlap(one.where("t = 0"), "s", "t", 10).collect()
     assert row.overlap_pct is None and row.by_bin_pct is None
+
+
+def forest_rows(spark, n=300):
+    rnd = random.Random(5)
+    rows = []
+    for i in range(n):
+        a, b, c = rnd.random(), rnd.choice([0.0, 1.0, 2.0]), rnd.random()
+        rows.append((str(i), i, a, b, c, float(a + 0.3 * (b == 1.0) + 0.2 * rnd.random() > 0.8)))
+    return spark.createDataFrame(rows, "hwid string, when long, a double, b double, c double, y double")
+
+
+@pytest.mark.parametrize("depth", [1, 4])
+def test_forest_nodes_score_as_the_model(spark, depth):
+    from pyspark.ml.functions import vector_to_array
+    df = forest_rows(spark)
+    model, _, _ = L.run_model(df, ["a", "b", "c"], "y", "rf", n_trees=7, max_depth=depth)
+    nodes = L.forest_nodes(model)
+    assert nodes.select("tree").distinct().count() == 7
+    said = L.with_probability(model.transform(df), "said").select(
+        "hwid", "said", vector_to_array("features").alias("x"))
+    for broadcast_rows in (1_000_000, 0):
+        got = L.score_by_nodes(said, nodes, "x", depth, ["hwid"], "found", broadcast_rows)
+        both = said.join(got, "hwid").collect()
+        assert len(both) == 300 and all(abs(r.said - r.found) < 1e-9 for r in both)
+    weights = {r.feature: r.importance for r in L.importance_by_nodes(nodes, ["a", "b", "c"]).collect()}
+    for c, w in zip("abc", model.stages[-1].featureImportances.toArray()):
+        assert abs(weights.get(c, 0.0) - w) < 1e-9
+
+
+def test_forest_nodes_with_categories_and_one_tree(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.feature import VectorAssembler, VectorIndexer
+    from pyspark.ml.functions import vector_to_array
+    df = forest_rows(spark)
+    model = Pipeline(stages=[VectorAssembler(inputCols=["a", "b"], outputCol="raw"),
+                             VectorIndexer(inputCol="raw", outputCol="features", maxCategories=3),
+                             DecisionTreeClassifier(labelCol="y", maxDepth=3)]).fit(df)
+    nodes = L.forest_nodes(model)
+    assert nodes.where("lefts IS NOT NULL").count() > 0
+    said = L.with_probability(model.transform(df), "said").select(
+        "hwid", "said", vector_to_array("features").alias("x"))
+    both = said.join(L.score_by_nodes(said, nodes, "x", 3, ["hwid"], "found"), "hwid").collect()
+    assert len(both) == 300 and all(abs(r.said - r.found) < 1e-9 for r in both)
+
+
+def test_hinge_objective_by_hand(spark):
+    rows = [(1.0, 2.0, 1, 2.0), (-1.0, 0.5, 0, 1.0), (0.5, -1.0, 1, 1.0)]
+    df = spark.createDataFrame(rows, "a double, b double, y int, w double")
+    b, i, reg = (0.4, -0.2), 0.1, 0.5
+    x, w = np.array([r[:2] for r in rows]), np.array([r[3] for r in rows])
+    s = np.array([1, -1, 1])
+    mean = (w[:, None] * x).sum(0) / w.sum()
+    var = (w[:, None] * (x - mean) ** 2).sum(0) / (w.sum() - (w * w).sum() / w.sum())
+    want = (w * np.maximum(0, 1 - s * (x @ b + i))).sum() / w.sum() + reg / 2 * (var * np.square(b)).sum()
+    got = L.hinge_objective(df, ["a", "b"], "y", [("p", b, i)], reg, "w").collect()
+    assert [r.name for r in got] == ["p"] and abs(got[0].objective - want) < 1e-12

@@ -226,6 +226,111 @@ def standardised(df: DataFrame, cols, by: DataFrame) -> DataFrame:
     return j.withColumns(scaled).select(*df.columns)
 
 
+def forest_nodes(model) -> DataFrame:
+    """The nodes of a fitted forest (or tree) as a table: tree, node, feature
+    (null in a leaf), threshold, lefts (categories that go left, null for a
+    threshold), yes and no (child nodes; yes is the left one), share (of class
+    1), gain and weight.
+
+    Read from the model's own saved form, which executors write to the shared
+    folder, so no tree passes through Python on the driver."""
+    from pyspark.sql import SparkSession
+
+    from vigil.session import scratch_path
+    spark = SparkSession.active()
+    forest = model.stages[-1] if hasattr(model, "stages") else model
+    path = scratch_path(spark, "forest")
+    forest.write().save(path)
+    saved = spark.read.parquet(f"{path}/data")
+    if "nodeData" not in saved.columns:  # a single tree
+        saved = saved.select(F.lit(0).alias("treeID"), F.struct("*").alias("nodeData"))
+    d = saved.select(F.col("treeID").alias("tree"), "nodeData.*")
+    leaf, split = F.col("leftChild") < 0, F.col("split")
+    by_threshold = split["numCategories"] == -1
+    total = F.aggregate("impurityStats", F.lit(0.0), lambda a, x: a + x)
+    return d.select(
+        "tree", F.col("id").alias("node"), F.when(~leaf, split["featureIndex"]).alias("feature"),
+        F.when(~leaf & by_threshold, split["leftCategoriesOrThreshold"][0]).alias("threshold"),
+        F.when(~leaf & ~by_threshold, split["leftCategoriesOrThreshold"]).alias("lefts"),
+        F.when(~leaf, F.col("leftChild")).alias("yes"), F.when(~leaf, F.col("rightChild")).alias("no"),
+        F.when(total > 0, F.get("impurityStats", F.lit(1)) / total).otherwise(F.lit(0.0)).alias("share"),
+        F.when(~leaf, F.col("gain")).alias("gain"), total.alias("weight"))
+
+
+def score_by_nodes(rows: DataFrame, nodes: DataFrame, features: str, depth: int, keys,
+                   name: str = "probability", broadcast_rows: int = 1_000_000) -> DataFrame:
+    """The mean share of class 1 over all trees for each row, by joining
+    rows with nodes at most ``depth`` times: keys and ``name``.  ``keys`` are
+    unique; ``features`` is an array column.
+
+    A row visits each tree on its own, so rows times trees go through the joins
+    and only sums per key through the shuffle.  The inner nodes are written once
+    and broadcast if they were counted to be at most ``broadcast_rows``."""
+    from vigil.operators.sequence import written_once
+    nodes = written_once(nodes, "forest-nodes")
+    inner = nodes.where("feature IS NOT NULL").select(
+        F.col("tree").alias("__t"), F.col("node").alias("__n"), "feature", "threshold", "lefts",
+        "yes", "no")
+    leaves = nodes.where("feature IS NULL").select(F.col("tree").alias("__t"),
+                                                   F.col("node").alias("__n"), "share")
+    if nodes.count() <= broadcast_rows:
+        inner, leaves = F.broadcast(inner), F.broadcast(leaves)
+    trees = nodes.agg(F.sort_array(F.collect_set("tree")).alias("__trees"))  # one row
+    at = rows.select(*keys, F.col(features).alias("__x")).join(F.broadcast(trees)) \
+        .select(*keys, "__x", F.explode("__trees").alias("__tree"), F.lit(0).alias("__node"))
+    for _ in range(depth):
+        value = F.get("__x", F.col("feature"))
+        left = F.when(F.col("lefts").isNotNull(), F.array_contains("lefts", value)) \
+            .otherwise(value <= F.col("threshold"))
+        at = at.join(inner, (F.col("__tree") == F.col("__t")) & (F.col("__node") == F.col("__n")),
+                     "left").select(
+            *keys, "__x", "__tree", F.when(F.col("feature").isNull(), F.col("__node"))
+            .when(left, F.col("yes")).otherwise(F.col("no")).alias("__node"))
+    got = at.drop("__x").join(leaves, (F.col("__tree") == F.col("__t"))
+                              & (F.col("__node") == F.col("__n")))
+    return got.groupBy(*keys).agg(F.avg("share").alias(name))
+
+
+def importance_by_nodes(nodes: DataFrame, cols) -> DataFrame:
+    """The share of each feature in the weighted gains of the inner nodes,
+    each tree counting the same: feature, importance."""
+    per = nodes.where("feature IS NOT NULL").groupBy("tree", "feature").agg(
+        F.sum(F.col("gain") * F.col("weight")).alias("gain"))
+    whole = Window.partitionBy("tree")
+    shares = per.select("feature", (F.col("gain") / F.sum("gain").over(whole)).alias("share")) \
+        .groupBy("feature").agg(F.sum("share").alias("share"))
+    names = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(i), F.lit(c))])
+    total = shares.agg(F.sum("share").alias("all"))  # one row
+    return shares.join(F.broadcast(total)).select(
+        names[F.col("feature")].alias("feature"), (F.col("share") / F.col("all")).alias("importance"))
+
+
+def hinge_objective(df: DataFrame, cols, label: str, points, reg: float,
+                    weight: str | None = None) -> DataFrame:
+    """What a linear SVM minimises, at each of ``points`` (name,
+    coefficients, intercept): name, objective.  The mean weighted hinge loss plus
+    half of ``reg`` times the squared coefficients of the standardised columns.
+    One aggregate over the rows, as wide as there are points."""
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    sign = F.col(label).cast("double") * 2 - 1
+    losses = []
+    for k, (_, coefficients, intercept) in enumerate(points):
+        margin = sum((F.col(c) * float(b) for c, b in zip(cols, coefficients)), F.lit(float(intercept)))
+        losses.append((F.sum(w * F.greatest(F.lit(0.0), 1 - sign * margin)) / F.sum(w)).alias(f"__p{k}"))
+    variances = []
+    for c in cols:
+        mean = F.sum(w * F.col(c)) / F.sum(w)
+        spread = F.sum(w * F.col(c) * F.col(c)) - mean * mean * F.sum(w)
+        variances.append((spread / (F.sum(w) - F.sum(w * w) / F.sum(w))).alias(f"__v_{c}"))
+    agg = df.agg(*losses, *variances)
+    values = []
+    for k, (name, coefficients, _) in enumerate(points):
+        penalty = sum((F.col(f"__v_{c}") * float(b) ** 2 for c, b in zip(cols, coefficients)), F.lit(0.0))
+        values.append(F.struct(F.lit(name).alias("name"),
+                               (F.col(f"__p{k}") + penalty * (reg / 2)).alias("objective")))
+    return agg.select(F.explode(F.array(*values)).alias("p")).select("p.*")
+
+
 def threshold_rules(df: DataFrame, thresholds: dict) -> DataFrame:
     """``prediction`` = 1 if any feature is over its threshold;
     ``score`` = number of rules that hold."""

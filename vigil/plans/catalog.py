@@ -1454,6 +1454,70 @@ def l8_optimum(spark, sf):
     return slope.select("feature", (F.abs("gradient") < 1e-4).alias("at_optimum"))
 
 
+_COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in FEATURES)
+
+
+def _forest(spark, sf):
+    """A fitted forest, its node table and all rows with features."""
+    label = "predictive_overheating"
+    every = written_once(_features(spark, sf).na.drop(subset=list(FEATURES))
+                         .select("hwid", "when", *FEATURES, label), "forest-rows")
+    model, _, _ = L.run_model(L.undersample(every, label, 0.25), FEATURES, label, "rf",
+                              weight_class1=10)
+    return model, L.forest_nodes(model), every
+
+
+@register("l9_forest_by_nodes", sql(f"""SELECT hwid, "when", TRUE AS as_model
+FROM ({_rolling_sql('heat', ['engine', 'flag_anomaly'], _M10_MIN)}) WHERE {_COMPLETE}""", "heat"))
+def l9_forest_by_nodes(spark, sf):
+    """All rows scored by joins with the node table, held against the model."""
+    from pyspark.ml.functions import vector_to_array
+    model, nodes, every = _forest(spark, sf)
+    keys = ["hwid", "when"]
+    said = L.with_probability(model.transform(every), "said").select(
+        *keys, "said", vector_to_array("features").alias("x"))
+    found = L.score_by_nodes(said, nodes, "x", model.stages[-1].getMaxDepth(), keys, "found")
+    return said.drop("x").join(found, keys, "left").select(
+        *keys, F.coalesce(F.abs(F.col("said") - F.col("found")) < 1e-9, F.lit(False)).alias("as_model"))
+
+
+@register("l17_importance_by_nodes", "SELECT unnest([" + ", ".join(f"'{c}'" for c in FEATURES)
+          + "]) AS feature, TRUE AS as_model")
+def l17_importance_by_nodes(spark, sf):
+    """Importances from the gains of the node table, held against the model's."""
+    model, nodes, _ = _forest(spark, sf)
+    said = spark.createDataFrame(list(zip(FEATURES, map(float, model.stages[-1].featureImportances
+                                                        .toArray()))), "feature string, said double")
+    found = L.importance_by_nodes(nodes, FEATURES)
+    return said.join(found, "feature", "left").select(
+        "feature", (F.abs(F.col("said") - F.coalesce("importance", F.lit(0.0))) < 1e-9).alias("as_model"))
+
+
+@register("l7_optimum", "SELECT unnest([" + ", ".join(
+    f"'{c}{s}'" for c in (*FEATURES, "intercept") for s in "+-") + "]) AS moved, TRUE AS not_better")
+def l7_optimum(spark, sf):
+    """The SVM's objective with each weight moved by 0.05 either way, held
+    against the fitted one."""
+    label = "predictive_overheating"
+    data = written_once(L.undersample(_features(spark, sf), label, 0.25)
+                        .select("hwid", "when", *FEATURES, label), "l7-rows")
+    model, _, _ = L.run_model(data, FEATURES, label, "svc", weight_class1=8)
+    train = L.class_weights(L.train_test_split(data.na.drop(subset=[*FEATURES, label]))[0], label, 8)
+    fit = model.stages[-1]
+    at = [*map(float, fit.coefficients), float(fit.intercept)]
+    points = [("fitted", at[:-1], at[-1])]
+    for i, c in enumerate((*FEATURES, "intercept")):
+        for sign, step in (("+", 0.05), ("-", -0.05)):
+            to = [*at[:i], at[i] + step, *at[i + 1:]]
+            points.append((c + sign, to[:-1], to[-1]))
+    got = L.hinge_objective(L.standardised(train, FEATURES, train), FEATURES, label, points,
+                            fit.getRegParam(), "weight")
+    fitted = got.where("name = 'fitted'").select(F.col("objective").alias("fitted"))  # one row
+    return got.where("name <> 'fitted'").join(F.broadcast(fitted)).select(
+        F.col("name").alias("moved"),
+        (F.col("objective") >= F.col("fitted") - 1e-6).alias("not_better"))
+
+
 def _test_part(algo):
     def run(spark, sf):
         data = _features(spark, sf)
