@@ -1458,12 +1458,12 @@ _COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in FEATURES)
 
 
 def _forest(spark, sf):
-    """A fitted forest, its node table and all rows with features."""
+    """A fitted forest of 40 trees, its node table and all rows with features."""
     label = "predictive_overheating"
     every = written_once(_features(spark, sf).na.drop(subset=list(FEATURES))
                          .select("hwid", "when", *FEATURES, label), "forest-rows")
     model, _, _ = L.run_model(L.undersample(every, label, 0.25), FEATURES, label, "rf",
-                              weight_class1=10)
+                              weight_class1=10, n_trees=40)
     return model, L.forest_nodes(model), every
 
 
