@@ -86,3 +86,12 @@ def test_g4_ten_minute_windows(spark):
 def test_g5_explode(spark):
     df = spark.createDataFrame([([1, 2, 3],), ([4, 5],), ([],)], "xs array<int>")
     assert df.select(F.explode("xs")).count() == 5
+
+
+def test_frame_from_rows(spark):
+    from vigil.sources.readings import frame_from_rows
+    schema = "hwid string, when long, value double"
+    got = frame_from_rows(spark, [("1", 60, 2.5), (None, 0, None)], schema)
+    assert got.dtypes == [("hwid", "string"), ("when", "bigint"), ("value", "double")]
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == [(None, 0, None), ("1", 60, 2.5)]
+    assert frame_from_rows(spark, [], schema).count() == 0
