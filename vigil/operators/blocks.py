@@ -10,18 +10,22 @@ from vigil.operators.sequence import neighbour_times, runs_after
 
 
 def build_blocks(df: DataFrame, max_interval: int, device_col: str = "hwid",
-                 time_col: str = "when", split_seconds: int | None = None) -> DataFrame:
+                 time_col: str = "when", split_seconds: int | None = None,
+                 slice_col: str | None = None) -> DataFrame:
     """B1/B2: per device ``Prev_TimeStamp, Next_TimeStamp, PrevDiff,
     NextDiff``; a new block starts when ``PrevDiff > max_interval`` (strict);
     ``BlockID`` is the running count of block starts, from 0.
 
     With ``split_seconds`` the rows of a device are processed in time slices
     (see operators/sequence.py), so a device with most of the rows does not
-    end up in one task.  B2 (one device) is the same call: the device key is
+    end up in one task; ``slice_col`` names a column with the slices of a
+    laid-out table instead (sources/layout.py), whose rows are then read without
+    an exchange.  B2 (one device) is the same call: the device key is
     kept.
     """
     out = neighbour_times(df, [device_col], time_col, split_seconds,
-                          gap=max_interval, flag_name="__new", run_name="BlockID")
+                          gap=max_interval, flag_name="__new", run_name="BlockID",
+                          slice_col=slice_col)
     t = F.col(time_col)
     return out.withColumns({
         "PrevDiff": t - F.col("Prev_TimeStamp"),

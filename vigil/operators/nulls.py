@@ -53,6 +53,64 @@ def fill_nearest_nonnull(df: DataFrame, sensors, max_gap: int,
     return df.withColumns(filled)
 
 
+def fill_nearest_sliced(df: DataFrame, sensors, max_gap: int, split_seconds: int | None = None,
+                        slice_col: str | None = None, nonnull: bool = False, drop: bool = True,
+                        device_col: str = "hwid", block_col: str = "BlockID",
+                        time_col: str = "when") -> DataFrame:
+    """N1, or N2 with ``nonnull`` (which drops no row), on time slices: no task
+    holds a whole block.  ``slice_col`` names a column with the slices of a
+    laid-out table (kept), else they are ``floor(when / split_seconds)``.
+
+    Windows run per (device, block, slice).  A block's values at the borders of
+    its slices are one row per block and slice; carried over the slices of the
+    block they give what lies before and after a slice.  Block ids rise with time,
+    so of a slice only the first block goes on from earlier slices and only the
+    last one into later ones: one row per (device, slice) is joined back, and the
+    rows stay where they are.  Times of a device differ; rows without a device
+    see their own slice only."""
+    sensors = list(sensors)
+    part = slice_col or "__slice"
+    x = df if slice_col else df.withColumn(part, F.floor(F.col(time_col) / split_seconds))
+    t, block, values = F.col(time_col), F.col(block_col), range(len(sensors))
+    edges = x.groupBy(device_col, block_col, part).agg(*[
+        agg(s, F.when(F.col(s).isNotNull(), t) if nonnull else t).alias(f"__{name}{i}")
+        for i, s in enumerate(sensors) for agg, name in ((F.min_by, "first"), (F.max_by, "last"))])
+    over = Window.partitionBy(device_col, block_col).orderBy(part)
+    back = Window.partitionBy(device_col, block_col).orderBy(F.desc(part))
+    earlier = Window.unboundedPreceding, -1
+    edges = edges.withColumns({
+        f"__{side}{i}": F.last(f"__{end}{i}", ignorenulls=True).over(w.rowsBetween(*earlier))
+        if nonnull else F.lag(f"__{end}{i}").over(w)
+        for i in values for side, end, w in (("before", "last", over), ("after", "first", back))})
+    edges = edges.groupBy(device_col, part).agg(
+        F.min_by(F.struct(block.alias("b"), *[f"__before{i}" for i in values]), block).alias("__in"),
+        F.max_by(F.struct(block.alias("b"), *[f"__after{i}" for i in values]), block).alias("__out"))
+    w = Window.partitionBy(device_col, block_col, part).orderBy(time_col)
+    v = Window.partitionBy(device_col, block_col, part).orderBy(F.desc(time_col))
+    near = {"__no_prev": F.lag(t).over(w).isNull(), "__no_next": F.lead(t).over(w).isNull()}
+    for i, s in enumerate(sensors):
+        near[f"__p{i}"] = F.last(s, ignorenulls=True).over(w.rowsBetween(*earlier)) \
+            if nonnull else F.lag(s).over(w)
+        near[f"__n{i}"] = F.last(s, ignorenulls=True).over(v.rowsBetween(*earlier)) \
+            if nonnull else F.lead(s).over(w)
+    x = x.withColumns(near).join(edges, [device_col, part], "left")
+
+    def neighbour(i, own, missing, edge, side):
+        outside = F.when(F.col(f"{edge}.b") == block, F.col(f"{edge}.__{side}{i}"))
+        if nonnull:
+            return F.coalesce(F.col(f"{own}{i}"), outside)
+        return F.when(F.col(missing), outside).otherwise(F.col(f"{own}{i}"))
+
+    nd, pd_ = F.col("NextDiff"), F.col("PrevDiff")
+    x = x.withColumns({
+        s: F.when(F.col(s).isNotNull(), F.col(s))
+        .when((nd <= max_gap) & (nd <= pd_), neighbour(i, "__n", "__no_next", "__out", "after"))
+        .when(pd_ <= max_gap, neighbour(i, "__p", "__no_prev", "__in", "before"))
+        for i, s in enumerate(sensors)})
+    x = x.select(*df.columns)
+    return x.na.drop(subset=sensors) if drop and not nonnull else x
+
+
 def forward_fill(df: DataFrame, cols, device_col: str = "hwid",
                  time_col: str = "when", split_seconds: int | None = None) -> DataFrame:
     """Last non-null value so far, per device.

@@ -33,16 +33,19 @@ def neighbour_times(df: DataFrame, keys, time_col: str = "when",
                     prev_name: str = "Prev_TimeStamp",
                     next_name: str = "Next_TimeStamp",
                     gap: int | None = None, flag_name: str | None = None,
-                    run_name: str | None = None) -> DataFrame:
+                    run_name: str | None = None, slice_col: str | None = None) -> DataFrame:
     """Add previous/next time per ``keys`` ordered by ``time_col``.
 
     If ``gap`` is given, also add ``flag_name`` = 1 when the time since the
     previous row is strictly over ``gap`` (0 otherwise, also on the first
     row) and ``run_name`` = running sum of that flag (0-based ids).
+
+    ``slice_col`` names a column that holds the time slice, as laid-out tables do
+    (sources/layout.py); it takes the place of ``split_seconds`` and is kept.
     """
     keys = list(keys)
     t = F.col(time_col)
-    if split_seconds is None:
+    if split_seconds is None and slice_col is None:
         w = Window.partitionBy(*keys).orderBy(time_col)
         out = df.withColumns({prev_name: F.lag(t).over(w), next_name: F.lead(t).over(w)})
         if gap is not None:
@@ -52,8 +55,9 @@ def neighbour_times(df: DataFrame, keys, time_col: str = "when",
                 w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         return out
 
-    sliced = df.withColumn(_SLICE, F.floor(t / split_seconds))
-    w_loc = Window.partitionBy(*keys, _SLICE).orderBy(time_col)
+    part = slice_col or _SLICE
+    sliced = df if slice_col else df.withColumn(part, F.floor(t / split_seconds))
+    w_loc = Window.partitionBy(*keys, part).orderBy(time_col)
     loc = sliced.withColumns({"__lp": F.lag(t).over(w_loc), "__ln": F.lead(t).over(w_loc)})
     if gap is not None:
         loc = loc.withColumn("__lf", F.when(t - F.col("__lp") > gap, 1).otherwise(0))
@@ -62,13 +66,13 @@ def neighbour_times(df: DataFrame, keys, time_col: str = "when",
     aggs = [F.min(t).alias("__first"), F.max(t).alias("__last")]
     if gap is not None:
         aggs.append(F.sum("__lf").alias("__inner"))
-    summary = loc.groupBy(*keys, _SLICE).agg(*aggs)
-    w_s = Window.partitionBy(*keys).orderBy(_SLICE)
+    summary = loc.groupBy(*keys, part).agg(*aggs)
+    w_s = Window.partitionBy(*keys).orderBy(part)
     summary = summary.withColumns({
         "__pl": F.lag("__last").over(w_s),
         "__nf": F.lead("__first").over(w_s),
     })
-    keep = [*keys, _SLICE, "__pl", "__nf"]
+    keep = [*keys, part, "__pl", "__nf"]
     if gap is not None:
         summary = summary.withColumn(
             "__sf", F.when(F.col("__first") - F.col("__pl") > gap, 1).otherwise(0))
@@ -76,7 +80,7 @@ def neighbour_times(df: DataFrame, keys, time_col: str = "when",
             "__off", F.coalesce(F.sum(F.col("__sf") + F.col("__inner")).over(
                 w_s.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         keep += ["__sf", "__off"]
-    joined = loc.join(summary.select(*keep), on=[*keys, _SLICE], how="left")
+    joined = loc.join(summary.select(*keep), on=[*keys, part], how="left")
     cols = {
         prev_name: F.coalesce(F.col("__lp"), F.col("__pl")),
         next_name: F.coalesce(F.col("__ln"), F.col("__nf")),

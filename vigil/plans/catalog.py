@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from vigil.plans import stand_in as S
 from vigil.plans.stand_in import sql
-from vigil.session import scratch_path
+from vigil.session import cut_lineage, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -72,6 +72,22 @@ def x3_x5_snapshot_roundtrip(spark, sf):
     return df.withColumn("hwid", F.col("hwid").cast("long"))
 
 
+_FILL_PREPARED = ", ".join(S.fill_case(c, f"lead({c}) OVER ({S._W_BLK})", f"lag({c}) OVER ({S._W_BLK})")
+                           for c in S.PREPARED_FILL)
+
+
+@register("x5_laid_out_chain", sql(f"""SELECT {BLOCK_SELECT}
+FROM (SELECT * REPLACE ({_FILL_PREPARED}) FROM blocks)
+WHERE {' AND '.join(f'{c} IS NOT NULL' for c in S.PREPARED_FILL)}""", "blocks"))
+def x5_laid_out_chain(spark, sf):
+    """Grid, blocks and fill on tables bucketed by device and time slice."""
+    from vigil.plans.composite import prepare_laid_out
+    path = scratch_path(spark, "laid_out")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    return _grid_out(prepare_laid_out(S.readings(spark, sf), X.EVENT_ROLES, S.EVENTS, name, path, 16,
+                                      S.ENGINES, S.PREPARED_FILL))
+
+
 @register("x4_x6_csv_roundtrip", sql(f"SELECT {GRID_SELECT} FROM grid", "grid"))
 def x4_x6_csv_roundtrip(spark, sf):
     g = _grid_out(S.grid(spark, sf))
@@ -278,6 +294,16 @@ def r5_resample_sensor_mean(spark, sf):
     return R.resample_sensor(S.wide(spark, sf), "click", 3600, "mean")
 
 
+@register("r5_resample_sensor_min", _r5_sql("min(w.click)"))
+def r5_resample_sensor_min(spark, sf):
+    return R.resample_sensor(S.wide(spark, sf), "click", 3600, "min")
+
+
+@register("r5_resample_sensor_max", _r5_sql("max(w.click)"))
+def r5_resample_sensor_max(spark, sf):
+    return R.resample_sensor(S.wide(spark, sf), "click", 3600, "max")
+
+
 @register("r6_densify_gaps", sql(f"""SELECT *,
   CAST(row_number() OVER (PARTITION BY hwid, BlockID ORDER BY "when") - 1 AS INTEGER) AS window_id,
   "when" - {S.HALF} AS window_start, "when" + {S.HALF} AS window_end,
@@ -375,6 +401,14 @@ def b6_event_blocks(spark, sf):
     return _grid_out(S.heat(spark, sf))
 
 
+@register("b6_event_blocks_sliced", sql(f"SELECT {HEAT_SELECT} FROM heat", "heat"))
+def b6_event_blocks_sliced(spark, sf):
+    # runs numbered in two levels, so that no task holds a whole device
+    rows = cut_lineage(S.predicted(spark, sf))
+    return _grid_out(B.event_blocks(rows, "overheating", S.EVENTS.min_heat_block,
+                                    split_seconds=S.EVENTS.split_seconds))
+
+
 @register("b7_event_block_sizes", sql("""SELECT block_size, count(*) AS n_blocks,
   CASE block_size WHEN '1-30' THEN 1 WHEN '31-100' THEN 2 WHEN '101-500' THEN 3
     WHEN '501-1000' THEN 4 WHEN '1001-1500' THEN 5 WHEN '1501-2000' THEN 6
@@ -414,6 +448,13 @@ _FILLED_NN = ", ".join(S.fill_case(
     for c in S.SENSORS)
 
 
+@register("n1_fill_nearest_sliced", SQL["n1_fill_nearest"])
+def n1_fill_nearest_sliced(spark, sf):
+    b = S.blocks(spark, sf).select("hwid", "when", "BlockID", "PrevDiff", "NextDiff",
+                                   *S.PREPARED_FILL)
+    return N.fill_nearest_sliced(cut_lineage(b), S.PREPARED_FILL, S.FILL, S.EVENTS.split_seconds)
+
+
 @register("n2_fill_nearest_nonnull", sql(f"""SELECT hwid, "when", BlockID, PrevDiff, NextDiff,
   A5, A9, {_FILLED_NN} FROM blocks""", "blocks"))
 def n2_fill_nearest_nonnull(spark, sf):
@@ -422,6 +463,14 @@ def n2_fill_nearest_nonnull(spark, sf):
     return N.fill_nearest_nonnull(b, ["A5", "A9", *S.SENSORS], S.FILL)
 
 
+@register("n2_fill_nearest_nonnull_sliced", SQL["n2_fill_nearest_nonnull"])
+def n2_fill_nearest_nonnull_sliced(spark, sf):
+    b = S.blocks(spark, sf).select("hwid", "when", "BlockID", "PrevDiff", "NextDiff", "A5", "A9",
+                                   *S.SENSORS)
+    return N.fill_nearest_sliced(cut_lineage(b), S.SENSORS, S.FILL, S.EVENTS.split_seconds,
+                                 nonnull=True)
+
+
 @register("n3_forward_fill", sql(f"""SELECT hwid, "when", {', '.join(
     f'last({c} IGNORE NULLS) OVER ({S._W_DEV} {S._RUN}) AS {c}' for c in S.SENSORS)} FROM grid""",
                                     "grid"))

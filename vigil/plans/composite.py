@@ -18,8 +18,9 @@ from vigil.operators.blocks import build_blocks, event_blocks
 from vigil.operators.correlation import pairwise_correlation
 from vigil.operators.grid import binary_metrics, create_grid, pivot_metrics
 from vigil.operators.learn import probability_trend, run_model, undersample
-from vigil.operators.nulls import fill_nearest
+from vigil.operators.nulls import fill_nearest, fill_nearest_sliced
 from vigil.session import cut_lineage
+from vigil.sources.layout import SLICE, write_laid_out
 
 
 def prepare(readings: DataFrame, roles: Roles, settings: Settings,
@@ -33,7 +34,9 @@ def prepare(readings: DataFrame, roles: Roles, settings: Settings,
     grid (partial aggregation before it), one for the blocks (by device and
     time slice) and one for the fill (by device and block).  The grid is
     written once to the shared checkpoint folder: the raw -> grid part is the
-    expensive one, and the sliced block builder reads its input twice.
+    expensive one, and the sliced block builder reads its input twice.  So
+    are the filled rows where constant sensors are dropped: the test and the
+    result read the written rows, nothing is computed twice.
     Without ``slice_blocks`` and ``materialize_grid`` the blocks are one
     window per device over the lazy grid, for small fleets and short spans."""
     metrics = list(roles.all_metrics)
@@ -54,11 +57,35 @@ def prepare(readings: DataFrame, roles: Roles, settings: Settings,
     filled = fill_nearest(blocks, fill_cols, settings.fill_gap)
     if not drop_constant:
         return filled
+    filled = cut_lineage(filled)
     const = constant_columns(filled, roles.sensors).where("is_constant").select("sensor")
     useless = [r["sensor"] for r in const.collect()]  # at most one row per sensor
     return filled.drop(*useless)
 
 
+def prepare_laid_out(readings: DataFrame, roles: Roles, settings: Settings, name: str, path: str,
+                     buckets: int, binary, fill_cols) -> DataFrame:
+    """Pivot, grid, blocks and nearest fill on laid-out tables (X5): the readings
+    are dealt out by device and time slice once, as table ``name``, and the grid
+    is kept as table ``name_grid`` with the same buckets.  From then on only
+    summaries of slices are exchanged (one row per device and slice, or per
+    device, block and slice); the rows stay in their buckets.
+
+    The grid interval has to divide ``settings.split_seconds``, so that no window
+    lies in two slices."""
+    if settings.split_seconds % settings.grid_interval:
+        raise ValueError("a time slice must hold whole grid windows")
+    metrics = list(roles.all_metrics)
+    rows = write_laid_out(readings, name, path, settings.split_seconds, buckets)
+    wide = pivot_metrics(rows, metrics, by=[SLICE])
+    wide = wide.withColumns({a: F.col(a).cast("int") for a in roles.alarms})
+    grid = create_grid(wide, settings.grid_interval, alarms=roles.alarms, binary=binary,
+                       metrics=metrics, by=[SLICE])
+    grid = write_laid_out(grid, f"{name}_grid", f"{path}_grid", settings.split_seconds, buckets)
+    blocks = build_blocks(grid, settings.block_gap, slice_col=SLICE)
+    return fill_nearest_sliced(blocks, fill_cols, settings.fill_gap, slice_col=SLICE).drop(SLICE)
+
+
 def anomaly_report(blocks: DataFrame, roles: Roles, settings: Settings,
                    spread_blocks: bool = True):
     """Q2: anomalies on the blocks, the joint flag attached, and the
