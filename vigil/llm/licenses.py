@@ -177,7 +177,7 @@ WORDED = (
 #: windows; words read at once, and words around a prediction that are compared.
 EXAMPLES, WINDOW, CONFIRM = 40, 80, 0.7
 SIZES = (4, 8, 16, 32, 64)
-READ, AROUND = 1 << 15, 16
+READ, AROUND = 1 << 13, 16
 
 #: Words that deny what follows them, and how many words before a notice are read.
 _DENIES, _BEFORE = {"not", "never", "no", "nor", "cannot", "isn", "wasn", "aren"}, 4
@@ -370,32 +370,42 @@ class LicenseModel:
         word where its paragraph ends.  Yields (starts, ends, families, probabilities)
         of the windows that predict a family, and for every word the least probability
         of ``unknown`` as (first word, array)."""
+        turned = np.ascontiguousarray(self.w.T)
         for a in range(0, len(ids), READ):
             n = min(READ, len(ids) - a)
             b = min(len(ids), a + n + max(SIZES))
             stop = np.minimum(ends[a:b] - a, b - a)
-            sums, counts = [], []
-            for rows in self._gram_rows(ids[a:b], stop):
-                sums.append(np.concatenate([np.zeros((1, len(FAMILIES))),
-                                            np.cumsum(self.w[rows], axis=0, dtype=np.float64)]))
-                counts.append(np.concatenate([[0], np.cumsum(rows > 0)]))
+            one, two, three = self._gram_rows(ids[a:b], stop)
+            # sums (classes by words) of the n-grams that start before a word, and of
+            # those of them that end before it, which a window up to there holds
+            begun = np.zeros((len(FAMILIES), len(one) + 1))
+            np.cumsum(turned[:, one] + turned[:, two] + turned[:, three], axis=1, out=begun[:, 1:])
+            ended = begun.copy()
+            ended[:, 1:] -= turned[:, two] + turned[:, three]
+            ended[:, 2:] -= turned[:, three[:-1]]
+            many = np.concatenate([[0], np.cumsum((one > 0) * 1 + (two > 0) + (three > 0))])
+            whole = many.copy()
+            whole[1:] -= (two > 0) * 1 + (three > 0)
+            whole[2:] -= three[:-1] > 0
+            before = begun[:, :n] - turned[:, -1:]
             start = np.arange(n)
-            least = np.ones(n)
+            least = np.ones(n, np.float32)
             found = []
             for size in SIZES:
                 end = np.minimum(start + size, stop[:n])
-                z, many = self.w[-1].astype(np.float64), np.ones(n)
-                for k, (c, m) in enumerate(zip(sums, counts)):
-                    upto = np.maximum(end - k, start)
-                    z = z + (c[upto] - c[start])
-                    many += m[upto] - m[start]
-                z /= np.sqrt(many)[:, None] * self.temperature
-                p = self._softmax(z.astype(np.float32))
-                least = np.minimum(least, p[:, -1])
-                best = p[:, :-1].argmax(axis=1)
-                sure = p[start, best]
+                z = (ended[:, end] - before).astype(np.float32)
+                z /= (np.sqrt(whole[end] - many[:n] + 1) * self.temperature).astype(np.float32)
+                z -= z.max(axis=0)
+                np.exp(z, out=z)
+                z /= z.sum(axis=0)
+                np.minimum(least, z[-1], out=least)
+                # a predicted family has at least the level, so unknown at most the rest
+                maybe = np.flatnonzero(z[-1] < 1 - self.level + 1e-6)
+                some = z[:-1, maybe]
+                best, sure = some.argmax(axis=0), some.max(axis=0)
                 said = sure >= self.level
-                found.append((a + start[said], a + end[said], best[said], sure[said]))
+                at = maybe[said]
+                found.append((a + at, a + end[at], best[said], sure[said]))
             yield tuple(np.concatenate(x) for x in zip(*found)), (a, least)
 
     def aligned(self, words: list[str], said: str) -> list[tuple]:
