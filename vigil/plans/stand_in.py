@@ -46,7 +46,8 @@ GRID_COLS = ("A5", "A9", "click", "engine", "error", "purchase", "signup", "view
 #
 # The base frames are lazy plans shared by many queries.  They are memoized
 # per (session, tables folder) so each plan is built and analyzed once per
-# process; nothing is cached or computed by this (no data is kept).
+# process.  ``prepared`` also writes its grid and its filled rows to the scratch
+# folder while it is built, once; later queries of the process read these files.
 
 _FRAMES: dict = {}
 
