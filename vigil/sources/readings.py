@@ -123,16 +123,18 @@ def read_csv_snapshot(spark: SparkSession, path: str, schema: T.StructType,
     return df.withColumns({c: F.col(c).cast("int") for c in alarm_words if c in df.columns})
 
 
-def by_device_day(df: DataFrame, device_col: str = "hwid", time_col: str = "when") -> DataFrame:
-    """Rows dealt out by device and day of an epoch-second time."""
-    return df.repartition(F.col(device_col), F.floor(F.col(time_col) / 86400))
+def by_device(df: DataFrame, device_col: str = "hwid") -> DataFrame:
+    """Rows dealt out by device, for a table with a folder per device.  The
+    number of files follows the rows: a device is one file, and a partition above
+    the advisory size (a device with very many rows) is split over more tasks."""
+    return df.hint("rebalance", device_col)
 
 
 def write_snapshot(df: DataFrame, path: str, device_col: str = "hwid") -> None:
     """Write the prepared table partitioned by device, from the executors.
-    Rows are dealt out by device and day first, so that a device-day is one
-    file and no task holds a whole device."""
-    by_device_day(df, device_col).write.mode("overwrite").partitionBy(device_col).parquet(path)
+    Rows are dealt out by device first, so that a folder holds one file; a device
+    too large for one task is split."""
+    by_device(df, device_col).write.mode("overwrite").partitionBy(device_col).parquet(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -160,7 +162,7 @@ def split_by_device(df: DataFrame, ids, device_col: str = "hwid",
         marked = df
         listed = F.coalesce(F.col(device_col).isin(list(ids)), F.lit(False))
     if path is not None:
-        by_device_day(marked.where(listed).drop("__listed"), device_col).write.mode(
+        by_device(marked.where(listed).drop("__listed"), device_col).write.mode(
             "overwrite").partitionBy(device_col).parquet(path)
     # One pass: count per key (partial aggregation before the shuffle), then
     # one global aggregate over the key counts.
