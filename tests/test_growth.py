@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from vigil.sources.readings import read_snapshot, write_snapshot
+from vigil.sources.readings import read_snapshot, split_by_device, write_snapshot
 
 DAY = 86400
 
@@ -37,3 +37,11 @@ def test_a_device_of_a_snapshot_is_one_file_whatever_its_days(spark, many_tasks,
     assert files_by_folder(path) == {f"hwid=d{i}": 1 for i in range(6)}
     back = read_snapshot(spark, path).select(rows.columns)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_a_listed_device_is_one_file_whatever_its_days(spark, many_tasks, tmp_path):
+    rows = daily_readings(spark, 6, 40)
+    report = split_by_device(rows, ["d1", "d4", "d9"], path=str(tmp_path / "split")).first()
+    assert report.asDict() == {"rows_in": 240, "rows_out": 80, "rows_unmatched": 160,
+                               "rows_duplicate": 0}
+    assert files_by_folder(tmp_path / "split") == {"hwid=d1": 1, "hwid=d4": 1}
