@@ -7,6 +7,9 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from vigil.operators.grid import resample
+from vigil.operators.states import all_pairs, merge_pair_states, pair_states
+from vigil.plans import stand_in as S
 from vigil.sources.readings import read_snapshot, split_by_device, write_snapshot
 
 DAY = 86400
@@ -27,6 +30,16 @@ def many_tasks(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def plan_of(df) -> str:
+    """The plan as made before the run."""
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+
+
+def rounded(df) -> list:
+    return sorted((tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect()),
+                  key=str)
+
+
 def files_by_folder(path) -> dict[str, int]:
     return {d.name: len(list(d.glob("*.parquet"))) for d in Path(path).iterdir() if d.is_dir()}
 
@@ -45,3 +58,19 @@ def test_a_listed_device_is_one_file_whatever_its_days(spark, many_tasks, tmp_pa
     assert report.asDict() == {"rows_in": 240, "rows_out": 80, "rows_unmatched": 160,
                                "rows_duplicate": 0}
     assert files_by_folder(tmp_path / "split") == {"hwid=d1": 1, "hwid=d4": 1}
+
+
+def lines(spark, n=300):
+    return spark.range(n).select(
+        (F.col("id") % 50).alias("k"), F.when(F.col("id") % 7 > 0, F.col("id") * 1.5).alias("a"),
+        (F.col("id") % 13).cast("double").alias("b"), (F.col("id") % 5).cast("double").alias("c"))
+
+
+def test_rows_move_in_place_of_unfinished_states(spark):
+    pairs = all_pairs(["a", "b", "c"])
+    dealt = pair_states(lines(spark), pairs, ["k"], complete=True, deal=True)
+    assert rounded(dealt) == rounded(pair_states(lines(spark), pairs, ["k"], complete=True))
+    plan = plan_of(dealt)
+    assert plan.count("Exchange ") == 1
+    # lines run from the result down to the scan: nothing is aggregated below the exchange
+    assert "Aggregate" not in plan[plan.index("Exchange "):]

@@ -50,15 +50,27 @@ def within_error(estimate, exact, lg_k: int = LG_K, errors: float = 4.0):
 
 # ----------------------------------------------------------- co-moments
 
-def pair_states(df: DataFrame, pairs, keys, complete: bool = False) -> DataFrame:
+def pair_states(df: DataFrame, pairs, keys, complete: bool = False, deal: bool = False) -> DataFrame:
     """Co-moments of column pairs per key: keys, a, b, n, mean_a, mean_b, saa,
     sbb, sab (sums of centred squares and products) over the rows where both
-    are known, or, if ``complete``, where all columns are."""
+    are known, or, if ``complete``, where all columns are.
+
+    With ``deal`` the rows themselves are dealt out by key before the aggregate:
+    where a key has few rows, a row is much smaller than the unfinished state
+    that would move in its place."""
     pairs = list(pairs)
+    columns = sorted({c for p in pairs for c in p})
     if complete:
-        df = df.na.drop(subset=sorted({c for p in pairs for c in p}))
+        df = df.na.drop(subset=columns)
+    if deal:
+        df = df.select(*keys, *[c for c in columns if c not in keys]).repartition(*keys)
     def state(a, b):
         x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        if complete:  # nothing is null: one count, mean and square sum serve all pairs of a column
+            return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.regr_count(x, x).alias("n"),
+                            F.regr_avgx(x, x).alias("mean_a"), F.regr_avgx(y, y).alias("mean_b"),
+                            F.regr_sxx(x, x).alias("saa"), F.regr_sxx(y, y).alias("sbb"),
+                            F.regr_sxy(x, y).alias("sab"))
         return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.regr_count(x, y).alias("n"),
                         F.regr_avgy(x, y).alias("mean_a"), F.regr_avgx(x, y).alias("mean_b"),
                         F.regr_syy(x, y).alias("saa"), F.regr_sxx(x, y).alias("sbb"),
@@ -69,7 +81,11 @@ def pair_states(df: DataFrame, pairs, keys, complete: bool = False) -> DataFrame
 
 def merge_pair_states(states: DataFrame, keys=()) -> DataFrame:
     """States of coarser ``keys``: centred sums move to the common mean, so that
-    nothing large is subtracted.  Null keys are a key of their own."""
+    nothing large is subtracted.  Null keys are a key of their own.
+
+    Without keys there is one mean per pair: these few rows are broadcast, so the
+    states of a pair are not moved into one task."""
+    few = not keys
     keys = [*keys, "a", "b"]
     share = lambda m: (F.sum(F.col("n") * F.col(m)) / F.sum("n")).alias(m.replace("mean", "at"))
     means = states.groupBy(*keys).agg(share("mean_a"), share("mean_b")).select(
@@ -79,7 +95,7 @@ def merge_pair_states(states: DataFrame, keys=()) -> DataFrame:
         same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
     da, db = F.col("mean_a") - F.col("at_a"), F.col("mean_b") - F.col("at_b")
     moved = lambda s, d, e: F.sum(F.col(s) + F.col("n") * d * e).alias(s)
-    return states.join(means, same).groupBy(*keys).agg(
+    return states.join(F.broadcast(means) if few else means, same).groupBy(*keys).agg(
         F.sum("n").alias("n"), F.first("at_a").alias("mean_a"), F.first("at_b").alias("mean_b"),
         moved("saa", da, da), moved("sbb", db, db), moved("sab", da, db))
 

@@ -986,8 +986,8 @@ def c5_correlation_by_device(spark, sf):
 def _line_states(spark, sf, pairs):
     """Co-moments of the order lines per supplier and day, written once."""
     lines = X.load_table(spark, sf, "lineitem")
-    return written_once(ST.pair_states(lines, pairs, ["l_suppkey", "l_shipdate"], complete=True),
-                        "line-states")
+    return written_once(ST.pair_states(lines, pairs, ["l_suppkey", "l_shipdate"], complete=True,
+                                       deal=True), "line-states")
 
 
 def _sensor_states(spark, sf):
