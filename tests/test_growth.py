@@ -74,3 +74,15 @@ def test_rows_move_in_place_of_unfinished_states(spark):
     assert plan.count("Exchange ") == 1
     # lines run from the result down to the scan: nothing is aggregated below the exchange
     assert "Aggregate" not in plan[plan.index("Exchange "):]
+
+
+def test_states_of_a_pair_do_not_meet_in_one_task(spark):
+    states = pair_states(lines(spark), [("a", "b"), ("b", "c")], ["k"]).localCheckpoint()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(merge_pair_states(states))
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        by_key = plan_of(merge_pair_states(states, ["k"]))
+        assert "SortMergeJoin" in by_key  # as many means as keys: never forced
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
