@@ -86,3 +86,14 @@ def test_states_of_a_pair_do_not_meet_in_one_task(spark):
         assert "SortMergeJoin" in by_key  # as many means as keys: never forced
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_mode_stays_in_the_tasks_dealt(spark):
+    rows = spark.range(400).select(
+        F.format_string("d%d", F.col("id") % 9).alias("hwid"), (F.col("id") * 10).alias("when"),
+        F.when(F.col("id") % 3 > 0, (F.col("id") % 4).cast("double")).alias("a"),
+        F.when(F.col("id") % 8 == 0, 1.0).alias("b"))
+    dealt = resample(rows, ["a", "b"], 600, "mode", tasks=11)
+    assert rounded(dealt) == rounded(resample(rows, ["a", "b"], 600, "mode"))
+    plan = plan_of(dealt)
+    assert plan.count("Exchange ") == 1 and ", 11), REPARTITION_BY_NUM" in plan

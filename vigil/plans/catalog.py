@@ -262,7 +262,8 @@ FROM (SELECT hwid, ws, sensor, v, row_number() OVER (PARTITION BY hwid, ws, sens
             GROUP BY hwid, ws, sensor, v))
 WHERE rk = 1 GROUP BY hwid, ws""", "wide"))
 def r3_resample_mode(spark, sf):
-    return _grid_out(R.resample(S.wide(spark, sf), S.GRID_COLS, S.G, "mode"))
+    return _grid_out(R.resample(S.wide(spark, sf), S.GRID_COLS, S.G, "mode",
+                                tasks=S.device_tasks(spark, sf)))
 
 
 @register("r4_window_average", sql("""SELECT ws AS window_start, ws + 600 AS window_end,

@@ -51,6 +51,10 @@ GRID_COLS = ("A5", "A9", "click", "engine", "error", "purchase", "signup", "view
 
 _FRAMES: dict = {}
 
+# Events to a task where rows are dealt out for a chain of windows, whose sorts
+# hold several copies of a task's rows.
+EVENTS_PER_TASK = 50_000
+
 
 def _memo(fn):
     def wrapper(spark: SparkSession, sf: str, *args, **kw):
@@ -70,6 +74,15 @@ def readings(spark: SparkSession, sf: str) -> DataFrame:
     return events_as_readings(load_table(spark, sf, "events"))
 
 
+def device_tasks(spark: SparkSession, sf: str) -> int:
+    """Tasks for the rows of all devices: one a core, more of them for many events
+    (counted from the files' footers).  A number given to ``repartition`` is kept,
+    where small partitions would be put together by their compressed size, which
+    says little about rows as alike as these."""
+    n = load_table(spark, sf, "events").count()
+    return max(spark.sparkContext.defaultParallelism, -(-n // EVENTS_PER_TASK))
+
+
 @_memo
 def wide(spark: SparkSession, sf: str) -> DataFrame:
     w = pivot_metrics(readings(spark, sf), EVENT_METRICS)
