@@ -97,3 +97,16 @@ def test_mode_stays_in_the_tasks_dealt(spark):
     assert rounded(dealt) == rounded(resample(rows, ["a", "b"], 600, "mode"))
     plan = plan_of(dealt)
     assert plan.count("Exchange ") == 1 and ", 11), REPARTITION_BY_NUM" in plan
+
+
+def test_more_events_are_dealt_to_more_tasks(spark, tmp_path, monkeypatch):
+    kinds = F.array(*[F.lit(k) for k in ("click", "error", "purchase", "signup", "view")])
+    spark.range(200).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.col("id") * 9000).alias("ts"),
+        (F.col("id") % 30).alias("user_id"), F.get(kinds, F.col("id") % 5).alias("event_type"),
+        (F.col("id") % 100).cast("double").alias("value"), F.lit('{"k": 3}').alias("props")
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(S, "EVENTS_PER_TASK", 10)
+    assert S.device_tasks(spark, str(tmp_path)) == 20
+    # the windows by device are given 20 tasks, however few bytes they read
+    assert S.blocks(spark, str(tmp_path)).rdd.getNumPartitions() == 20

@@ -100,7 +100,9 @@ def blocks(spark: SparkSession, sf: str) -> DataFrame:
     # Grid rows per device are bounded by (time span / interval), so the
     # one-level device window is used here; the sliced form is for series
     # whose rows per device grow with the data (raw readings).
-    return build_blocks(grid(spark, sf), EVENTS.block_gap)
+    # All later windows keep to the device, so they stay in the tasks dealt here.
+    dealt = grid(spark, sf).repartition(device_tasks(spark, sf), "hwid")
+    return build_blocks(dealt, EVENTS.block_gap)
 
 
 @_memo
