@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vigil.operators.grid import resample
 from vigil.operators.states import all_pairs, merge_pair_states, pair_states
 from vigil.plans import stand_in as S
+from vigil.sources import readings as R
 from vigil.sources.readings import read_snapshot, split_by_device, write_snapshot
 
 DAY = 86400
@@ -60,6 +61,26 @@ def test_a_listed_device_is_one_file_whatever_its_days(spark, many_tasks, tmp_pa
     assert files_by_folder(tmp_path / "split") == {"hwid=d1": 1, "hwid=d4": 1}
 
 
+def test_devices_are_dealt_out_however_few_their_bytes(spark, tmp_path):
+    rows = daily_readings(spark, 60, 3)
+    split_by_device(rows, [f"d{i}" for i in range(60)], path=str(tmp_path / "split"), tasks=7)
+    found = spark.read.parquet(str(tmp_path / "split"))
+    # a file's name begins with its task
+    tasks = found.select(F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1)).distinct().count()
+    assert tasks == 7 and found.count() == 180
+
+
+def test_a_large_device_is_split_and_no_row_is_lost(spark, monkeypatch):
+    monkeypatch.setattr(R, "ROWS_PER_FILE", 10)
+    rows = daily_readings(spark, 3, 40).withColumn("hwid", F.when(F.col("hwid") != "d2", F.col("hwid")))
+    rows = rows.where("hwid IS NULL OR hwid = 'd0' OR when < 86400 * 5")
+    dealt = R.by_device(rows, tasks=16)
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, rows.collect()))
+    tasks = dict(map(tuple, dealt.select("hwid", F.spark_partition_id().alias("task")).distinct()
+                     .groupBy("hwid").count().collect()))
+    assert tasks["d1"] == 1 and tasks["d0"] > 1 and tasks[None] > 1
+
+
 def lines(spark, n=300):
     return spark.range(n).select(
         (F.col("id") % 50).alias("k"), F.when(F.col("id") % 7 > 0, F.col("id") * 1.5).alias("a"),

@@ -107,7 +107,8 @@ FROM (SELECT hwid, "when", metric, count(*) AS n,
       FROM readings GROUP BY hwid, "when", metric)""", "readings"))
 def x7_split_by_device(spark, sf):
     ids = X.load_table(spark, sf, "customer").select(F.col("c_custkey").alias("hwid"))
-    return X.split_by_device(S.readings(spark, sf), ids, path=scratch_path(spark, "by-device"))
+    return X.split_by_device(S.readings(spark, sf), ids, path=scratch_path(spark, "by-device"),
+                             tasks=S.device_tasks(spark, sf))
 
 
 @register("x9_preview_first", sql(f"""SELECT {GRID_SELECT} FROM grid

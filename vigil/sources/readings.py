@@ -123,11 +123,28 @@ def read_csv_snapshot(spark: SparkSession, path: str, schema: T.StructType,
     return df.withColumns({c: F.col(c).cast("int") for c in alarm_words if c in df.columns})
 
 
-def by_device(df: DataFrame, device_col: str = "hwid") -> DataFrame:
+# Rows of a device from which on its folder holds more than one file.
+ROWS_PER_FILE = 2_000_000
+
+
+def by_device(df: DataFrame, device_col: str = "hwid", tasks: int | None = None) -> DataFrame:
     """Rows dealt out by device, for a table with a folder per device.  The
     number of files follows the rows: a device is one file, and a partition above
-    the advisory size (a device with very many rows) is split over more tasks."""
-    return df.hint("rebalance", device_col)
+    the advisory size (a device with very many rows) is split over more tasks.
+
+    Many devices with few rows each make many files of few bytes, whose time goes
+    into opening and closing them; partitions put together by their bytes would
+    leave all that to a few tasks.  With ``tasks`` the devices are dealt out over
+    so many, and a device above ``ROWS_PER_FILE`` over several of them."""
+    if tasks is None:
+        return df.hint("rebalance", device_col)
+    # at most one row per ROWS_PER_FILE rows of the table
+    large = df.groupBy(F.col(device_col).alias("__device")).count().where(
+        F.col("count") > ROWS_PER_FILE).select(
+        "__device", F.ceil(F.col("count") / ROWS_PER_FILE).alias("__parts"))
+    part = F.coalesce(F.pmod(F.xxhash64(*df.columns), F.col("__parts")), F.lit(0))
+    return df.join(F.broadcast(large), F.col(device_col).eqNullSafe(F.col("__device")), "left") \
+        .repartition(tasks, device_col, part).select(*df.columns)
 
 
 def write_snapshot(df: DataFrame, path: str, device_col: str = "hwid") -> None:
@@ -144,12 +161,13 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 def split_by_device(df: DataFrame, ids, device_col: str = "hwid",
                     key_cols=("hwid", "when", "metric"),
-                    path: str | None = None) -> DataFrame:
+                    path: str | None = None, tasks: int | None = None) -> DataFrame:
     """One folder per listed device plus a reconciliation report.
 
     Report (one row): rows in, rows written (listed devices), rows that match
     no listed device, and rows that repeat a (device, time, metric) key.
     All counts come from one aggregate pass plus one duplicate count.
+    ``tasks`` write the folders (see ``by_device``).
     """
     if isinstance(ids, DataFrame):
         # listed devices given as a table: a left-semi / left join instead of
@@ -162,7 +180,7 @@ def split_by_device(df: DataFrame, ids, device_col: str = "hwid",
         marked = df
         listed = F.coalesce(F.col(device_col).isin(list(ids)), F.lit(False))
     if path is not None:
-        by_device(marked.where(listed).drop("__listed"), device_col).write.mode(
+        by_device(marked.where(listed).drop("__listed"), device_col, tasks).write.mode(
             "overwrite").partitionBy(device_col).parquet(path)
     # One pass: count per key (partial aggregation before the shuffle), then
     # one global aggregate over the key counts.
