@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from vigil.operators import learn as L
 from vigil.operators.grid import resample
 from vigil.operators.states import all_pairs, merge_pair_states, pair_states
 from vigil.plans import stand_in as S
@@ -131,3 +132,30 @@ def test_more_events_are_dealt_to_more_tasks(spark, tmp_path, monkeypatch):
     assert S.device_tasks(spark, str(tmp_path)) == 20
     # the windows by device are given 20 tasks, however few bytes they read
     assert S.blocks(spark, str(tmp_path)).rdd.getNumPartitions() == 20
+
+
+def labelled(spark, n=400):
+    return spark.range(n).select(
+        F.col("id").cast("string").alias("hwid"), F.col("id").alias("when"),
+        ((F.col("id") * 37) % 101).cast("double").alias("a"), ((F.col("id") * 53) % 17).cast("double").alias("b"),
+        (((F.col("id") * 37) % 101 > 60) != ((F.col("id") * 53) % 17 > 9)).cast("double").alias("y"))
+
+
+def test_rows_keep_their_nodes_and_the_forest_is_the_same(spark):
+    stages = L.assembler_stages(["a", "b"], scaler=False)
+    data = stages[0].transform(labelled(spark)).localCheckpoint()
+    forest = L.build_model("rf", "y", n_trees=6, max_depth=4)
+    assert forest.getCacheNodeIds()
+    walked = forest.copy().setCacheNodeIds(False)
+    kept, plain = ([t.toDebugString.split("\n")[1:] for t in x.fit(data).trees] for x in (forest, walked))
+    assert kept == plain
+
+
+def test_training_rows_are_dealt_out_by_rows_times_trees(spark, tmp_path, monkeypatch):
+    labelled(spark).coalesce(1).write.parquet(str(tmp_path / "train"))
+    train = spark.read.parquet(str(tmp_path / "train"))
+    assert L.dealt_for_trees(train, 10).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(L, "VISITS_PER_TASK", 500)
+    dealt = L.dealt_for_trees(train, 10)  # 4000 visits: whole rounds of 4 tasks
+    assert dealt.rdd.getNumPartitions() == 8 and max(map(len, dealt.rdd.glom().collect())) <= 52
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, train.collect()))

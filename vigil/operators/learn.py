@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 _ALGOS = ("rf", "lr", "svc")
 
+# Rows times trees to a task of a forest's fit; a row keeps two numbers per tree.
+VISITS_PER_TASK = 25_000_000
+
 
 def _unit_hash(keys, seed: int):
     """A number in [0, 1) from the row keys and a seed: the first eight hex
@@ -83,12 +86,25 @@ def build_model(algo: str, label: str, weight_col: str | None = None, seed: int
     if weight_col:
         kw["weightCol"] = weight_col
     if algo == "rf":
-        return RandomForestClassifier(numTrees=n_trees, maxDepth=max_depth, seed=seed, **kw)
+        # rows keep the node that they reached in each tree: else every level walks
+        # every row through every tree from its root
+        return RandomForestClassifier(numTrees=n_trees, maxDepth=max_depth, seed=seed,
+                                      cacheNodeIds=True, **kw)
     if algo == "lr":
         return LogisticRegression(regParam=0.0, **kw)
     return LinearSVC(regParam=svc_reg, maxIter=svc_iter, tol=1e-8, **kw)
 
 
+def dealt_for_trees(train: DataFrame, n_trees: int) -> DataFrame:
+    """Training rows (read from files) dealt out evenly in whole rounds of tasks, if
+    their files, put together by bytes, would leave more to a task than
+    ``VISITS_PER_TASK`` rows times trees."""
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    tasks = -(-train.count() * n_trees // VISITS_PER_TASK)
+    tasks = -(-tasks // cores) * cores
+    return train.repartition(tasks) if tasks > train.rdd.getNumPartitions() else train
+
+
 def run_model(df: DataFrame, cols, label: str, algo: str = "rf", weight_class1: float = 10.0,
               seed: int = 42, scaler: bool = True, share: float = 0.7,
               keys=("hwid", "when"), **model_kw):
@@ -116,6 +132,8 @@ def run_model(df: DataFrame, cols, label: str, algo: str = "rf", weight_class1:
     train = cut_lineage(train.select(*cols, label, *([weight] if weight else [])))
     pipe = Pipeline(stages=[*assembler_stages(cols, scaler),
                             build_model(algo, label, weight, seed, **model_kw)])
+    if algo == "rf":
+        train = dealt_for_trees(train, pipe.getStages()[-1].getNumTrees())
     model = pipe.fit(train)
     missing = F.greatest(*[F.col(c).isNull() for c in (*cols, label)])
     scored = with_probability(model.transform(data)).unionByName(
@@ -264,30 +282,34 @@ def score_by_nodes(rows: DataFrame, nodes: DataFrame, features: str, depth: int,
     unique; ``features`` is an array column.
 
     A row visits each tree on its own, so rows times trees go through the joins
-    and only sums per key through the shuffle.  The inner nodes are written once
-    and broadcast if they were counted to be at most ``broadcast_rows``."""
+    and only sums per key through the shuffle.  A node is named by one number and
+    a leaf leads to itself, so that a join is one short lookup.  The nodes are
+    written once and broadcast if they were counted to be at most
+    ``broadcast_rows``."""
     from vigil.operators.sequence import written_once
     nodes = written_once(nodes, "forest-nodes")
-    inner = nodes.where("feature IS NOT NULL").select(
-        F.col("tree").alias("__t"), F.col("node").alias("__n"), "feature", "threshold", "lefts",
-        "yes", "no")
-    leaves = nodes.where("feature IS NULL").select(F.col("tree").alias("__t"),
-                                                   F.col("node").alias("__n"), "share")
-    if nodes.count() <= broadcast_rows:
-        inner, leaves = F.broadcast(inner), F.broadcast(leaves)
-    trees = nodes.agg(F.sort_array(F.collect_set("tree")).alias("__trees"))  # one row
+    leaf, first = F.col("feature").isNull(), F.shiftleft(F.col("tree").cast("long"), 32)
+    here = first + F.col("node")
+    n, with_lefts = nodes.agg(F.count(F.lit(1)), F.count("lefts")).first()
+    lefts = ["lefts"] if with_lefts else []
+    steps = nodes.select(
+        here.alias("__n"), F.coalesce("feature", F.lit(0)).alias("feature"), "threshold", *lefts,
+        F.when(leaf, here).otherwise(first + F.col("yes")).alias("yes"),
+        F.when(leaf, here).otherwise(first + F.col("no")).alias("no"))
+    leaves = nodes.where(leaf).select(here.alias("__n"), "share")
+    if n <= broadcast_rows:
+        steps, leaves = F.broadcast(steps), F.broadcast(leaves)
+    trees = nodes.agg(F.sort_array(F.collect_set(first)).alias("__trees"))  # one row
     at = rows.select(*keys, F.col(features).alias("__x")).join(F.broadcast(trees)) \
-        .select(*keys, "__x", F.explode("__trees").alias("__tree"), F.lit(0).alias("__node"))
+        .select(*keys, "__x", F.explode("__trees").alias("__at"))
+    value = F.get("__x", F.col("feature"))
+    left = value <= F.col("threshold")
+    if lefts:
+        left = F.when(F.col("lefts").isNotNull(), F.array_contains("lefts", value)).otherwise(left)
     for _ in range(depth):
-        value = F.get("__x", F.col("feature"))
-        left = F.when(F.col("lefts").isNotNull(), F.array_contains("lefts", value)) \
-            .otherwise(value <= F.col("threshold"))
-        at = at.join(inner, (F.col("__tree") == F.col("__t")) & (F.col("__node") == F.col("__n")),
-                     "left").select(
-            *keys, "__x", "__tree", F.when(F.col("feature").isNull(), F.col("__node"))
-            .when(left, F.col("yes")).otherwise(F.col("no")).alias("__node"))
-    got = at.drop("__x").join(leaves, (F.col("__tree") == F.col("__t"))
-                              & (F.col("__node") == F.col("__n")))
+        at = at.join(steps, F.col("__at") == F.col("__n")).select(
+            *keys, "__x", F.when(left, F.col("yes")).otherwise(F.col("no")).alias("__at"))
+    got = at.drop("__x").join(leaves, F.col("__at") == F.col("__n"))
     return got.groupBy(*keys).agg(F.avg("share").alias(name))
 
 

@@ -1454,9 +1454,11 @@ def l13_l14_model_metrics(spark, sf):
     predictions (the SVM's score is its prediction)."""
     out = None
     for algo in ("rf", "lr", "svc"):
+        label = "predictive_overheating"
         preds = _model_preds(spark, sf, algo)[1].where("prediction IS NOT NULL")
         score = "ProbOverheating" if "ProbOverheating" in preds.columns else "prediction"
-        label = "predictive_overheating"
+        # read by the matrix, the metrics and the AUC: rows are scored once
+        preds = written_once(preds.select(*dict.fromkeys([label, "prediction", score])), "scored-rows")
         one = L.confusion_matrix(preds, label).withColumn("algo", F.lit(algo)).join(
             L.metrics(preds, label, score).withColumn("algo", F.lit(algo)), "algo")
         out = one if out is None else out.unionByName(one)
