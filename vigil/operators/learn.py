@@ -99,10 +99,11 @@ def dealt_for_trees(train: DataFrame, n_trees: int) -> DataFrame:
     """Training rows (read from files) dealt out evenly in whole rounds of tasks, if
     their files, put together by bytes, would leave more to a task than
     ``VISITS_PER_TASK`` rows times trees."""
-    cores = train.sparkSession.sparkContext.defaultParallelism
     tasks = -(-train.count() * n_trees // VISITS_PER_TASK)
-    tasks = -(-tasks // cores) * cores
-    return train.repartition(tasks) if tasks > train.rdd.getNumPartitions() else train
+    if tasks <= train.rdd.getNumPartitions():
+        return train
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    return train.repartition(-(-tasks // cores) * cores)
 
 
 def run_model(df: DataFrame, cols, label: str, algo: str = "rf", weight_class1: float = 10.0,
