@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vigil.operators import learn as L
+from vigil.operators import states as ST
 from vigil.operators.grid import resample
 from vigil.operators.states import all_pairs, merge_pair_states, pair_states
 from vigil.plans import stand_in as S
@@ -98,6 +99,27 @@ def test_rows_move_in_place_of_unfinished_states(spark):
     assert "Aggregate" not in plan[plan.index("Exchange "):]
 
 
+def test_a_large_key_of_states_is_not_sent_to_one_task(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ST, "ROWS_PER_KEY", 100)
+    # two keys, each null or not; 1500 of 2000 rows have the key (null, null)
+    rows = lines(spark, 2000).select(
+        F.when(F.col("k") % 4 == 0, F.col("k")).alias("k"),
+        F.when(F.col("k") % 8 == 0, F.lit(3)).alias("day"), "a", "b", "c")
+    rows.repartition(6).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    pairs = all_pairs(["a", "b", "c"])
+    dealt = pair_states(rows, pairs, ["k", "day"], complete=True, deal=True)
+    got, want = ({tuple(r)[:4]: tuple(r)[4:] for r in x.collect()} for x in (
+        dealt, pair_states(rows, pairs, ["k", "day"], complete=True)))
+    assert got.keys() == want.keys() and dealt.count() == len(got) == 14 * len(pairs)
+    assert all(got[k] == pytest.approx(v, rel=1e-12, abs=1e-9) for k, v in want.items())
+    sent = []  # what each exchange sends: rows, or an aggregate of them
+    for part in plan_of(dealt).split("Exchange ")[1:]:
+        below = next(x for x in part.splitlines()[1:] if "Aggregate" in x or "FileScan" in x)
+        sent.append("Aggregate" if "Aggregate" in below else "rows")
+    assert sorted(sent) == ["Aggregate", "rows"]
+
+
 def test_states_of_a_pair_do_not_meet_in_one_task(spark):
     states = pair_states(lines(spark), [("a", "b"), ("b", "c")], ["k"]).localCheckpoint()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

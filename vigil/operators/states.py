@@ -50,6 +50,21 @@ def within_error(estimate, exact, lg_k: int = LG_K, errors: float = 4.0):
 
 # ----------------------------------------------------------- co-moments
 
+#: Keys fall into so many buckets by their hash.
+KEY_BUCKETS = 4096
+#: Rows of a bucket from which on it is taken to hold a key of very many rows.
+ROWS_PER_KEY = 1_000_000
+
+
+def large_buckets(df: DataFrame, bucket) -> list[int]:
+    """The buckets with a key of very many rows: those of more than ``ROWS_PER_KEY``
+    rows and four times the mean.  All rows of a key are in one bucket, so keys are
+    only parted from keys by this.  One row per bucket comes to the driver."""
+    counts = [(r[0], r[1]) for r in df.groupBy(bucket).count().collect()]
+    limit = max(ROWS_PER_KEY, 4 * sum(n for _, n in counts) // KEY_BUCKETS)
+    return sorted(b for b, n in counts if n > limit)
+
+
 def pair_states(df: DataFrame, pairs, keys, complete: bool = False, deal: bool = False) -> DataFrame:
     """Co-moments of column pairs per key: keys, a, b, n, mean_a, mean_b, saa,
     sbb, sab (sums of centred squares and products) over the rows where both
@@ -57,13 +72,16 @@ def pair_states(df: DataFrame, pairs, keys, complete: bool = False, deal: bool =
 
     With ``deal`` the rows themselves are dealt out by key before the aggregate:
     where a key has few rows, a row is much smaller than the unfinished state
-    that would move in its place."""
+    that would move in its place.  Keys of very many rows (see ``large_buckets``)
+    are left to the plain aggregate, so that no task is sent all rows of one."""
     pairs = list(pairs)
     columns = sorted({c for p in pairs for c in p})
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)) if deal else None
+    large = large_buckets(df, bucket) if deal else []
     if complete:
         df = df.na.drop(subset=columns)
     if deal:
-        df = df.select(*keys, *[c for c in columns if c not in keys]).repartition(*keys)
+        df = df.select(*keys, *[c for c in columns if c not in keys])
     def state(a, b):
         x, y = F.col(a).cast("double"), F.col(b).cast("double")
         if complete:  # nothing is null: one count, mean and square sum serve all pairs of a column
@@ -75,8 +93,13 @@ def pair_states(df: DataFrame, pairs, keys, complete: bool = False, deal: bool =
                         F.regr_avgy(x, y).alias("mean_a"), F.regr_avgx(x, y).alias("mean_b"),
                         F.regr_syy(x, y).alias("saa"), F.regr_sxx(x, y).alias("sbb"),
                         F.regr_sxy(x, y).alias("sab"))
-    return (df.groupBy(*keys).agg(F.array(*[state(a, b) for a, b in pairs]).alias("s"))
-            .select(*keys, F.inline("s")).where("n > 0"))
+    def states(rows):
+        return (rows.groupBy(*keys).agg(F.array(*[state(a, b) for a, b in pairs]).alias("s"))
+                .select(*keys, F.inline("s")).where("n > 0"))
+    if not large:
+        return states(df.repartition(*keys) if deal else df)
+    return states(df.where(~bucket.isin(large)).repartition(*keys)).unionByName(
+        states(df.where(bucket.isin(large))))
 
 
 def merge_pair_states(states: DataFrame, keys=()) -> DataFrame:
