@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 _ALGOS = ("rf", "lr", "svc")
 
 # Rows times trees to a task of a forest's fit; a row keeps two numbers per tree.
+# Larger forests are fitted on counted groups of rows.
 VISITS_PER_TASK = 25_000_000
 
 
@@ -106,13 +107,28 @@ def dealt_for_trees(train: DataFrame, n_trees: int) -> DataFrame:
     return train.repartition(-(-tasks // cores) * cores)
 
 
+def fit_large_forest(pipe, train: DataFrame):
+    """The pipeline fitted, its forest on counted groups of the rows; None if there are
+    at most ``VISITS_PER_TASK`` rows times trees, or groups can not stand for rows."""
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from vigil.operators.forest import fit_by_bins
+    *stages, forest = pipe.getStages()
+    if train.count() * forest.getNumTrees() <= VISITS_PER_TASK:
+        return None
+    prepared = Pipeline(stages=stages).fit(train)
+    fitted = fit_by_bins(forest, prepared.transform(train), VISITS_PER_TASK)
+    return None if fitted is None else PipelineModel([*prepared.stages, fitted])
+
+
 def run_model(df: DataFrame, cols, label: str, algo: str = "rf", weight_class1: float = 10.0,
               seed: int = 42, scaler: bool = True, share: float = 0.7,
               keys=("hwid", "when"), **model_kw):
     """Fit on the train part and score on the test part and on all rows.
 
-    ``rf`` replicates class 1 (L3) ``floor(weight_class1)`` times;
-    ``lr``/``svc`` use class weights (L2).  Rows with a null feature or label
+    ``rf`` replicates class 1 (L3) ``floor(weight_class1)`` times, and is fitted on
+    counted groups of rows (``forest.fit_by_bins``) where there are more than
+    ``VISITS_PER_TASK`` rows times trees; ``lr``/``svc`` use class weights (L2).  Rows with a null feature or label
     are not fitted; among all rows they come back with null predictions.
     Returns (model, test predictions, all predictions)."""
     from pyspark.ml import Pipeline
@@ -133,9 +149,11 @@ def run_model(df: DataFrame, cols, label: str, algo: str = "rf", weight_class1:
     train = cut_lineage(train.select(*cols, label, *([weight] if weight else [])))
     pipe = Pipeline(stages=[*assembler_stages(cols, scaler),
                             build_model(algo, label, weight, seed, **model_kw)])
-    if algo == "rf":
-        train = dealt_for_trees(train, pipe.getStages()[-1].getNumTrees())
-    model = pipe.fit(train)
+    model = fit_large_forest(pipe, train) if algo == "rf" else None
+    if model is None:
+        if algo == "rf":
+            train = dealt_for_trees(train, pipe.getStages()[-1].getNumTrees())
+        model = pipe.fit(train)
     missing = F.greatest(*[F.col(c).isNull() for c in (*cols, label)])
     scored = with_probability(model.transform(data)).unionByName(
         df.where(missing), allowMissingColumns=True)
