@@ -1417,10 +1417,26 @@ def l6_assemble_scale(spark, sf):
                                                           for i, c in enumerate(FEATURES)])
 
 
-def _model_preds(spark, sf, algo, **kw):
-    data = L.undersample(_features(spark, sf), "predictive_overheating", 0.25)
+_MODEL_COLS = ("hwid", "when", "BlockHeat", "MinToOverheating", "predictive_overheating")
+
+
+def _model_rows(spark, sf, skim=None):
+    """The rows that models are fitted on and score, with ``skim`` undersampled.  If
+    there are events for more tasks than cores, they are written once: each model
+    reads them to be fitted and to score.  Rows of small tables are cheaper to make
+    again."""
+    rows = _features(spark, sf)
+    if skim is not None:
+        rows = L.undersample(rows, "predictive_overheating", skim)
+    if S.device_tasks(spark, sf) <= spark.sparkContext.defaultParallelism:
+        return rows
+    return written_once(rows.select(*_MODEL_COLS, *FEATURES), "model-rows")
+
+
+def _model_preds(spark, sf, algo, rows=None, **kw):
+    data = _model_rows(spark, sf, 0.25) if rows is None else rows
     model, _, preds = L.run_model(data, FEATURES, "predictive_overheating", algo, **kw)
-    cols = ["hwid", "when", "BlockHeat", "MinToOverheating", "predictive_overheating", "prediction"]
+    cols = [*_MODEL_COLS, "prediction"]
     if "ProbOverheating" in preds.columns:
         cols.append("ProbOverheating")
     return model, preds.select(*cols)
@@ -1453,9 +1469,10 @@ def l13_l14_model_metrics(spark, sf):
     """Confusion matrix, accuracy, precision and AUC of each model's own
     predictions (the SVM's score is its prediction)."""
     out = None
+    rows = _model_rows(spark, sf, 0.25)
     for algo in ("rf", "lr", "svc"):
         label = "predictive_overheating"
-        preds = _model_preds(spark, sf, algo)[1].where("prediction IS NOT NULL")
+        preds = _model_preds(spark, sf, algo, rows)[1].where("prediction IS NOT NULL")
         score = "ProbOverheating" if "ProbOverheating" in preds.columns else "prediction"
         # read by the matrix, the metrics and the AUC: rows are scored once
         preds = written_once(preds.select(*dict.fromkeys([label, "prediction", score])), "scored-rows")
@@ -1573,7 +1590,7 @@ def l7_moved_weights(spark, sf):
 
 def _test_part(algo):
     def run(spark, sf):
-        data = _features(spark, sf)
+        data = _model_rows(spark, sf)
         _, test, _ = L.run_model(data, FEATURES, "predictive_overheating", algo)
         return test.select("hwid", "when", "predictive_overheating", "prediction")
     return run
