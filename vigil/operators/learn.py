@@ -128,8 +128,9 @@ def run_model(df: DataFrame, cols, label: str, algo: str = "rf", weight_class1:
 
     ``rf`` replicates class 1 (L3) ``floor(weight_class1)`` times, and is fitted on
     counted groups of rows (``forest.fit_by_bins``) where there are more than
-    ``VISITS_PER_TASK`` rows times trees; ``lr``/``svc`` use class weights (L2).  Rows with a null feature or label
-    are not fitted; among all rows they come back with null predictions.
+    ``VISITS_PER_TASK`` rows times trees; ``lr``/``svc`` use class weights (L2).
+    Rows with a null feature or label are not fitted; among all rows they come back
+    with null predictions.
     Returns (model, test predictions, all predictions)."""
     from pyspark.ml import Pipeline
     if algo not in _ALGOS:
@@ -150,7 +151,12 @@ def run_model(df: DataFrame, cols, label: str, algo: str = "rf", weight_class1:
     pipe = Pipeline(stages=[*assembler_stages(cols, scaler),
                             build_model(algo, label, weight, seed, **model_kw)])
     model = fit_large_forest(pipe, train) if algo == "rf" else None
-    if model is None:
+    if model is not None:
+        # a row is scored by every tree: small files or partitions put together by bytes
+        # would leave that to a few tasks (of about as many rows as are fitted)
+        tasks = -(-train.count() * model.stages[-1].getNumTrees // VISITS_PER_TASK)
+        data, test = data.repartition(tasks), test.repartition(tasks)
+    else:
         if algo == "rf":
             train = dealt_for_trees(train, pipe.getStages()[-1].getNumTrees())
         model = pipe.fit(train)
