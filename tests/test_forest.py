@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import functions as F
 
 from vigil.operators import forest as G
 from vigil.operators import learn as L
+from vigil.plans import catalog as K
 
 
 def rows(spark, n=4000, parts=3):
@@ -69,6 +71,57 @@ def test_a_large_forest_is_fitted_on_groups(spark, monkeypatch):
     assert L.forest_nodes(model).agg(F.count_distinct("tree")).first()[0] == 30
 
 
+def test_rows_are_scored_in_tasks_by_rows_times_trees(spark, monkeypatch):
+    monkeypatch.setattr(L, "VISITS_PER_TASK", 1000)
+    df = rows(spark, 600, 1).localCheckpoint()
+    _, test, scored = L.run_model(df, ["a", "b", "c"], "y", "rf", weight_class1=1, n_trees=20, max_depth=2)
+    n = L.train_test_split(df)[0].count()
+    assert test.rdd.getNumPartitions() == -(-n * 20 // 1000)
+    held = scored.select("hwid", F.spark_partition_id().alias("p")).groupBy("p").count()
+    assert held.agg(F.max("count")).first()[0] <= 100 and scored.select("hwid").distinct().count() == 600
+
+
+def events(spark, path, n=3000):
+    kinds = F.array(*[F.lit(k) for k in ("click", "error", "purchase", "signup", "view")])
+    spark.range(n).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.expr("id div 30") * 21600).alias("ts"),
+        (F.col("id") % 30).alias("user_id"), F.get(kinds, F.pmod(F.xxhash64("id"), F.lit(5)).cast("int")).alias("event_type"),
+        F.pmod(F.xxhash64("id", F.lit(1)), F.lit(100)).cast("double").alias("value"),
+        F.format_string('{"k": %d}', F.pmod(F.xxhash64("id", F.lit(2)), F.lit(256))).alias("props")
+    ).write.parquet(f"{path}/events.parquet")
+    return str(path)
+
+
+def test_queries_fit_large_forests_on_groups(spark, tmp_path, monkeypatch):
+    class Grouped(Exception):
+        pass
+
+    def seen(forest, data, visits):
+        raise Grouped(forest.getNumTrees(), forest.getMaxDepth(), data.count())
+
+    sf = events(spark, tmp_path)
+    monkeypatch.setattr(L, "VISITS_PER_TASK", 1000)
+    monkeypatch.setattr(G, "fit_by_bins", seen)
+    with pytest.raises(Grouped) as found:
+        K.QUERIES["l17_importance_report"](spark, sf)
+    trees, depth, n = found.value.args
+    assert (trees, depth) == (500, 10) and n > 2
+
+
+def test_rows_of_three_models_are_made_once(spark, tmp_path, monkeypatch):
+    sf, read = events(spark, tmp_path), []
+
+    def run(df, cols, label, algo, **kw):
+        read.append(df.inputFiles())
+        return None, None, df.withColumns({"prediction": F.lit(1.0), "ProbOverheating": F.lit(0.5)})
+
+    monkeypatch.setattr(K.S, "EVENTS_PER_TASK", 10)
+    monkeypatch.setattr(L, "run_model", run)
+    assert K.QUERIES["l13_l14_model_metrics"](spark, sf).count() == 3
+    # three times the same written rows, not the events
+    assert read[0] == read[1] == read[2] and all("model-rows" in f for f in read[0])
+
+
 def test_small_forests_are_fitted_on_rows(spark, monkeypatch):
     monkeypatch.setattr(G, "fit_by_bins", None)
     L.run_model(rows(spark, 200), ["a", "b", "c"], "y", "rf", n_trees=3, max_depth=2)
